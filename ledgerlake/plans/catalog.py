@@ -304,6 +304,244 @@ def q_first_order_per_customer(spark, sf):
     return out.select("c_custkey", "o_orderkey", "o_orderdate", _r("o_totalprice").alias("o_totalprice"), F.col("_matched").alias("matched"))
 
 
+
+# --------------------------------------------------------------------------
+# Enrichment: E1, E2, E3, G5, J1
+# --------------------------------------------------------------------------
+
+def _enrich_inputs(spark, sf):
+    o = I.table(spark, sf, "orders")
+    master = o.select(
+        "o_orderkey", "o_custkey", "o_orderdate",
+        F.when(F.col("o_orderpriority") == "1-URGENT", F.lit("PRESET")).alias("c_mktsegment"),
+    )
+    c = I.table(spark, sf, "customer")
+    base = c.select("c_custkey", "c_name", "c_acctbal", "c_mktsegment", F.lit(0).alias("src_rank"))
+    alt = c.filter(F.col("c_acctbal") < 0).select("c_custkey", "c_name", "c_acctbal", F.lit("ALT").alias("c_mktsegment"), F.lit(1).alias("src_rank"))
+    ghost = c.filter(F.col("c_acctbal") > 9000).select(
+        (F.col("c_custkey") + 1000000).alias("c_custkey"), "c_name", "c_acctbal", "c_mktsegment", F.lit(2).alias("src_rank"))
+    source = base.unionByName(alt).unionByName(ghost)
+    strategies = [
+        lookup.JoinStrategy(("Lookup",), ("Lookup",), ("lookup",), "Lookup"),
+        lookup.JoinStrategy(("o_custkey",), ("c_custkey",), ("alnum",), "Customer Number"),
+    ]
+    return master, source, strategies
+
+
+def _enrich(spark, sf):
+    master, source, strategies = _enrich_inputs(spark, sf)
+    return lookup.enrich(master, source, strategies, ["c_mktsegment", "c_acctbal", "c_name"], ["src_rank", "c_custkey"], "customer")
+
+
+def q_enrich(spark, sf):
+    out, _ = _enrich(spark, sf)
+    return out.select("o_orderkey", "c_mktsegment", _r("c_acctbal").alias("c_acctbal"), "c_name")
+
+
+def q_enrich_audit(spark, sf):
+    _, audit = _enrich(spark, sf)
+    return audit
+
+
+def q_duplicate_analysis(spark, sf):
+    li = I.table(spark, sf, "lineitem")
+    return lookup.duplicate_analysis(li, ["l_orderkey", "l_linenumber"])
+
+
+# --------------------------------------------------------------------------
+# Conflict-aware lookup with fallback: E6, G6, J3
+# --------------------------------------------------------------------------
+
+def _award_source(spark, sf):
+    li = I.table(spark, sf, "lineitem").filter(F.col("l_shipdate") < F.lit("1997-01-01").cast("timestamp_ntz"))
+    lk = F.when(F.col("l_linestatus") == "O", F.concat(F.lit(" p"), F.col("l_partkey").cast("string"), F.lit("/s"), F.col("l_suppkey").cast("string")))\
+        .otherwise(F.concat(F.lit("P"), F.col("l_partkey").cast("string"), F.lit("/S"), F.col("l_suppkey").cast("string")))
+    v = F.when(F.col("l_returnflag") == "R", F.lit("Secondary")).when(F.col("l_linestatus") == "O", F.lit("primary ")).otherwise(F.lit("Primary"))
+    return li.select(*I.LINE_ORDER, lk.alias("lookup"), F.concat(I.lpad_num("l_partkey", 5), F.lit("-0000-00")).alias("ndc"), v.alias("award"))
+
+
+def _award_master(spark, sf):
+    li = I.table(spark, sf, "lineitem")
+    lk = F.when((F.col("l_returnflag") == "N") & (F.col("l_linestatus") == "O"), F.lit(None).cast("string"))\
+        .otherwise(F.concat(F.lit("P"), F.col("l_partkey").cast("string"), F.lit("/S"), F.col("l_suppkey").cast("string")))
+    return li.select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", lk.alias("lookup"),
+                     F.concat(I.lpad_num("l_partkey", 5), F.lit("0000"), F.lit("00")).alias("ndc_code"),
+                     F.concat(F.lit("Customer "), F.col("l_suppkey").cast("string")).alias("customer"))
+
+
+def _awards(spark, sf):
+    return lookup.award_lookup(
+        _award_master(spark, sf), _award_source(spark, sf),
+        master_lookup="lookup", master_ndc="ndc_code", master_customer="customer",
+        source_lookup="lookup", source_ndc="ndc", value_col="award", order_by=list(I.LINE_ORDER),
+    )
+
+
+def q_award_lookup(spark, sf):
+    r = _awards(spark, sf).frame
+    return r.select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "award_type", "award_status", "award_strategy")
+
+
+def q_award_exceptions(spark, sf):
+    return _awards(spark, sf).exceptions
+
+
+def q_award_counters(spark, sf):
+    return _awards(spark, sf).counters
+
+
+# --------------------------------------------------------------------------
+# Multi-source priority lookup: E7, I1, I7, J4, G10
+# --------------------------------------------------------------------------
+
+def _priority_sources(spark, sf):
+    c = I.table(spark, sf, "customer")
+    p1 = c.filter(F.col("c_nationkey") < 10).select(F.col("c_name").alias("customer"), F.col("c_mktsegment").alias("group"), "c_custkey", F.lit(0).alias("r"))
+    p1b = c.filter((F.col("c_nationkey") < 3) & (F.col("c_acctbal") < 0)).select(
+        F.col("c_name").alias("customer"), F.lit("Special").alias("group"), "c_custkey", F.lit(1).alias("r"))
+    p1c = c.filter((F.col("c_nationkey") < 10) & (F.col("c_acctbal") > 5000)).select(
+        F.col("c_name").alias("customer"), F.lower("c_mktsegment").alias("group"), "c_custkey", F.lit(2).alias("r"))
+    groups = p1.unionByName(p1b).unionByName(p1c)
+    trend = c.filter((F.col("c_nationkey") >= 5) & (F.col("c_nationkey") <= 15)).select(
+        F.lower("c_name").alias("name"), F.when(F.col("c_acctbal") > 0, F.col("c_mktsegment")).otherwise(F.lit("Retail")).alias("cust_group"), "c_custkey")
+    opens = c.filter((F.col("c_nationkey") >= 12) & (F.col("c_nationkey") <= 20)).select(
+        F.concat(F.lit(" "), F.col("c_name"), F.lit(" ")).alias("soldto"), F.substring("c_mktsegment", 1, 4).alias("cgroup"), "c_custkey")
+    return [
+        lookup.PrioritySource(groups, "customer", "group", 1, "Buying Groups", ("r", "c_custkey")),
+        lookup.PrioritySource(trend, "name", "cust_group", 2, "Sales Trend", ("c_custkey",)),
+        lookup.PrioritySource(opens, "soldto", "cgroup", 3, "Open Orders", ("c_custkey",)),
+    ]
+
+
+def _priority(spark, sf):
+    o = I.table(spark, sf, "orders").select("o_orderkey", "o_custkey")
+    c = I.table(spark, sf, "customer").select("c_custkey", "c_name", "c_mktsegment")
+    m = o.join(c, o.o_custkey == c.c_custkey).select("o_orderkey", I.dirty_customer_name().alias("sold_to"))
+    return lookup.priority_lookup(m, "sold_to", _priority_sources(spark, sf))
+
+
+def q_priority_lookup(spark, sf):
+    return _priority(spark, sf).frame.select("o_orderkey", "buying_group", "buying_group_source", "buying_group_status")
+
+
+def q_priority_exceptions(spark, sf):
+    return _priority(spark, sf).exceptions
+
+
+def q_matches_by_source(spark, sf):
+    from ..operators import audit
+
+    r = _priority(spark, sf).frame
+    return audit.matches_by_source(r, "buying_group_status", "buying_group_source").select(
+        F.col("buying_group_source").alias("source"), "matched_rows")
+
+
+# --------------------------------------------------------------------------
+# Latest-wins / conflict lookup: E8, I2, J6
+# --------------------------------------------------------------------------
+
+def _latest(spark, sf, dated: bool):
+    ev = I.table(spark, sf, "events")
+    src = ev.select("event_id", "ts", F.col("user_id").cast("string").alias("ndc"), F.col("event_type").alias("comment"))
+    master = I.table(spark, sf, "customer").select("c_custkey", "c_name", F.col("c_custkey").cast("string").alias("ndc_code"))
+    return lookup.latest_lookup(
+        master, src, master_ndc="ndc_code", master_customer="c_name", source_ndc="ndc", value_col="comment",
+        order_by=["event_id"], date=F.col("ts") if dated else None,
+    )
+
+
+def q_latest_lookup(spark, sf):
+    return _latest(spark, sf, True).frame.select("c_custkey", "sc_comments", "sc_comments_status")
+
+
+def q_latest_exceptions(spark, sf):
+    return _latest(spark, sf, True).exceptions
+
+
+def q_conflict_lookup(spark, sf):
+    return _latest(spark, sf, False).frame.select("c_custkey", "sc_comments", "sc_comments_status")
+
+
+def q_conflict_exceptions(spark, sf):
+    return _latest(spark, sf, False).exceptions
+
+
+# --------------------------------------------------------------------------
+# Statistics, grain, summary enrichment: G8, E11, E13, E15, J10
+# --------------------------------------------------------------------------
+
+def _stat_master(spark, sf):
+    m = I.master_orders(spark, sf)
+    return m.select(
+        "l_orderkey", "o_custkey", "ndc_code", K.lookup_key("ndc_code", "sold_to").alias("lookup"),
+        F.when(F.col("p_type") != "SMALL", F.col("p_name")).alias("material"),
+        F.when(F.col("p_type") != "PROMO", F.col("p_size")).alias("moq"),
+        F.when(F.col("l_returnflag") != "R", F.col("l_quantity") * 10).alias("stock"),
+        F.when(F.col("c_mktsegment") != "HOUSEHOLD", F.col("c_mktsegment")).alias("buying_group"),
+        F.when(F.col("l_linestatus") == "F", F.col("l_returnflag")).alias("award"),
+        F.when(F.col("p_size") > 10, F.col("p_type")).alias("comments"),
+    )
+
+
+def q_master_statistics(spark, sf):
+    from ..operators import audit
+
+    m = _stat_master(spark, sf)
+    return audit.master_statistics(
+        m, I.table(spark, sf, "lineitem"), order_col="l_orderkey", customer_col="o_custkey", ndc_col="ndc_code",
+        lookup_col="lookup", completion_cols=["material", "moq", "stock", "buying_group", "award", "comments", "not_there"],
+    )
+
+
+def q_grain_check(spark, sf):
+    from ..operators import audit
+
+    o = I.table(spark, sf, "orders").select("o_orderkey", F.when(F.col("o_orderstatus") != "P", F.col("o_custkey")).alias("o_custkey"))
+    li = I.table(spark, sf, "lineitem").select("l_orderkey")
+    after = o.join(li, o.o_orderkey == li.l_orderkey, "left_semi")
+    _, dropped = audit.grain_check(o, after, ["o_orderkey", "o_custkey"])
+    return dropped
+
+
+def q_grain_counts(spark, sf):
+    from ..operators import audit
+
+    o = I.table(spark, sf, "orders").select("o_orderkey", F.when(F.col("o_orderstatus") != "P", F.col("o_custkey")).alias("o_custkey"))
+    li = I.table(spark, sf, "lineitem").select("l_orderkey")
+    after = o.join(li, o.o_orderkey == li.l_orderkey, "left_semi")
+    counts, _ = audit.grain_check(o, after, ["o_orderkey", "o_custkey"])
+    return counts
+
+
+def q_membership(spark, sf):
+    from ..operators import audit
+
+    m = I.master_orders(spark, sf)
+    c = I.table(spark, sf, "customer").filter(F.col("c_acctbal") > 0)
+    return audit.membership_count(m, K.text_key("sold_to"), c, K.text_key("c_name"))
+
+
+def q_key_health(spark, sf):
+    from ..operators import audit
+
+    m = I.master_orders(spark, sf).withColumn("lookup", K.lookup_key("ndc_code", "sold_to"))
+    return audit.key_health(m, "ndc_code", "sold_to", "lookup")
+
+
+def q_summary_enriched(spark, sf):
+    s = _summary(spark, sf)
+    m = I.master_orders(spark, sf)
+    detail = m.select(*I.LINE_ORDER, K.lookup_key("ndc_code", "sold_to").alias("Lookup"),
+                      F.col("c_mktsegment").alias("Buying Group"), F.col("l_returnflag").alias("Award Type"))
+    e = summary.enrich_summary(s, detail, "Lookup", ["Buying Group", "Award Type", "SC Comments"], list(I.LINE_ORDER))
+    return e.select(
+        F.col("Lookup").alias("lookup"), F.col("Material Description").alias("material_description"),
+        F.col("Sold-to party Name").alias("sold_to_party_name"), F.col("NDC Code").alias("ndc_code"),
+        F.col("Buying Group").alias("buying_group"), F.col("Award Type").alias("award_type"),
+        F.col("SC Comments").alias("sc_comments"),
+    )
+
+
 QUERIES: dict[str, Query] = {
     "F1_net_inventory": q_net_inventory,
     "F1_net_counters": q_net_counters,
@@ -328,4 +566,23 @@ QUERIES: dict[str, Query] = {
     "F10_low_stock_highlight": q_low_stock_highlight,
     "G1_sales_summary": q_sales_summary,
     "E4_first_order_per_customer": q_first_order_per_customer,
+    "E1_enrich": q_enrich,
+    "J1_enrich_audit": q_enrich_audit,
+    "G5_duplicate_analysis": q_duplicate_analysis,
+    "E6_award_lookup": q_award_lookup,
+    "J3_award_exceptions": q_award_exceptions,
+    "E6_award_counters": q_award_counters,
+    "E7_priority_lookup": q_priority_lookup,
+    "J4_priority_exceptions": q_priority_exceptions,
+    "G10_matches_by_source": q_matches_by_source,
+    "E8_latest_lookup": q_latest_lookup,
+    "J6_latest_exceptions": q_latest_exceptions,
+    "E8_conflict_lookup": q_conflict_lookup,
+    "J6_conflict_exceptions": q_conflict_exceptions,
+    "G8_master_statistics": q_master_statistics,
+    "E11_grain_check": q_grain_check,
+    "E11_grain_counts": q_grain_counts,
+    "E15_membership": q_membership,
+    "J10_key_health": q_key_health,
+    "E13_summary_enriched": q_summary_enriched,
 }

@@ -293,3 +293,281 @@ FROM summ""",
 SELECT c_custkey, o_orderkey, o_orderdate, round(o_totalprice, 2) AS o_totalprice, o_orderkey IS NOT NULL AS matched
 FROM customer LEFT JOIN f ON c_custkey = o_custkey AND rn = 1""",
 }
+
+
+# -- enrichment / lookups ---------------------------------------------------
+
+ENRICH_CTES = """master AS (
+  SELECT o_orderkey, o_custkey, o_orderdate, CASE WHEN o_orderpriority = '1-URGENT' THEN 'PRESET' END AS c_mktsegment
+  FROM orders),
+src AS (
+  SELECT c_custkey, c_name, c_acctbal, c_mktsegment, 0 AS src_rank FROM customer
+  UNION ALL SELECT c_custkey, c_name, c_acctbal, 'ALT', 1 FROM customer WHERE c_acctbal < 0
+  UNION ALL SELECT c_custkey + 1000000, c_name, c_acctbal, c_mktsegment, 2 FROM customer WHERE c_acctbal > 9000),
+b AS (
+  SELECT CAST(c_custkey AS VARCHAR) AS k, c_mktsegment, c_acctbal, c_name,
+         row_number() OVER (PARTITION BY CAST(c_custkey AS VARCHAR) ORDER BY src_rank, c_custkey) AS rn
+  FROM src),
+j AS (
+  SELECT m.o_orderkey, coalesce(m.c_mktsegment, b.c_mktsegment) AS c_mktsegment, b.c_acctbal, b.c_name, b.k IS NOT NULL AS hit
+  FROM master m LEFT JOIN b ON CAST(m.o_custkey AS VARCHAR) = b.k AND b.rn = 1)"""
+
+_LI_ORDER = "l_orderkey, l_partkey, l_suppkey, l_linenumber, l_shipdate, l_extendedprice"
+
+AWARD_CTES = f"""src AS (
+  SELECT {_LI_ORDER},
+         CASE WHEN l_linestatus = 'O' THEN ' p' || CAST(l_partkey AS VARCHAR) || '/s' || CAST(l_suppkey AS VARCHAR)
+              ELSE 'P' || CAST(l_partkey AS VARCHAR) || '/S' || CAST(l_suppkey AS VARCHAR) END AS lookup,
+         {pad('l_partkey', 5)} || '-0000-00' AS ndc,
+         CASE WHEN l_returnflag = 'R' THEN 'Secondary' WHEN l_linestatus = 'O' THEN 'primary ' ELSE 'Primary' END AS award
+  FROM lineitem WHERE l_shipdate < TIMESTAMP '1997-01-01'),
+s2 AS (SELECT *, upper({clean('lookup')}) AS lk, {digits('ndc')} AS nk, upper({clean('award')}) AS n FROM src),
+pt AS (
+  SELECT lk AS k, CASE WHEN count(DISTINCT n) = 1 THEN first(award ORDER BY {_LI_ORDER}) END AS value,
+         CASE WHEN count(DISTINCT n) = 1 THEN 'MATCHED' ELSE 'DUPLICATE_CONFLICT' END AS status
+  FROM s2 WHERE lk IS NOT NULL AND n IS NOT NULL GROUP BY lk),
+ft AS (
+  SELECT nk AS k, CASE WHEN count(DISTINCT n) = 1 THEN first(award ORDER BY {_LI_ORDER}) END AS value,
+         CASE WHEN count(DISTINCT n) = 1 THEN 'MATCHED' ELSE 'DUPLICATE_CONFLICT' END AS status
+  FROM s2 WHERE nk IS NOT NULL AND n IS NOT NULL GROUP BY nk),
+m AS (
+  SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber,
+         CASE WHEN l_returnflag = 'N' AND l_linestatus = 'O' THEN NULL
+              ELSE 'P' || CAST(l_partkey AS VARCHAR) || '/S' || CAST(l_suppkey AS VARCHAR) END AS lookup,
+         {pad('l_partkey', 5)} || '000000' AS ndc_code,
+         'Customer ' || CAST(l_suppkey AS VARCHAR) AS customer
+  FROM lineitem),
+r AS (
+  SELECT m.*, CASE WHEN p.status IS NOT NULL THEN p.value WHEN f.status IS NOT NULL THEN f.value END AS award_type,
+         coalesce(p.status, f.status, 'NOT_FOUND') AS award_status,
+         CASE WHEN p.status IS NOT NULL THEN 'Lookup (Customer+NDC)'
+              WHEN f.status IS NOT NULL THEN 'NDC (product-level fallback)' END AS award_strategy
+  FROM m LEFT JOIN pt p ON upper({clean('m.lookup')}) = p.k LEFT JOIN ft f ON {digits('m.ndc_code')} = f.k)"""
+
+
+def _observed(src: str, key: str, val: str, order: str) -> str:
+    """per key with >1 distinct normalised value: sorted distinct first-original values."""
+    return f"""(SELECT k, string_agg(v, '; ' ORDER BY v) AS observed FROM (
+      SELECT DISTINCT k, v FROM (
+        SELECT {key} AS k, n, first({val} ORDER BY {order}) AS v FROM {src}
+        WHERE {key} IS NOT NULL AND n IS NOT NULL GROUP BY {key}, n)) GROUP BY k
+      HAVING k IN (SELECT {key} FROM {src} WHERE {key} IS NOT NULL AND n IS NOT NULL
+                   GROUP BY {key} HAVING count(DISTINCT n) > 1))"""
+
+
+PRIO_CTES = f"""g AS (
+  SELECT c_name AS ko, c_mktsegment AS v, c_custkey AS o1, 0 AS o0 FROM customer WHERE c_nationkey < 10
+  UNION ALL SELECT c_name, 'Special', c_custkey, 1 FROM customer WHERE c_nationkey < 3 AND c_acctbal < 0
+  UNION ALL SELECT c_name, lower(c_mktsegment), c_custkey, 2 FROM customer WHERE c_nationkey < 10 AND c_acctbal > 5000),
+t AS (
+  SELECT lower(c_name) AS ko, CASE WHEN c_acctbal > 0 THEN c_mktsegment ELSE 'Retail' END AS v, c_custkey AS o1, 0 AS o0
+  FROM customer WHERE c_nationkey BETWEEN 5 AND 15),
+op AS (
+  SELECT ' ' || c_name || ' ' AS ko, substr(c_mktsegment, 1, 4) AS v, c_custkey AS o1, 0 AS o0
+  FROM customer WHERE c_nationkey BETWEEN 12 AND 20),
+allsrc AS (
+  SELECT 'Buying Groups' AS source, 1 AS priority, 0 AS rnk, * FROM g
+  UNION ALL SELECT 'Sales Trend', 2, 1, * FROM t
+  UNION ALL SELECT 'Open Orders', 3, 2, * FROM op),
+n AS (SELECT *, upper({clean('ko')}) AS k, upper({clean('v')}) AS n FROM allsrc),
+nn AS (SELECT * FROM n WHERE k IS NOT NULL AND n IS NOT NULL),
+firsts AS (
+  SELECT source, priority, rnk, k, n, first(v ORDER BY o0, o1) AS v, first(ko ORDER BY o0, o1) AS ko
+  FROM nn GROUP BY source, priority, rnk, k, n),
+tbl AS (
+  SELECT source, priority, rnk, k,
+         CASE WHEN count(DISTINCT n) = 1 THEN min(v) END AS value,
+         CASE WHEN count(DISTINCT n) = 1 THEN 'MATCHED' ELSE 'DUPLICATE_CONFLICT' END AS status,
+         min(ko) AS min_ko, count(*) AS n_values,
+         string_agg(DISTINCT v, '; ' ORDER BY v) AS observed, string_agg(DISTINCT ko, '; ' ORDER BY ko) AS observed_keys
+  FROM firsts GROUP BY source, priority, rnk, k),
+win AS (
+  SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY k ORDER BY priority, rnk) AS rn FROM tbl) WHERE rn = 1),
+mst AS (
+  SELECT o.o_orderkey,
+         CASE c.c_mktsegment WHEN 'BUILDING' THEN '  ' || lower(c.c_name) || chr(9)
+              WHEN 'AUTOMOBILE' THEN replace(c.c_name, '#', ' ' || chr(10) || '#  ')
+              WHEN 'MACHINERY' THEN c.c_name || chr(160) || chr(8203) || ' x'
+              WHEN 'FURNITURE' THEN '   ' ELSE c.c_name END AS sold_to
+  FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey),
+res AS (
+  SELECT m.o_orderkey, m.sold_to, w.value AS buying_group,
+         CASE WHEN w.status = 'MATCHED' THEN w.source END AS buying_group_source,
+         coalesce(w.status, 'NOT_FOUND') AS buying_group_status
+  FROM mst m LEFT JOIN win w ON upper({clean('m.sold_to')}) = w.k)"""
+
+EV_CTES = f"""src AS (
+  SELECT event_id, ts, CAST(user_id AS VARCHAR) AS ndc, event_type AS comment FROM events),
+s2 AS (SELECT *, {digits('ndc')} AS k, upper({clean('comment')}) AS n FROM src),
+nn AS (SELECT * FROM s2 WHERE k IS NOT NULL AND n IS NOT NULL),
+tbl AS (
+  SELECT k, count(DISTINCT n) AS nd, first(comment ORDER BY event_id) AS fst,
+         first(comment ORDER BY ts DESC NULLS LAST, event_id) AS newest, max(ts) IS NOT NULL AS any_date,
+         first(ndc ORDER BY event_id) AS first_ndc
+  FROM nn GROUP BY k),
+obs AS (
+  SELECT k, string_agg(v, '; ' ORDER BY v) AS observed FROM (
+    SELECT DISTINCT k, first(comment ORDER BY event_id) AS v FROM nn GROUP BY k, n) GROUP BY k),
+mst AS (SELECT c_custkey, c_name, CAST(c_custkey AS VARCHAR) AS ndc_code FROM customer)"""
+
+
+def _ev(dated: bool) -> str:
+    if dated:
+        value = "CASE WHEN nd = 1 THEN fst WHEN any_date THEN newest END"
+        status = "CASE WHEN nd = 1 OR any_date THEN 'MATCHED' ELSE 'DUPLICATE_CONFLICT' END"
+    else:
+        value = "CASE WHEN nd = 1 THEN fst END"
+        status = "CASE WHEN nd = 1 THEN 'MATCHED' ELSE 'DUPLICATE_CONFLICT' END"
+    return f"""{EV_CTES},
+t2 AS (SELECT k, {value} AS value, {status} AS status, nd, first_ndc FROM tbl),
+res AS (
+  SELECT m.c_custkey, m.c_name, m.ndc_code, t2.value AS sc_comments, coalesce(t2.status, 'NOT_FOUND') AS sc_comments_status
+  FROM mst m LEFT JOIN t2 ON {digits('m.ndc_code')} = t2.k)"""
+
+
+def _ev_exceptions(dated: bool) -> str:
+    return f"""WITH {_ev(dated)}
+SELECT t2.first_ndc AS ndc, t2.k AS normalized_ndc, '' AS customer, o.observed AS comments, t2.status,
+       CASE WHEN t2.status = 'MATCHED' THEN 'Multiple comments; resolved by the most recent date'
+            ELSE 'Multiple different comments and no date to resolve them' END AS reason
+FROM t2 JOIN obs o ON t2.k = o.k WHERE t2.nd > 1
+UNION ALL
+SELECT DISTINCT ndc_code AS ndc, {digits('ndc_code')} AS normalized_ndc, c_name AS customer, '' AS comments,
+       'NOT_FOUND' AS status, 'NDC not present in the source' AS reason
+FROM res WHERE sc_comments_status = 'NOT_FOUND'"""
+
+
+STAT_MASTER = f"""{MASTER},
+x AS (
+  SELECT l_orderkey, o_custkey, ndc_code, {LOOKUP_EXPR} AS lookup,
+         CASE WHEN p_type <> 'SMALL' THEN p_name END AS material,
+         CASE WHEN p_type <> 'PROMO' THEN p_size END AS moq,
+         CASE WHEN l_returnflag <> 'R' THEN l_quantity * 10 END AS stock,
+         CASE WHEN c_mktsegment <> 'HOUSEHOLD' THEN c_mktsegment END AS buying_group,
+         CASE WHEN l_linestatus = 'F' THEN l_returnflag END AS award,
+         CASE WHEN p_size > 10 THEN p_type END AS comments
+  FROM m)"""
+
+GRAIN_CTES = """o AS (SELECT o_orderkey, CASE WHEN o_orderstatus <> 'P' THEN o_custkey END AS o_custkey FROM orders),
+a AS (SELECT * FROM o WHERE o_orderkey IN (SELECT l_orderkey FROM lineitem)),
+ad AS (SELECT DISTINCT o_orderkey, o_custkey FROM a),
+dropped AS (
+  SELECT DISTINCT o.o_orderkey, o.o_custkey FROM o
+  WHERE NOT EXISTS (SELECT 1 FROM ad WHERE ad.o_orderkey IS NOT DISTINCT FROM o.o_orderkey
+                                       AND ad.o_custkey IS NOT DISTINCT FROM o.o_custkey))"""
+
+_LI_OTHER = ("l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount", "l_tax",
+             "l_returnflag", "l_linestatus", "l_shipdate")
+
+SQL.update({
+    "E1_enrich": f"""WITH {ENRICH_CTES}
+SELECT o_orderkey, c_mktsegment, round(c_acctbal, 2) AS c_acctbal, c_name FROM j""",
+    "J1_enrich_audit": f"""WITH {ENRICH_CTES},
+sel AS (SELECT c_custkey, c_mktsegment, c_acctbal, c_name FROM src),
+grp AS (
+  SELECT c_custkey, count(*) AS n,
+         count(DISTINCT CAST(c_mktsegment AS VARCHAR)) > 1 AS x1,
+         count(DISTINCT CAST(c_acctbal AS VARCHAR)) > 1 AS x2,
+         count(DISTINCT CAST(c_name AS VARCHAR)) > 1 AS x3
+  FROM sel GROUP BY c_custkey),
+d AS (
+  SELECT CAST(coalesce(sum(n - 1), 0) AS BIGINT) AS dup,
+         CAST(coalesce(sum(CASE WHEN n >= 2 THEN CAST(x1 AS INTEGER) + CAST(x2 AS INTEGER) + CAST(x3 AS INTEGER) ELSE 0 END), 0) AS BIGINT) AS conf
+  FROM grp)
+SELECT 'customer' AS source, 'c_acctbal, c_name' AS columns_added, 'o_custkey' AS join_key,
+       (SELECT count_if(hit) FROM j) AS rows_updated,
+       (SELECT count(*) FROM (SELECT DISTINCT CAST(c_custkey AS VARCHAR) AS k FROM src)
+         WHERE k NOT IN (SELECT CAST(o_custkey AS VARCHAR) FROM master)) AS rows_missing,
+       dup AS duplicate_keys_found,
+       'Customer Number; conflicting values=' || CAST(conf AS VARCHAR) AS comments
+FROM d""",
+    "G5_duplicate_analysis": f"""WITH g AS (
+  SELECT l_orderkey, l_linenumber, count(*) AS n,
+         {', '.join(f'count(DISTINCT CAST({c} AS VARCHAR)) > 1 AS x{i}' for i, c in enumerate(_LI_OTHER))}
+  FROM lineitem GROUP BY l_orderkey, l_linenumber)
+SELECT CAST(coalesce(sum(n - 1), 0) AS BIGINT) AS duplicate_keys_found,
+       CAST(coalesce(sum(CASE WHEN n >= 2 THEN {' + '.join(f'CAST(x{i} AS INTEGER)' for i in range(len(_LI_OTHER)))} ELSE 0 END), 0) AS BIGINT) AS conflicting_values
+FROM g""",
+    "E6_award_lookup": f"""WITH {AWARD_CTES}
+SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, award_type, award_status, award_strategy FROM r""",
+    "J3_award_exceptions": f"""WITH {AWARD_CTES},
+pobs AS {_observed('s2', 'lk', 'award', _LI_ORDER)},
+fobs AS {_observed('s2', 'nk', 'award', _LI_ORDER)}
+SELECT '' AS customer, '' AS ndc, k AS lookup, observed AS value, 'Lookup (Customer+NDC)' AS match_strategy,
+       'DUPLICATE_CONFLICT' AS status, 'Same Lookup maps to multiple distinct values in the source' AS reason FROM pobs
+UNION ALL
+SELECT '', k, '', observed, 'NDC (product-level fallback)', 'DUPLICATE_CONFLICT',
+       'NDC maps to multiple distinct values across customers; ambiguous at product level' FROM fobs
+UNION ALL
+SELECT DISTINCT customer, ndc_code, lookup, '', '', 'NOT_FOUND', 'No record found by Lookup or by NDC in the source'
+FROM r WHERE award_status = 'NOT_FOUND'""",
+    "E6_award_counters": f"""WITH {AWARD_CTES}
+SELECT count(*) AS total_master_rows, count_if(award_status = 'MATCHED') AS matched_rows,
+       count_if(award_status = 'MATCHED' AND award_strategy = 'Lookup (Customer+NDC)') AS matched_by_lookup,
+       count_if(award_status = 'MATCHED' AND award_strategy = 'NDC (product-level fallback)') AS matched_by_ndc,
+       count_if(award_status = 'NOT_FOUND') AS not_found_rows,
+       count_if(award_status = 'DUPLICATE_CONFLICT') AS duplicate_conflict_rows,
+       count(award_type) AS populated_rows
+FROM r""",
+    "E7_priority_lookup": f"""WITH {PRIO_CTES}
+SELECT o_orderkey, buying_group, buying_group_source, buying_group_status FROM res""",
+    "J4_priority_exceptions": f"""WITH {PRIO_CTES}
+SELECT observed_keys AS customer, k AS normalized_customer, '' AS selected_value, observed AS rejected_value,
+       '' AS selected_source, source AS rejected_source, 'DUPLICATE_CONFLICT' AS status,
+       'Multiple different values within one priority tier (' || source || ', priority ' || CAST(priority AS VARCHAR) || ')' AS reason
+FROM tbl WHERE n_values > 1
+UNION ALL
+SELECT w.min_ko, o.k, coalesce(w.value, ''), coalesce(o.value, ''), w.source, o.source, 'LOWER_PRIORITY_DISAGREEMENT',
+       'Resolved by source priority: ' || w.source || ' (priority ' || CAST(w.priority AS VARCHAR) || ') outranks ' ||
+       o.source || ' (priority ' || CAST(o.priority AS VARCHAR) || ')'
+FROM tbl o JOIN win w ON o.k = w.k
+WHERE (o.priority <> w.priority OR o.rnk <> w.rnk) AND upper({clean('o.value')}) IS NOT NULL
+  AND upper({clean('w.value')}) IS NOT NULL AND upper({clean('o.value')}) <> upper({clean('w.value')})
+UNION ALL
+SELECT DISTINCT sold_to, upper({clean('sold_to')}), '', '', '', '', 'NOT_FOUND', 'Customer not present in any configured source'
+FROM res WHERE buying_group_status = 'NOT_FOUND' AND sold_to IS NOT NULL""",
+    "G10_matches_by_source": f"""WITH {PRIO_CTES}
+SELECT buying_group_source AS source, count(*) AS matched_rows FROM res WHERE buying_group_status = 'MATCHED'
+GROUP BY buying_group_source""",
+    "E8_latest_lookup": f"""WITH {_ev(True)}
+SELECT c_custkey, sc_comments, sc_comments_status FROM res""",
+    "J6_latest_exceptions": _ev_exceptions(True),
+    "E8_conflict_lookup": f"""WITH {_ev(False)}
+SELECT c_custkey, sc_comments, sc_comments_status FROM res""",
+    "J6_conflict_exceptions": _ev_exceptions(False),
+    "G8_master_statistics": f"""WITH {STAT_MASTER}
+SELECT (SELECT count(*) FROM lineitem) AS original_rows, count(*) AS rows_after_merge,
+       count(DISTINCT l_orderkey) AS unique_sales_orders, count(DISTINCT o_custkey) AS unique_customers,
+       count(DISTINCT ndc_code) AS unique_ndcs,
+       count(*) - count(DISTINCT ndc_code) - CASE WHEN count_if(ndc_code IS NULL) > 0 THEN 1 ELSE 0 END AS duplicate_ndcs,
+       count(*) - count(DISTINCT lookup) - CASE WHEN count_if(lookup IS NULL) > 0 THEN 1 ELSE 0 END AS duplicate_lookups,
+       count_if(material IS NULL) AS missing_0, count_if(moq IS NULL) AS missing_1, count_if(stock IS NULL) AS missing_2,
+       count_if(buying_group IS NULL) AS missing_3, count_if(award IS NULL) AS missing_4,
+       count_if(comments IS NULL) AS missing_5, count(*) AS missing_6,
+       round(avg(CASE WHEN material IS NOT NULL AND moq IS NOT NULL AND stock IS NOT NULL AND buying_group IS NOT NULL
+                      AND award IS NOT NULL AND comments IS NOT NULL THEN 1.0 ELSE 0.0 END) * 100, 2) AS completion_pct
+FROM x""",
+    "E11_grain_check": f"""WITH {GRAIN_CTES}
+SELECT o_orderkey, o_custkey FROM dropped""",
+    "E11_grain_counts": f"""WITH {GRAIN_CTES}
+SELECT (SELECT count(*) FROM o) AS rows_before, (SELECT count(*) FROM a) AS rows_after,
+       (SELECT count(*) FROM dropped) AS dropped_keys""",
+    "E15_membership": f"""WITH {MASTER},
+ref AS (SELECT upper({clean('c_name')}) AS k FROM customer WHERE c_acctbal > 0)
+SELECT count(*) AS total, count_if(upper({clean('sold_to')}) IN (SELECT k FROM ref WHERE k IS NOT NULL)) AS matched,
+       count(*) - count_if(upper({clean('sold_to')}) IN (SELECT k FROM ref WHERE k IS NOT NULL)) AS missing
+FROM m""",
+    "J10_key_health": f"""WITH {MASTER},
+x AS (SELECT ndc_code, sold_to, {LOOKUP_EXPR} AS lookup FROM m)
+SELECT count(*) AS total_rows, count(ndc_code) AS rows_with_ndc, count(sold_to) AS rows_with_customer,
+       count(lookup) AS rows_with_lookup, count(*) - count(lookup) AS rows_missing_lookup
+FROM x""",
+    "E13_summary_enriched": f"""WITH {SUMMARY_INPUT},
+d AS (
+  SELECT {LOOKUP_EXPR} AS lookup, c_mktsegment AS bg, l_returnflag AS award,
+         row_number() OVER (PARTITION BY {LOOKUP_EXPR} ORDER BY {_LI_ORDER}) AS rn
+  FROM m)
+SELECT s.lookup, s.material AS material_description, s.sold_to_name AS sold_to_party_name, s.ndc_code,
+       d.bg AS buying_group, d.award AS award_type, CAST(NULL AS VARCHAR) AS sc_comments
+FROM summ s LEFT JOIN d ON s.lookup = d.lookup AND d.rn = 1""",
+})
