@@ -55,7 +55,7 @@ def clean_text(c: str | Column) -> Column:
     """B1: tab/CR/LF -> space, drop non-printables, collapse spaces, trim,
     empty -> null. Letter case is kept."""
     x = col_of(c).cast("string")
-    x = F.regexp_replace(x, "[\\t\\r\\n]", " ")
+    x = F.translate(x, "\t\r\n", "   ")
     x = F.regexp_replace(x, _NON_PRINTABLE, "")
     x = F.regexp_replace(x, " {2,}", " ")
     x = F.trim(x)
@@ -144,32 +144,33 @@ def segment_key(
     out_widths: Sequence[int],
 ) -> Column:
     """Split on a literal delimiter, require every segment to be digits of
-    exactly ``in_widths[i]`` characters, left-pad each to ``out_widths[i]``
-    and concatenate. Anything else -> null."""
+    exactly ``in_widths[i]`` characters (spaces around a segment are
+    trimmed), left-pad each to ``out_widths[i]`` and concatenate. Anything
+    else -> null.
+
+    Compiled to one anchored regex over the cleaned text: ``rlike`` validates
+    and a single ``regexp_replace`` emits the key. Because every segment has
+    an exact width, padding is a constant run of zeros in the replacement
+    (zfill never truncates, so a narrower target keeps the segment)."""
     if len(in_widths) != len(out_widths):
         raise ValueError("out_widths must give one target width per input segment")
     cleaned = clean_text(c)
-    parts = F.split(cleaned, _quote(delimiter), -1) if delimiter else F.array(cleaned)
-    ok = F.size(parts) == F.lit(len(in_widths))
-    pieces = []
-    for i, (w_in, w_out) in enumerate(zip(in_widths, out_widths)):
-        seg = clean_text(F.get(parts, i))
-        ok = ok & F.coalesce(seg.rlike(f"^\\p{{Nd}}{{{int(w_in)}}}$"), F.lit(False))
-        # zfill never truncates: only pad when the target is wider
-        pieces.append(F.lpad(seg, int(w_out), "0") if int(w_out) > int(w_in) else seg)
-    return F.when(ok, F.concat(*pieces))
+    sep = f" *{_quote(delimiter)} *" if delimiter else ""
+    groups = [f"(\\p{{Nd}}{{{int(w)}}})" for w in in_widths]
+    pattern = "^ *" + sep.join(groups) + " *$"
+    replacement = "".join("0" * max(int(wo) - int(wi), 0) + f"${i + 1}" for i, (wi, wo) in enumerate(zip(in_widths, out_widths)))
+    return F.when(cleaned.rlike(pattern), F.regexp_replace(cleaned, pattern, replacement))
 
 
 def key_for_mode(c: str | Column, mode: str, dtype: str = "string") -> Column:
     """Normalise a key part by mode: ``ndc`` -> digits, ``alnum`` ->
     identifier, anything else (``text``, ``lookup``) -> upper-cased text."""
+    # every branch already maps '' to null
     if mode == "ndc":
-        k = digits_key(c, dtype)
-    elif mode == "alnum":
-        k = ident_key(as_text(c, dtype) if dtype in FLOAT_TYPES else c)
-    else:
-        k = text_key(as_text(c, dtype) if dtype in FLOAT_TYPES else c)
-    return F.nullif(k, F.lit(""))
+        return digits_key(c, dtype)
+    if mode == "alnum":
+        return ident_key(as_text(c, dtype) if dtype in FLOAT_TYPES else c)
+    return text_key(as_text(c, dtype) if dtype in FLOAT_TYPES else c)
 
 
 def compose_key(parts: Sequence[Column]) -> Column:
@@ -179,7 +180,7 @@ def compose_key(parts: Sequence[Column]) -> Column:
     if not parts:
         return F.lit(None).cast("string")
     if len(parts) == 1:
-        return F.nullif(parts[0], F.lit(""))
+        return parts[0]
     joined = F.concat_ws("|", *[F.coalesce(p, F.lit("")) for p in parts])
     any_present = F.greatest(*[p.isNotNull() for p in parts])
     return F.when(any_present, joined)
