@@ -26,6 +26,13 @@ def _blank(c: str) -> Column:
     return t.isNull() | (F.lower(t) == "nan")
 
 
+def _size_of(df: DataFrame, c: str) -> Column:
+    """Estimated bytes of a value: text length for strings, 8 otherwise."""
+    if dict(df.dtypes)[c] == "string":
+        return F.coalesce(F.length(_q(c)), F.lit(0))
+    return F.when(_q(c).isNotNull(), 8).otherwise(0)
+
+
 def table_profile(df: DataFrame, name: str) -> DataFrame:
     """Rows, columns, empty rows, empty columns, duplicate rows, and an
     estimated size (sum of text lengths), in one aggregate."""
@@ -39,7 +46,7 @@ def table_profile(df: DataFrame, name: str) -> DataFrame:
         F.count_if(all_blank).alias("empty_rows"),
         *[F.count_if(~_blank(c)).alias(f"_nb{i}") for i, c in enumerate(cols)],
         F.count_distinct(F.xxhash64(row), F.hash(row)).alias("_distinct"),
-        F.sum(sum((F.coalesce(F.length(_q(c).cast("string")), F.lit(0)) for c in cols), F.lit(0))).alias("text_bytes"),
+        F.sum(sum((_size_of(df, c) for c in cols), F.lit(0))).alias("text_bytes"),
     )
     empty_cols = sum((F.when(F.col(f"_nb{i}") == 0, 1).otherwise(0) for i in range(len(cols))), F.lit(0))
     return agg.select(

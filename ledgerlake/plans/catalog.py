@@ -542,6 +542,160 @@ def q_summary_enriched(spark, sf):
     )
 
 
+
+# --------------------------------------------------------------------------
+# Sources: A2-A7, A13, C4, C5, C15 over data-derived sheets and schemas
+# --------------------------------------------------------------------------
+
+def _conversation_sheets(spark, sf):
+    """Raw 'sheets': one per conversation, one row per turn, cells = role,
+    turn number and the words of the turn (whole texts)."""
+    cv = I.table(spark, sf, "conversations")
+    cells = F.concat(F.array(F.col("role"), F.col("turn").cast("string")), F.split(F.col("text"), " ", -1))
+    return cv.select(F.lit("conversations").alias("workbook"), F.col("conv_id").cast("string").alias("sheet"),
+                     F.col("turn").alias("row_idx"), cells.alias("cells"))
+
+
+def q_header_rows(spark, sf):
+    from ..sources import discovery as D
+
+    return D.detect_header_rows(_conversation_sheets(spark, sf)).select("sheet", "header_idx", "score", "has_data")
+
+
+def q_header_issues(spark, sf):
+    from ..sources import discovery as D
+
+    raw = _conversation_sheets(spark, sf)
+    return D.header_issues(D.header_table(raw)).select("sheet", "code", "detail")
+
+
+def _schema_frames(spark, sf):
+    return {t: I.table(spark, sf, t) for t in I.TABLES}
+
+
+# The registry used to exercise discovery on the driver's tables.
+def _registry():
+    from ..sources.discovery import SourceDefinition as S
+
+    return [
+        S("orders_src", ("o_orderkey", "o_custkey"), ("o_comment",)),
+        S("lines_src", ("l_orderkey", "l_partkey", "l_quantity")),
+        S("doc_keyed", ("doc_id",), mandatory=False),
+        S("doc_pref", ("doc_id",), preferred_sheets=("labels",)),
+        S("text_kw", ("text",), filename_keywords=("bench",)),
+        S("text_amb", ("text",), filename_keywords=("x_no_match",), mandatory=False),
+        S("nation_norm", ("N-NATIONKEY", "n name"), mandatory=False),
+        S("missing_src", ("no_such_column",), mandatory=False),
+    ]
+
+
+def q_discover_sources(spark, sf):
+    from ..sources import discovery as D
+
+    h = D.header_table_from_frames(spark, _schema_frames(spark, sf))
+    return D.discover(h, _registry()).select(
+        "logical", "status", "sheet", F.array_join("candidates", ",").alias("candidates"), "mandatory")
+
+
+def q_discover_normalized(spark, sf):
+    from ..sources import discovery as D
+
+    h = D.header_table_from_frames(spark, _schema_frames(spark, sf))
+    return D.discover(h, _registry(), match="normalized").select("logical", "status", "sheet")
+
+
+def q_validation_issues(spark, sf):
+    from ..sources import validate as V
+    from ..sources.discovery import SourceDefinition as S
+
+    o = I.table(spark, sf, "orders")
+    staged = o.select("o_orderkey", "o_orderstatus",
+                      F.when(F.col("o_orderstatus") == "X", F.lit("never")).alias("o_comment"),
+                      F.when(F.col("o_orderstatus") == "F", F.lit("  ")).otherwise(F.col("o_orderpriority")).alias("o_orderpriority"))
+    blank_rows = staged.select(F.when(F.col("o_orderstatus") != "O", F.col("o_orderkey").cast("string")).alias("k"),
+                               F.when(F.col("o_orderstatus") != "O", F.col("o_orderstatus")).alias("s"))
+    tables = {"orders_src": staged, "blank_rows": blank_rows}
+    defs = [S("orders_src", ("o_orderkey", "o_custkey"), ("o_orderpriority", "o_clerk")),
+            S("blank_rows", ("k",)), S("uploads", ("NDC Code",), mandatory=False), S("awards", ("Award Type",))]
+    return V.validate_tables(spark, tables, defs)
+
+
+# --------------------------------------------------------------------------
+# Profiling: D1, D2, D4, D6, D7, D8
+# --------------------------------------------------------------------------
+
+def q_table_profile(spark, sf):
+    from ..operators import profile as P
+
+    return P.table_profile(I.table(spark, sf, "customer"), "customer").unionByName(
+        P.table_profile(I.table(spark, sf, "orders"), "orders")).unionByName(
+        P.table_profile(I.table(spark, sf, "lineitem").select("l_partkey", "l_suppkey", "l_returnflag"), "lineitem_keys"))
+
+
+def q_column_profile(spark, sf):
+    from ..operators import profile as P
+
+    return P.column_profile(I.table(spark, sf, "customer"), "customer", order_by=["c_custkey"])
+
+
+def q_infer_types(spark, sf):
+    from ..operators import profile as P
+
+    o = I.table(spark, sf, "orders").select(
+        *[F.col(c).cast("string").alias(c) for c in ("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority")],
+        F.when(F.col("o_orderstatus") == "F", F.lit("yes")).otherwise(F.lit("No")).alias("is_final"),
+        F.concat(F.lit("("), F.col("o_custkey").cast("string"), F.lit(")")).alias("credit"),
+        F.when(F.col("o_orderstatus") == "P", F.lit(" ")).alias("note"),
+    )
+    return P.infer_types(o, "orders")
+
+
+JOIN_HINTS = {
+    "customer_key": ("c_custkey", "o_custkey", "Customer Key"),
+    "order_key": ("o_orderkey", "L_ORDERKEY"),
+    "part_key": ("p_partkey", "l_partkey", "ps_partkey"),
+    "document": ("doc_id",),
+    "nation": ("n_nationkey", "c_nationkey", "s_nationkey"),
+    "absent": ("no_such_header",),
+}
+
+KEY_RULES = (
+    ("order_key", ("o_orderkey",)),
+    ("order_line", ("l_orderkey", "l_linenumber")),
+    ("customer", ("c_custkey",)),
+    ("doc", ("doc_id",)),
+)
+
+
+def q_join_key_candidates(spark, sf):
+    from ..operators import profile as P
+    from ..sources import discovery as D
+
+    h = D.header_table_from_frames(spark, _schema_frames(spark, sf))
+    return P.join_key_candidates(h, JOIN_HINTS)
+
+
+def q_recommended_keys(spark, sf):
+    from ..operators import profile as P
+    from ..sources import discovery as D
+
+    h = D.header_table_from_frames(spark, _schema_frames(spark, sf))
+    return P.recommended_keys(h, KEY_RULES).select(F.col("workbook").alias("table_name"), F.array_join("recommended_keys", ",").alias("keys"))
+
+
+def q_fingerprint(spark, sf):
+    from ..operators import profile as P
+
+    return P.fingerprint(I.table(spark, sf, "orders"), "orders").unionByName(P.fingerprint(I.table(spark, sf, "lineitem"), "lineitem"))
+
+
+def q_column_dictionary(spark, sf):
+    from ..operators import profile as P
+
+    prof = P.column_profile(I.table(spark, sf, "orders"), "orders", order_by=["o_orderkey"])
+    return P.column_dictionary(prof, JOIN_HINTS).select("column", "join_key", "business_meaning")
+
+
 QUERIES: dict[str, Query] = {
     "F1_net_inventory": q_net_inventory,
     "F1_net_counters": q_net_counters,
@@ -585,4 +739,16 @@ QUERIES: dict[str, Query] = {
     "E15_membership": q_membership,
     "J10_key_health": q_key_health,
     "E13_summary_enriched": q_summary_enriched,
+    "A3_header_rows": q_header_rows,
+    "C5_header_issues": q_header_issues,
+    "A2_discover_sources": q_discover_sources,
+    "A6_discover_normalized": q_discover_normalized,
+    "C4_validation_issues": q_validation_issues,
+    "D1_table_profile": q_table_profile,
+    "D2_column_profile": q_column_profile,
+    "D4_infer_types": q_infer_types,
+    "D6_join_key_candidates": q_join_key_candidates,
+    "D7_recommended_keys": q_recommended_keys,
+    "D8_fingerprint": q_fingerprint,
+    "D3_column_dictionary": q_column_dictionary,
 }

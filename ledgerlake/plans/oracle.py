@@ -571,3 +571,235 @@ SELECT s.lookup, s.material AS material_description, s.sold_to_name AS sold_to_p
        d.bg AS buying_group, d.award AS award_type, CAST(NULL AS VARCHAR) AS sc_comments
 FROM summ s LEFT JOIN d ON s.lookup = d.lookup AND d.rn = 1""",
 })
+
+
+# -- sources / profiling -----------------------------------------------------
+
+_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents",
+           "embeddings", "pages", "benchmark", "labels", "conversations")
+_TLIST = ", ".join(f"'{t}'" for t in _TABLES)
+SCHEMA_HEADERS = f"""hdr AS (
+  SELECT table_name AS workbook, table_name AS sheet, column_name AS header FROM information_schema.columns
+  WHERE table_name IN ({_TLIST}))"""
+
+_NUM_RE = r"\s*[+-]?([0-9]+(\.[0-9]*)?|\.[0-9]+)([eE][+-]?[0-9]+)?\s*"
+_DATE_SHAPE_RE = r"[0-9]{1,4}[-/][0-9]{1,2}[-/][0-9]{1,4}([ T][0-9]{1,2}:[0-9]{2}(:[0-9]{2})?)?"
+
+CONV_SHEETS = f"""raw AS (
+  SELECT CAST(conv_id AS VARCHAR) AS sheet, turn AS row_idx,
+         list_concat([role, CAST(turn AS VARCHAR)], string_split(text, ' ')) AS cells
+  FROM conversations),
+cells AS (SELECT sheet, row_idx, unnest(cells) AS c FROM raw),
+kinds AS (
+  SELECT sheet, row_idx,
+         CASE WHEN {clean('c')} IS NULL THEN 'blank'
+              WHEN regexp_full_match(trim(c), '{_NUM_RE}') THEN 'numeric'
+              WHEN regexp_full_match(trim(c), '{_DATE_SHAPE_RE}')
+                   AND coalesce(try_strptime(trim(c), '%Y-%m-%d'), try_strptime(trim(c), '%Y-%m-%d %H:%M:%S'),
+                                try_strptime(trim(c), '%m/%d/%Y'), try_strptime(trim(c), '%m/%d/%y')) IS NOT NULL THEN 'date'
+              ELSE 'string' END AS k
+  FROM cells),
+rs AS (
+  SELECT sheet, row_idx,
+         CASE WHEN count_if(k <> 'blank') = 0 THEN -1000000000
+              ELSE 3 * count_if(k = 'string') + 2 * count_if(k = 'date') + count_if(k <> 'blank') - count_if(k = 'numeric') END AS score,
+         count_if(k <> 'blank') > 0 AS non_blank
+  FROM kinds GROUP BY sheet, row_idx),
+hr AS (
+  SELECT sheet, first(row_idx ORDER BY score DESC, row_idx) AS header_idx, max(score) AS score,
+         max(CASE WHEN non_blank THEN row_idx END) AS last_nb
+  FROM rs GROUP BY sheet)"""
+
+REGISTRY_VALUES = """reg(logical, header) AS (VALUES
+  ('orders_src', 'o_orderkey'), ('orders_src', 'o_custkey'),
+  ('lines_src', 'l_orderkey'), ('lines_src', 'l_partkey'), ('lines_src', 'l_quantity'),
+  ('doc_keyed', 'doc_id'), ('doc_pref', 'doc_id'), ('text_kw', 'text'), ('text_amb', 'text'),
+  ('nation_norm', 'N-NATIONKEY'), ('nation_norm', 'n name'), ('missing_src', 'no_such_column')),
+meta(logical, preferred, keywords, mandatory) AS (VALUES
+  ('orders_src', []::VARCHAR[], []::VARCHAR[], true), ('lines_src', []::VARCHAR[], []::VARCHAR[], true),
+  ('doc_keyed', []::VARCHAR[], []::VARCHAR[], false), ('doc_pref', ['labels'], []::VARCHAR[], true),
+  ('text_kw', []::VARCHAR[], ['bench'], true), ('text_amb', []::VARCHAR[], ['x_no_match'], false),
+  ('nation_norm', []::VARCHAR[], []::VARCHAR[], false), ('missing_src', []::VARCHAR[], []::VARCHAR[], false))"""
+
+
+def _discovery(norm: bool) -> str:
+    hk = (lambda x: f"lower(trim(regexp_replace(regexp_replace({x}, '[_-]', ' ', 'g'), '\\s+', ' ', 'g')))") if norm else (lambda x: x)
+    return f"""WITH {SCHEMA_HEADERS},
+{REGISTRY_VALUES},
+r2 AS (SELECT DISTINCT logical, {hk('header')} AS hk FROM reg),
+h2 AS (SELECT DISTINCT workbook, sheet, {hk('header')} AS hk FROM hdr),
+need AS (SELECT logical, count(*) AS need FROM r2 GROUP BY logical),
+hits AS (SELECT r2.logical, h2.workbook, h2.sheet, count(*) AS got FROM r2 JOIN h2 ON r2.hk = h2.hk GROUP BY ALL),
+cands AS (SELECT hits.* FROM hits JOIN need USING (logical) WHERE got = need),
+c AS (
+  SELECT cands.logical, workbook, sheet, list_contains(preferred, sheet) AS pref,
+         len(list_filter(keywords, lambda k: contains(lower(workbook), k))) > 0 AS kw, len(keywords) > 0 AS haskw
+  FROM cands JOIN meta USING (logical)),
+agg AS (
+  SELECT logical, count(*) AS n, count(DISTINCT workbook) AS files, count_if(pref) AS n_pref, count_if(kw) AS n_kw,
+         bool_or(haskw) AS has_kw, min(sheet) AS only_sheet, min(CASE WHEN pref THEN sheet END) AS pref_sheet,
+         min(CASE WHEN kw THEN sheet END) AS kw_sheet,
+         string_agg(workbook || '::' || sheet, ',' ORDER BY workbook || '::' || sheet) AS candidates
+  FROM c GROUP BY logical),
+d AS (
+  SELECT m.logical, m.mandatory, a.candidates,
+         CASE WHEN a.n = 1 THEN a.only_sheet WHEN a.n_pref = 1 THEN a.pref_sheet
+              WHEN a.files > 1 AND a.has_kw AND a.n_kw = 1 THEN a.kw_sheet END AS pick
+  FROM meta m LEFT JOIN agg a USING (logical))
+SELECT logical, CASE WHEN candidates IS NULL THEN 'NOT_FOUND' WHEN pick IS NOT NULL THEN 'RESOLVED' ELSE 'AMBIGUOUS' END AS status,
+       pick AS sheet{', coalesce(candidates, \'\') AS candidates, mandatory' if not norm else ''}
+FROM d"""
+
+
+def _profile_table(name: str, cols: list[tuple[str, str]], src: str) -> str:
+    blank = " AND ".join(f"({clean(f'CAST({c} AS VARCHAR)')} IS NULL OR lower({clean(f'CAST({c} AS VARCHAR)')}) = 'nan')" for c, _ in cols)
+    nonblank = " + ".join(
+        f"CASE WHEN count_if(NOT ({clean(f'CAST({c} AS VARCHAR)')} IS NULL OR lower({clean(f'CAST({c} AS VARCHAR)')}) = 'nan')) = 0 THEN 1 ELSE 0 END"
+        for c, _ in cols)
+    size = " + ".join(f"coalesce(length({c}), 0)" if t == "string" else f"CASE WHEN {c} IS NOT NULL THEN 8 ELSE 0 END" for c, t in cols)
+    names = ", ".join(c for c, _ in cols)
+    return f"""SELECT '{name}' AS "table", count(*) AS rows, {len(cols)} AS columns, count_if({blank}) AS empty_rows,
+       {nonblank} AS empty_columns,
+       count(*) - (SELECT count(*) FROM (SELECT DISTINCT {names} FROM {src})) AS duplicate_rows,
+       CAST(coalesce(sum({size}), 0) AS BIGINT) AS text_bytes
+FROM {src}"""
+
+
+_CUSTOMER_COLS = [("c_custkey", "bigint"), ("c_name", "string"), ("c_nationkey", "int"), ("c_acctbal", "double"), ("c_mktsegment", "string")]
+_ORDERS_COLS = [("o_orderkey", "bigint"), ("o_custkey", "bigint"), ("o_orderstatus", "string"), ("o_totalprice", "double"),
+                ("o_orderdate", "timestamp_ntz"), ("o_orderpriority", "string")]
+
+
+def _column_profile(cols, src, order):
+    parts = []
+    for i, (c, t) in enumerate(cols):
+        txt = f"CAST({c} AS VARCHAR)"
+        nb = f"NOT ({clean(txt)} IS NULL OR lower({clean(txt)}) = 'nan')"
+        parts.append(f"""SELECT 'customer' AS "table", {i} AS position, '{c}' AS "column", '{t}' AS dtype,
+       count_if({c} IS NULL) AS null_count, count_if({c} IS NULL) > 0 AS nullable, count(DISTINCT {c}) AS distinct_count,
+       coalesce(first({txt} ORDER BY {order}) FILTER (WHERE {nb}), '') AS sample
+FROM {src}""")
+    return "\nUNION ALL\n".join(parts)
+
+
+def _infer_types() -> str:
+    cols = {
+        "o_orderkey": "CAST(o_orderkey AS VARCHAR)", "o_custkey": "CAST(o_custkey AS VARCHAR)",
+        "o_orderstatus": "o_orderstatus", "o_totalprice": "CAST(o_totalprice AS VARCHAR)",
+        "o_orderdate": "CAST(o_orderdate AS VARCHAR)", "o_orderpriority": "o_orderpriority",
+        "is_final": "CASE WHEN o_orderstatus = 'F' THEN 'yes' ELSE 'No' END",
+        "credit": "'(' || CAST(o_custkey AS VARCHAR) || ')'",
+        "note": "CASE WHEN o_orderstatus = 'P' THEN ' ' END",
+    }
+    parts = []
+    for i, (name, expr) in enumerate(cols.items()):
+        t = f"regexp_replace({expr}, '^\\s+|\\s+$', '', 'g')"
+        present = f"NOT ({clean(expr)} IS NULL OR lower({clean(expr)}) = 'nan')"
+        num_text = f"regexp_replace(regexp_replace(regexp_replace({t}, ',', '', 'g'), '^\\((.*)\\)$', '-\\1'), '\\s', '', 'g')"
+        is_num = f"regexp_full_match({num_text}, '[+-]?([0-9]+(\\.[0-9]*)?|\\.[0-9]+)([eE][+-]?[0-9]+)?')"
+        is_int = f"regexp_full_match({num_text}, '[+-]?[0-9]+(\\.0*)?')"
+        is_bool = f"lower({t}) IN ('y', 'n', 'yes', 'no', 'true', 'false', '0', '1')"
+        parsed = (f"coalesce(try_strptime({t}, '%Y-%m-%d'), try_strptime({t}, '%Y-%m-%d %H:%M:%S'), "
+                  f"try_strptime({t}, '%m/%d/%y'), try_strptime({t}, '%m/%d/%Y'))")
+        date_named = any(h in name.lower() for h in ("date", "eta", "time", "day"))
+        parts.append(f"""SELECT 'orders' AS "table", {i} AS position, '{name}' AS "column",
+       CASE WHEN count_if({present}) = 0 THEN 'Text'
+            WHEN count_if({present} AND NOT {is_bool}) = 0 THEN 'Boolean'
+            WHEN count_if({present} AND NOT {is_int}) = 0 THEN 'Integer'
+            WHEN count_if({present} AND NOT {is_num}) = 0 THEN 'Decimal'
+            WHEN {str(date_named).lower()} AND count_if({present} AND {parsed} IS NOT NULL) >= count_if({present}) * 0.7 THEN 'Date'
+            ELSE 'Text' END AS logical_type
+FROM orders""")
+    return "\nUNION ALL\n".join(parts)
+
+
+JOIN_HINT_VALUES = """hints(key_name, hint) AS (VALUES
+  ('customer_key', 'c_custkey'), ('customer_key', 'o_custkey'), ('customer_key', 'Customer Key'),
+  ('order_key', 'o_orderkey'), ('order_key', 'L_ORDERKEY'),
+  ('part_key', 'p_partkey'), ('part_key', 'l_partkey'), ('part_key', 'ps_partkey'),
+  ('document', 'doc_id'), ('nation', 'n_nationkey'), ('nation', 'c_nationkey'), ('nation', 's_nationkey'),
+  ('absent', 'no_such_header'))"""
+
+SQL.update({
+    "A3_header_rows": f"""WITH {CONV_SHEETS}
+SELECT sheet, header_idx, CAST(score AS INTEGER) AS score, coalesce(last_nb > header_idx, false) AS has_data FROM hr""",
+    "C5_header_issues": f"""WITH {CONV_SHEETS},
+hdrs AS (
+  SELECT r.sheet, unnest(r.cells) AS header, generate_subscripts(r.cells, 1) - 1 AS position
+  FROM raw r JOIN hr ON r.sheet = hr.sheet AND r.row_idx = hr.header_idx)
+SELECT sheet, 'DUPLICATE_HEADERS' AS code, header AS detail FROM hdrs WHERE {clean('header')} IS NOT NULL
+GROUP BY sheet, header HAVING count(*) > 1
+UNION ALL
+SELECT sheet, 'BLANK_HEADERS', 'position ' || CAST(position AS VARCHAR) FROM hdrs WHERE {clean('header')} IS NULL""",
+    "A2_discover_sources": _discovery(False),
+    "A6_discover_normalized": _discovery(True),
+    "C4_validation_issues": f"""WITH staged AS (
+  SELECT o_orderkey, o_orderstatus, CASE WHEN o_orderstatus = 'X' THEN 'never' END AS o_comment,
+         CASE WHEN o_orderstatus = 'F' THEN '  ' ELSE o_orderpriority END AS o_orderpriority FROM orders),
+br AS (SELECT CASE WHEN o_orderstatus <> 'O' THEN CAST(o_orderkey AS VARCHAR) END AS k,
+              CASE WHEN o_orderstatus <> 'O' THEN o_orderstatus END AS s FROM staged),
+issues("table", severity, code, detail) AS (VALUES
+  ('orders_src', 'ERROR', 'MISSING_REQUIRED_COLUMN', 'o_custkey'),
+  ('orders_src', 'WARNING', 'MISSING_OPTIONAL_COLUMN', 'o_clerk'),
+  ('uploads', 'WARNING', 'MISSING_OPTIONAL_WORKBOOK', 'uploads'),
+  ('awards', 'ERROR', 'MISSING_WORKBOOK', 'awards'))
+SELECT * FROM issues
+UNION ALL
+SELECT 'orders_src', 'WARNING', 'EMPTY_COLUMNS', c FROM (
+  SELECT unnest(['o_orderkey', 'o_orderstatus', 'o_comment', 'o_orderpriority']) AS c,
+         unnest([count_if({clean('CAST(o_orderkey AS VARCHAR)')} IS NOT NULL), count_if({clean('o_orderstatus')} IS NOT NULL),
+                 count_if({clean('o_comment')} IS NOT NULL), count_if({clean('o_orderpriority')} IS NOT NULL)]) AS nb
+  FROM staged) WHERE nb = 0
+UNION ALL
+SELECT 'orders_src', 'WARNING', 'EMPTY_ROWS', CAST(n AS VARCHAR) || ' empty rows' FROM (
+  SELECT count_if({clean('CAST(o_orderkey AS VARCHAR)')} IS NULL AND {clean('o_orderstatus')} IS NULL
+                  AND {clean('o_comment')} IS NULL AND {clean('o_orderpriority')} IS NULL) AS n FROM staged) WHERE n > 0
+UNION ALL
+SELECT 'blank_rows', 'WARNING', 'EMPTY_ROWS', CAST(n AS VARCHAR) || ' empty rows' FROM (
+  SELECT count_if({clean('k')} IS NULL AND {clean('s')} IS NULL) AS n FROM br) WHERE n > 0
+UNION ALL
+SELECT 'blank_rows', 'WARNING', 'EMPTY_COLUMNS', c FROM (
+  SELECT unnest(['k', 's']) AS c, unnest([count_if({clean('k')} IS NOT NULL), count_if({clean('s')} IS NOT NULL)]) AS nb FROM br)
+WHERE nb = 0""",
+    "D1_table_profile": "\nUNION ALL\n".join([
+        _profile_table("customer", _CUSTOMER_COLS, "customer"),
+        _profile_table("orders", _ORDERS_COLS, "orders"),
+        _profile_table("lineitem_keys", [("l_partkey", "bigint"), ("l_suppkey", "bigint"), ("l_returnflag", "string")], "lineitem"),
+    ]),
+    "D2_column_profile": _column_profile(_CUSTOMER_COLS, "customer", "c_custkey"),
+    "D4_infer_types": _infer_types(),
+    "D6_join_key_candidates": f"""WITH {SCHEMA_HEADERS},
+{JOIN_HINT_VALUES},
+h AS (SELECT workbook, sheet, lower(trim(regexp_replace(header, '\\s+', ' ', 'g'))) AS h FROM hdr),
+hn AS (SELECT key_name, lower(trim(regexp_replace(hint, '\\s+', ' ', 'g'))) AS h FROM hints),
+tot AS (SELECT count(DISTINCT workbook) AS tw, count(DISTINCT (workbook, sheet)) AS ts FROM hdr),
+f AS (SELECT key_name, count(DISTINCT workbook) AS workbook_count, count(DISTINCT (workbook, sheet)) AS worksheet_count
+      FROM h JOIN hn USING (h) GROUP BY key_name)
+SELECT key_name, workbook_count, worksheet_count,
+       round((workbook_count / tw * 0.7 + worksheet_count / ts * 0.3) * 100, 2) AS confidence_pct
+FROM f, tot""",
+    "D7_recommended_keys": f"""WITH {SCHEMA_HEADERS},
+p AS (SELECT workbook, list(header) AS hs FROM hdr GROUP BY workbook)
+SELECT workbook AS table_name, concat_ws(',',
+  CASE WHEN list_contains(hs, 'o_orderkey') THEN 'order_key' END,
+  CASE WHEN list_contains(hs, 'l_orderkey') AND list_contains(hs, 'l_linenumber') THEN 'order_line' END,
+  CASE WHEN list_contains(hs, 'c_custkey') THEN 'customer' END,
+  CASE WHEN list_contains(hs, 'doc_id') THEN 'doc' END) AS keys
+FROM p""",
+    "D3_column_dictionary": f"""WITH cols AS (SELECT column_name AS "column" FROM information_schema.columns WHERE table_name = 'orders')
+SELECT "column",
+  CASE WHEN lower("column") IN ('c_custkey', 'o_custkey', 'customer key') THEN 'customer_key'
+       WHEN lower("column") IN ('o_orderkey', 'l_orderkey') THEN 'order_key'
+       WHEN lower("column") IN ('p_partkey', 'l_partkey', 'ps_partkey') THEN 'part_key'
+       WHEN lower("column") IN ('doc_id') THEN 'document'
+       WHEN lower("column") IN ('n_nationkey', 'c_nationkey', 's_nationkey') THEN 'nation'
+       WHEN lower("column") IN ('no_such_header') THEN 'absent' ELSE 'UNKNOWN' END AS join_key,
+  CASE WHEN contains(lower("column"), 'ndc') THEN 'Potential National Drug Code field'
+       WHEN contains(lower("column"), 'material') THEN 'Potential material identifier or description'
+       WHEN contains(lower("column"), 'customer') OR contains(lower("column"), 'sold-to') OR contains(lower("column"), 'sold to')
+            THEN 'Potential customer/account field'
+       WHEN contains(lower("column"), 'qty') OR contains(lower("column"), 'quantity') THEN 'Potential quantity field'
+       WHEN contains(lower("column"), 'date') THEN 'Potential date field'
+       WHEN contains(lower("column"), 'lookup') THEN 'Potential composite lookup key' ELSE 'UNKNOWN' END AS business_meaning
+FROM cols""",
+})
