@@ -696,6 +696,36 @@ def q_column_dictionary(spark, sf):
     return P.column_dictionary(prof, JOIN_HINTS).select("column", "join_key", "business_meaning")
 
 
+
+# --------------------------------------------------------------------------
+# Whole flow: E16, E17, C10, C11, J2, J9
+# --------------------------------------------------------------------------
+
+def _flow(spark, sf):
+    from . import flow
+
+    return flow.build_outputs(flow.tpch_inputs(spark, sf))
+
+
+def q_flow_detail(spark, sf):
+    d = _flow(spark, sf).detail
+    return d.select(*[(_r(c, 4).alias(c) if c in ("ups_inventory", "unit_price", "reference_price", "m1", "m2", "m3", "average") else F.col(c))
+                      for c in d.columns])
+
+
+def q_flow_summary(spark, sf):
+    s = _flow(spark, sf).summary
+    return s.select(*[F.col(f"`{c}`").alias(c.lower().replace(" ", "_").replace("-", "_")) for c in s.columns])
+
+
+def q_flow_statistics(spark, sf):
+    return _flow(spark, sf).statistics
+
+
+def q_flow_audit_counts(spark, sf):
+    return _flow(spark, sf).audit_counts
+
+
 QUERIES: dict[str, Query] = {
     "F1_net_inventory": q_net_inventory,
     "F1_net_counters": q_net_counters,
@@ -751,4 +781,8 @@ QUERIES: dict[str, Query] = {
     "D7_recommended_keys": q_recommended_keys,
     "D8_fingerprint": q_fingerprint,
     "D3_column_dictionary": q_column_dictionary,
+    "FLOW_detail": q_flow_detail,
+    "FLOW_summary": q_flow_summary,
+    "FLOW_statistics": q_flow_statistics,
+    "FLOW_audit_counts": q_flow_audit_counts,
 }
