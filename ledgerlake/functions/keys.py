@@ -12,8 +12,6 @@ from collections.abc import Iterable, Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Python's str.strip() / str.isspace() whitespace, as a Java regex class.
-_PY_SPACE = "[\\s\\p{Z}\\x{1C}-\\x{1F}\\x{85}]"
 # Characters Python's str.isprintable() rejects: categories C* and Z*, except
 # the ASCII space. Tabs / CR / LF are turned into spaces before this runs.
 _NON_PRINTABLE = "[\\p{C}\\p{Z}&&[^ ]]"
@@ -27,9 +25,18 @@ def col_of(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+# Python's str.strip() whitespace set, for a character-set trim (no regex).
+_PY_SPACE_CHARS = (
+    " \t\n\x0b\x0c\r\x1c\x1d\x1e\x1f\x85\xa0\u1680"
+    + "".join(chr(c) for c in range(0x2000, 0x200B))
+    + "\u2028\u2029\u202f\u205f\u3000"
+)
+
+
 def py_strip(c: str | Column) -> Column:
-    """Trim Unicode whitespace at both ends (Spark's trim only removes ' ')."""
-    return F.regexp_replace(col_of(c), f"^{_PY_SPACE}+|{_PY_SPACE}+$", "")
+    """Trim Unicode whitespace at both ends (Spark's one-argument trim only
+    removes ' '); a character-set trim, no regex."""
+    return F.trim(col_of(c), F.lit(_PY_SPACE_CHARS))
 
 
 def as_text(c: str | Column, dtype: str = "string") -> Column:
@@ -51,20 +58,28 @@ def as_text(c: str | Column, dtype: str = "string") -> Column:
     return x.cast("string")
 
 
-def clean_text(c: str | Column) -> Column:
-    """B1: tab/CR/LF -> space, drop non-printables, collapse spaces, trim,
-    empty -> null. Letter case is kept."""
+def clean_raw(c: str | Column) -> Column:
+    """B1 without the empty -> null step: tab/CR/LF -> space, drop
+    non-printables, collapse spaces, trim. Building block for keys: the
+    single ``nullif`` is applied once, outermost, by the public functions
+    (nested ``nullif``s would be inlined as ``if(x = '', null, x)`` and
+    evaluate the regex chain twice)."""
     x = col_of(c).cast("string")
     x = F.translate(x, "\t\r\n", "   ")
     x = F.regexp_replace(x, _NON_PRINTABLE, "")
     x = F.regexp_replace(x, " {2,}", " ")
-    x = F.trim(x)
-    return F.nullif(x, F.lit(""))
+    return F.trim(x)
+
+
+def clean_text(c: str | Column) -> Column:
+    """B1: tab/CR/LF -> space, drop non-printables, collapse spaces, trim,
+    empty -> null. Letter case is kept."""
+    return F.nullif(clean_raw(c), F.lit(""))
 
 
 def text_key(c: str | Column) -> Column:
     """B2: ``clean_text`` then upper case (case-insensitive join key)."""
-    return F.upper(clean_text(c))
+    return F.nullif(F.upper(clean_raw(c)), F.lit(""))
 
 
 def ident_key(c: str | Column) -> Column:
@@ -72,14 +87,8 @@ def ident_key(c: str | Column) -> Column:
     return clean_text(c)
 
 
-def digits_key(c: str | Column, dtype: str = "string") -> Column:
-    """Identifier reduced to its digits; leading zeros kept.
-
-    Whole floats become integer text first (``6438020101.0`` -> ``6438020101``)
-    via an exact decimal cast, never ``cast(double as string)``, which would
-    give ``6.438020101E9``. A trailing ``.0+`` is dropped before the non-digits
-    are removed, so ``"64380201.0"`` keeps its eight digits.
-    """
+def digits_raw(c: str | Column, dtype: str = "string") -> Column:
+    """B4 without the empty -> null step (see ``clean_raw``)."""
     x = col_of(c)
     if dtype in FLOAT_TYPES:
         d = x.cast("double")
@@ -90,10 +99,21 @@ def digits_key(c: str | Column, dtype: str = "string") -> Column:
         )
     else:
         text = x.cast("string")
-    text = py_strip(text)
-    text = F.regexp_replace(text, "\\.0+$", "")
-    text = F.regexp_replace(text, "\\P{Nd}", "")
-    return F.nullif(text, F.lit(""))
+    # one pass: a trailing ".0+" and every non-digit go; the alternation
+    # removes ".000" only where it ends the text, exactly like dropping it
+    # first and stripping non-digits after
+    return F.regexp_replace(py_strip(text), "\\.0+$|\\P{Nd}", "")
+
+
+def digits_key(c: str | Column, dtype: str = "string") -> Column:
+    """Identifier reduced to its digits; leading zeros kept.
+
+    Whole floats become integer text first (``6438020101.0`` -> ``6438020101``)
+    via an exact decimal cast, never ``cast(double as string)``, which would
+    give ``6.438020101E9``. A trailing ``.0+`` is dropped before the non-digits
+    are removed, so ``"64380201.0"`` keeps its eight digits.
+    """
+    return F.nullif(digits_raw(c, dtype), F.lit(""))
 
 
 def strip_trailing_zero(c: str | Column) -> Column:
@@ -128,7 +148,7 @@ def to_text(c: str | Column) -> Column:
 
 def is_blank(c: str | Column) -> Column:
     """Null, empty or whitespace-only."""
-    return clean_text(c).isNull()
+    return F.coalesce(clean_raw(c) == "", F.lit(True))
 
 
 def _quote(literal: str) -> str:
@@ -154,7 +174,7 @@ def segment_key(
     (zfill never truncates, so a narrower target keeps the segment)."""
     if len(in_widths) != len(out_widths):
         raise ValueError("out_widths must give one target width per input segment")
-    cleaned = clean_text(c)
+    cleaned = clean_raw(c)
     sep = f" *{_quote(delimiter)} *" if delimiter else ""
     groups = [f"(\\p{{Nd}}{{{int(w)}}})" for w in in_widths]
     pattern = "^ *" + sep.join(groups) + " *$"
@@ -188,12 +208,10 @@ def compose_key(parts: Sequence[Column]) -> Column:
 
 def lookup_key(ndc: str | Column, customer: str | Column, ndc_dtype: str = "string") -> Column:
     """Canonical ``NDC digits || CUSTOMER TEXT``; either side may be
-    missing (partial key); both missing -> null."""
+    missing (partial key); both missing -> null. Built from the raw chains
+    with one outer ``nullif`` (``concat_ws`` skips a null side)."""
     return F.nullif(
-        F.concat(
-            F.coalesce(digits_key(ndc, ndc_dtype), F.lit("")),
-            F.coalesce(text_key(customer), F.lit("")),
-        ),
+        F.concat_ws("", digits_raw(ndc, ndc_dtype), F.upper(clean_raw(customer))),
         F.lit(""),
     )
 

@@ -49,9 +49,14 @@ def read_csv_table(
     header table, A4)."""
     paths = [path] if isinstance(path, str) else list(path)
     if header_idx == 0 and headers is None:
+        # Spark renames duplicate / blank header names itself (a0, _c1): take the
+        # raw header line instead -- one row of the first file, parsed by the
+        # same CSV reader -- and repair it
+        first = spark.read.option("header", False).option("sep", sep).csv(paths[0]).limit(1).collect()
+        raw_names = list(first[0]) if first else []
         df = spark.read.option("header", True).option("sep", sep).option("inferSchema", False).csv(paths)
-        names, keep = repair_headers(df.columns)
-        return df.toDF(*[f"__c{i}" for i in range(len(names))]).select(*[F.col(f"__c{i}").alias(names[i]) for i in keep])
+        names, keep = repair_headers(raw_names + [None] * (len(df.columns) - len(raw_names)))
+        return df.toDF(*[f"__c{i}" for i in range(len(df.columns))]).select(*[F.col(f"__c{i}").alias(names[i]) for i in keep])
     if headers is None:
         raise ValueError("headers are required when the header row is not the first line")
     names, keep = repair_headers(headers)
