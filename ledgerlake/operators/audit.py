@@ -151,3 +151,74 @@ def lookup_key_table(df: DataFrame, ndc_col: str, customer_col: str, name_col: s
         (F.count(lk) - F.count_distinct(lk)).alias("duplicate_lookups"),
     )
     return proj, counters
+
+
+def priority_audit(result, sources, master: DataFrame, master_customer: str,
+                   value_col: str = "buying_group", source_col: str = "buying_group_source",
+                   status_col: str = "buying_group_status") -> DataFrame:
+    """J5 (+ I4, G10): the priority lookup's audit as ``(metric, value)``
+    rows: master and source counters, per-source record and match counts,
+    then one row per matched customer with its final source -- the
+    per-customer part stays a distributed DataFrame (never collected)."""
+    from ..functions.keys import text_key
+    from .lookup import DUPLICATE_CONFLICT, MATCHED, NOT_FOUND, conflict_details, one_row
+
+    frame = result.frame
+    winners = result.extras["winners"]
+    st = F.col(status_col)
+    counts = frame.agg(
+        F.count(F.lit(1)).alias("Total master rows"),
+        F.count(F.lit(1)).alias("Master rows after merge"),
+        F.count_if(st == MATCHED).alias("Matched rows"),
+        F.count_if(st == NOT_FOUND).alias("NOT_FOUND rows"),
+        F.count_if(st == DUPLICATE_CONFLICT).alias("DUPLICATE_CONFLICT rows"),
+        F.count(value_col).alias("Populated rows"),
+        F.count_if(F.col(value_col).isNull()).alias("Blank rows"),
+    )
+    uniq_master = master.agg(F.count_distinct(text_key(master_customer)).alias("Unique master customers"))
+    uniq_src = winners.agg(F.count(F.lit(1)).alias("Unique consolidated source customers"),
+                           F.count_if(F.col("status") == DUPLICATE_CONFLICT).alias("Same-priority conflicting customers"))
+    dis = result.exceptions.agg(F.count_if(F.col("status") == "LOWER_PRIORITY_DISAGREEMENT").alias("Lower-priority disagreements"))
+    parts = [counts, uniq_master, uniq_src, dis]
+    dups = None
+    per_source = []
+    for s in sorted(sources, key=lambda x: x.priority):
+        ok = s.key_col in s.frame.columns and s.value_col in s.frame.columns
+        raw = s.frame.agg(F.count(F.lit(1)).alias(f"Source record count - {s.name} (priority {s.priority})")) if ok else \
+            master.sparkSession.createDataFrame([(0,)], f"`Source record count - {s.name} (priority {s.priority})` bigint")
+        hit = frame.agg(F.count_if((st == MATCHED) & (F.col(source_col) == s.name)).alias(f"Master rows matched from {s.name}"))
+        per_source += [raw, hit]
+        if ok:
+            d = conflict_details(s.frame, text_key(s.key_col), s.value_col, order_by=s.order_by or (s.key_col, s.value_col))
+            dd = d.agg(F.coalesce(F.sum("duplicates_removed"), F.lit(0)).alias("d"))
+            dups = dd if dups is None else dups.unionByName(dd)
+    if dups is not None:
+        parts.append(dups.agg(F.sum("d").cast("bigint").alias("Exact duplicate source rows removed")))
+    long = metrics_long(one_row(*parts, *per_source))
+    finals = (
+        frame.filter(st == MATCHED)
+        .select(F.col(master_customer).cast("string").alias("c"), F.col(source_col).alias("s"), F.col(value_col).alias("v"))
+        .distinct()
+        .select(F.concat(F.lit("Final source for customer '"), F.col("c"), F.lit("'")).alias("metric"),
+                F.concat(F.col("s"), F.lit(" -> "), F.col("v")).alias("value"))
+    )
+    return long.unionByName(finals)
+
+
+def summary_audit(master: DataFrame, summary: DataFrame, period: DataFrame, history_keys: DataFrame,
+                  master_key: Column, key_col: str = "Lookup") -> DataFrame:
+    """One row -- master rows, aggregated rows, distinct and duplicate
+    summary keys, reporting year/month, history matches / misses."""
+    from .lookup import one_row
+
+    k = F.col(f"`{key_col}`")
+    mk = master.select(master_key.alias("_k"))
+    hk = history_keys.select(F.col(history_keys.columns[0]).alias("_k")).filter(F.col("_k").isNotNull()).distinct()
+    matched = mk.join(hk, "_k", "left_semi").agg(F.count(F.lit(1)).alias("historical_matches"))
+    return one_row(
+        master.agg(F.count(F.lit(1)).alias("total_master_rows")),
+        summary.agg(F.count(F.lit(1)).alias("aggregated_rows"), F.count_distinct(k).alias("unique_lookup_values"),
+                    (F.count(k) - F.count_distinct(k)).alias("duplicate_lookup_values")),
+        period.select(F.col("year").alias("reporting_year"), F.col("month").alias("reporting_month")),
+        matched,
+    ).withColumn("historical_misses", F.col("total_master_rows") - F.col("historical_matches"))

@@ -726,6 +726,71 @@ def q_flow_audit_counts(spark, sf):
     return _flow(spark, sf).audit_counts
 
 
+
+# --------------------------------------------------------------------------
+# Cleaning, key table, validation table, audits: C1, B13, B14, F6, J5, J8
+# --------------------------------------------------------------------------
+
+def _messy_orders(spark, sf):
+    o = I.table(spark, sf, "orders")
+    base = o.select(
+        F.concat(F.col("o_orderkey").cast("string"), F.lit(".0")).alias("order_no"),
+        F.concat(F.lit(" "), F.col("o_custkey").cast("string"), F.lit("  ")).alias("customer"),
+        F.col("o_totalprice").cast("decimal(12,2)").cast("string").alias("amount"),
+        F.concat(F.col("o_orderpriority"), F.lit("\t")).alias("priority"),
+        F.col("o_orderstatus").alias("status"),
+    )
+    return base.unionByName(base.filter(F.col("status") == "P"))
+
+
+def q_clean_columns(spark, sf):
+    from ..operators import clean as C
+
+    spec = C.CleanSpec(required=("order_no", "customer", "amount", "priority"), numeric=("order_no", "amount"))
+    return C.clean_columns(_messy_orders(spark, sf), spec)
+
+
+def q_lookup_key_table(spark, sf):
+    from ..operators import audit
+
+    m = I.master_orders(spark, sf)
+    proj, _ = audit.lookup_key_table(m, "ndc_code", "sold_to", "c_name")
+    return proj
+
+
+def q_key_change_counters(spark, sf):
+    from ..operators import audit
+
+    _, counters = audit.lookup_key_table(I.master_orders(spark, sf), "ndc_code", "sold_to", "c_name")
+    return counters
+
+
+def q_moq_validation(spark, sf):
+    x = _moq_input(spark, sf)
+    return rules.moq_validation(x, "l_orderkey", "l_partkey", "pack_size", "qty")
+
+
+def q_priority_audit(spark, sf):
+    from ..operators import audit
+
+    o = I.table(spark, sf, "orders").select("o_orderkey", "o_custkey")
+    c = I.table(spark, sf, "customer").select("c_custkey", "c_name", "c_mktsegment")
+    m = o.join(c, o.o_custkey == c.c_custkey).select("o_orderkey", I.dirty_customer_name().alias("sold_to"))
+    srcs = _priority_sources(spark, sf)
+    r = lookup.priority_lookup(m, "sold_to", srcs)
+    return audit.priority_audit(r, srcs, m, "sold_to")
+
+
+def q_summary_audit(spark, sf):
+    from ..operators import audit
+
+    m = I.master_orders(spark, sf)
+    s = _summary(spark, sf)
+    period = history.reporting_month(I.table(spark, sf, "orders"), "o_orderdate")
+    hist_keys = I.table(spark, sf, "customer").filter(F.col("c_acctbal") > 0).select(K.text_key("c_name").alias("k"))
+    return audit.summary_audit(m, s, period, hist_keys, K.text_key("sold_to"))
+
+
 QUERIES: dict[str, Query] = {
     "F1_net_inventory": q_net_inventory,
     "F1_net_counters": q_net_counters,
@@ -785,4 +850,10 @@ QUERIES: dict[str, Query] = {
     "FLOW_summary": q_flow_summary,
     "FLOW_statistics": q_flow_statistics,
     "FLOW_audit_counts": q_flow_audit_counts,
+    "C1_clean_columns": q_clean_columns,
+    "B13_lookup_key_table": q_lookup_key_table,
+    "B14_key_change_counters": q_key_change_counters,
+    "F6_moq_validation": q_moq_validation,
+    "J5_priority_audit": q_priority_audit,
+    "J8_summary_audit": q_summary_audit,
 }

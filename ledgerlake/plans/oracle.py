@@ -803,3 +803,81 @@ SELECT "column",
        WHEN contains(lower("column"), 'lookup') THEN 'Potential composite lookup key' ELSE 'UNKNOWN' END AS business_meaning
 FROM cols""",
 })
+
+
+# -- cleaning, key table, validation table, audits ---------------------------
+
+def _stz(x: str) -> str:
+    return f"CASE WHEN regexp_full_match({x}, '[+-]?[0-9]+\\.0+') THEN split_part({x}, '.', 1) ELSE {x} END"
+
+
+def _num(x: str) -> str:
+    return f"CASE WHEN regexp_full_match({x}, '{_NUM_RE}') THEN CAST(trim({x}) AS DOUBLE) END"
+
+
+_PRIO_SOURCES = (("Buying Groups", 1, "g"), ("Sales Trend", 2, "t"), ("Open Orders", 3, "op"))
+
+SQL.update({
+    "C1_clean_columns": f"""WITH base AS (
+  SELECT CAST(o_orderkey AS VARCHAR) || '.0' AS order_no, ' ' || CAST(o_custkey AS VARCHAR) || '  ' AS customer,
+         CAST(CAST(o_totalprice AS DECIMAL(12, 2)) AS VARCHAR) AS amount, o_orderpriority || chr(9) AS priority,
+         o_orderstatus AS status
+  FROM orders),
+u AS (SELECT * FROM base UNION ALL SELECT * FROM base WHERE status = 'P'),
+c AS (SELECT {clean('order_no')} AS a, {clean('customer')} AS b, {clean('amount')} AS c, {clean('priority')} AS d, status FROM u),
+s AS (SELECT {_stz('a')} AS a, {_stz('b')} AS b, {_stz('c')} AS c, {_stz('d')} AS d, status FROM c)
+SELECT DISTINCT {_num('a')} AS order_no, b AS customer, {_num('c')} AS amount, d AS priority, status FROM s""",
+    "B13_lookup_key_table": f"""WITH {MASTER}
+SELECT {LOOKUP_EXPR} AS lookup, ndc_code AS ndc, sold_to AS customer, c_name AS customer_name FROM m""",
+    "B14_key_change_counters": f"""WITH {MASTER},
+x AS (SELECT regexp_replace(ndc_code, '^\\s+|\\s+$', '', 'g') AS on_, {digits('ndc_code')} AS nk,
+             regexp_replace(sold_to, '^\\s+|\\s+$', '', 'g') AS oc, upper({clean('sold_to')}) AS ck, {LOOKUP_EXPR} AS lk FROM m)
+SELECT count(*) AS rows,
+       count_if(on_ IS NOT NULL AND nk IS NOT NULL AND on_ <> nk) AS ndc_changed,
+       count_if(oc IS NOT NULL AND ck IS NOT NULL AND oc <> ck) AS customer_changed,
+       count(lk) - count(DISTINCT lk) AS duplicate_lookups
+FROM x""",
+    "F6_moq_validation": f"""WITH {MOQ_INPUT}
+SELECT l_orderkey AS sales_order, l_partkey AS material, s AS pack_size, q AS sales_order_qty,
+       CASE WHEN s IS NOT NULL AND q IS NOT NULL AND s <> 0 THEN (q / s <> floor(q / s)) ELSE true END AS moq_issue
+FROM mi""",
+    "J5_priority_audit": f"""WITH {PRIO_CTES},
+counts AS (
+  SELECT count(*) AS total, count_if(buying_group_status = 'MATCHED') AS matched,
+         count_if(buying_group_status = 'NOT_FOUND') AS nf, count_if(buying_group_status = 'DUPLICATE_CONFLICT') AS dc,
+         count(buying_group) AS populated, count_if(buying_group IS NULL) AS blank
+  FROM res),
+dis AS (
+  SELECT count(*) AS n FROM tbl o JOIN win w ON o.k = w.k
+  WHERE (o.priority <> w.priority OR o.rnk <> w.rnk) AND upper({clean('o.value')}) IS NOT NULL
+    AND upper({clean('w.value')}) IS NOT NULL AND upper({clean('o.value')}) <> upper({clean('w.value')})),
+dups AS (SELECT sum(c) AS n FROM (SELECT source, count(*) - count(DISTINCT (k, n)) AS c FROM nn GROUP BY source))
+SELECT * FROM (VALUES
+  ('Total master rows', (SELECT CAST(total AS VARCHAR) FROM counts)),
+  ('Master rows after merge', (SELECT CAST(total AS VARCHAR) FROM counts)),
+  ('Matched rows', (SELECT CAST(matched AS VARCHAR) FROM counts)),
+  ('NOT_FOUND rows', (SELECT CAST(nf AS VARCHAR) FROM counts)),
+  ('DUPLICATE_CONFLICT rows', (SELECT CAST(dc AS VARCHAR) FROM counts)),
+  ('Populated rows', (SELECT CAST(populated AS VARCHAR) FROM counts)),
+  ('Blank rows', (SELECT CAST(blank AS VARCHAR) FROM counts)),
+  ('Unique master customers', (SELECT CAST(count(DISTINCT upper({clean('sold_to')})) AS VARCHAR) FROM mst)),
+  ('Unique consolidated source customers', (SELECT CAST(count(*) AS VARCHAR) FROM win)),
+  ('Same-priority conflicting customers', (SELECT CAST(count_if(status = 'DUPLICATE_CONFLICT') AS VARCHAR) FROM win)),
+  ('Lower-priority disagreements', (SELECT CAST(n AS VARCHAR) FROM dis)),
+  ('Exact duplicate source rows removed', (SELECT CAST(n AS VARCHAR) FROM dups)),
+  {", ".join(f"('Source record count - {n} (priority {p})', (SELECT CAST(count(*) AS VARCHAR) FROM {t}))" for n, p, t in _PRIO_SOURCES)},
+  {", ".join(f"('Master rows matched from {n}', (SELECT CAST(count_if(buying_group_status = 'MATCHED' AND buying_group_source = '{n}') AS VARCHAR) FROM res))" for n, p, t in _PRIO_SOURCES)}
+) v(metric, value)
+UNION ALL
+SELECT DISTINCT 'Final source for customer ''' || sold_to || '''', buying_group_source || ' -> ' || buying_group
+FROM res WHERE buying_group_status = 'MATCHED'""",
+    "J8_summary_audit": f"""WITH {SUMMARY_INPUT},
+{REPORT_MONTH},
+hk AS (SELECT DISTINCT upper({clean('c_name')}) AS k FROM customer WHERE c_acctbal > 0)
+SELECT (SELECT count(*) FROM m) AS total_master_rows, (SELECT count(*) FROM summ) AS aggregated_rows,
+       (SELECT count(DISTINCT lookup) FROM summ) AS unique_lookup_values,
+       (SELECT count(lookup) - count(DISTINCT lookup) FROM summ) AS duplicate_lookup_values,
+       (SELECT CAST(year(p) AS INTEGER) FROM rp) AS reporting_year, (SELECT CAST(month(p) AS INTEGER) FROM rp) AS reporting_month,
+       (SELECT count_if(upper({clean('sold_to')}) IN (SELECT k FROM hk WHERE k IS NOT NULL)) FROM m) AS historical_matches,
+       (SELECT count(*) - count_if(upper({clean('sold_to')}) IN (SELECT k FROM hk WHERE k IS NOT NULL)) FROM m) AS historical_misses""",
+})
