@@ -1,0 +1 @@
+"""Session settings, the end-to-end flow and the registered queries."""

@@ -1,0 +1 @@
+"""Input discovery, readers, validation and sinks."""

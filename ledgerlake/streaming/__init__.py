@@ -1,0 +1 @@
+"""Incremental (stream-static) enrichment."""
