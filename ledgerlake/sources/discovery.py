@@ -94,9 +94,11 @@ def signature_collisions(defs: Sequence[SourceDefinition], normalized: bool = Fa
     return out
 
 
-# File names this library writes, never read back as inputs.
+# The result tables ``plans.flow.run`` writes (and the run manifest); never
+# read back as inputs.
 GENERATED_OUTPUTS: tuple[str, ...] = (
-    "workbook_profile", "derived_data", "business_master_data", "sales_summary", "pob",
+    "detail", "summary", "merge_audit", "statistics", "grain", "audit_counts",
+    "exceptions_buying_group", "exceptions_award", "exceptions_sc_comments", "_manifest",
 )
 
 

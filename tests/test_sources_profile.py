@@ -86,7 +86,7 @@ def test_normalized_discovery_and_registry_lint(spark):
     defs = [D.SourceDefinition("small", ("Customer",)), D.SourceDefinition("big", ("Customer", "Group")),
             D.SourceDefinition("other", ("SKU",))]
     assert D.signature_collisions(defs) == [("small", "big")]
-    assert D.exclude_generated(["/in/POB.xlsx", "/in/orders.csv", "/in/sales_summary.parquet"]) == ["/in/orders.csv"]
+    assert D.exclude_generated(["/run/Detail", "/in/orders.csv", "/run/summary.parquet", "/run/_manifest"]) == ["/in/orders.csv"]
 
 
 def test_validation_issues(spark):
