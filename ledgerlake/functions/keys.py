@@ -201,9 +201,10 @@ def compose_key(parts: Sequence[Column]) -> Column:
         return F.lit(None).cast("string")
     if len(parts) == 1:
         return parts[0]
+    # parts are never '' (keys map empty to null), so "every part missing" is
+    # exactly "only separators": one nullif, each part evaluated once
     joined = F.concat_ws("|", *[F.coalesce(p, F.lit("")) for p in parts])
-    any_present = F.greatest(*[p.isNotNull() for p in parts])
-    return F.when(any_present, joined)
+    return F.nullif(joined, F.lit("|" * (len(parts) - 1)))
 
 
 def lookup_key(ndc: str | Column, customer: str | Column, ndc_dtype: str = "string") -> Column:

@@ -715,7 +715,9 @@ def q_flow_detail(spark, sf):
 
 def q_flow_summary(spark, sf):
     s = _flow(spark, sf).summary
-    return s.select(*[F.col(f"`{c}`").alias(c.lower().replace(" ", "_").replace("-", "_")) for c in s.columns])
+    dbl = {"Max of UPS Inventory", "Sum of Sales Order Qty", "M1", "M2", "M3", "Avg"}
+    return s.select(*[(_r(F.col(f"`{c}`"), 4) if c in dbl else F.col(f"`{c}`")).alias(c.lower().replace(" ", "_").replace("-", "_"))
+                      for c in s.columns])
 
 
 def q_flow_statistics(spark, sf):

@@ -881,3 +881,158 @@ SELECT (SELECT count(*) FROM m) AS total_master_rows, (SELECT count(*) FROM summ
        (SELECT count_if(upper({clean('sold_to')}) IN (SELECT k FROM hk WHERE k IS NOT NULL)) FROM m) AS historical_matches,
        (SELECT count(*) - count_if(upper({clean('sold_to')}) IN (SELECT k FROM hk WHERE k IS NOT NULL)) FROM m) AS historical_misses""",
 })
+
+
+# -- the whole flow ---------------------------------------------------------
+
+_PAD_NDC = f"{pad('l_partkey', 5)} || '-' || {pad('l_suppkey', 4)} || '-01'"
+
+FLOW_CTES = f"""{MASTER},
+{PRIO_CTES},
+fm AS (
+  SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, l_shipdate, l_extendedprice, o_orderdate, ndc_code, sold_to,
+         p_name, l_quantity, l_extendedprice AS unit_price,
+         CASE WHEN l_returnflag = 'R' THEN ' Cancel' WHEN l_returnflag = 'A' AND l_linestatus = 'O' THEN 'HOLD ' ELSE '' END AS action,
+         CASE WHEN p_type = 'PROMO' THEN NULL ELSE p_size END AS pack_size0,
+         {LOOKUP_EXPR} AS lookup, {digits('ndc_code')} AS nk
+  FROM m),
+fe AS (
+  SELECT fm.*, coalesce(fm.pack_size0, p.p_size) AS pack_size, p.p_retailprice AS reference_price
+  FROM fm LEFT JOIN part p ON CAST(fm.l_partkey AS VARCHAR) = CAST(p.p_partkey AS VARCHAR)),
+fli AS (SELECT *, {_PAD_NDC} AS ndcx FROM lineitem),
+finv AS (
+  SELECT CASE WHEN l_linestatus = 'O' THEN ndcx ELSE replace(ndcx, '-', '') END AS ndc, l_quantity * 40 AS inventory,
+         CASE WHEN l_returnflag = 'N' THEN NULL ELSE l_returnflag END AS hold
+  FROM fli),
+fstock AS (
+  SELECT k AS ndc, coalesce(sum(inventory), 0) AS inventory
+  FROM (SELECT {digits('ndc')} AS k, inventory FROM finv WHERE trim(coalesce(hold, '')) = '') WHERE k IS NOT NULL GROUP BY k),
+falloc AS (
+  SELECT ndc, sum(total) AS total FROM (
+    SELECT CASE WHEN len(s) = 3 AND regexp_full_match(s[1], '[0-9]{{5}}') AND regexp_full_match(s[2], '[0-9]{{3}}')
+                     AND regexp_full_match(s[3], '[0-9]{{2}}') THEN s[1] || lpad(s[2], 4, '0') || s[3] END AS ndc, total
+    FROM (SELECT string_split({pad('l_partkey', 5)} || '-' || {pad('l_suppkey', 3)} || '-01', '-') AS s, l_quantity AS total,
+                 CASE WHEN l_linestatus = 'F' THEN 'Loaded' ELSE 'Open' END AS status
+          FROM lineitem WHERE l_returnflag = 'A')
+    WHERE upper(trim(status)) NOT IN ('PICK COMPLETED', 'LOADED'))
+  WHERE ndc IS NOT NULL GROUP BY ndc),
+fup AS (
+  SELECT {digits('ndcx')} AS ndc, sum(l_quantity) AS upload_qty FROM fli
+  WHERE l_returnflag = 'R' AND CAST(l_linenumber AS VARCHAR) IN ('1', '4') AND l_tax < 0.04
+  GROUP BY 1),
+fnet AS (
+  SELECT coalesce(s.ndc, a.ndc) AS ndc,
+         greatest(coalesce(s.inventory, 0) - coalesce(a.total, 0) - coalesce(u.upload_qty, 0), 0) AS ups_inventory
+  FROM fstock s FULL OUTER JOIN falloc a ON s.ndc = a.ndc LEFT JOIN fup u ON u.ndc = coalesce(s.ndc, a.ndc)),
+ftr AS (
+  SELECT {_LI_ORDER}, {digits(_PAD_NDC)} AS k,
+         CASE WHEN l_linestatus = 'O' THEN 'Backorder' ELSE 'Shipped' END AS comment, l_shipdate AS td
+  FROM lineitem),
+fsc AS (
+  SELECT k, CASE WHEN count(DISTINCT upper(comment)) = 1 THEN first(comment ORDER BY {_LI_ORDER})
+                 WHEN max(td) IS NOT NULL THEN first(comment ORDER BY td DESC NULLS LAST, {_LI_ORDER}) END AS value,
+         CASE WHEN count(DISTINCT upper(comment)) = 1 OR max(td) IS NOT NULL THEN 'MATCHED' ELSE 'DUPLICATE_CONFLICT' END AS status
+  FROM ftr WHERE k IS NOT NULL GROUP BY k),
+faw AS (
+  SELECT {_LI_ORDER}, upper({clean(LOOKUP_EXPR)}) AS lk, {digits('ndc_code')} AS nk,
+         CASE WHEN l_returnflag = 'R' THEN 'Secondary' ELSE 'Primary' END AS award
+  FROM m WHERE l_shipdate < TIMESTAMP '1997-01-01'),
+fpt AS (
+  SELECT lk AS k, CASE WHEN count(DISTINCT award) = 1 THEN first(award ORDER BY {_LI_ORDER}) END AS value,
+         CASE WHEN count(DISTINCT award) = 1 THEN 'MATCHED' ELSE 'DUPLICATE_CONFLICT' END AS status
+  FROM faw WHERE lk IS NOT NULL GROUP BY lk),
+fft AS (
+  SELECT nk AS k, CASE WHEN count(DISTINCT award) = 1 THEN first(award ORDER BY {_LI_ORDER}) END AS value,
+         CASE WHEN count(DISTINCT award) = 1 THEN 'MATCHED' ELSE 'DUPLICATE_CONFLICT' END AS status
+  FROM faw WHERE nk IS NOT NULL GROUP BY nk),
+fper AS (
+  SELECT mm AS p FROM (SELECT date_trunc('month', o_orderdate) AS mm, count(*) AS c FROM fm GROUP BY 1)
+  ORDER BY c DESC, mm LIMIT 1),
+fh AS (
+  SELECT lookup AS k,
+         sum(CASE WHEN date_trunc('month', o_orderdate) = p - INTERVAL 3 MONTH THEN l_quantity END) AS m1,
+         sum(CASE WHEN date_trunc('month', o_orderdate) = p - INTERVAL 2 MONTH THEN l_quantity END) AS m2,
+         sum(CASE WHEN date_trunc('month', o_orderdate) = p - INTERVAL 1 MONTH THEN l_quantity END) AS m3
+  FROM fm, fper
+  WHERE date_trunc('month', o_orderdate) >= p - INTERVAL 3 MONTH AND date_trunc('month', o_orderdate) < p
+  GROUP BY lookup),
+fd AS (
+  SELECT fe.*, fn.ups_inventory, sc.value AS sc_comments,
+         CASE WHEN pa.status IS NOT NULL THEN pa.value WHEN fa.status IS NOT NULL THEN fa.value END AS award_type,
+         w.value AS buying_group, fh.m1, fh.m2, fh.m3,
+         (coalesce(fh.m1, 0) + coalesce(fh.m2, 0) + coalesce(fh.m3, 0)) /
+           nullif(CAST(fh.m1 IS NOT NULL AS INTEGER) + CAST(fh.m2 IS NOT NULL AS INTEGER) + CAST(fh.m3 IS NOT NULL AS INTEGER), 0) AS average
+  FROM fe LEFT JOIN fnet fn ON fe.nk = fn.ndc
+  LEFT JOIN fsc sc ON fe.nk = sc.k
+  LEFT JOIN fpt pa ON upper({clean('fe.lookup')}) = pa.k
+  LEFT JOIN fft fa ON fe.nk = fa.k
+  LEFT JOIN win w ON upper({clean('fe.sold_to')}) = w.k
+  LEFT JOIN fh ON fe.lookup = fh.k),
+fr AS (
+  SELECT fd.*,
+         regexp_matches(p_name, '{KW}') AS controlled,
+         (coalesce(unit_price, 0) = 0) OR (coalesce(unit_price - reference_price, 0) <> 0 AND unit_price IS NOT NULL
+                                           AND reference_price IS NOT NULL) AS price_issue,
+         CASE WHEN pack_size IS NOT NULL AND pack_size <> 0 THEN
+              ((l_quantity / pack_size - floor(l_quantity / pack_size)) > 1e-6
+               AND (1 - (l_quantity / pack_size - floor(l_quantity / pack_size))) > 1e-6) ELSE false END AS moq_issue,
+         coalesce(ups_inventory < 10000, false) AS low_stock,
+         CASE lower(trim(action)) WHEN 'cancel' THEN 'FF0000' WHEN 'hold' THEN 'ADD8E6' END AS act,
+         CASE WHEN pack_size IS NOT NULL AND pack_size <> 0 THEN
+              NOT ((l_quantity - pack_size * floor(l_quantity / pack_size)) <= 1e-9
+                   OR (pack_size - (l_quantity - pack_size * floor(l_quantity / pack_size))) <= 1e-9) ELSE false END AS moq_rem
+  FROM fd),
+ff AS (
+  SELECT fr.*, coalesce(act, CASE WHEN controlled THEN 'FFC0CB' END) AS row_fill,
+         coalesce(act, CASE WHEN price_issue THEN 'FFA500' END, CASE WHEN controlled THEN 'FFC0CB' END) AS price_fill,
+         coalesce(act, CASE WHEN moq_rem THEN 'FFFF00' END, CASE WHEN controlled THEN 'FFC0CB' END) AS qty_fill
+  FROM fr)"""
+
+SQL.update({
+    "FLOW_detail": f"""WITH {FLOW_CTES}
+SELECT l_orderkey AS order_key, l_linenumber AS line_no, lookup, ndc_code, p_name AS material_description,
+       round(ups_inventory, 4) AS ups_inventory, pack_size, l_quantity AS sales_order_qty, sold_to AS sold_to_party_name,
+       action, round(unit_price, 4) AS unit_price, round(reference_price, 4) AS reference_price, buying_group, award_type,
+       sc_comments, round(m1, 4) AS m1, round(m2, 4) AS m2, round(m3, 4) AS m3, round(average, 4) AS average,
+       row_fill, price_fill, qty_fill
+FROM ff""",
+    "FLOW_summary": f"""WITH {FLOW_CTES},
+fsum AS (
+  SELECT p_name, sold_to, lookup, ndc_code, max(ups_inventory) AS max_ups, coalesce(sum(l_quantity), 0) AS sum_qty
+  FROM ff GROUP BY p_name, sold_to, lookup, ndc_code),
+ffirst AS (
+  SELECT lookup, buying_group, award_type, sc_comments, m1, m2, m3, average,
+         row_number() OVER (PARTITION BY lookup ORDER BY {_LI_ORDER}) AS rn
+  FROM ff WHERE lookup IS NOT NULL)
+SELECT s.p_name AS material_description, s.sold_to AS sold_to_party_name, s.lookup, s.ndc_code,
+       round(s.max_ups, 4) AS max_of_ups_inventory, round(s.sum_qty, 4) AS sum_of_sales_order_qty,
+       CAST(NULL AS DOUBLE) AS max_of_sales_qty_mtd, CAST(NULL AS DOUBLE) AS max_of_forecast_qty,
+       CAST(NULL AS VARCHAR) AS manual_comments, round(f.m1, 4) AS m1, round(f.m2, 4) AS m2, round(f.m3, 4) AS m3,
+       round(f.average, 4) AS avg, f.buying_group, f.award_type, f.sc_comments,
+       CASE WHEN s.max_ups < 2000 THEN 'FFFF00' END AS low_stock_fill
+FROM fsum s LEFT JOIN ffirst f ON s.lookup = f.lookup AND f.rn = 1""",
+    "FLOW_statistics": f"""WITH {FLOW_CTES}
+SELECT (SELECT count(*) FROM fm) AS original_rows, count(*) AS rows_after_merge,
+       count(DISTINCT l_orderkey) AS unique_sales_orders, count(DISTINCT sold_to) AS unique_customers,
+       count(DISTINCT ndc_code) AS unique_ndcs,
+       count(*) - count(DISTINCT ndc_code) - CASE WHEN count_if(ndc_code IS NULL) > 0 THEN 1 ELSE 0 END AS duplicate_ndcs,
+       count(*) - count(DISTINCT lookup) - CASE WHEN count_if(lookup IS NULL) > 0 THEN 1 ELSE 0 END AS duplicate_lookups,
+       count_if(p_name IS NULL) AS missing_0, count_if(pack_size IS NULL) AS missing_1,
+       count_if(ups_inventory IS NULL) AS missing_2, count_if(buying_group IS NULL) AS missing_3,
+       count_if(award_type IS NULL) AS missing_4, count_if(sc_comments IS NULL) AS missing_5,
+       round(avg(CASE WHEN p_name IS NOT NULL AND pack_size IS NOT NULL AND ups_inventory IS NOT NULL
+                       AND buying_group IS NOT NULL AND award_type IS NOT NULL AND sc_comments IS NOT NULL
+                      THEN 1.0 ELSE 0.0 END) * 100, 2) AS completion_pct
+FROM fd""",
+    "FLOW_audit_counts": f"""WITH {FLOW_CTES},
+c AS (
+  SELECT count_if(lookup IS NULL) AS a, count_if(buying_group IS NULL) AS b, count_if(award_type IS NULL) AS c2,
+         count_if(price_issue) AS d, count_if(moq_issue) AS e, count_if(low_stock) AS f,
+         count(*) - count(DISTINCT lookup) - CASE WHEN count_if(lookup IS NULL) > 0 THEN 1 ELSE 0 END AS g
+  FROM fr)
+SELECT * FROM (VALUES
+  ('MISSING_LOOKUP', (SELECT CAST(a AS VARCHAR) FROM c)), ('MISSING_BUYING_GROUP', (SELECT CAST(b AS VARCHAR) FROM c)),
+  ('MISSING_AWARD', (SELECT CAST(c2 AS VARCHAR) FROM c)), ('PRICE_ISSUE', (SELECT CAST(d AS VARCHAR) FROM c)),
+  ('MOQ_ISSUE', (SELECT CAST(e AS VARCHAR) FROM c)), ('LOW_UPS_INVENTORY', (SELECT CAST(f AS VARCHAR) FROM c)),
+  ('DUPLICATE_LOOKUP', (SELECT CAST(g AS VARCHAR) FROM c))) v(metric, value)""",
+})
