@@ -20,11 +20,12 @@ def _q(c: str) -> Column:
     return F.col(f"`{c}`")
 
 
-def null_aware_duplicates(c: str | Column) -> Column:
+def null_aware_duplicates(c: str | Column, approx: bool = False) -> Column:
     """Pandas ``duplicated().sum()`` -- nulls are equal to each other:
     rows - distinct non-null values - (1 if any null)."""
     x = col_of(c)
-    return F.count(F.lit(1)) - F.count_distinct(x) - F.when(F.count_if(x.isNull()) > 0, 1).otherwise(0)
+    distinct = F.approx_count_distinct(x, 0.01) if approx else F.count_distinct(x)
+    return F.count(F.lit(1)) - distinct - F.when(F.count_if(x.isNull()) > 0, 1).otherwise(0)
 
 
 def metrics_long(one_row: DataFrame) -> DataFrame:
@@ -57,22 +58,31 @@ def master_statistics(
     ndc_col: str,
     lookup_col: str,
     completion_cols: Sequence[str],
+    approx: bool = False,
 ) -> DataFrame:
     """One statistics row: rows before/after, distinct orders (order
     numbers, not quantities), customers and NDCs, null-aware duplicate NDCs
     and lookups, missing count per enrichment column (absent column -> every
-    row), and completion % = rows with all enrichment columns present."""
+    row), and completion % = rows with all enrichment columns present.
+
+    Exact distinct counts make Spark expand every input row once per distinct
+    column; ``approx=True`` uses HyperLogLog++ sketches instead (one pass,
+    ~16 KB of state per column, 1% relative standard error) for very large
+    masters."""
     present = [c for c in completion_cols if c in master.columns]
     all_present = F.lit(True)
     for c in present:
         all_present = all_present & _q(c).isNotNull()
+    def distinct(x):
+        return F.approx_count_distinct(x, 0.01) if approx else F.count_distinct(x)
+
     aggs = [
         F.count(F.lit(1)).alias("rows_after_merge"),
-        F.count_distinct(_q(order_col)).alias("unique_sales_orders"),
-        F.count_distinct(_q(customer_col)).alias("unique_customers"),
-        F.count_distinct(_q(ndc_col)).alias("unique_ndcs"),
-        null_aware_duplicates(_q(ndc_col)).alias("duplicate_ndcs"),
-        null_aware_duplicates(_q(lookup_col)).alias("duplicate_lookups"),
+        distinct(_q(order_col)).alias("unique_sales_orders"),
+        distinct(_q(customer_col)).alias("unique_customers"),
+        distinct(_q(ndc_col)).alias("unique_ndcs"),
+        null_aware_duplicates(_q(ndc_col), approx).alias("duplicate_ndcs"),
+        null_aware_duplicates(_q(lookup_col), approx).alias("duplicate_lookups"),
     ]
     for i, c in enumerate(completion_cols):
         aggs.append((F.count_if(_q(c).isNull()) if c in master.columns else F.count(F.lit(1))).alias(f"missing_{i}"))

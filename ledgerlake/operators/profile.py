@@ -64,7 +64,7 @@ def column_profile(df: DataFrame, name: str, order_by: Sequence[str] = (), appro
     aggs = []
     for i, c in enumerate(cols):
         aggs.append(F.count_if(_q(c).isNull()).alias(f"n{i}"))
-        aggs.append((F.approx_count_distinct(_q(c)) if approx else F.count_distinct(_q(c))).alias(f"d{i}"))
+        aggs.append((F.approx_count_distinct(_q(c), 0.01) if approx else F.count_distinct(_q(c))).alias(f"d{i}"))
         sample = F.when(~_blank(c), _q(c).cast("string"))
         aggs.append((F.min_by(sample, F.when(sample.isNotNull(), o)) if o is not None else F.min(sample)).alias(f"s{i}"))
     one = df.agg(*aggs)

@@ -148,3 +148,14 @@ def test_audit_helpers(spark):
     assert [tuple(r) for r in dropped.collect()] == [(2, 5)] and counts.collect()[0]["dropped_keys"] == 1
     m = A.metrics_long(spark.createDataFrame([(1, "x")], "n long, s string")).collect()
     assert [(r["metric"], r["value"]) for r in m] == [("n", "1"), ("s", "x")]
+
+
+def test_approx_statistics_close_to_exact(spark):
+    df = spark.range(20000).select((F.col("id") % 5000).cast("string").alias("o"), F.lit("c").alias("c"),
+                                   (F.col("id") % 700).cast("string").alias("n"), F.col("id").cast("string").alias("l"),
+                                   F.lit("x").alias("m"))
+    kw = dict(order_col="o", customer_col="c", ndc_col="n", lookup_col="l", completion_cols=["m"])
+    exact = A.master_statistics(df, df, **kw).collect()[0]
+    approx = A.master_statistics(df, df, approx=True, **kw).collect()[0]
+    assert exact["unique_sales_orders"] == 5000
+    assert abs(approx["unique_sales_orders"] - 5000) / 5000 < 0.04
