@@ -6,7 +6,6 @@ another third has no key."""
 import os
 
 import pytest
-from pyspark.sql import functions as F
 
 from ledgerlake.functions import keys as K
 from ledgerlake.operators import lookup as L
