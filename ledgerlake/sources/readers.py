@@ -63,7 +63,10 @@ def read_csv_table(
     raw = spark.read.option("header", False).option("sep", sep).option("inferSchema", False).csv(paths)
     width = len(raw.columns)
     tagged = raw.select("*", F.col("_metadata.file_path").alias("_path"), F.col("_metadata.file_block_start").alias("_block"))
-    body = tagged.mapInPandas(_drop_head(header_idx), tagged.schema)
+    # Only a file's first split can hold the lines above the header: those
+    # rows get numbered in Python; every other split stays in the JVM.
+    head = tagged.filter(F.col("_block") == 0).mapInPandas(_drop_head(header_idx), tagged.schema)
+    body = head.unionByName(tagged.filter(F.col("_block") > 0))
     cols = []
     for i in keep:
         cols.append((F.col(f"_c{i}") if i < width else F.lit(None).cast("string")).alias(names[i]))

@@ -159,3 +159,18 @@ def test_approx_statistics_close_to_exact(spark):
     approx = A.master_statistics(df, df, approx=True, **kw).collect()[0]
     assert exact["unique_sales_orders"] == 5000
     assert abs(approx["unique_sales_orders"] - 5000) / 5000 < 0.04
+
+
+def test_header_offset_with_many_splits(spark, scratch):
+    """A file cut into several splits: only the first split loses lines."""
+    lines = ["title,,", "NDC,Inventory,Hold Codes"] + [f"{i:011d},{i},{'' if i % 2 else 'HOLD'}" for i in range(20000)]
+    p = write(os.path.join(scratch, "big_inventory.csv"), "\n".join(lines) + "\n")
+    prev = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "65536")
+    try:
+        df = RD.read_csv_table(spark, p, header_idx=1, headers=["NDC", "Inventory", "Hold Codes"])
+        assert df.rdd.getNumPartitions() > 2
+        rows = df.collect()
+        assert len(rows) == 20000 and sorted(int(r["Inventory"]) for r in rows) == list(range(20000))
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", prev)
