@@ -170,7 +170,9 @@ def join_key_candidates(headers: DataFrame, hints: Mapping[str, Sequence[str]])
     conf = F.round(
         (F.try_divide(F.col("workbook_count"), tw) * 0.7 + F.try_divide(F.col("worksheet_count"), ts) * 0.3) * 100, 2
     )
-    return found.select("key_name", "workbook_count", "worksheet_count", conf.alias("confidence_pct"))
+    # Highest confidence first; the key name makes the order stable
+    return found.select("key_name", "workbook_count", "worksheet_count", conf.alias("confidence_pct")).orderBy(
+        F.col("confidence_pct").desc(), F.col("key_name"))
 
 
 def recommended_keys(headers: DataFrame, rules: Sequence[tuple[str, Sequence[str]]]) -> DataFrame:
