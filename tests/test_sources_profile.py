@@ -174,3 +174,9 @@ def test_header_offset_with_many_splits(spark, scratch):
         assert len(rows) == 20000 and sorted(int(r["Inventory"]) for r in rows) == list(range(20000))
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", prev)
+
+
+def test_column_profile_approx(spark):
+    df = spark.createDataFrame([(str(i % 40), i) for i in range(400)], "k string, v int")
+    cp = {r["column"]: r for r in P.column_profile(df, "t", order_by=["v"], approx=True).collect()}
+    assert abs(cp["k"]["distinct_count"] - 40) <= 1 and cp["k"]["sample"] == "0"
