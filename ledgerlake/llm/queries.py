@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from ledgerlake.llm import exact_dedup, mixing, sharding
+from ledgerlake.llm import exact_dedup, mixing, sharding, simhash
 
 QUERIES = {
     "op3_bloom_exact_dedup": exact_dedup.op3_bloom_exact_dedup,
+    "op4_pigeonring_simhash": simhash.op4_pigeonring_simhash,
     "op7_hash_tree_shards": sharding.op7_hash_tree_shards,
     "op9_source_schedule": mixing.op9_source_schedule,
 }
