@@ -11,16 +11,45 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ledgerlake.llm.common import cut, table
+from ledgerlake.llm.decontaminate import clean
+from ledgerlake.llm.mixing import mixed
+from ledgerlake.llm.quality import good
 from ledgerlake.llm.sharding import shard_documents
+from ledgerlake.llm.simhash import keep_one
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
+def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drops the documents that the classifier rejects; it learns from the labels beside them."""
+    return good(docs, table(spark, sf_dir, "labels"))
+
+
+def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keeps one document of each near-duplicate group."""
+    return keep_one(docs)
+
+
+def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drops the documents that contain a benchmark item."""
+    return clean(docs, table(spark, sf_dir, "benchmark"))
+
+
+def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Takes each source's documents up to its target: some not at all, some up to three times."""
+    return mixed(docs)
+
+
 def sharding_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Shard and slot of every row that is left; a document taken again has a slot of its own."""
     return shard_documents(docs)
 
 
 STAGES: list[tuple[str, Stage]] = [
+    ("quality", quality_stage),
+    ("near_duplicates", near_duplicate_stage),
+    ("decontamination", decontamination_stage),
+    ("mixing", mixing_stage),
     ("sharding", sharding_stage),
 ]
 

@@ -74,3 +74,24 @@ def before(df: DataFrame, group: list[str], bucket: str, order: list[str], value
         .withColumn(out, F.col("_start") + F.coalesce(F.sum(value).over(inside), F.lit(0)))
         .drop("_start")
     )
+
+
+ROW_KEY = ["_key_a", "_key_b"]
+
+
+def with_row_key(docs: DataFrame) -> DataFrame:
+    """128 bits that tell a row by its id, source and text; rows equal in these share them."""
+    parts = [F.col("doc_id"), F.col("source"), F.col("text")]
+    return docs.withColumn(ROW_KEY[0], F.xxhash64(*parts)).withColumn(ROW_KEY[1], F.xxhash64(F.lit(1), *reversed(parts)))
+
+
+def pick(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """The rows of ``docs`` whose key is in ``wanted``, each key once, with ``wanted``'s columns.
+
+    ``wanted``: one row per key, cut, with ``n``, the rows that share it. Only keys of several rows are
+    grouped, so usually the texts move once, for the join.
+    """
+    found = with_row_key(docs).join(wanted, ROW_KEY)
+    if wanted.where("n > 1").isEmpty():
+        return found
+    return found.where("n = 1").unionByName(found.where("n > 1").dropDuplicates(ROW_KEY))

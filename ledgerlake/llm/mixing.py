@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerlake.llm.common import before, cut, numbered, table
+from ledgerlake.llm.common import ROW_KEY, before, cut, numbered, pick, table, with_row_key
 
 SEED = 7
 MAX_EPOCHS = 3
@@ -26,10 +26,11 @@ CELLS = 4096
 
 
 def sizes(docs: DataFrame) -> DataFrame:
-    """rid, doc_id, source, size: the number of words that white space parts."""
+    """rid, row key, doc_id, source, size: the number of words that white space parts."""
+    docs = with_row_key(docs)
     words = F.regexp_count(F.coalesce(F.col("text"), F.lit("")), F.lit(r"[^\x20\x09-\x0D]+")).cast("long")
     source = F.col("source").cast("string")
-    return numbered(docs.select(F.col("doc_id").cast("long").alias("doc_id"), source.alias("source"), words.alias("size")))
+    return numbered(docs.select(F.col("doc_id").cast("long").alias("doc_id"), source.alias("source"), words.alias("size"), *ROW_KEY))
 
 
 def source_targets(sized: DataFrame, max_epochs: int = MAX_EPOCHS) -> DataFrame:
@@ -86,7 +87,7 @@ def schedule(per: DataFrame, slots: int, block: int) -> DataFrame:
 
 
 def mix(docs: DataFrame, seed: int = SEED, max_epochs: int = MAX_EPOCHS) -> DataFrame:
-    """doc_id, size, source_size, target, taken, first_slot for every row of ``docs``.
+    """doc_id, row key, size, source_size, target, taken, first_slot for every row of ``docs``.
 
     ``taken``: the words of the document that the mix takes, repeats counted, ``max_epochs`` times its
     size at most; a source's taken words sum to its target, rounded. ``first_slot``: where the mix takes
@@ -104,7 +105,7 @@ def mix(docs: DataFrame, seed: int = SEED, max_epochs: int = MAX_EPOCHS) -> Data
     width = (1 << 32) // max(1, rows // BUCKET_ROWS)
     placed = cut(
         sized.join(per, sized["source"].eqNullSafe(per["source"]))
-        .select("rid", "doc_id", "size", "k", "source_size", "target", "quota")
+        .select("rid", "doc_id", *ROW_KEY, "size", "k", "source_size", "target", "quota")
         .withColumn("at", at)
         .withColumn("bucket", F.floor(F.col("at") / width))
     )
@@ -122,10 +123,18 @@ def mix(docs: DataFrame, seed: int = SEED, max_epochs: int = MAX_EPOCHS) -> Data
         .agg(F.sum(part).alias("taken"), F.min("slot").alias("first_slot"))
     )
     return placed.join(used, "rid", "left").select(
-        "doc_id", "size", "source_size", "target", F.coalesce("taken", F.lit(0).cast("long")).alias("taken"), "first_slot"
+        "doc_id", *ROW_KEY, "size", "source_size", "target", F.coalesce("taken", F.lit(0).cast("long")).alias("taken"), "first_slot"
     )
 
 
+def mixed(docs: DataFrame) -> DataFrame:
+    """``docs`` as the mix takes them: a row as often as it is read, to the nearest whole number."""
+    reads = mix(docs).where("taken > 0").withColumn("times", F.round(F.col("taken") / F.col("size")).cast("int"))
+    wanted = reads.groupBy(*ROW_KEY).agg(F.count(F.lit(1)).alias("n"), F.sum("times").cast("int").alias("times"))
+    taken = pick(docs, cut(wanted.where("times > 0")))
+    return taken.withColumn("_time", F.explode(F.sequence(F.lit(1), F.col("times")))).select(*docs.columns)
+
+
 SQL = f"""
 WITH sized AS (
   SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+'))::BIGINT AS size FROM documents
@@ -185,4 +194,4 @@ SELECT doc_id, size, source_size, target, coalesce(taken, 0) AS taken, first_slo
 
 
 def op9_source_schedule(spark, sf_dir: str) -> DataFrame:
-    return mix(table(spark, sf_dir, "documents"))
+    return mix(table(spark, sf_dir, "documents")).drop(*ROW_KEY)

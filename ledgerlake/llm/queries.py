@@ -2,17 +2,20 @@
 
 from __future__ import annotations
 
-from ledgerlake.llm import exact_dedup, mixing, sharding, simhash
+from ledgerlake.llm import decontaminate, exact_dedup, mixing, quality, sharding, simhash
 
 QUERIES = {
     "op3_bloom_exact_dedup": exact_dedup.op3_bloom_exact_dedup,
     "op4_pigeonring_simhash": simhash.op4_pigeonring_simhash,
     "op7_hash_tree_shards": sharding.op7_hash_tree_shards,
+    "op8_minhash_containment": decontaminate.op8_minhash_containment,
     "op9_source_schedule": mixing.op9_source_schedule,
+    "op10_additive_quality": quality.op10_additive_quality,
 }
 
 SQL = {
     "op3_bloom_exact_dedup": exact_dedup.SQL,
     "op7_hash_tree_shards": sharding.SQL,
+    "op8_minhash_containment": decontaminate.SQL,
     "op9_source_schedule": mixing.SQL,
 }

@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType
 
-from ledgerlake.llm.common import cut, table, whole_text
+from ledgerlake.llm.common import ROW_KEY, cut, pick, table, whole_text, with_row_key
 from ledgerlake.llm.components import components
 
 SHINGLE_WORDS = 4
@@ -202,19 +202,19 @@ def links(prints: DataFrame, hot: int = HOT_BUCKET) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, hot: int = HOT_BUCKET) -> DataFrame:
-    """doc_id, text_key, fp, component_id, stays for every row of ``docs``.
+    """doc_id, row key, fp, component_id, stays for every row of ``docs``.
 
     ``component_id``: the smallest doc_id that links reach, the row's own included; null ids are passed
     over, and a component of null ids only has a null one. ``stays``: the row of the component with the
-    smallest doc_id, then the smallest hash of its text; repeated rows all have it. A null or empty text
+    smallest doc_id, then the smallest row key; repeated rows all have it. A null or empty text
     has the fingerprint zero and is linked like any other. Other columns are ignored; an empty table
     gives an empty result.
     """
-    text = whole_text("text")
+    with_source = docs if "source" in docs.columns else docs.withColumn("source", F.lit(None).cast("string"))
     marked = cut(
-        docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("text_key"), fingerprints(text).alias("fp"))
+        with_row_key(with_source).select(F.col("doc_id").cast("long").alias("doc_id"), *ROW_KEY, fingerprints(whole_text("text")).alias("fp"))
     )
-    row = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_key")
+    row = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", *ROW_KEY)
     prints = cut(marked.groupBy("fp").agg(F.min(row).alias("first")))
     linked = components(links(prints.select("fp"), hot))
     member = cut(prints.join(linked.withColumnRenamed("node", "fp"), "fp"))
@@ -223,16 +223,14 @@ def near_duplicates(docs: DataFrame, hot: int = HOT_BUCKET) -> DataFrame:
         prints.join(member.join(firsts, "root").select("fp", "least"), "fp", "left").select("fp", F.coalesce("least", "first").alias("least"))
     )
     return marked.join(least, "fp").select(
-        "doc_id", "text_key", "fp", F.col("least.doc_id").alias("component_id"), (row == F.col("least")).alias("stays")
+        "doc_id", *ROW_KEY, "fp", F.col("least.doc_id").alias("component_id"), (row == F.col("least")).alias("stays")
     )
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
     """``docs`` with one row of each near-duplicate group."""
-    stays = near_duplicates(docs).where("stays").select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key")).distinct()
-    keyed = docs.withColumn("_key", F.xxhash64(whole_text("text")))
-    kept = keyed.join(stays.withColumnRenamed("_key", "_kept"), (F.col("_key") == F.col("_kept")) & F.col("doc_id").cast("long").eqNullSafe(F.col("_id")), "left_semi")
-    return kept.dropDuplicates(["doc_id", "_key"]).select(*docs.columns)
+    stays = near_duplicates(docs).where("stays").groupBy(*ROW_KEY).agg(F.count(F.lit(1)).alias("n"))
+    return pick(docs, cut(stays)).select(*docs.columns)
 
 
 def op4_pigeonring_simhash(spark, sf_dir: str) -> DataFrame:
