@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from ledgerlake.llm import decontaminate, exact_dedup, mixing, pii, quality, sharding, simhash
+from ledgerlake.llm import decontaminate, exact_dedup, licenses, mixing, pii, quality, sharding, simhash
 
 QUERIES = {
+    "op1_diagonal_licenses": licenses.op1_diagonal_licenses,
     "op3_bloom_exact_dedup": exact_dedup.op3_bloom_exact_dedup,
     "op4_pigeonring_simhash": simhash.op4_pigeonring_simhash,
     "op5_weak_supervision_pii": pii.op5_weak_supervision_pii,
@@ -15,6 +16,7 @@ QUERIES = {
 }
 
 SQL = {
+    "op1_diagonal_licenses": licenses.SQL,
     "op3_bloom_exact_dedup": exact_dedup.SQL,
     "op7_hash_tree_shards": sharding.SQL,
     "op8_minhash_containment": decontaminate.SQL,
