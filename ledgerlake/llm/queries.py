@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from ledgerlake.llm import decontaminate, exact_dedup, licenses, mixing, pii, quality, sharding, simhash
+from ledgerlake.llm import decontaminate, exact_dedup, html_text, licenses, mixing, pii, quality, sharding, simhash
 
 QUERIES = {
     "op1_diagonal_licenses": licenses.op1_diagonal_licenses,
+    "op2_consensus_html": html_text.op2_consensus_html,
     "op3_bloom_exact_dedup": exact_dedup.op3_bloom_exact_dedup,
     "op4_pigeonring_simhash": simhash.op4_pigeonring_simhash,
     "op5_weak_supervision_pii": pii.op5_weak_supervision_pii,
