@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from ledgerlake.llm import decontaminate, exact_dedup, html_text, licenses, mixing, pii, quality, sharding, simhash
+from ledgerlake.llm import decontaminate, exact_dedup, html_text, licenses, lm, mixing, pii, quality, sharding, simhash
 
 QUERIES = {
     "op1_diagonal_licenses": licenses.op1_diagonal_licenses,
@@ -10,6 +10,7 @@ QUERIES = {
     "op3_bloom_exact_dedup": exact_dedup.op3_bloom_exact_dedup,
     "op4_pigeonring_simhash": simhash.op4_pigeonring_simhash,
     "op5_weak_supervision_pii": pii.op5_weak_supervision_pii,
+    "op6_attention_scores": lm.op6_attention_scores,
     "op7_hash_tree_shards": sharding.op7_hash_tree_shards,
     "op8_minhash_containment": decontaminate.op8_minhash_containment,
     "op9_source_schedule": mixing.op9_source_schedule,
