@@ -19,7 +19,7 @@ CLASSES = 64
 SINGLE = 48
 STEPS, BATCH, RATE = 250, 64, 0.01
 #: Blocks that are scored at once.
-CHUNK_BLOCKS = 4096
+CHUNK_BLOCKS = 128
 LOG10 = float(np.log(10.0))
 
 

@@ -12,6 +12,7 @@ from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Callable, Iterator
+from itertools import chain, compress
 
 import numpy as np
 import pandas as pd
@@ -85,7 +86,7 @@ def subword_counts(counts: DataFrame, proto: bytes) -> np.ndarray:
         for batch in batches:
             words, ns = batch.column(0).to_pylist(), batch.column(1).to_numpy()
             ids = _encode(proto, words)
-            flat = np.fromiter((i for own in ids for i in own), np.int64)
+            flat = np.fromiter(chain.from_iterable(ids), np.int64)
             total += np.bincount(flat, np.repeat(ns, [len(own) for own in ids]), size)
             total[END] += sum(n for w, n in zip(words, ns.tolist(), strict=True) if not w)
         found = np.flatnonzero(total)
@@ -154,7 +155,7 @@ class Lexicon:
         self.proto, self.head, self.logs = proto, head, logs
         ids = _encode(proto, head)
         self.head_sizes = np.fromiter(map(len, ids), np.int64, len(ids))
-        self.head_flat = np.fromiter((i for own in ids for i in own), np.int32)
+        self.head_flat = np.fromiter(chain.from_iterable(ids), np.int32)
         self.index: _Index | None = None
 
     def forget(self) -> None:
@@ -170,7 +171,7 @@ class Lexicon:
             ids = _ENCODER(self.proto, self.index.new)
             self.index.new = []
             self.sizes = np.concatenate([self.sizes, np.fromiter(map(len, ids), np.int64, len(ids))])
-            self.flat = np.concatenate([self.flat, np.fromiter((i for own in ids for i in own), np.int32)])
+            self.flat = np.concatenate([self.flat, np.fromiter(chain.from_iterable(ids), np.int32)])
             self.starts = None
         return out
 
@@ -196,7 +197,7 @@ def _score(lexicon: Lexicon, tables: Tables, texts: list[bytes]) -> list[tuple[i
     tail: dict[int, np.ndarray] = {}  # the last inputs of a text's earlier pieces
 
     def run() -> None:
-        words = [w for _, own, _, _ in group for w in own]
+        words = list(chain.from_iterable(own for _, own, _, _ in group))
         numbers = lexicon.numbers(words)
         ids, sizes = lexicon.subwords(numbers)
         head = numbers < len(lexicon.head)
@@ -211,7 +212,7 @@ def _score(lexicon: Lexicon, tables: Tables, texts: list[bytes]) -> list[tuple[i
             out[n][1] += known
             out[n][2] += float(logs[at:upto].sum())
             if known < len(own):
-                out[n][4].update(own[i] for i in np.flatnonzero(~head[at:upto]).tolist())
+                out[n][4].update(compress(own, (~head[at:upto]).tolist()))
             goal = np.append(part, END) if closes else part
             before = np.array([BEGIN]) if begins else tail.pop(n)
             inputs = np.concatenate([before, part])
