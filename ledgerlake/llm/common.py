@@ -88,10 +88,10 @@ def with_row_key(docs: DataFrame) -> DataFrame:
 def pick(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     """The rows of ``docs`` whose key is in ``wanted``, each key once, with ``wanted``'s columns.
 
-    ``wanted``: one row per key, cut, with ``n``, the rows that share it. Only keys of several rows are
+    ``wanted``: one row per key, cut, with ``_rows``, the rows that share it. Only keys of several rows are
     grouped, so usually the texts move once, for the join.
     """
     found = with_row_key(docs).join(wanted, ROW_KEY)
-    if wanted.where("n > 1").isEmpty():
+    if wanted.where("_rows > 1").isEmpty():
         return found
-    return found.where("n = 1").unionByName(found.where("n > 1").dropDuplicates(ROW_KEY))
+    return found.where("_rows = 1").unionByName(found.where("_rows > 1").dropDuplicates(ROW_KEY))

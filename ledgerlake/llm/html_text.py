@@ -1,8 +1,8 @@
 """Main text of web pages by consensus host paths.
 
 First every page scores its containers by how much of the page's good text (outside menus, headers,
-footers and the like) they hold, under a generalised path of tags and classes. Spark adds the scores up
-as votes per host and path. Then every page is read again with its host's winning path; a page that
+footers and the like) they hold, under a generalised path of tags and classes, and votes for the best.
+Spark adds the votes up per host and path. Then every page is read again with its host's winning path; a page that
 lacks it is read with its own best one.
 """
 
@@ -186,19 +186,26 @@ def main_text(page: str, path: str | None) -> tuple[str, str]:
     """The text under ``path``, or under the page's own best container if it has none; and that path."""
     found = list(blocks(page))
     if path is None or not any(path in trail for _, trail in found):
-        scores = container_scores(page)
-        path = max(scores, key=lambda p: (scores[p], p), default="")
+        path = best(container_scores(page))
     return "\n\n".join(text for text, trail in found if path in trail), path
 
 
+def best(scores: dict[str, float]) -> str:
+    return max(scores, key=lambda p: (scores[p], p), default="")
+
+
 def _vote(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        sums: dict[tuple[str, str], float] = {}
+        sums: dict[tuple[str, str], tuple[int, float]] = {}
         for host, page in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-            for path, score in container_scores(page).items():
-                sums[host, path] = sums.get((host, path), 0.0) + score
+            scores = container_scores(page)
+            first = best(scores)
+            for path, score in scores.items():
+                votes, total = sums.get((host, path), (0, 0.0))
+                sums[host, path] = (votes + (path == first), total + score)
         hosts, paths = pa.array([h for h, _ in sums], pa.string()), pa.array([p for _, p in sums], pa.string())
-        yield pa.RecordBatch.from_arrays([hosts, paths, pa.array(sums.values(), pa.float64())], names=["host", "path", "score"])
+        votes, scores = pa.array([v for v, _ in sums.values()], pa.int64()), pa.array([x for _, x in sums.values()], pa.float64())
+        yield pa.RecordBatch.from_arrays([hosts, paths, votes, scores], names=["host", "path", "votes", "score"])
 
 
 def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -211,13 +218,14 @@ def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def winning_paths(pages: DataFrame) -> DataFrame:
-    """host, path: the container path with the most votes of each host; ties go to the path that sorts last.
+    """host, path: the container path that most pages of the host score best.
 
-    ``pages``: host and html. Votes are added up per batch, then per task, then per host and path.
+    Ties go to the higher sum of scores, then to the path that sorts last. ``pages``: host and html. Votes
+    are added up per batch, then per task, then per host and path.
     """
-    votes = pages.select("host", "html").mapInArrow(_vote, "host string, path string, score double")
-    votes = votes.groupBy("host", "path").agg(F.round(F.sum("score"), 6).alias("score"))
-    return votes.groupBy("host").agg(F.max(F.struct("score", "path")).alias("best")).select("host", F.col("best.path").alias("path"))
+    votes = pages.select("host", "html").mapInArrow(_vote, "host string, path string, votes long, score double")
+    votes = votes.groupBy("host", "path").agg(F.sum("votes").alias("votes"), F.round(F.sum("score"), 6).alias("score"))
+    return votes.groupBy("host").agg(F.max(F.struct("votes", "score", "path")).alias("best")).select("host", F.col("best.path").alias("path"))
 
 
 def extract(pages: DataFrame) -> DataFrame:

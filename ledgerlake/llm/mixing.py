@@ -130,9 +130,9 @@ def mix(docs: DataFrame, seed: int = SEED, max_epochs: int = MAX_EPOCHS) -> Data
 def mixed(docs: DataFrame) -> DataFrame:
     """``docs`` as the mix takes them: a row as often as it is read, to the nearest whole number."""
     reads = mix(docs).where("taken > 0").withColumn("times", F.round(F.col("taken") / F.col("size")).cast("int"))
-    wanted = reads.groupBy(*ROW_KEY).agg(F.count(F.lit(1)).alias("n"), F.sum("times").cast("int").alias("times"))
-    taken = pick(docs, cut(wanted.where("times > 0")))
-    return taken.withColumn("_time", F.explode(F.sequence(F.lit(1), F.col("times")))).select(*docs.columns)
+    wanted = reads.groupBy(*ROW_KEY).agg(F.count(F.lit(1)).alias("_rows"), F.sum("times").cast("int").alias("_times"))
+    taken = pick(docs, cut(wanted.where("_times > 0")))
+    return taken.withColumn("_time", F.explode(F.sequence(F.lit(1), F.col("_times")))).select(*docs.columns)
 
 
 SQL = f"""

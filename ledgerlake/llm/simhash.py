@@ -229,7 +229,7 @@ def near_duplicates(docs: DataFrame, hot: int = HOT_BUCKET) -> DataFrame:
 
 def keep_one(docs: DataFrame) -> DataFrame:
     """``docs`` with one row of each near-duplicate group."""
-    stays = near_duplicates(docs).where("stays").groupBy(*ROW_KEY).agg(F.count(F.lit(1)).alias("n"))
+    stays = near_duplicates(docs).where("stays").groupBy(*ROW_KEY).agg(F.count(F.lit(1)).alias("_rows"))
     return pick(docs, cut(stays)).select(*docs.columns)
 
 
