@@ -41,6 +41,7 @@ _LOOSE_GATE = {"email": "dot", "ip": ":", "phone": None}
 TOP_DOMAINS = ("com", "org", "net", "edu", "gov", "info", "io", "de", "fr", "es", "it", "uk", "eu", "us", "ch", "at", "nl")
 CARD_ISSUERS = r"^(4|5[1-5]|2[2-7]|3[4-9]|30|6011|62|64|65|50|5[6-8]|60|63|67)"
 CALLING_CODES = r"^(1|7|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]|2[1-689]\d|3[578]\d|42\d|5[09]\d|6[7-9]\d|8[0578]\d|9[679]\d)"
+AREA_CODES = r"^[2-9]\d\d[2-9]|^[2-9]\d\d1"
 RESERVED_IPS = r"^(0|10|127|255|22[4-9]|23\d|24\d|25[0-5])\.|^192\.168\.|^169\.254\."
 GOOD_CONTEXT = {
     "email": r"(?i)\b(e-?mail|mail|contact|write|reach|correo|adresse|courriel)\b",
@@ -157,16 +158,22 @@ def spans(found: DataFrame) -> DataFrame:
         "email": _vote(tail.isin(*TOP_DOMAINS), ~tail.isin(*TOP_DOMAINS)),
         "ip": _vote(~m.rlike(RESERVED_IPS), m.rlike(RESERVED_IPS)),
         "card": _vote(F.col("number").rlike(CARD_ISSUERS), ~F.col("number").rlike(CARD_ISSUERS)),
-        "phone": _vote(m.startswith("+") & F.col("number").rlike(CALLING_CODES), m.startswith("+")),
+        "phone": _vote(F.when(m.startswith("+"), F.col("number").rlike(CALLING_CODES)).otherwise(F.col("number").rlike(AREA_CODES)), F.lit(True)),
     })
     context = _vote(_by_kind({k: left.rlike(p) for k, p in GOOD_CONTEXT.items()}, F.lit(False)), left.rlike(BAD_CONTEXT))
     # a number that neither a pattern nor its context speaks for is no candidate
     rows = rows.withColumn("context", context).where("base or loose or context = 1")
     context = F.col("context")
     votes = [shape, gazetteer, context, _vote(F.lit(False), glued), _vote(F.lit(False), (F.length("number") > 0) & same)]
+    fits = _by_kind({
+        "email": tail.rlike("^[a-z]{2,}$"),
+        "ip": F.lit(True),
+        "card": F.length("number").between(13, 19),
+        "phone": F.length("number").between(9, 15),
+    }, F.lit(False))
     features = F.array(
-        F.concat(F.lit("digits:"), F.least(F.length("number"), F.lit(20)).cast("string")),
-        F.concat(F.lit("signs:"), F.regexp_replace(F.left(F.regexp_replace(m, "[A-Za-z0-9]", ""), F.lit(3)), " ", "_")),
+        F.concat(F.lit("fits:"), fits.cast("string")),
+        F.concat(F.lit("alone:"), (left.rlike(r"(^|[\s(:;,.\"'])$") & ~right.rlike(r"^[\p{L}\p{N}_-]")).cast("string")),
     )
     return rows.select("rid", "kind", "start", "end", "base", F.array(*[v.cast("int") for v in votes]).alias("votes"), features.alias("features"))
 
