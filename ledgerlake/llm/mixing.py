@@ -17,7 +17,7 @@ MAX_EPOCHS = 3
 #: A block holds 1/MIN_SLOTS of the corpus, BLOCK_TOKENS tokens at most.
 MIN_SLOTS = 20_000
 BLOCK_TOKENS = 2048
-BUCKET_ROWS = 4096
+BUCKET_ROWS = 1024
 #: 2**31 / golden ratio, made odd: multiples modulo 2**31 are golden-ratio points and visit every value once.
 GOLDEN = 1327217885
 RING = 1 << 31
