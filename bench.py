@@ -15,6 +15,7 @@ import json
 import os
 import statistics
 import sys
+import tempfile
 import time
 
 ROOT = os.path.dirname(os.path.abspath(__file__))
@@ -47,7 +48,7 @@ def main() -> None:
     from ledgerlake.plans.catalog import QUERIES
     from ledgerlake.plans.session import get_session
 
-    spark = get_session(master=f"local[{cpus}]", shuffle_partitions=max(8, cpus * 2), app="ledgerlake-bench")
+    spark = get_session(master=f"local[{cpus}]", shuffle_partitions=max(8, cpus * 2), app="ledgerlake-bench", checkpoint_dir=tempfile.mkdtemp(prefix="ledgerlake-bench-"))
     names = [n for n in os.environ.get("BENCH_QUERIES", "").split(",") if n] or [n for n in HEADLINE if n in QUERIES]
     results: dict[str, float] = {}
     for name in names:

@@ -33,6 +33,21 @@ def _size_of(df: DataFrame, c: str) -> Column:
     return F.when(_q(c).isNotNull(), 8).otherwise(0)
 
 
+def row_text(df: DataFrame) -> Column:
+    """All values of a row as one text in which no two different rows agree:
+    every value carries its length, and a null is told from any text."""
+    parts = []
+    for c in df.columns:
+        text = _q(c).cast("string")
+        parts.append(F.coalesce(F.concat(F.length(text).cast("string"), F.lit(":"), text), F.lit("~")))
+    return F.concat(*parts) if parts else F.lit("")
+
+
+def row_identity(df: DataFrame) -> Column:
+    """A row's identity for counting duplicates: the MD5 of its values and nulls."""
+    return F.md5(row_text(df))
+
+
 def table_profile(df: DataFrame, name: str) -> DataFrame:
     """Rows, columns, empty rows, empty columns, duplicate rows, and an
     estimated size (sum of text lengths), in one aggregate."""
@@ -40,12 +55,11 @@ def table_profile(df: DataFrame, name: str) -> DataFrame:
     all_blank = F.lit(True)
     for c in cols:
         all_blank = all_blank & _blank(c)
-    row = F.struct(*[_q(c) for c in cols])
     agg = df.agg(
         F.count(F.lit(1)).alias("rows"),
         F.count_if(all_blank).alias("empty_rows"),
         *[F.count_if(~_blank(c)).alias(f"_nb{i}") for i, c in enumerate(cols)],
-        F.count_distinct(F.xxhash64(row), F.hash(row)).alias("_distinct"),
+        F.count_distinct(row_identity(df)).alias("_distinct"),
         F.sum(sum((_size_of(df, c) for c in cols), F.lit(0))).alias("text_bytes"),
     )
     empty_cols = sum((F.when(F.col(f"_nb{i}") == 0, 1).otherwise(0) for i in range(len(cols))), F.lit(0))
@@ -178,27 +192,33 @@ def join_key_candidates(headers: DataFrame, hints: Mapping[str, Sequence[str]])
 def recommended_keys(headers: DataFrame, rules: Sequence[tuple[str, Sequence[str]]]) -> DataFrame:
     """Per table, the key lists whose columns all exist in that table;
     ``rules`` is an ordered list of (key label, required headers)."""
-    present = headers.groupBy("workbook").agg(F.collect_set("header").alias("hs"))
-    recs = []
-    for label, req in rules:
-        recs.append(F.when(F.size(F.array_except(F.array(*[F.lit(r) for r in req]), F.col("hs"))) == 0, F.lit(label)))
-    return present.select("workbook", F.filter(F.array(*recs), lambda x: x.isNotNull()).alias("recommended_keys"))
-
-
-def fingerprint(df: DataFrame, name: str, order_by: Sequence[str] | None = None) -> DataFrame:
-    """Headers, column count, row count and an order-insensitive content
-    hash (sum of per-row 64-bit hashes as a decimal, so it cannot overflow).
-    With ``order_by`` the row hash also covers the ordering columns' values,
-    which makes equal multisets in a different order still compare equal --
-    Spark rows have no physical order to fingerprint."""
-    cols = df.columns
-    h = F.xxhash64(*[_q(c) for c in cols]).cast("decimal(38,0)")
-    nulls = F.xxhash64(*[_q(c).isNull() for c in cols]).cast("decimal(38,0)")
+    spark = headers.sparkSession
+    wanted = [(n, label, r) for n, (label, req) in enumerate(rules) for r in set(req)]
+    need = spark.createDataFrame([(n, len(set(req))) for n, (_, req) in enumerate(rules)], "rule int, need int")
+    wanted = spark.createDataFrame(wanted, "rule int, label string, header string")
+    has = headers.select("workbook", "header").join(wanted, "header").groupBy("workbook", "rule").agg(
+        F.first("label").alias("label"), F.count_distinct("header").alias("got"))
+    # one entry per rule that a table meets
+    met = has.join(need, "rule").filter("got = need").groupBy("workbook").agg(
+        F.array_sort(F.collect_list(F.struct("rule", "label"))).alias("met"))
+    books = headers.select("workbook").distinct()
+    none = F.array().cast("array<string>")
+    return books.join(met, "workbook", "left").select(
+        "workbook", F.coalesce(F.transform("met", lambda m: m["label"]), none).alias("recommended_keys"))
+
+
+def fingerprint(df: DataFrame, name: str) -> DataFrame:
+    """Headers, column count, row count, an order-insensitive content hash
+    and one of the null pattern. Each is the sum of 60 bits of every row's MD5
+    as a decimal, so it cannot overflow and any engine can check it; rows have
+    no physical order in Spark, so order is not part of it."""
+    bits = lambda text: F.conv(F.substring(F.md5(text), 1, 15), 16, 10).cast("decimal(38,0)")
+    nulls = F.concat(*[F.when(_q(c).isNull(), "0").otherwise("1") for c in df.columns])
     return df.agg(
         F.count(F.lit(1)).alias("rows"),
-        F.coalesce(F.sum(h), F.lit(0)).cast("string").alias("value_hash"),
-        F.coalesce(F.sum(nulls), F.lit(0)).cast("string").alias("fill_hash"),
+        F.coalesce(F.sum(bits(row_text(df))), F.lit(0)).cast("string").alias("value_hash"),
+        F.coalesce(F.sum(bits(nulls)), F.lit(0)).cast("string").alias("fill_hash"),
     ).select(
-        F.lit(name).alias("table"), F.lit("|".join(cols)).alias("headers"), F.lit(len(cols)).alias("columns"),
+        F.lit(name).alias("table"), F.lit("|".join(df.columns)).alias("headers"), F.lit(len(df.columns)).alias("columns"),
         "rows", "value_hash", "fill_hash",
     )

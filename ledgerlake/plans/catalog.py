@@ -353,11 +353,12 @@ def q_duplicate_analysis(spark, sf):
 # --------------------------------------------------------------------------
 
 def _award_source(spark, sf):
-    li = I.table(spark, sf, "lineitem").filter(F.col("l_shipdate") < F.lit("1997-01-01").cast("timestamp_ntz"))
-    lk = F.when(F.col("l_linestatus") == "O", F.concat(F.lit(" p"), F.col("l_partkey").cast("string"), F.lit("/s"), F.col("l_suppkey").cast("string")))\
+    li = I.table(spark, sf, "lineitem")
+    late = F.col("l_shipdate") >= F.lit("1997-01-01").cast("timestamp_ntz")  # under keys that no master row has
+    lk = F.when(late, F.concat(F.lit("N"), F.col("l_partkey").cast("string"), F.lit("/S"), F.col("l_suppkey").cast("string"))).when(F.col("l_linestatus") == "O", F.concat(F.lit(" p"), F.col("l_partkey").cast("string"), F.lit("/s"), F.col("l_suppkey").cast("string")))\
         .otherwise(F.concat(F.lit("P"), F.col("l_partkey").cast("string"), F.lit("/S"), F.col("l_suppkey").cast("string")))
     v = F.when(F.col("l_returnflag") == "R", F.lit("Secondary")).when(F.col("l_linestatus") == "O", F.lit("primary ")).otherwise(F.lit("Primary"))
-    return li.select(*I.LINE_ORDER, lk.alias("lookup"), F.concat(I.lpad_num("l_partkey", 5), F.lit("-0000-00")).alias("ndc"), v.alias("award"))
+    return li.select(*I.LINE_ORDER, lk.alias("lookup"), F.concat(I.lpad_num("l_partkey", 5), F.when(late, F.lit("-9999-99")).otherwise(F.lit("-0000-00"))).alias("ndc"), v.alias("award"))
 
 
 def _award_master(spark, sf):
@@ -513,12 +514,17 @@ def q_grain_counts(spark, sf):
     return counts
 
 
+def _closed_customers(spark, sf):
+    """Every customer; one without a positive balance goes by another name, so that masters miss it."""
+    c = I.table(spark, sf, "customer")
+    return c.withColumn("c_name", F.when(F.col("c_acctbal") > 0, F.col("c_name")).otherwise(F.concat("c_name", F.lit(" closed"))))
+
+
 def q_membership(spark, sf):
     from ..operators import audit
 
     m = I.master_orders(spark, sf)
-    c = I.table(spark, sf, "customer").filter(F.col("c_acctbal") > 0)
-    return audit.membership_count(m, K.text_key("sold_to"), c, K.text_key("c_name"))
+    return audit.membership_count(m, K.text_key("sold_to"), _closed_customers(spark, sf), K.text_key("c_name"))
 
 
 def q_key_health(spark, sf):
@@ -569,22 +575,25 @@ def q_header_issues(spark, sf):
     return D.header_issues(D.header_table(raw)).select("sheet", "code", "detail")
 
 
-def _schema_frames(spark, sf):
-    return {t: I.table(spark, sf, t) for t in I.TABLES}
+def _word_sheets(spark, sf):
+    """A header table from data: a sheet per language in a workbook per source, its headers the words of its documents."""
+    words = I.table(spark, sf, "documents").select(
+        F.col("source").alias("workbook"), F.col("lang").alias("sheet"), F.explode(F.split("text", " ", -1)).alias("header"))
+    return words.distinct().withColumn("has_data", F.lit(True))
 
 
-# The registry used to exercise discovery on the driver's tables.
+# The registry used to exercise discovery on these sheets.
 def _registry():
     from ..sources.discovery import SourceDefinition as S
 
     return [
-        S("orders_src", ("o_orderkey", "o_custkey"), ("o_comment",)),
-        S("lines_src", ("l_orderkey", "l_partkey", "l_quantity")),
-        S("doc_keyed", ("doc_id",), mandatory=False),
-        S("doc_pref", ("doc_id",), preferred_sheets=("labels",)),
-        S("text_kw", ("text",), filename_keywords=("bench",)),
-        S("text_amb", ("text",), filename_keywords=("x_no_match",), mandatory=False),
-        S("nation_norm", ("N-NATIONKEY", "n name"), mandatory=False),
+        S("english", ("the", "and")),
+        S("german", ("der", "die"), preferred_sheets=("de",), filename_keywords=("src7",)),
+        S("one_file", ("le", "que"), filename_keywords=("src11",), mandatory=False),
+        S("one_sheet", ("that",), preferred_sheets=("en",), filename_keywords=("src19",)),
+        S("unmatched_word", ("that",), filename_keywords=("x_no_match",), mandatory=False),
+        S("dashed", ("TH-E",), mandatory=False),
+        S("spelled", ("THE", "And "), filename_keywords=("src4",), mandatory=False),
         S("missing_src", ("no_such_column",), mandatory=False),
     ]
 
@@ -592,16 +601,14 @@ def _registry():
 def q_discover_sources(spark, sf):
     from ..sources import discovery as D
 
-    h = D.header_table_from_frames(spark, _schema_frames(spark, sf))
-    return D.discover(h, _registry()).select(
+    return D.discover(_word_sheets(spark, sf), _registry()).select(
         "logical", "status", "sheet", F.array_join("candidates", ",").alias("candidates"), "mandatory")
 
 
 def q_discover_normalized(spark, sf):
     from ..sources import discovery as D
 
-    h = D.header_table_from_frames(spark, _schema_frames(spark, sf))
-    return D.discover(h, _registry(), match="normalized").select("logical", "status", "sheet")
+    return D.discover(_word_sheets(spark, sf), _registry(), match="normalized").select("logical", "status", "sheet")
 
 
 def q_validation_issues(spark, sf):
@@ -629,7 +636,15 @@ def q_table_profile(spark, sf):
 
     return P.table_profile(I.table(spark, sf, "customer"), "customer").unionByName(
         P.table_profile(I.table(spark, sf, "orders"), "orders")).unionByName(
-        P.table_profile(I.table(spark, sf, "lineitem").select("l_partkey", "l_suppkey", "l_returnflag"), "lineitem_keys"))
+        P.table_profile(I.table(spark, sf, "lineitem"), "lineitem")).unionByName(
+        P.table_profile(_swapped(spark, sf), "swapped"))
+
+
+def _swapped(spark, sf):
+    """The priority on one side or the other, a null beside it: equal values that are different rows."""
+    final = F.col("o_orderstatus") == "F"
+    return I.table(spark, sf, "orders").select(
+        F.when(final, F.col("o_orderpriority")).alias("a"), F.when(~final, F.col("o_orderpriority")).alias("b"))
 
 
 def q_column_profile(spark, sf):
@@ -659,34 +674,44 @@ JOIN_HINTS = {
     "absent": ("no_such_header",),
 }
 
+WORD_HINTS = {
+    "article": ("the", "DER", "le"),
+    "conjunction": ("and", " UND "),
+    "relative": ("that", "que"),
+    "rare": ("edthe",),
+    "absent": ("no_such_header",),
+}
+
 KEY_RULES = (
-    ("order_key", ("o_orderkey",)),
-    ("order_line", ("l_orderkey", "l_linenumber")),
-    ("customer", ("c_custkey",)),
-    ("doc", ("doc_id",)),
+    ("english", ("the",)),
+    ("german", ("der", "die")),
+    ("rare", ("edthe",)),
+    ("none", ("no_such_header",)),
 )
 
 
 def q_join_key_candidates(spark, sf):
     from ..operators import profile as P
-    from ..sources import discovery as D
 
-    h = D.header_table_from_frames(spark, _schema_frames(spark, sf))
-    return P.join_key_candidates(h, JOIN_HINTS)
+    return P.join_key_candidates(_word_sheets(spark, sf), WORD_HINTS)
 
 
 def q_recommended_keys(spark, sf):
     from ..operators import profile as P
-    from ..sources import discovery as D
 
-    h = D.header_table_from_frames(spark, _schema_frames(spark, sf))
-    return P.recommended_keys(h, KEY_RULES).select(F.col("workbook").alias("table_name"), F.array_join("recommended_keys", ",").alias("keys"))
+    return P.recommended_keys(_word_sheets(spark, sf), KEY_RULES).select(F.col("workbook").alias("table_name"), F.array_join("recommended_keys", ",").alias("keys"))
 
 
 def q_fingerprint(spark, sf):
     from ..operators import profile as P
 
-    return P.fingerprint(I.table(spark, sf, "orders"), "orders").unionByName(P.fingerprint(I.table(spark, sf, "lineitem"), "lineitem"))
+    def whole(name):
+        # doubles as whole hundredths and times as text: engines print them differently
+        df = I.table(spark, sf, name)
+        text = {"double": lambda c: F.round(F.col(c) * 100).cast("long"), "timestamp_ntz": lambda c: F.date_format(c, "yyyy-MM-dd HH:mm:ss")}
+        return df.select(*[text.get(t, F.col)(c).alias(c) for c, t in df.dtypes])
+
+    return P.fingerprint(whole("orders"), "orders").unionByName(P.fingerprint(whole("lineitem"), "lineitem"))
 
 
 def q_column_dictionary(spark, sf):
@@ -789,7 +814,7 @@ def q_summary_audit(spark, sf):
     m = I.master_orders(spark, sf)
     s = _summary(spark, sf)
     period = history.reporting_month(I.table(spark, sf, "orders"), "o_orderdate")
-    hist_keys = I.table(spark, sf, "customer").filter(F.col("c_acctbal") > 0).select(K.text_key("c_name").alias("k"))
+    hist_keys = _closed_customers(spark, sf).select(K.text_key("c_name").alias("k"))
     return audit.summary_audit(m, s, period, hist_keys, K.text_key("sold_to"))
 
 

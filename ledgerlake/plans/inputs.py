@@ -45,27 +45,29 @@ def inventory_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def open_order_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Open orders: line items with return flag A. SKU 5-3-2 digits, with a
-    2-digit middle segment (invalid) when the discount is zero; status
-    'Loaded' (excluded) for finished lines."""
-    li = table(spark, sf_dir, "lineitem").filter(F.col("l_returnflag") == "A")
-    part5 = lpad_num("l_partkey", 5)
+    """Open orders: every line item. SKU 5-3-2 digits, with a 2-digit middle
+    segment (invalid) when the discount is zero, and of a part that has no
+    stock when the tax is zero; status 'Pick Completed' (excluded) unless the
+    return flag is A, 'Loaded' (excluded) for finished lines."""
+    li = table(spark, sf_dir, "lineitem")
+    part5 = F.when(F.col("l_tax") == 0, F.concat(F.lit("9"), F.substring(lpad_num("l_partkey", 5), 2, 4))).otherwise(lpad_num("l_partkey", 5))
     mid = F.when(F.col("l_discount") == 0, F.lit("00")).otherwise(F.lit("000"))
     return li.select(
         F.concat(part5, F.lit("-"), mid, F.lit("-00")).alias("sku"),
         F.col("l_quantity").alias("total"),
-        F.when(F.col("l_linestatus") == "F", F.lit("Loaded")).otherwise(F.lit(" open ")).alias("status"),
+        F.when(F.col("l_returnflag") != "A", F.lit("Pick Completed"))
+        .when(F.col("l_linestatus") == "F", F.lit("Loaded")).otherwise(F.lit(" open ")).alias("status"),
     )
 
 
 def upload_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Order uploads: line items with return flag R. Reason code is the line
-    number written as a float ('1.0'); action ' Yes' for low tax, else 'no'."""
-    li = table(spark, sf_dir, "lineitem").filter(F.col("l_returnflag") == "R")
+    """Order uploads: every line item. Reason code is the line number written as
+    a float ('1.0'); action ' Yes' for return flag R and low tax, else 'no'."""
+    li = table(spark, sf_dir, "lineitem")
     return li.select(
         F.concat(lpad_num("l_partkey", 5), F.lit("-0000-00")).alias("ndc_code"),
         F.concat(F.col("l_linenumber").cast("string"), F.lit(".0")).alias("reason_code"),
-        F.when(F.col("l_tax") < 0.04, F.lit(" Yes")).otherwise(F.lit("no")).alias("action"),
+        F.when((F.col("l_returnflag") == "R") & (F.col("l_tax") < 0.04), F.lit(" Yes")).otherwise(F.lit("no")).alias("action"),
         F.col("l_quantity").alias("sales_order_qty"),
     )
 

@@ -38,17 +38,18 @@ INV = f"""inv AS (
   FROM lineitem)"""
 
 OO = f"""oo AS (
-  SELECT {pad('l_partkey', 5)} || '-' || CASE WHEN l_discount = 0 THEN '00' ELSE '000' END || '-00' AS sku,
+  SELECT CASE WHEN l_tax = 0 THEN '9' || substr({pad('l_partkey', 5)}, 2, 4) ELSE {pad('l_partkey', 5)} END
+           || '-' || CASE WHEN l_discount = 0 THEN '00' ELSE '000' END || '-00' AS sku,
          l_quantity AS total,
-         CASE WHEN l_linestatus = 'F' THEN 'Loaded' ELSE ' open ' END AS status
-  FROM lineitem WHERE l_returnflag = 'A')"""
+         CASE WHEN l_returnflag <> 'A' THEN 'Pick Completed' WHEN l_linestatus = 'F' THEN 'Loaded' ELSE ' open ' END AS status
+  FROM lineitem)"""
 
 UP = f"""up AS (
   SELECT {pad('l_partkey', 5)} || '-0000-00' AS ndc_code,
          CAST(l_linenumber AS VARCHAR) || '.0' AS reason_code,
-         CASE WHEN l_tax < 0.04 THEN ' Yes' ELSE 'no' END AS action,
+         CASE WHEN l_returnflag = 'R' AND l_tax < 0.04 THEN ' Yes' ELSE 'no' END AS action,
          l_quantity AS sales_order_qty
-  FROM lineitem WHERE l_returnflag = 'R')"""
+  FROM lineitem)"""
 
 NET_CTES = f"""{INV},
 {OO},
@@ -316,11 +317,12 @@ _LI_ORDER = "l_orderkey, l_partkey, l_suppkey, l_linenumber, l_shipdate, l_exten
 
 AWARD_CTES = f"""src AS (
   SELECT {_LI_ORDER},
-         CASE WHEN l_linestatus = 'O' THEN ' p' || CAST(l_partkey AS VARCHAR) || '/s' || CAST(l_suppkey AS VARCHAR)
+         CASE WHEN l_shipdate >= TIMESTAMP '1997-01-01' THEN 'N' || CAST(l_partkey AS VARCHAR) || '/S' || CAST(l_suppkey AS VARCHAR)
+              WHEN l_linestatus = 'O' THEN ' p' || CAST(l_partkey AS VARCHAR) || '/s' || CAST(l_suppkey AS VARCHAR)
               ELSE 'P' || CAST(l_partkey AS VARCHAR) || '/S' || CAST(l_suppkey AS VARCHAR) END AS lookup,
-         {pad('l_partkey', 5)} || '-0000-00' AS ndc,
+         {pad('l_partkey', 5)} || CASE WHEN l_shipdate >= TIMESTAMP '1997-01-01' THEN '-9999-99' ELSE '-0000-00' END AS ndc,
          CASE WHEN l_returnflag = 'R' THEN 'Secondary' WHEN l_linestatus = 'O' THEN 'primary ' ELSE 'Primary' END AS award
-  FROM lineitem WHERE l_shipdate < TIMESTAMP '1997-01-01'),
+  FROM lineitem),
 s2 AS (SELECT *, upper({clean('lookup')}) AS lk, {digits('ndc')} AS nk, upper({clean('award')}) AS n FROM src),
 pt AS (
   SELECT lk AS k, CASE WHEN count(DISTINCT n) = 1 THEN first(award ORDER BY {_LI_ORDER}) END AS value,
@@ -553,7 +555,7 @@ SELECT o_orderkey, o_custkey FROM dropped""",
 SELECT (SELECT count(*) FROM o) AS rows_before, (SELECT count(*) FROM a) AS rows_after,
        (SELECT count(*) FROM dropped) AS dropped_keys""",
     "E15_membership": f"""WITH {MASTER},
-ref AS (SELECT upper({clean('c_name')}) AS k FROM customer WHERE c_acctbal > 0)
+ref AS (SELECT upper({clean("CASE WHEN c_acctbal > 0 THEN c_name ELSE c_name || ' closed' END")}) AS k FROM customer)
 SELECT count(*) AS total, count_if(upper({clean('sold_to')}) IN (SELECT k FROM ref WHERE k IS NOT NULL)) AS matched,
        count(*) - count_if(upper({clean('sold_to')}) IN (SELECT k FROM ref WHERE k IS NOT NULL)) AS missing
 FROM m""",
@@ -578,9 +580,10 @@ FROM summ s LEFT JOIN d ON s.lookup = d.lookup AND d.rn = 1""",
 _TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents",
            "embeddings", "pages", "benchmark", "labels", "conversations")
 _TLIST = ", ".join(f"'{t}'" for t in _TABLES)
-SCHEMA_HEADERS = f"""hdr AS (
-  SELECT table_name AS workbook, table_name AS sheet, column_name AS header FROM information_schema.columns
-  WHERE table_name IN ({_TLIST}))"""
+# a sheet per language in a workbook per source; its headers are the words of its documents
+WORD_HEADERS = """hdr AS (
+  SELECT DISTINCT workbook, sheet, header FROM (
+    SELECT source AS workbook, lang AS sheet, unnest(string_split(text, ' ')) AS header FROM documents))"""
 
 _NUM_RE = r"\s*[+-]?([0-9]+(\.[0-9]*)?|\.[0-9]+)([eE][+-]?[0-9]+)?\s*"
 _DATE_SHAPE_RE = r"[0-9]{1,4}[-/][0-9]{1,2}[-/][0-9]{1,4}([ T][0-9]{1,2}:[0-9]{2}(:[0-9]{2})?)?"
@@ -611,20 +614,19 @@ hr AS (
   FROM rs GROUP BY sheet)"""
 
 REGISTRY_VALUES = """reg(logical, header) AS (VALUES
-  ('orders_src', 'o_orderkey'), ('orders_src', 'o_custkey'),
-  ('lines_src', 'l_orderkey'), ('lines_src', 'l_partkey'), ('lines_src', 'l_quantity'),
-  ('doc_keyed', 'doc_id'), ('doc_pref', 'doc_id'), ('text_kw', 'text'), ('text_amb', 'text'),
-  ('nation_norm', 'N-NATIONKEY'), ('nation_norm', 'n name'), ('missing_src', 'no_such_column')),
+  ('english', 'the'), ('english', 'and'), ('german', 'der'), ('german', 'die'), ('one_file', 'le'), ('one_file', 'que'),
+  ('one_sheet', 'that'), ('unmatched_word', 'that'), ('dashed', 'TH-E'), ('spelled', 'THE'), ('spelled', 'And '),
+  ('missing_src', 'no_such_column')),
 meta(logical, preferred, keywords, mandatory) AS (VALUES
-  ('orders_src', []::VARCHAR[], []::VARCHAR[], true), ('lines_src', []::VARCHAR[], []::VARCHAR[], true),
-  ('doc_keyed', []::VARCHAR[], []::VARCHAR[], false), ('doc_pref', ['labels'], []::VARCHAR[], true),
-  ('text_kw', []::VARCHAR[], ['bench'], true), ('text_amb', []::VARCHAR[], ['x_no_match'], false),
-  ('nation_norm', []::VARCHAR[], []::VARCHAR[], false), ('missing_src', []::VARCHAR[], []::VARCHAR[], false))"""
+  ('english', []::VARCHAR[], []::VARCHAR[], true), ('german', ['de'], ['src7'], true),
+  ('one_file', []::VARCHAR[], ['src11'], false), ('one_sheet', ['en'], ['src19'], true),
+  ('unmatched_word', []::VARCHAR[], ['x_no_match'], false), ('dashed', []::VARCHAR[], []::VARCHAR[], false),
+  ('spelled', []::VARCHAR[], ['src4'], false), ('missing_src', []::VARCHAR[], []::VARCHAR[], false))"""
 
 
 def _discovery(norm: bool) -> str:
-    hk = (lambda x: f"lower(trim(regexp_replace(regexp_replace({x}, '[_-]', ' ', 'g'), '\\s+', ' ', 'g')))") if norm else (lambda x: x)
-    return f"""WITH {SCHEMA_HEADERS},
+    hk = (lambda x: f"lower(trim(regexp_replace({x}, '[_\\-\\s]+', ' ', 'g')))") if norm else (lambda x: x)
+    return f"""WITH {WORD_HEADERS},
 {REGISTRY_VALUES},
 r2 AS (SELECT DISTINCT logical, {hk('header')} AS hk FROM reg),
 h2 AS (SELECT DISTINCT workbook, sheet, {hk('header')} AS hk FROM hdr),
@@ -670,6 +672,24 @@ _ORDERS_COLS = [("o_orderkey", "bigint"), ("o_custkey", "bigint"), ("o_orderstat
                 ("o_orderdate", "timestamp_ntz"), ("o_orderpriority", "string")]
 
 
+_LINEITEM_COLS = [("l_orderkey", "bigint"), ("l_partkey", "bigint"), ("l_suppkey", "bigint"), ("l_linenumber", "int"), ("l_quantity", "double"),
+                  ("l_extendedprice", "double"), ("l_discount", "double"), ("l_tax", "double"), ("l_returnflag", "string"),
+                  ("l_linestatus", "string"), ("l_shipdate", "timestamp_ntz")]
+# the priority on one side or the other, a null beside it
+SWAPPED = """(SELECT CASE WHEN o_orderstatus = 'F' THEN o_orderpriority END AS a, CASE WHEN o_orderstatus <> 'F' THEN o_orderpriority END AS b FROM orders)"""
+
+
+def _fingerprint(name: str, cols: list[tuple[str, str]]) -> str:
+    """Doubles are compared as whole hundredths: engines print them differently."""
+    texts = [f"CAST(CAST(round({c} * 100) AS BIGINT) AS VARCHAR)" if t == "double" else f"strftime({c}, '%Y-%m-%d %H:%M:%S')" if t.startswith("time")
+             else f"CAST({c} AS VARCHAR)" for c, t in cols]
+    row = " || ".join(f"coalesce(length({x}) || ':' || {x}, '~')" for x in texts)
+    nulls = " || ".join(f"CASE WHEN {c} IS NULL THEN '0' ELSE '1' END" for c, _ in cols)
+    bits = lambda x: f"CAST(coalesce(sum(('0x' || substr(md5({x}), 1, 15))::BIGINT::HUGEINT), 0) AS VARCHAR)"
+    return f"""SELECT '{name}' AS "table", '{"|".join(c for c, _ in cols)}' AS headers, {len(cols)} AS columns, count(*) AS rows,
+       {bits(row)} AS value_hash, {bits(nulls)} AS fill_hash FROM {name}"""
+
+
 def _column_profile(cols, src, order):
     parts = []
     for i, (c, t) in enumerate(cols):
@@ -714,11 +734,8 @@ FROM orders""")
 
 
 JOIN_HINT_VALUES = """hints(key_name, hint) AS (VALUES
-  ('customer_key', 'c_custkey'), ('customer_key', 'o_custkey'), ('customer_key', 'Customer Key'),
-  ('order_key', 'o_orderkey'), ('order_key', 'L_ORDERKEY'),
-  ('part_key', 'p_partkey'), ('part_key', 'l_partkey'), ('part_key', 'ps_partkey'),
-  ('document', 'doc_id'), ('nation', 'n_nationkey'), ('nation', 'c_nationkey'), ('nation', 's_nationkey'),
-  ('absent', 'no_such_header'))"""
+  ('article', 'the'), ('article', 'DER'), ('article', 'le'), ('conjunction', 'and'), ('conjunction', ' UND '),
+  ('relative', 'that'), ('relative', 'que'), ('rare', 'edthe'), ('absent', 'no_such_header'))"""
 
 SQL.update({
     "A3_header_rows": f"""WITH {CONV_SHEETS}
@@ -731,6 +748,7 @@ SELECT sheet, 'DUPLICATE_HEADERS' AS code, header AS detail FROM hdrs WHERE {cle
 GROUP BY sheet, header HAVING count(*) > 1
 UNION ALL
 SELECT sheet, 'BLANK_HEADERS', 'position ' || CAST(position AS VARCHAR) FROM hdrs WHERE {clean('header')} IS NULL""",
+    "D8_fingerprint": "\nUNION ALL\n".join([_fingerprint("orders", _ORDERS_COLS), _fingerprint("lineitem", _LINEITEM_COLS)]),
     "A2_discover_sources": _discovery(False),
     "A6_discover_normalized": _discovery(True),
     "C4_validation_issues": f"""WITH staged AS (
@@ -764,11 +782,12 @@ WHERE nb = 0""",
     "D1_table_profile": "\nUNION ALL\n".join([
         _profile_table("customer", _CUSTOMER_COLS, "customer"),
         _profile_table("orders", _ORDERS_COLS, "orders"),
-        _profile_table("lineitem_keys", [("l_partkey", "bigint"), ("l_suppkey", "bigint"), ("l_returnflag", "string")], "lineitem"),
+        _profile_table("lineitem", _LINEITEM_COLS, "lineitem"),
+        _profile_table("swapped", [("a", "string"), ("b", "string")], SWAPPED),
     ]),
     "D2_column_profile": _column_profile(_CUSTOMER_COLS, "customer", "c_custkey"),
     "D4_infer_types": _infer_types(),
-    "D6_join_key_candidates": f"""WITH {SCHEMA_HEADERS},
+    "D6_join_key_candidates": f"""WITH {WORD_HEADERS},
 {JOIN_HINT_VALUES},
 h AS (SELECT workbook, sheet, lower(trim(regexp_replace(header, '\\s+', ' ', 'g'))) AS h FROM hdr),
 hn AS (SELECT key_name, lower(trim(regexp_replace(hint, '\\s+', ' ', 'g'))) AS h FROM hints),
@@ -778,13 +797,13 @@ f AS (SELECT key_name, count(DISTINCT workbook) AS workbook_count, count(DISTINC
 SELECT key_name, workbook_count, worksheet_count,
        round((workbook_count / tw * 0.7 + worksheet_count / ts * 0.3) * 100, 2) AS confidence_pct
 FROM f, tot""",
-    "D7_recommended_keys": f"""WITH {SCHEMA_HEADERS},
+    "D7_recommended_keys": f"""WITH {WORD_HEADERS},
 p AS (SELECT workbook, list(header) AS hs FROM hdr GROUP BY workbook)
 SELECT workbook AS table_name, concat_ws(',',
-  CASE WHEN list_contains(hs, 'o_orderkey') THEN 'order_key' END,
-  CASE WHEN list_contains(hs, 'l_orderkey') AND list_contains(hs, 'l_linenumber') THEN 'order_line' END,
-  CASE WHEN list_contains(hs, 'c_custkey') THEN 'customer' END,
-  CASE WHEN list_contains(hs, 'doc_id') THEN 'doc' END) AS keys
+  CASE WHEN list_contains(hs, 'the') THEN 'english' END,
+  CASE WHEN list_contains(hs, 'der') AND list_contains(hs, 'die') THEN 'german' END,
+  CASE WHEN list_contains(hs, 'edthe') THEN 'rare' END,
+  CASE WHEN list_contains(hs, 'no_such_header') THEN 'none' END) AS keys
 FROM p""",
     "D3_column_dictionary": f"""WITH cols AS (SELECT column_name AS "column" FROM information_schema.columns WHERE table_name = 'orders')
 SELECT "column",
@@ -873,7 +892,7 @@ SELECT DISTINCT 'Final source for customer ''' || sold_to || '''', buying_group_
 FROM res WHERE buying_group_status = 'MATCHED'""",
     "J8_summary_audit": f"""WITH {SUMMARY_INPUT},
 {REPORT_MONTH},
-hk AS (SELECT DISTINCT upper({clean('c_name')}) AS k FROM customer WHERE c_acctbal > 0)
+hk AS (SELECT DISTINCT upper({clean("CASE WHEN c_acctbal > 0 THEN c_name ELSE c_name || ' closed' END")}) AS k FROM customer)
 SELECT (SELECT count(*) FROM m) AS total_master_rows, (SELECT count(*) FROM summ) AS aggregated_rows,
        (SELECT count(DISTINCT lookup) FROM summ) AS unique_lookup_values,
        (SELECT count(lookup) - count(DISTINCT lookup) FROM summ) AS duplicate_lookup_values,

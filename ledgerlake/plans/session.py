@@ -11,7 +11,6 @@ recomputing a long join chain.
 from __future__ import annotations
 
 import os
-import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -30,7 +29,11 @@ SCALE_CONF: dict[str, str] = {
 }
 
 
-def get_session(master: str | None = None, shuffle_partitions: int | None = None, app: str = "ledgerlake") -> SparkSession:
+def get_session(
+    master: str | None = None, shuffle_partitions: int | None = None, app: str = "ledgerlake", checkpoint_dir: str | None = None
+) -> SparkSession:
+    """A session with these settings; ``checkpoint_dir`` is taken where the
+    cluster names no ``spark.checkpoint.dir``."""
     master = master or os.environ.get("LEDGERLAKE_MASTER", "local[8]")
     b = SparkSession.builder.master(master).appName(app)
     for k, v in SCALE_CONF.items():
@@ -44,23 +47,23 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
     )
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    ensure_checkpoint_dir(spark)
+    sc = spark.sparkContext
+    if checkpoint_dir and not (sc.getConf().get("spark.checkpoint.dir") or sc.getCheckpointDir()):
+        sc.setCheckpointDir(checkpoint_dir)
     return spark
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Use the cluster's ``spark.checkpoint.dir``; only when it is unset (tests,
-    local runs) fall back to a fresh scratch folder."""
+    """The cluster's ``spark.checkpoint.dir`` or the folder given to
+    ``get_session``. There is no default: a machine-local folder would not
+    survive the loss of an executor."""
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
-        if not sc.master.startswith("local"):
-            # a machine-local folder would not survive the loss of an executor
-            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS / object store) for cluster runs")
-        configured = tempfile.mkdtemp(prefix="ledgerlake-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     sc.setCheckpointDir(configured)
     return configured
 

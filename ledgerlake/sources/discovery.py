@@ -13,7 +13,9 @@ Inputs are tables exported as CSV or Parquet (no spreadsheet container). A
 
 from __future__ import annotations
 
+import csv
 import os
+import re
 from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass, field
 
@@ -63,12 +65,13 @@ class AmbiguousSourceError(LookupError):
 # --------------------------------------------------------------------------
 
 def normalize_header(text: str) -> str:
-    """``_``/``-`` -> space, whitespace collapsed, case folded."""
-    return " ".join(str(text).replace("_", " ").replace("-", " ").split()).casefold()
+    """``_``/``-`` -> space, whitespace collapsed, lower case."""
+    return " ".join(re.sub(r"[_\-\s]+", " ", str(text)).split()).lower()
 
 
 def normalize_header_col(c: Column) -> Column:
-    return F.lower(F.trim(F.regexp_replace(F.regexp_replace(c, "[_-]", " "), "\\s+", " ")))
+    """The same rule as a Column: one pattern for separators, with Unicode white space."""
+    return F.lower(F.trim(F.regexp_replace(c, r"(?U)[_\-\s]+", " ")))
 
 
 def headers_present(required: Iterable[str], headers: Iterable[str]) -> bool:
@@ -118,44 +121,64 @@ def exclude_generated(paths: Sequence[str], generated: Sequence[str] = GENERATED
 # Raw head rows (A1 helper) and header-row detection (A3, A4, A5)
 # --------------------------------------------------------------------------
 
-def _head_rows(max_rows: int):
+HEAD_ROWS = 25
+
+
+def list_files(spark: SparkSession, paths: str | Sequence[str]) -> list[str]:
+    """Every file under ``paths``, as plain (not URL-encoded) paths, in order. Only the listing is read."""
+    given = [paths] if isinstance(paths, str) else list(paths)
+    return sorted(r["path"] for r in spark.read.format("binaryFile").load(given).select("path").collect())  # one row per file
+
+
+def parse_record(record: str, sep: str = ",") -> list[str]:
+    """The cells of one CSV record, quotes removed; a blank line has none."""
+    if not record.strip():
+        return []
+    if len(sep) > 1:
+        return record.split(sep)
+    return next(csv.reader([record], delimiter=sep), [])
+
+
+def _head_records(max_rows: int, sep: str):
+    """The first records of a file. A record goes on while a quote is open, so one may hold line breaks;
+    blank lines are records. Stops reading as soon as it has them; later splits are not read at all."""
     def fn(batches):
         import pandas as pd
 
-        seen: dict[str, int] = {}
+        rows, held, lines = [], [], 0
         for pdf in batches:
-            if pdf.empty:
-                continue
-            first = pdf[pdf["block_start"] == 0]
-            if first.empty:
-                continue
-            idx = first.groupby("path", sort=False).cumcount()
-            base = first["path"].map(lambda p: seen.get(p, 0))
-            row_idx = base.to_numpy() + idx.to_numpy()
-            out = pd.DataFrame({"path": first["path"].to_numpy(), "row_idx": row_idx, "line": first["value"].to_numpy()})
-            for p, n in first.groupby("path", sort=False).size().items():
-                seen[p] = seen.get(p, 0) + int(n)
-            out = out[out["row_idx"] < max_rows]
-            if not out.empty:
-                yield out
+            if len(pdf) and pdf["block_start"].iloc[0] != 0:
+                return
+            for line in pdf["value"]:
+                lines += 1
+                held.append(line)
+                if sum(x.count('"') for x in held) % 2 == 0:
+                    rows.append((len(rows), lines, parse_record("\n".join(held), sep)))
+                    held = []
+                    if len(rows) == max_rows:
+                        break
+            if len(rows) == max_rows:
+                break
+        if held and len(rows) < max_rows:
+            rows.append((len(rows), lines, parse_record("\n".join(held), sep)))
+        yield pd.DataFrame(rows, columns=["row_idx", "line_end", "cells"])
     return fn
 
 
-def raw_head_rows(spark: SparkSession, paths: Sequence[str], max_rows: int = 25, sep: str = ",") -> DataFrame:
-    """The first ``max_rows`` lines of every text file as ``(workbook, sheet,
-    row_idx, cells)``. Only each file's first split is read for this; lines
-    keep their in-file position because a split is read in order. Cells are
-    split on ``sep`` with surrounding double quotes removed (header rows are
-    plain text in practice)."""
-    df = spark.read.text(list(paths)).select(
-        F.col("_metadata.file_path").alias("path"),
-        F.col("_metadata.file_block_start").alias("block_start"),
-        "value",
-    ).filter(F.col("block_start") == 0)  # later splits never reach Python
-    heads = df.mapInPandas(_head_rows(max_rows), "path string, row_idx long, line string")
-    cells = F.transform(F.split(F.col("line"), sep, -1), lambda x: F.regexp_replace(x, '^"|"$', ""))
-    name = F.regexp_extract(F.col("path"), "([^/]+?)(\\.[^./]*)?$", 1)
-    return heads.select(F.col("path").alias("workbook"), name.alias("sheet"), "row_idx", cells.alias("cells"))
+def raw_head_rows(spark: SparkSession, paths: str | Sequence[str], max_rows: int = HEAD_ROWS, sep: str = ",") -> DataFrame:
+    """The first ``max_rows`` records of every file as ``(workbook, sheet,
+    row_idx, line_end, cells)``; ``line_end`` counts the file's text lines up
+    to the end of the record. A task stops once it has its file's head."""
+    out = None
+    for path in list_files(spark, paths):
+        lines = spark.read.text(path).select(F.col("_metadata.file_block_start").alias("block_start"), "value")
+        head = lines.mapInPandas(_head_records(max_rows, sep), "row_idx long, line_end long, cells array<string>")
+        name = os.path.splitext(os.path.basename(path))[0]
+        one = head.select(F.lit(path).alias("workbook"), F.lit(name).alias("sheet"), "row_idx", "line_end", "cells")
+        out = one if out is None else out.unionByName(one)
+    if out is None:
+        raise FileNotFoundError(f"no file under {paths}")
+    return out
 
 
 _NUMERIC = "^\\s*[+-]?(\\d+(\\.\\d*)?|\\.\\d+)([eE][+-]?\\d+)?\\s*$"
@@ -193,14 +216,16 @@ def row_scores(raw: DataFrame) -> DataFrame:
     return cnt.select("workbook", "sheet", "row_idx", score.cast("int").alias("score"), (F.col("n") > 0).alias("non_blank"))
 
 
-def detect_header_rows(raw: DataFrame) -> DataFrame:
+def detect_header_rows(raw: DataFrame, window: int = HEAD_ROWS) -> DataFrame:
     """A3 + A5: per (workbook, sheet), the header row = the first row with the
-    highest score; ``has_data`` = some non-blank row below it in the scanned
-    rows. -> (workbook, sheet, header_idx, score, has_data)"""
+    highest score among the first ``window`` rows; ``has_data`` = some
+    non-blank row below it among *all* rows given, however far down.
+    -> (workbook, sheet, header_idx, score, has_data)"""
     scored = row_scores(raw)
+    near = F.col("row_idx") < window
     best = scored.groupBy("workbook", "sheet").agg(
-        F.min_by("row_idx", F.struct((-F.col("score")).alias("s"), F.col("row_idx"))).alias("header_idx"),
-        F.max("score").alias("score"),
+        F.min_by("row_idx", F.when(near, F.struct((-F.col("score")).alias("s"), F.col("row_idx")))).alias("header_idx"),
+        F.max(F.when(near, F.col("score"))).alias("score"),
         F.max(F.when(F.col("non_blank"), F.col("row_idx"))).alias("_last_nb"),
     )
     return best.select(
@@ -209,6 +234,33 @@ def detect_header_rows(raw: DataFrame) -> DataFrame:
     )
 
 
+def file_header_rows(spark: SparkSession, paths: str | Sequence[str], sep: str = ",", window: int = HEAD_ROWS) -> DataFrame:
+    """A3 + A5 for files. The head scores the header row; a file whose head
+    shows no data below it is searched whole: it has data when it holds more
+    non-blank lines than those up to its header."""
+    raw = raw_head_rows(spark, paths, window, sep)
+    rows = detect_header_rows(raw, window)
+    at_header = raw.join(rows, ["workbook", "sheet"]).filter("row_idx = header_idx and not has_data")
+    open_files = {r["workbook"]: r["line_end"] for r in at_header.select("workbook", "line_end").collect()}  # one row per file
+    if not open_files:
+        return rows
+    blank = f'^[\\s"{re.escape(sep)}]*$'
+    late = None
+    for path, line_end in open_files.items():
+        # the head is a few lines of the first split; lines under it are counted over all splits
+        count = spark.read.text(path).filter(~F.col("value").rlike(blank)).agg(F.count(F.lit(1)).alias("lines"))
+        head = sum(bool(r["value"].strip(f' \t"{sep}')) for r in spark.read.text(path).limit(line_end).collect())
+        one = count.select(F.lit(path).alias("workbook"), (F.col("lines") > head).alias("late"))
+        late = one if late is None else late.unionByName(one)
+    joined = rows.join(late, "workbook", "left")
+    return joined.select("workbook", "sheet", "header_idx", "score", (F.col("has_data") | F.coalesce("late", F.lit(False))).alias("has_data"))
+
+
+def file_header_table(spark: SparkSession, paths: str | Sequence[str], sep: str = ",", window: int = HEAD_ROWS) -> DataFrame:
+    """A4 for files: the verbatim header texts, with whole-file ``has_data``."""
+    return header_table(raw_head_rows(spark, paths, window, sep), file_header_rows(spark, paths, sep, window))
+
+
 def header_table(raw: DataFrame, header_rows: DataFrame | None = None) -> DataFrame:
     """A4: the verbatim header texts of each file's header row, one row per
     position. -> (workbook, sheet, position, header, has_data)"""

@@ -2,9 +2,9 @@
 
 Operational exports are read as text (every column ``string``) and typed by
 rule afterwards, because their headers and cell formats are not a contract.
-Parquet is read as is. A header row below the first line is honoured by
-dropping the lines above it in each file's first split (the only split that
-can contain them) -- no shuffle, no row numbering of the whole file.
+Parquet is read as is. The lines above a header that is not on the first line
+are counted and dropped in each file's first split (the only one that can hold
+them), before anything is parsed -- no shuffle, no numbering of whole files.
 """
 
 from __future__ import annotations
@@ -14,63 +14,73 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .discovery import repair_headers
+from .discovery import raw_head_rows, repair_headers
 
 
-def _drop_head(header_idx: int):
+def _drop_rows(count: int):
+    """Drops the first ``count`` rows of a file that a single partition holds from its start."""
     def fn(batches):
-        seen: dict[str, int] = {}
+        left = count
         for pdf in batches:
-            if pdf.empty:
-                continue
-            first = pdf["_block"] == 0
-            pos = pdf[first].groupby("_path", sort=False).cumcount() + pdf.loc[first, "_path"].map(lambda p: seen.get(p, 0))
-            for p, n in pdf[first].groupby("_path", sort=False).size().items():
-                seen[p] = seen.get(p, 0) + int(n)
-            keep = ~first
-            keep.loc[first] = pos.to_numpy() > header_idx
-            out = pdf[keep]
-            if not out.empty:
-                yield out
+            if left:
+                cut = min(left, len(pdf)) if pdf["_block"].iloc[0] == 0 else 0
+                left, pdf = (left - cut if cut else 0), pdf.iloc[cut:]
+            if not pdf.empty:
+                yield pdf
     return fn
 
 
+def _below(spark: SparkSession, path: str, schema: str, sep: str, line_end: int, records: int, multiline: bool) -> DataFrame:
+    """The rows under the header of one file, as text columns."""
+    reader = spark.read.schema(schema).option("sep", sep).option("multiLine", multiline).option("escape", '"')
+    if line_end == 1:
+        return reader.option("header", True).csv(path)
+    block = F.col("_metadata.file_block_start").alias("_block")
+    if multiline:
+        # one partition per file, blank lines gone: drop the records that are left of the head
+        rows = reader.option("header", False).csv(path).select("*", block)
+        return rows.mapInPandas(_drop_rows(records), rows.schema).drop("_block")
+    # the head is counted in text lines and dropped in the first split before anything is parsed
+    lines = spark.read.text(path).select("value", block)
+    head = lines.filter("_block = 0").mapInPandas(_drop_rows(line_end), lines.schema)
+    body = head.unionByName(lines.filter("_block > 0")).filter(F.trim("value") != "")
+    return body.select(F.from_csv("value", schema, {"sep": sep, "escape": '"'}).alias("r")).select("r.*")
+
+
 def read_csv_table(
     spark: SparkSession,
     path: str | Sequence[str],
     header_idx: int = 0,
     headers: Sequence[str] | None = None,
     sep: str = ",",
+    multiline: bool = False,
 ) -> DataFrame:
-    """A1 for CSV: all-string columns named by the header row (C15 repair:
-    blank names become ``Column n``, a repeated name keeps its first
-    column). With ``header_idx > 0`` the lines above and at the header are
-    removed per file; ``headers`` must then give the header texts (from the
-    header table, A4)."""
-    paths = [path] if isinstance(path, str) else list(path)
-    if header_idx == 0 and headers is None:
-        # Spark renames duplicate / blank header names itself (a0, _c1): take the
-        # raw header line instead -- one row of the first file, parsed by the
-        # same CSV reader -- and repair it
-        first = spark.read.option("header", False).option("sep", sep).csv(paths[0]).limit(1).collect()
-        raw_names = list(first[0]) if first else []
-        df = spark.read.option("header", True).option("sep", sep).option("inferSchema", False).csv(paths)
-        names, keep = repair_headers(raw_names + [None] * (len(df.columns) - len(raw_names)))
-        return df.toDF(*[f"__c{i}" for i in range(len(df.columns))]).select(*[F.col(f"__c{i}").alias(names[i]) for i in keep])
-    if headers is None:
-        raise ValueError("headers are required when the header row is not the first line")
-    names, keep = repair_headers(headers)
-    raw = spark.read.option("header", False).option("sep", sep).option("inferSchema", False).csv(paths)
-    width = len(raw.columns)
-    tagged = raw.select("*", F.col("_metadata.file_path").alias("_path"), F.col("_metadata.file_block_start").alias("_block"))
-    # Only a file's first split can hold the lines above the header: those
-    # rows get numbered in Python; every other split stays in the JVM.
-    head = tagged.filter(F.col("_block") == 0).mapInPandas(_drop_head(header_idx), tagged.schema)
-    body = head.unionByName(tagged.filter(F.col("_block") > 0))
-    cols = []
-    for i in keep:
-        cols.append((F.col(f"_c{i}") if i < width else F.lit(None).cast("string")).alias(names[i]))
-    return body.select(*cols)
+    """A1 for CSV: all-string columns named by the header record (C15 repair:
+    blank names become ``Column n``, a repeated name keeps its first column).
+
+    ``header_idx`` counts records from the top, blank lines included. Every
+    file's own header is read: files with another column order are matched by
+    name, and a column that a file lacks is null there. ``headers`` replaces
+    the header texts by position. ``multiline`` allows line breaks inside
+    quoted cells of the data, at the price of one task per file."""
+    heads = raw_head_rows(spark, path, header_idx + 1, sep).collect()  # header_idx + 1 records per file
+    files: dict[str, list] = {}
+    for r in sorted(heads, key=lambda r: (r["workbook"], r["row_idx"])):
+        files.setdefault(r["workbook"], []).append(r)
+    out = None
+    for file, rows in files.items():
+        if len(rows) <= header_idx:
+            continue  # ends above its header
+        cells = rows[header_idx]["cells"]
+        names, keep = repair_headers(headers if headers is not None else cells)
+        schema = ", ".join(f"_c{i} string" for i in range(max(len(cells), len(names), 1)))
+        records = sum(bool(r["cells"]) for r in rows)
+        body = _below(spark, file, schema, sep, rows[header_idx]["line_end"], records, multiline)
+        one = body.select(*[F.col(f"_c{i}").alias(names[i]) for i in keep])
+        out = one if out is None else out.unionByName(one, allowMissingColumns=True)
+    if out is None:
+        raise ValueError(f"no file under {path} has a record {header_idx}")
+    return out
 
 
 def read_table(spark: SparkSession, path: str, fmt: str | None = None, **kw) -> DataFrame:

@@ -9,6 +9,7 @@ involved; ``run_dir`` is any shared filesystem or object-store URI.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame
@@ -29,15 +30,18 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "ove
 
 
 def write_run(tables: Mapping[str, DataFrame], run_dir: str, fmt: str = "parquet") -> str:
-    """Write every table under ``run_dir/<name>`` and then the manifest
-    ``run_dir/_manifest`` (one row per table). Returns the run directory."""
+    """Write every table into a fresh folder ``run_dir/run-<id>`` and then
+    the manifest ``run_dir/_manifest`` (one row per table) that names it. Until
+    the manifest is replaced, readers see the previous run whole; a failed run
+    leaves only an unnamed folder. Returns ``run_dir``."""
     base = run_dir.rstrip("/")
+    run = f"{base}/run-{uuid.uuid4().hex}"
     spark = None
     for name, df in tables.items():
-        write_table(df, f"{base}/{name}", fmt)
+        write_table(df, f"{run}/{name}", fmt, mode="errorifexists")
         spark = df.sparkSession
     if spark is not None:
-        manifest = spark.createDataFrame([(n, f"{base}/{n}", fmt) for n in tables], "table string, path string, format string")
+        manifest = spark.createDataFrame([(n, f"{run}/{n}", fmt) for n in tables], "table string, path string, format string")
         manifest.coalesce(1).write.mode("overwrite").json(f"{base}/_manifest")
     return base
 

@@ -1,5 +1,6 @@
 import os
 import sys
+import tempfile
 
 import pytest
 
@@ -12,6 +13,6 @@ if ROOT not in sys.path:
 def spark():
     from ledgerlake.plans.session import get_session
 
-    s = get_session(master="local[4]", shuffle_partitions=4, app="ledgerlake-tests")
+    s = get_session(master="local[4]", shuffle_partitions=4, app="ledgerlake-tests", checkpoint_dir=tempfile.mkdtemp(prefix="ledgerlake-test-checkpoint-"))
     yield s
     s.stop()

@@ -180,3 +180,69 @@ def test_column_profile_approx(spark):
     df = spark.createDataFrame([(str(i % 40), i) for i in range(400)], "k string, v int")
     cp = {r["column"]: r for r in P.column_profile(df, "t", order_by=["v"], approx=True).collect()}
     assert abs(cp["k"]["distinct_count"] - 40) <= 1 and cp["k"]["sample"] == "0"
+
+
+def test_blank_lines_above_and_below_the_header_lose_no_row(spark, scratch):
+    p = write(os.path.join(scratch, "blank_lines.csv"), "Title\n\nNDC,Qty\n1,10\n\n2,20\n3,30\n")
+    raw = D.raw_head_rows(spark, p)
+    assert [r["row_idx"] for r in D.detect_header_rows(raw).select(F.col("header_idx").alias("row_idx")).collect()] == [2]
+    for multiline in (False, True):
+        df = RD.read_csv_table(spark, p, header_idx=2, multiline=multiline)
+        assert df.columns == ["NDC", "Qty"] and sorted(r["Qty"] for r in df.collect()) == ["10", "20", "30"]
+
+
+def test_data_far_below_the_header_keeps_its_source(spark, scratch):
+    late = write(os.path.join(scratch, "late.csv"), "NDC,Qty\n" + "\n" * 40 + ',""\n' + "7,8\n")
+    none = write(os.path.join(scratch, "never.csv"), "NDC,Qty\n" + "\n" * 40 + ',""\n')
+    got = {r["sheet"]: r["has_data"] for r in D.file_header_rows(spark, [late, none]).collect()}
+    assert got == {"late": True, "never": False}
+    headers = D.file_header_table(spark, [late, none])
+    found = D.discover(headers, [D.SourceDefinition("stock", ("NDC", "Qty"))]).collect()[0]
+    assert (found["status"], found["sheet"]) == ("RESOLVED", "late")
+    assert [r["NDC"] for r in RD.read_csv_table(spark, found["workbook"]).filter("Qty = '8'").collect()] == ["7"]
+
+
+def test_quoted_headers_literal_separators_and_spaces_in_names(spark, scratch):
+    p = write(os.path.join(scratch, "Buying Groups 100%.csv"), '"Matl.\nCode","Name, full",x\n1,"a, b",c\n')
+    headers = D.file_header_table(spark, p)
+    rows = headers.orderBy("position").collect()
+    assert [r["header"] for r in rows] == ["Matl.\nCode", "Name, full", "x"]
+    assert rows[0]["workbook"].endswith("Buying Groups 100%.csv") and rows[0]["sheet"] == "Buying Groups 100%"
+    df = RD.read_csv_table(spark, rows[0]["workbook"])
+    assert df.columns == ["Matl.\nCode", "Name, full", "x"] and tuple(df.collect()[0]) == ("1", "a, b", "c")
+    q = write(os.path.join(scratch, "pipe.csv"), "A|B\n1|2\n")
+    assert [r["header"] for r in D.file_header_table(spark, q, sep="|").orderBy("position").collect()] == ["A", "B"]
+    assert RD.read_csv_table(spark, q, sep="|").collect()[0]["B"] == "2"
+
+
+def test_files_with_another_column_order_are_read_by_name(spark, scratch):
+    folder = os.path.join(scratch, "orders")
+    os.makedirs(folder)
+    write(os.path.join(folder, "a.csv"), "A,B\n1,2\n")
+    write(os.path.join(folder, "b.csv"), "B,A,C\n4,3,5\n")
+    rows = RD.read_csv_table(spark, folder).orderBy("A").collect()
+    assert [(r["A"], r["B"], r["C"]) for r in rows] == [("1", "2", None), ("3", "4", "5")]
+
+
+def test_quoted_line_breaks_in_data(spark, scratch):
+    p = write(os.path.join(scratch, "notes.csv"), 'Report\nid,note\n1,"two\nlines"\n2,"say ""hi"""\n')
+    df = RD.read_csv_table(spark, p, header_idx=1, multiline=True)
+    assert {r["id"]: r["note"] for r in df.collect()} == {"1": "two\nlines", "2": 'say "hi"'}
+
+
+def test_a_failed_rerun_leaves_the_previous_run_whole(spark, scratch):
+    base = os.path.join(scratch, "runs")
+    SK.write_run({"a": spark.range(1), "b": spark.range(2)}, base)
+    bad = spark.range(3).select(F.raise_error(F.lit("boom")).alias("id"))
+    with pytest.raises(Exception, match="boom"):
+        SK.write_run({"a": spark.range(5), "b": bad}, base)
+    back = SK.read_run(spark, base)
+    assert (back["a"].count(), back["b"].count()) == (1, 2)
+
+
+def test_null_positions_tell_rows_apart(spark):
+    a = spark.createDataFrame([("a", None), (None, "a"), ("a", None)], "x string, y string")
+    b = spark.createDataFrame([("a", None), ("a", None), ("a", None)], "x string, y string")
+    assert P.table_profile(a, "t").collect()[0]["duplicate_rows"] == 1
+    one, two = P.fingerprint(a, "t").collect()[0], P.fingerprint(b, "t").collect()[0]
+    assert one["value_hash"] != two["value_hash"] and one["fill_hash"] != two["fill_hash"]
