@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType
 
-from ledgerlake.llm.common import table, whole_text
+from ledgerlake.llm.common import smallest_hashes, table, whole_text
 
 #: Labelled rows that the model is fitted to, taken in the order of a hash of their id.
 TRAIN_ROWS = 20_000
@@ -212,7 +212,7 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> Model:
     known = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").cast("double").alias("quality"))
     known = known.where(F.col("quality").isNotNull() & ~held_out(F.col("doc_id")))
     known = known.groupBy("doc_id").agg((F.avg("quality") >= 0.5).cast("double").alias("label"))
-    sample = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
+    sample = smallest_hashes(known.withColumn("at", F.xxhash64("doc_id")), "at", rows).drop("at")
     # at most ``rows`` rows of 16 bytes
     found = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(sample), "doc_id")
     # copies of one id would outweigh the bound; one text of each stands for it
