@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType
 
 from ledgerlake.llm.attention import BLOCK, Attention, Tables, rows_of
-from ledgerlake.llm.common import cut, numbered, table, whole_text
+from ledgerlake.llm.common import cut, numbered, smallest_hashes, table, whole_text
 
 TOKENIZER = "/opt/tokenizers/piece_bpe_32k.model"
 BEGIN, END = 1, 2
@@ -72,6 +72,24 @@ def word_counts(docs: DataFrame) -> DataFrame:
     return texts.mapInArrow(_counts, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
 
+def head_words(counts: DataFrame, most: int | None = None) -> DataFrame:
+    """The words above the lowest count that at most ``most`` (HEAD_WORDS) words of HEAD_BYTES bytes reach.
+
+    The count is read off a histogram: exact below 1024, in eighths of a doubling above. So what comes to
+    the driver is the histogram and the head itself, whatever the number of partitions.
+    """
+    words = counts.where(F.length("word").between(1, HEAD_BYTES))
+    eighth = F.floor(F.log2(F.col("n")) * 8)
+    step = F.when(F.col("n") < 1024, F.col("n")).otherwise(1024 + eighth)
+    words = words.withColumn("step", step)
+    left, lowest = HEAD_WORDS if most is None else most, None
+    for row in words.groupBy("step").agg(F.count(F.lit(1)).alias("words")).orderBy(F.desc("step")).collect():
+        if row["words"] > left:
+            break
+        left, lowest = left - row["words"], row["step"]
+    return words.where(F.lit(False) if lowest is None else F.col("step") >= lowest).select("word", "n")
+
+
 def _encode(proto: bytes, words: list[bytes]) -> list[list[int]]:
     tool = sentencepiece.SentencePieceProcessor(model_proto=proto)
     return tool.encode([w.decode("utf-8", "replace") for w in words], num_threads=1) if words else []
@@ -116,7 +134,7 @@ def training_windows(docs: DataFrame, proto: bytes, windows: int = TRAIN_WINDOWS
 
     place = F.xxhash64(F.col("doc_id"), F.lit("window"))
     rows = docs.where(~held_out(F.col("doc_id")))
-    ids = rows.select("doc_id", place.alias("place")).orderBy("place", "doc_id").limit(windows).distinct()
+    ids = smallest_hashes(rows.select("doc_id", place.alias("place")), "place", windows).distinct()
     # at most ``windows`` ids of 16 bytes
     got = rows.join(F.broadcast(ids), "doc_id").select("doc_id", "place", window(whole_text("text"), F.pmod("place", F.lit(1 << 40))).alias("ids"))
     picked = [r["ids"] for r in got.orderBy("place", "doc_id", "ids").limit(windows).collect()]
@@ -273,9 +291,7 @@ def score(docs: DataFrame, tokenizer: str = TOKENIZER) -> DataFrame:
     tokens, distinct, ends = total["n"] or 0, total["v"], total["ends"] or 0
     model = Attention(subword_counts(counts, proto))
     model.train(*training_windows(docs, proto))
-    real = F.length("word").between(1, HEAD_BYTES)
-    head = counts.where(real).orderBy(F.desc("n"), "word").limit(HEAD_WORDS)
-    rows = [(bytes(r["word"]), r["n"]) for r in head.collect()]  # HEAD_WORDS words of HEAD_BYTES bytes at most
+    rows = [(bytes(r["word"]), r["n"]) for r in head_words(counts).orderBy(F.desc("n"), "word").collect()]
     logs = np.log10(np.array([n + 1 for _, n in rows], float))
     sent = docs.sparkSession.sparkContext.broadcast((Lexicon(proto, [w for w, _ in rows], logs), model.tables()))
     texts = numbered(docs.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), whole_text("text").alias("text")))

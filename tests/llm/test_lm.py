@@ -93,3 +93,11 @@ def test_pieces_of_a_long_text_count_the_same(monkeypatch):
 
 def test_empty_table(docs_of):
     assert lm.score(docs_of([])).collect() == []
+
+
+def test_head_words_are_the_most_frequent_that_fit(spark):
+    rows = [(b"", 9000)] + [(b"w%d" % i, n) for i, n in enumerate([5000, 4900, 1000, 7, 7, 7, 3, 1])] + [(b"x" * 65, 400)]
+    counts = spark.createDataFrame([(bytearray(w), n) for w, n in rows], "word binary, n long")
+    got = lambda most: sorted(r.n for r in lm.head_words(counts, most).collect())
+    assert got(100) == [1, 3, 7, 7, 7, 1000, 4900, 5000]
+    assert got(6) == [7, 7, 7, 1000, 4900, 5000] and got(5) == [1000, 4900, 5000] and got(1) == []
