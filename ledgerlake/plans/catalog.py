@@ -387,6 +387,11 @@ def q_award_exceptions(spark, sf):
     return _awards(spark, sf).exceptions
 
 
+def q_award_conflict_rows(spark, sf):
+    rows = _awards(spark, sf).long_exceptions().filter("status = 'DUPLICATE_CONFLICT'")
+    return rows.select("ndc", "lookup", "value", "match_strategy", "reason")
+
+
 def q_award_counters(spark, sf):
     return _awards(spark, sf).counters
 
@@ -459,6 +464,11 @@ def q_latest_exceptions(spark, sf):
     return _latest(spark, sf, True).exceptions
 
 
+def q_comment_conflict_rows(spark, sf):
+    rows = _latest(spark, sf, False).long_exceptions().filter("status <> 'NOT_FOUND'")
+    return rows.select("normalized_ndc", "comments", "status")
+
+
 def q_conflict_lookup(spark, sf):
     return _latest(spark, sf, False).frame.select("c_custkey", "sc_comments", "sc_comments_status")
 
@@ -847,6 +857,7 @@ QUERIES: dict[str, Query] = {
     "G5_duplicate_analysis": q_duplicate_analysis,
     "E6_award_lookup": q_award_lookup,
     "J3_award_exceptions": q_award_exceptions,
+    "J3_award_conflict_rows": q_award_conflict_rows,
     "E6_award_counters": q_award_counters,
     "E7_priority_lookup": q_priority_lookup,
     "J4_priority_exceptions": q_priority_exceptions,
@@ -855,6 +866,7 @@ QUERIES: dict[str, Query] = {
     "J6_latest_exceptions": q_latest_exceptions,
     "E8_conflict_lookup": q_conflict_lookup,
     "J6_conflict_exceptions": q_conflict_exceptions,
+    "J6_comment_conflict_rows": q_comment_conflict_rows,
     "G8_master_statistics": q_master_statistics,
     "E11_grain_check": q_grain_check,
     "E11_grain_counts": q_grain_counts,

@@ -503,6 +503,20 @@ SELECT '', k, '', observed, 'NDC (product-level fallback)', 'DUPLICATE_CONFLICT'
 UNION ALL
 SELECT DISTINCT customer, ndc_code, lookup, '', '', 'NOT_FOUND', 'No record found by Lookup or by NDC in the source'
 FROM r WHERE award_status = 'NOT_FOUND'""",
+    "J3_award_conflict_rows": f"""WITH {AWARD_CTES},
+pv AS (SELECT lk AS k, n, first(award ORDER BY {_LI_ORDER}) AS v, count(*) OVER (PARTITION BY lk) AS nv FROM s2
+       WHERE lk IS NOT NULL AND n IS NOT NULL GROUP BY lk, n),
+fv AS (SELECT nk AS k, n, first(award ORDER BY {_LI_ORDER}) AS v, count(*) OVER (PARTITION BY nk) AS nv FROM s2
+       WHERE nk IS NOT NULL AND n IS NOT NULL GROUP BY nk, n)
+SELECT '' AS ndc, k AS lookup, v AS value, 'Lookup (Customer+NDC)' AS match_strategy,
+       'Same Lookup maps to multiple distinct values in the source' AS reason FROM pv WHERE nv > 1
+UNION ALL
+SELECT k, '', v, 'NDC (product-level fallback)', 'NDC maps to multiple distinct values across customers; ambiguous at product level'
+FROM fv WHERE nv > 1""",
+    "J6_comment_conflict_rows": f"""WITH e AS (SELECT CAST(user_id AS VARCHAR) AS k, upper({clean('event_type')}) AS n, event_type, event_id FROM events),
+v AS (SELECT k, n, first(event_type ORDER BY event_id) AS comments, count(*) OVER (PARTITION BY k) AS nv FROM e
+      WHERE k IS NOT NULL AND n IS NOT NULL GROUP BY k, n)
+SELECT k AS normalized_ndc, comments, 'DUPLICATE_CONFLICT' AS status FROM v WHERE nv > 1""",
     "E6_award_counters": f"""WITH {AWARD_CTES}
 SELECT count(*) AS total_master_rows, count_if(award_status = 'MATCHED') AS matched_rows,
        count_if(award_status = 'MATCHED' AND award_strategy = 'Lookup (Customer+NDC)') AS matched_by_lookup,

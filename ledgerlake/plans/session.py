@@ -11,6 +11,7 @@ recomputing a long join chain.
 from __future__ import annotations
 
 import os
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -69,7 +70,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint: materialises ``df`` in the shared checkpoint folder
-    and returns a DataFrame whose plan starts from those files."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Writes ``df`` as a Parquet table into the shared checkpoint folder and
+    returns a DataFrame that reads it: later plans start from these files and
+    read only the columns they use."""
+    path = f"{ensure_checkpoint_dir(df.sparkSession).rstrip('/')}/table-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
