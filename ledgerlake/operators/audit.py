@@ -142,12 +142,35 @@ def row_count_invariant(before: DataFrame, after: DataFrame) -> DataFrame:
     return r.withColumn("preserved", F.col("rows_before") == F.col("rows_after"))
 
 
-def lookup_key_table(df: DataFrame, ndc_col: str, customer_col: str, name_col: str | None = None) -> tuple[DataFrame, DataFrame]:
+def with_key_columns(df: DataFrame, ndc: Sequence[str], customer: Sequence[str], lookup: str = "lookup") -> DataFrame:
+    """B12 on a table whose columns vary: the first of each list that the table
+    has (C9) is used; a side that it lacks gives a partial key, both a null
+    one. An existing ``lookup`` column is replaced."""
+    from ..functions.keys import lookup_key
+    from .clean import find_column
+    from .lookup import dtype_of
+
+    none = F.lit(None).cast("string")
+    n, c = find_column(df, ndc), find_column(df, customer)
+    key = lookup_key(_q(n) if n else none, _q(c) if c else none, dtype_of(df, n) if n else "string")
+    return df.withColumn(lookup, key)
+
+
+def lookup_key_table(df: DataFrame, ndc_col: str | Sequence[str], customer_col: str | Sequence[str], name_col: str | None = None) -> tuple[DataFrame, DataFrame]:
     """B13 + B14: project (lookup, ndc, customer[, name]) and count how many
-    keys normalisation changed and how many lookups repeat."""
+    keys normalisation changed and how many lookups repeat. A list of columns
+    is a primary one and its fallbacks; a column that is absent is null."""
     from ..functions.keys import changed_by_normalising, digits_key, lookup_key, text_key
+    from .clean import find_column
     from .lookup import dtype_of
 
+    wanted = {"ndc": ndc_col, "customer": customer_col}
+    found = {k: find_column(df, [v] if isinstance(v, str) else list(v)) for k, v in wanted.items()}
+    for side, column in found.items():
+        if column is None:
+            found[side] = f"_absent_{side}"
+            df = df.withColumn(found[side], F.lit(None).cast("string"))
+    ndc_col, customer_col = found["ndc"], found["customer"]
     dt = dtype_of(df, ndc_col)
     lk = lookup_key(ndc_col, customer_col, dt)
     cols = [lk.alias("lookup"), _q(ndc_col).alias("ndc"), _q(customer_col).alias("customer")]

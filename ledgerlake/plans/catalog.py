@@ -896,3 +896,8 @@ QUERIES: dict[str, Query] = {
     "J5_priority_audit": q_priority_audit,
     "J8_summary_audit": q_summary_audit,
 }
+
+
+from . import extra  # noqa: E402
+
+QUERIES.update(extra.QUERIES)

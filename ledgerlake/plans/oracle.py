@@ -1069,3 +1069,8 @@ SELECT * FROM (VALUES
   ('MOQ_ISSUE', (SELECT CAST(e AS VARCHAR) FROM c)), ('LOW_UPS_INVENTORY', (SELECT CAST(f AS VARCHAR) FROM c)),
   ('DUPLICATE_LOOKUP', (SELECT CAST(g AS VARCHAR) FROM c))) v(metric, value)""",
 })
+
+
+from . import extra  # noqa: E402
+
+SQL.update(extra.SQL)

@@ -75,6 +75,24 @@ def validate_tables(
     return out
 
 
+def validate_listing(sheets: DataFrame) -> DataFrame:
+    """C4 for what was found, from rows ``(workbook path, sheet)``, a null
+    sheet standing for a workbook without one: DUPLICATE_WORKBOOK_NAME (two
+    paths end in the same name), MISSING_WORKSHEET and
+    DUPLICATE_WORKSHEET_NAME. All are errors; ``table`` is the workbook."""
+    name = F.element_at(F.split("workbook", "/"), -1)
+
+    def issues(rows: DataFrame, code: str, detail: str) -> DataFrame:
+        return rows.select(F.col("book").alias("table"), F.lit("ERROR").alias("severity"), F.lit(code).alias("code"), F.col(detail).alias("detail"))
+
+    twice = sheets.select("workbook").distinct().groupBy(name.alias("book")).agg(F.count(F.lit(1)).alias("n"))
+    per_sheet = sheets.groupBy("workbook", "sheet").agg(F.count(F.lit(1)).alias("n")).withColumn("book", F.col("workbook"))
+    per_book = sheets.groupBy("workbook").agg(F.count("sheet").alias("n")).withColumn("book", F.col("workbook"))
+    out = issues(twice.filter("n > 1"), "DUPLICATE_WORKBOOK_NAME", "book")
+    out = out.unionByName(issues(per_book.filter("n = 0"), "MISSING_WORKSHEET", "workbook"))
+    return out.unionByName(issues(per_sheet.filter("sheet is not null and n > 1"), "DUPLICATE_WORKSHEET_NAME", "sheet"))
+
+
 def has_errors(issues: DataFrame) -> bool:
     """Stop rule: any ERROR issue (an existence probe, reads one row)."""
     return len(issues.filter(F.col("severity") == "ERROR").limit(1).collect()) > 0
