@@ -126,7 +126,7 @@ def training_windows(docs: DataFrame, proto: bytes, windows: int = TRAIN_WINDOWS
         for text, place in zip(texts, places, strict=True):
             words = words_of(text.encode())
             at = int(place % max(1, len(words) - BLOCK))
-            ids = [i for own in _ENCODER(proto, words[at : at + n]) for i in own]
+            ids = [i for own in _encode_kept(proto, words[at : at + n]) for i in own]
             if at + n >= len(words):
                 ids.append(END)
             out.append((([BEGIN] if at == 0 else []) + ids)[:n])
@@ -149,7 +149,7 @@ def training_windows(docs: DataFrame, proto: bytes, windows: int = TRAIN_WINDOWS
 _TOOLS: dict[bytes, Callable] = {}
 
 
-def _ENCODER(proto: bytes, words: list[bytes]) -> list[list[int]]:
+def _encode_kept(proto: bytes, words: list[bytes]) -> list[list[int]]:
     """``_encode`` with the tool kept between texts."""
     if proto not in _TOOLS:
         tool = sentencepiece.SentencePieceProcessor(model_proto=proto)
@@ -186,7 +186,7 @@ class Lexicon:
             self.forget()
         out = np.fromiter(map(self.index.__getitem__, words), np.int64, len(words))
         if self.index.new:
-            ids = _ENCODER(self.proto, self.index.new)
+            ids = _encode_kept(self.proto, self.index.new)
             self.index.new = []
             self.sizes = np.concatenate([self.sizes, np.fromiter(map(len, ids), np.int64, len(ids))])
             self.flat = np.concatenate([self.flat, np.fromiter(chain.from_iterable(ids), np.int32)])
