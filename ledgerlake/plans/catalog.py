@@ -322,8 +322,8 @@ def _enrich_inputs(spark, sf):
         (F.col("c_custkey") + 1000000).alias("c_custkey"), "c_name", "c_acctbal", "c_mktsegment", F.lit(2).alias("src_rank"))
     source = base.unionByName(alt).unionByName(ghost)
     strategies = [
-        lookup.JoinStrategy(("Lookup",), ("Lookup",), ("lookup",), "Lookup"),
-        lookup.JoinStrategy(("o_custkey",), ("c_custkey",), ("alnum",), "Customer Number"),
+        lookup.JoinStrategy.on("Lookup", ("Lookup", "Lookup", "lookup")),
+        lookup.JoinStrategy.on("Customer Number", ("o_custkey", "c_custkey", "alnum")),
     ]
     return master, source, strategies
 
