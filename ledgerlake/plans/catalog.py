@@ -261,9 +261,11 @@ def q_highlights(spark, sf):
     return x.select(*I.LINE_ORDER[:4], *[v.alias(k) for k, v in fills.items()])
 
 
-def _summary(spark, sf):
+def _summary_rows(spark, sf):
+    """The detail that the summary is built from, with its order and the columns that E13 carries over."""
     m = I.master_orders(spark, sf)
-    x = m.select(
+    return m.select(
+        *I.LINE_ORDER, F.col("c_mktsegment").alias("Buying Group"), F.col("l_returnflag").alias("Award Type"),
         F.col("p_name").alias("Material Description"),
         F.when(F.col("c_mktsegment") == "HOUSEHOLD", F.lit(None).cast("string")).otherwise(F.col("c_name")).alias("Sold-to party Name"),
         K.lookup_key("ndc_code", "sold_to").alias("Lookup"),
@@ -272,7 +274,10 @@ def _summary(spark, sf):
         F.when(F.col("l_linestatus") == "O", F.col("l_quantity")).alias("Sales Order Qty"),
         F.col("l_extendedprice").alias("Sales Qty MTD"),
     )
-    return summary.sales_summary(x)
+
+
+def _summary(spark, sf):
+    return summary.sales_summary(_summary_rows(spark, sf))
 
 
 def q_sales_summary(spark, sf):
@@ -545,11 +550,9 @@ def q_key_health(spark, sf):
 
 
 def q_summary_enriched(spark, sf):
-    s = _summary(spark, sf)
-    m = I.master_orders(spark, sf)
-    detail = m.select(*I.LINE_ORDER, K.lookup_key("ndc_code", "sold_to").alias("Lookup"),
-                      F.col("c_mktsegment").alias("Buying Group"), F.col("l_returnflag").alias("Award Type"))
-    e = summary.enrich_summary(s, detail, "Lookup", ["Buying Group", "Award Type", "SC Comments"], list(I.LINE_ORDER))
+    # the aggregate and the first row per Lookup in one pass over the detail
+    e = summary.sales_summary_with_firsts(
+        _summary_rows(spark, sf), "Lookup", ["Buying Group", "Award Type", "SC Comments"], list(I.LINE_ORDER))
     return e.select(
         F.col("Lookup").alias("lookup"), F.col("Material Description").alias("material_description"),
         F.col("Sold-to party Name").alias("sold_to_party_name"), F.col("NDC Code").alias("ndc_code"),
