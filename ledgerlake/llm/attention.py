@@ -10,14 +10,18 @@ window, so the trained model keeps them as tables per subword.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 
 BLOCK = 16
 WIDTH = 16
-CLASSES = 64
+CLASSES = 256
 #: Classes that hold one frequent subword each.
-SINGLE = 48
+SINGLE = 224
 STEPS, BATCH, RATE = 250, 64, 0.01
+#: Rate of the steps over the whole corpus, and the blocks whose gradients are held at once.
+WHOLE_RATE, GRADIENT_BLOCKS = 0.02, 64
 #: Blocks that are scored at once.
 CHUNK_BLOCKS = 128
 LOG10 = float(np.log(10.0))
@@ -38,15 +42,19 @@ def classes(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 class Attention:
-    """Parameters, training by hand-written gradients, and scoring."""
+    """Parameters, training by hand-written gradients, and scoring.
+
+    ``train`` starts the parameters off on sampled windows, ``descend`` goes on with sums over all blocks.
+    """
 
     def __init__(self, counts: np.ndarray, seed: int = 1):
         rng = np.random.default_rng(seed)
         self.of, self.share = classes(counts)
         mass = np.bincount(self.of, counts + 0.5, CLASSES)
         near = lambda *shape: rng.normal(0, 0.2, shape)
+        # a subword that no training text has adds nothing as context
         self.p = {
-            "e": near(len(counts), WIDTH),
+            "e": near(len(counts), WIDTH) * (counts > 0)[:, None],
             "q": near(WIDTH, WIDTH),
             "k": near(WIDTH, WIDTH),
             "v": near(WIDTH, WIDTH),
@@ -118,10 +126,102 @@ class Attention:
                 self.p[k] -= rate * (m[k] / (1 - 0.9**step)) / (np.sqrt(s[k] / (1 - 0.98**step)) + 1e-8)
         return losses
 
+    def packed(self) -> np.ndarray:
+        """All parameters in rows of WIDTH, the embeddings first."""
+        return pack(self.p)
+
+    def descend(self, sums: Iterator[np.ndarray | None], steps: int) -> list[float]:
+        """Adam over sums of gradients as ``block_sums`` packs them, a step each; the mean losses on the way.
+
+        ``sums`` is asked for the next step only after the parameters have moved. None moves nothing.
+        """
+        losses: list[float] = []
+        m = s = 0.0
+        for step in range(1, steps + 1):
+            got = next(sums)
+            if got is None or not got[-1, 1]:
+                continue
+            losses.append(float(got[-1, 0] / got[-1, 1]))
+            g = got[:-1] / got[-1, 1]
+            m, s = 0.9 * m + 0.1 * g, 0.98 * s + 0.02 * g * g
+            n = len(losses)
+            rate = WHOLE_RATE * min(1.0, 2 * (1 - step / (steps + 1)))
+            moved = self.packed() - rate * (m / (1 - 0.9**n)) / (np.sqrt(s / (1 - 0.98**n)) + 1e-8)
+            self.p = unpack(moved, self.p)
+        return losses
+
     def tables(self) -> Tables:
         return Tables(self)
 
 
+def pack(p: dict[str, np.ndarray]) -> np.ndarray:
+    return np.concatenate([np.append(v.ravel(), np.zeros(-v.size % WIDTH)).reshape(-1, WIDTH) for v in p.values()])
+
+
+def unpack(rows: np.ndarray, like: dict[str, np.ndarray]) -> dict[str, np.ndarray]:
+    out, at = {}, 0
+    for name, v in like.items():
+        n = -(-v.size // WIDTH)
+        out[name] = rows[at : at + n].ravel()[: v.size].reshape(v.shape)
+        at += n
+    return out
+
+
+def block_sums(p: dict[str, np.ndarray], of: np.ndarray, ids: np.ndarray, target: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """Sums of the gradients over rows of BLOCK tokens with the contexts of ``Tables.log10``, packed like the
+    parameters; one more row holds the sum of the cross-entropies and the number of targets."""
+    far = BLOCK + np.arange(BLOCK)[:, None] - np.arange(2 * BLOCK)[None, :]
+    away = np.clip(far, 0, 2 * BLOCK - 1)
+    bias = np.where(far >= 0, p["d"][away], -1e9).astype(p["e"].dtype)
+    scale = p["e"].dtype.type(1 / np.sqrt(WIDTH))
+    flat = lambda t: t.reshape(-1, t.shape[-1])
+    grads = {name: np.zeros(v.shape) for name, v in p.items()}
+    dx = np.zeros((*ids.shape, WIDTH), p["e"].dtype)
+    loss, count = 0.0, 0
+    for at in range(0, len(ids), GRADIENT_BLOCKS):
+        upto = min(len(ids), at + GRADIENT_BLOCKS)
+        own, before = ids[at:upto], np.maximum(np.arange(at, upto) - 1, 0)
+        x = p["e"][np.hstack([ids[before], own])]
+        q, k, v = x[:, BLOCK:] @ p["q"], x @ p["k"], x @ p["v"]
+        w = np.matmul(q, k.transpose(0, 2, 1)) * scale + bias
+        w[first[at:upto], :, :BLOCK] = -1e9
+        w -= w.max(-1, keepdims=True)
+        np.exp(w, out=w)
+        w /= w.sum(-1, keepdims=True)
+        h = flat(x[:, BLOCK:] + np.matmul(w, v))
+        goal = target[at:upto].ravel()
+        real = np.flatnonzero(goal >= 0)
+        out = h @ p["c"] + p["b"]
+        out -= out.max(1, keepdims=True)
+        np.exp(out, out=out)
+        out /= out.sum(1, keepdims=True)
+        want = of[goal[real]]
+        loss -= float(np.log(np.maximum(out[real, want], 1e-12)).sum(dtype=float))
+        count += len(real)
+        out[real, want] -= 1
+        out[goal < 0] = 0
+        dh = (out @ p["c"].T).reshape(*own.shape, WIDTH)
+        dw = np.matmul(dh, v.transpose(0, 2, 1))
+        da = w * (dw - (dw * w).sum(-1, keepdims=True))
+        dq, dk, dv = np.matmul(da, k) * scale, np.matmul(da.transpose(0, 2, 1), q) * scale, np.matmul(w.transpose(0, 2, 1), dh)
+        around = dk @ p["k"].T + dv @ p["v"].T
+        dx[at:upto] += dh + dq @ p["q"].T + around[:, BLOCK:]
+        inner = ~first[at:upto]
+        dx[before[inner]] += around[inner, :BLOCK]  # a block comes before one other at most
+        grads["q"] += flat(x[:, BLOCK:]).T @ flat(dq)
+        grads["k"] += flat(x).T @ flat(dk)
+        grads["v"] += flat(x).T @ flat(dv)
+        grads["c"] += h.T @ out
+        grads["d"] += np.bincount(away.ravel(), np.where(far >= 0, da.sum(0), 0).ravel(), 2 * BLOCK)
+        grads["b"] += out.sum(0)
+    seen, place = np.unique(ids.ravel(), return_inverse=True)
+    for column in range(WIDTH):
+        grads["e"][seen, column] = np.bincount(place.ravel(), dx[..., column].ravel(), len(seen))
+    end = np.zeros((1, WIDTH))
+    end[0, :2] = loss, count
+    return np.concatenate([pack(grads), end])
+
+
 class Tables:
     """The trained model as lookups per subword, for scoring."""
 

@@ -2,7 +2,8 @@
 
 Spark counts every word of the training documents. The counts give the base score, and, through the
 subwords of each distinct word, the subword shares of the attention model, so both rest on the whole
-training corpus. The attention layer itself is trained on the driver on a bounded sample of windows.
+training corpus. The attention layer is started off on the driver on sampled windows and then trained on
+every subword of the training documents: executors add up gradients, Spark adds them up per parameter row.
 
 The most frequent words are sent to the executors, which look up most tokens; only the other words are
 shuffled to meet their counts.
@@ -10,6 +11,7 @@ shuffled to meet their counts.
 
 from __future__ import annotations
 
+import uuid
 from collections import Counter
 from collections.abc import Callable, Iterator
 from itertools import chain, compress
@@ -22,16 +24,20 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType
 
-from ledgerlake.llm.attention import BLOCK, Attention, Tables, rows_of
-from ledgerlake.llm.common import cut, numbered, smallest_hashes, table, whole_text
+from ledgerlake.llm.attention import BLOCK, WIDTH, Attention, Tables, block_sums, rows_of
+from ledgerlake.llm.common import cut, numbered, shared_dir, smallest_hashes, table, whole_text
 
 TOKENIZER = "/opt/tokenizers/piece_bpe_32k.model"
 BEGIN, END = 1, 2
 FOLDS, HELD_OUT = 7, 2
 #: Words that are sent to executors with their counts, and the longest of them in bytes.
 HEAD_WORDS, HEAD_BYTES = 1 << 17, 64
-#: Windows of 2 * BLOCK subwords that the attention layer is trained on, one from a document.
+#: Windows of 2 * BLOCK subwords that start the attention layer off, one from a document.
 TRAIN_WINDOWS = 4000
+#: Steps in which the whole training corpus is read once, and the fewest words of a step on average.
+WHOLE_STEPS, STEP_WORDS = 32, 4096
+#: Targets of a stored piece (a multiple of BLOCK), words of a step that a task gets, pieces that a task holds at once.
+PIECE, TASK_WORDS, HELD_PIECES = 64 * BLOCK, 1 << 20, 100
 #: Distinct words that a task holds before it passes on its counts or forgets its lookups.
 HELD_WORDS = 400_000
 #: Words of texts that are scored together; longer texts are scored in pieces of this many.
@@ -134,7 +140,7 @@ def training_windows(docs: DataFrame, proto: bytes, windows: int = TRAIN_WINDOWS
 
     place = F.xxhash64(F.col("doc_id"), F.lit("window"))
     rows = docs.where(~held_out(F.col("doc_id")))
-    ids = smallest_hashes(rows.select("doc_id", place.alias("place")), "place", windows).distinct()
+    ids = smallest_hashes(rows.select("doc_id", place.alias("place")).distinct(), "place", windows)
     # at most ``windows`` ids of 16 bytes
     got = rows.join(F.broadcast(ids), "doc_id").select("doc_id", "place", window(whole_text("text"), F.pmod("place", F.lit(1 << 40))).alias("ids"))
     picked = [r["ids"] for r in got.orderBy("place", "doc_id", "ids").limit(windows).collect()]
@@ -146,6 +152,120 @@ def training_windows(docs: DataFrame, proto: bytes, windows: int = TRAIN_WINDOWS
     return ids_, target
 
 
+def _training_pieces(proto: bytes) -> Callable:
+    """(rid, piece, context, ids): all subwords of texts in pieces of PIECE targets, with the block before
+    a piece; the first ``context`` inputs have no target there."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lexicon = Lexicon(proto, [], np.zeros(0))
+        group: list[tuple[int, list[bytes], bool, bool]] = []  # rid, words, from its start, to its end
+        tail: dict[int, tuple[np.ndarray, int]] = {}  # the last inputs of a text's earlier words, and its pieces
+
+        def part() -> pa.RecordBatch:
+            ids, sizes = lexicon.subwords(lexicon.numbers(list(chain.from_iterable(own for _, own, _, _ in group))))
+            ends = np.concatenate([[0], np.cumsum(sizes)])
+            rids, numbers, contexts, held, at = [], [], [], [], 0
+            for rid, own, begins, closes in group:
+                before, number = (np.array([BEGIN]), 0) if begins else tail.pop(rid)
+                row = np.concatenate([before, ids[ends[at] : ends[at + len(own)]], [END] if closes else []]).astype(np.int32)
+                for start in range(len(before) - 1, len(row) - 1, PIECE):
+                    low = max(0, start - BLOCK)
+                    rids.append(rid)
+                    numbers.append(number)
+                    contexts.append(start - low)
+                    held.append(row[low : start + PIECE + 1])
+                    number += 1
+                if not closes:
+                    tail[rid] = row[-BLOCK - 1 :], number
+                at += len(own)
+            group.clear()
+            offsets = np.concatenate([[0], np.cumsum([len(x) for x in held], dtype=np.int32)])
+            lists = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(np.concatenate([np.zeros(0, np.int32), *held])))
+            return pa.RecordBatch.from_arrays(
+                [pa.array(rids, pa.int64()), pa.array(numbers, pa.int64()), pa.array(contexts, pa.int32()), lists], names=["rid", "piece", "context", "ids"]
+            )
+
+        words = 0
+        for batch in batches:
+            for rid, text in zip(batch.column(0).to_pylist(), batch.column(1).cast(pa.binary()).to_pylist(), strict=True):
+                pieces = list(_pieces(words_of(text)))
+                for i, own in enumerate(pieces):
+                    group.append((rid, own, i == 0, i == len(pieces) - 1))
+                    words += len(own) + 1
+                    if words >= GROUP_WORDS:
+                        yield part()
+                        words = 0
+        if group:
+            yield part()
+
+    return run
+
+
+def training_pieces(docs: DataFrame, proto: bytes, tokens: int, steps: int) -> DataFrame:
+    """step, context, ids: every subword of the training documents, dealt to the steps, as a stored table.
+
+    A step lies in files of its own, in so many that a task has about TASK_WORDS words of it.
+    """
+    texts = numbered(docs.where(~held_out(F.col("doc_id"))).select(whole_text("text").alias("text"))).select("rid", "text")
+    rows = texts.mapInArrow(_training_pieces(proto), "rid long, piece long, context int, ids array<int>")
+    deals = max(6, tokens // (steps * TASK_WORDS))
+    rows = rows.withColumn("step", F.pmod(F.xxhash64("rid", "piece"), F.lit(steps)).cast("int"))
+    rows = rows.withColumn("deal", F.pmod(F.xxhash64("piece", "rid", F.lit("deal")), F.lit(deals)))
+    path = f"{shared_dir(docs.sparkSession)}/llm-{uuid.uuid4().hex}"
+    rows.repartition("step", "deal").select("context", "ids", "step").write.partitionBy("step").parquet(path)
+    return docs.sparkSession.read.schema("context int, ids array<int>, step int").parquet(path)
+
+
+def _gradients(sent) -> Callable:
+    """(row, g0, g1, ...): a task's sums of gradients, for the parameter rows that it met."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        p, of = sent.value
+        total = None
+        for batch in batches:
+            for at in range(0, batch.num_rows, HELD_PIECES):
+                some = batch.slice(at, HELD_PIECES)
+                sequences = []
+                for context, ids in zip(some.column(0).to_pylist(), some.column(1), strict=True):
+                    ids = ids.values.to_numpy().astype(np.int64)
+                    goal = ids[1:].copy()
+                    goal[:context] = -1
+                    sequences.append((ids[:-1], goal))
+                sums = block_sums(p, of, *rows_of(sequences)[:3])
+                total = sums if total is None else total + sums
+        if total is not None:
+            met = np.flatnonzero(total.any(axis=1))
+            columns = [pa.array(total[met, i]) for i in range(WIDTH)]
+            yield pa.RecordBatch.from_arrays([pa.array(met, pa.int64()), *columns], names=["row", *(f"g{i}" for i in range(WIDTH))])
+
+    return run
+
+
+def train_whole(model: Attention, pieces: DataFrame, steps: int) -> list[float]:
+    """Trains the model on every piece, a step's pieces at a time; the mean losses on the way.
+
+    Only sums per parameter row, one row each, come to the driver.
+    """
+    context = pieces.sparkSession.sparkContext
+    schema = "row long, " + ", ".join(f"g{i} double" for i in range(WIDTH))
+    size = len(model.packed()) + 1
+
+    def sums() -> Iterator[np.ndarray | None]:
+        for step in range(steps):
+            sent = context.broadcast(({name: v.astype(np.float32) for name, v in model.p.items()}, model.of))
+            parts = pieces.where(F.col("step") == step).select("context", "ids").mapInArrow(_gradients(sent), schema)
+            got = parts.groupBy("row").agg(*(F.sum(f"g{i}").alias(f"g{i}") for i in range(WIDTH))).toArrow()
+            sent.destroy()
+            if not got.num_rows:
+                yield None
+                continue
+            out = np.zeros((size, WIDTH))
+            out[got.column("row").to_numpy()] = np.stack([got.column(f"g{i}").to_numpy() for i in range(WIDTH)], axis=1)
+            yield out
+
+    return model.descend(sums(), steps)
+
+
 _TOOLS: dict[bytes, Callable] = {}
 
 
@@ -291,6 +411,9 @@ def score(docs: DataFrame, tokenizer: str = TOKENIZER) -> DataFrame:
     tokens, distinct, ends = total["n"] or 0, total["v"], total["ends"] or 0
     model = Attention(subword_counts(counts, proto))
     model.train(*training_windows(docs, proto))
+    if tokens:
+        steps = min(WHOLE_STEPS, max(1, tokens // STEP_WORDS))
+        train_whole(model, training_pieces(docs, proto, tokens, steps), steps)
     rows = [(bytes(r["word"]), r["n"]) for r in head_words(counts).orderBy(F.desc("n"), "word").collect()]
     logs = np.log10(np.array([n + 1 for _, n in rows], float))
     sent = docs.sparkSession.sparkContext.broadcast((Lexicon(proto, [w for w, _ in rows], logs), model.tables()))

@@ -6,7 +6,7 @@ from collections import Counter
 import numpy as np
 
 from ledgerlake.llm import lm
-from ledgerlake.llm.attention import BLOCK, Attention, rows_of
+from ledgerlake.llm.attention import BLOCK, Attention, block_sums, rows_of, unpack
 
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
@@ -101,3 +101,47 @@ def test_head_words_are_the_most_frequent_that_fit(spark):
     got = lambda most: sorted(r.n for r in lm.head_words(counts, most).collect())
     assert got(100) == [1, 3, 7, 7, 7, 1000, 4900, 5000]
     assert got(6) == [7, 7, 7, 1000, 4900, 5000] and got(5) == [1000, 4900, 5000] and got(1) == []
+
+
+def test_block_sums_are_gradients_and_loss_of_the_scored_rows():
+    rng = np.random.default_rng(3)
+    model = Attention(rng.integers(1, 50, 300).astype(float))
+    x, y = rng.integers(0, 300, 3 * BLOCK + 3), rng.integers(0, 300, 3 * BLOCK + 3)
+    rows, target, first, _ = rows_of([(x[:5], y[:5]), (x, y)])
+    value = lambda p: block_sums(p, model.of, rows, target, first)
+    got = value(model.p)
+    chances = model.tables().log10(rows, target, first)[target >= 0] - model.share[target[target >= 0]]
+    assert math.isclose(got[-1, 0], -chances.sum() * math.log(10), rel_tol=1e-4) and got[-1, 1] == 5 + len(x)
+    grads = unpack(got[:-1], model.p)
+    for name, values in model.p.items():
+        at = (x[BLOCK + 1], 2) if name == "e" else tuple(rng.integers(0, s) for s in values.shape)
+        old, values[at] = values[at], values[at] + 1e-5
+        up = value(model.p)[-1, 0]
+        values[at] = old - 1e-5
+        down = value(model.p)[-1, 0]
+        values[at] = old
+        assert math.isclose((up - down) / 2e-5, grads[name][at], rel_tol=1e-3, abs_tol=1e-6)
+
+
+def test_every_subword_of_the_training_documents_is_trained_on_once(spark, docs_of, monkeypatch):
+    monkeypatch.setattr(lm, "GROUP_WORDS", 700)
+    monkeypatch.setattr(lm, "PIECE", 4 * BLOCK)
+    proto = open(lm.TOKENIZER, "rb").read()
+    rows = [(i, " ".join(f"word{i * j % 91}" for j in range(n))) for i, n in enumerate([1, 3000, 40, 64, 0, 700, 701])] + [(None, "x"), (5, "again")]
+    docs = docs_of(rows)
+    pieces = lm.training_pieces(docs, proto, 1000, 3).collect()
+    target = Counter(t for r in pieces for t in r.ids[r.context + 1 :])
+    counts = lm.subword_counts(lm.word_counts(docs), proto)
+    assert {i: n for i, n in enumerate(counts.tolist()) if n} == target and {r.step for r in pieces} == {0, 1, 2}
+    assert all(r.context in (0, BLOCK) and (r.context or r.ids[0] == lm.BEGIN) for r in pieces)
+
+
+def test_words_outside_the_sampled_windows_are_learned(spark, docs_of, monkeypatch):
+    """The sample is one text of one kind; the other kinds' word pairs are learned from the whole corpus."""
+    windows = lm.training_windows
+    monkeypatch.setattr(lm, "training_windows", lambda docs, proto: windows(docs, proto, 1))
+    train = [i for i in range(1000) if zlib.crc32(str(i).encode()) % 7 != 2]
+    pairs = ("sun moon ", "red blue ", "cat dog ", "tea milk ")
+    docs = docs_of([(i, pairs[n % 4] * 300) for n, i in enumerate(train[:80])])
+    got = lm.score(docs).selectExpr("score / n_tokens AS each").collect()
+    assert sum(r.each for r in got) / len(got) > -0.6
