@@ -1,7 +1,8 @@
 """Main text of web pages by consensus host paths.
 
 First every page scores its containers by how much of the page's good text (outside menus, headers,
-footers and the like) they hold, under a generalised path of tags and classes, and votes for the best.
+footers and the like) they hold, under a generalised path of tags and classes, and votes for the best,
+or for a container around it that adds good text.
 Spark adds the votes up per host and path. Then every page is read again with its host's winning path; a page that
 lacks it is read with its own best one.
 """
@@ -10,7 +11,7 @@ from __future__ import annotations
 
 import html
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -64,12 +65,12 @@ _WORD = re.compile(r"[a-z]+")
 
 
 class _Open:
-    """An open element: its tag, generalised path, whether its text is skipped, and its container."""
+    """An open element: its tag, generalised path, whether its text is skipped, its container, and whether it is in a link."""
 
-    __slots__ = ("container", "path", "skip", "tag")
+    __slots__ = ("container", "link", "path", "skip", "tag")
 
-    def __init__(self, tag: str, path: str, skip: bool, container: str):
-        self.tag, self.path, self.skip, self.container = tag, path, skip, container
+    def __init__(self, tag: str, path: str, skip: bool, container: str, link: bool):
+        self.tag, self.path, self.skip, self.container, self.link = tag, path, skip, container, link
 
 
 def _attributes(rest: str) -> dict[str, str]:
@@ -91,18 +92,24 @@ def _step(tag: str, attributes: dict[str, str]) -> str:
     return tag + "".join(f".{c}" for c in names)
 
 
-def blocks(page: str) -> Iterator[tuple[str, tuple[str, ...]]]:
-    """The page's good text in blocks, each with the paths of the containers around it, outermost first."""
-    stack = [_Open("", "", False, "")]
+def blocks(page: str) -> Iterator[tuple[str, tuple[str, ...], bool]]:
+    """The page's good text in blocks, each with the paths of the containers around it, outermost first, and
+    whether most of it is links."""
+    stack = [_Open("", "", False, "", False)]
     trail: list[str] = [""]  # of the containers in the stack
     text: list[str] = []
+    linked = 0
 
-    def flush() -> Iterator[tuple[str, tuple[str, ...]]]:
+    def flush() -> Iterator[tuple[str, tuple[str, ...], bool]]:
+        nonlocal linked
         if text:
-            block = " ".join(html.unescape("".join(text)).split())
+            joined = "".join(text)
+            block = " ".join(html.unescape(joined).split())
+            most = 2 * linked > len(joined)
             text.clear()
+            linked = 0
             if block:
-                yield block, tuple(trail)
+                yield block, tuple(trail), most
 
     def pop() -> None:
         if stack.pop().container:
@@ -114,6 +121,7 @@ def blocks(page: str) -> Iterator[tuple[str, tuple[str, ...]]]:
         stop = m.start() if m else len(page)
         if stop > at and not stack[-1].skip:
             text.append(page[at:stop])
+            linked += stop - at if stack[-1].link else 0
         if not m:
             break
         at = m.end()
@@ -160,7 +168,7 @@ def blocks(page: str) -> Iterator[tuple[str, tuple[str, ...]]]:
         top = stack[-1]
         path = top.path if tag in INLINE else f"{top.path}/{_step(tag, attributes)}"
         skip, container = top.skip or _skips(tag, attributes), path if tag in CONTAINERS else ""
-        stack.append(_Open(tag, path, skip, container))
+        stack.append(_Open(tag, path, skip, container, top.link or tag == "a"))
         if container:
             trail.append(container)
     yield from flush()
@@ -168,16 +176,21 @@ def blocks(page: str) -> Iterator[tuple[str, tuple[str, ...]]]:
 
 def container_scores(page: str) -> dict[str, float]:
     """Container path -> score, for a page with any good text."""
+    return _scores(blocks(page))
+
+
+def _scores(found: Iterable[tuple[str, tuple[str, ...], bool]]) -> dict[str, float]:
+    found = list(found)
+    found = [block for block in found if not block[2]] or found  # links count only on a page of links
     held: dict[str, int] = {}
     total = 0
-    for text, trail in blocks(page):
+    for text, trail, _ in found:
         total += len(text)
         for path in dict.fromkeys(trail):
             held[path] = held.get(path, 0) + len(text)
 
     def score(path: str, size: int) -> float:
-        last = path.rpartition("/")[2].partition(".")[0]
-        return size / total * (1 + DEPTH_BONUS * path.count("/")) + (ARTICLE_BONUS if last in ARTICLE_TAGS else 0.0)
+        return size / total * (1 + DEPTH_BONUS * path.count("/")) + (ARTICLE_BONUS if _tag(path) in ARTICLE_TAGS else 0.0)
 
     return {path: score(path, size) for path, size in held.items()}
 
@@ -185,9 +198,36 @@ def container_scores(page: str) -> dict[str, float]:
 def main_text(page: str, path: str | None) -> tuple[str, str]:
     """The text under ``path``, or under the page's own best container if it has none; and that path."""
     found = list(blocks(page))
-    if path is None or not any(path in trail for _, trail in found):
-        path = best(container_scores(page))
-    return "\n\n".join(text for text, trail in found if path in trail), path
+    if path is None or not any(path in trail for _, trail, _ in found):
+        path = whole(found, best(_scores(found)))
+    return "\n\n".join(text for text, trail, _ in found if path in trail), path
+
+
+def whole(found: list[tuple[str, tuple[str, ...], bool]], path: str) -> str:
+    """``path``, or the outermost container around it up to which each adds as much good text as other text.
+
+    Other text is links, and what lies in a container of its own in the page's body or beside an article.
+    """
+    around = next((trail[: trail.index(path)] for _, trail, _ in found if path in trail), ())
+    alone = _tag(path) in ARTICLE_TAGS
+    for outer in reversed(around):
+        good = other = 0
+        for text, trail, links in found:
+            if outer in trail and path not in trail:
+                apart = trail[-1] != outer and (alone or _tag(outer) in ("", "body"))
+                if links or apart:
+                    other += len(text)
+                else:
+                    good += len(text)
+        if other > good:
+            break
+        if good:
+            path = outer
+    return path
+
+
+def _tag(path: str) -> str:
+    return path.rpartition("/")[2].partition(".")[0]
 
 
 def best(scores: dict[str, float]) -> str:
@@ -198,8 +238,9 @@ def _vote(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         sums: dict[tuple[str, str], tuple[int, float]] = {}
         for host, page in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-            scores = container_scores(page)
-            first = best(scores)
+            found = list(blocks(page))
+            scores = _scores(found)
+            first = whole(found, best(scores))
             for path, score in scores.items():
                 votes, total = sums.get((host, path), (0, 0.0))
                 sums[host, path] = (votes + (path == first), total + score)

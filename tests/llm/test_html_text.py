@@ -62,3 +62,21 @@ def test_nested_article_beats_the_body():
     scores = container_scores("<body><div><article><p>long text here</p></article></div><p>tail</p></body>")
     assert max(scores, key=scores.get) == "/body/div/article"
     assert winning_paths is not None
+
+
+@pytest.mark.parametrize("words", [20, 2000])
+@pytest.mark.parametrize(
+    ("page", "text"),
+    [
+        ("<body><div class=post><h1>Head</h1><div class=body><p>{0}</p></div></div></body>", "Head\n\n{0}"),
+        ("<body><div class=post><div class=lead>Lead</div><div class=body><p>{0}</p></div></div><div><a href=x>more links</a></div></body>", "Lead\n\n{0}"),
+        ("<body><h1>Head</h1><div class=body><p>{0}</p></div></body>", "Head\n\n{0}"),
+        ("<body><main><h1>Head</h1><article><p>{0}</p></article></main></body>", "Head\n\n{0}"),
+        ("<body><div><div class=body><p>{0}</p></div><div><a href=x>one</a> <a href=y>two</a></div></div></body>", "{0}"),
+        ("<body><div><article><p>{0}</p></article><div><p>other</p></div></div></body>", "{0}"),
+    ],
+)
+def test_headlines_stay_with_short_and_long_bodies(spark, page, text, words):
+    body = " ".join(["word"] * words)
+    assert main_text(page.format(body), None)[0] == text.format(body)
+    assert extract(pages_of(spark, [(1, "http://a.org/1", page.format(body))])).first().text == text.format(body)
