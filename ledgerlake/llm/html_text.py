@@ -45,13 +45,18 @@ CLOSES = {
     "option": (("option",), ("select",)),
 }
 ARTICLE_TAGS = frozenset(("article", "main"))
-#: Words of a class or id that mark what is no article.
+#: First or last words of a class or id that mark what is no article.
 MARKED = frozenset(
     "ad ads advert adverts advertisement advertising adsense banner promo promotion sponsor sponsored sidebar menu nav navbar "
     "navigation breadcrumb breadcrumbs footer header masthead cookie cookies consent notice gdpr popup modal overlay newsletter "
     "subscribe subscription social share sharing related recommended comment comments disqus respond reply replies login signup "
     "widget pagination pager toolbar".split()
 )
+#: Words that turn a marked word into a statement about the element: it has a sidebar, or none.
+STATES = frozenset("has have with without no not hide hides show shows layout elementor free".split())
+#: A block under a marked name is kept where that name holds more than this share of the page's text: for
+#: one marked word as a whole class or id, and for one in a longer name.
+WHOLE_SHARE, PART_SHARE = 0.9, 0.5
 ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar toolbar".split())
 
 _TOKEN = re.compile(
@@ -65,12 +70,13 @@ _WORD = re.compile(r"[a-z]+")
 
 
 class _Open:
-    """An open element: its tag, generalised path, whether its text is skipped, its container, and whether it is in a link."""
+    """An open element: its tag, generalised path, whether its text is skipped, its container, whether it is in
+    a link, and the marked names around its text."""
 
-    __slots__ = ("container", "link", "path", "skip", "tag")
+    __slots__ = ("container", "link", "marks", "path", "skip", "tag")
 
-    def __init__(self, tag: str, path: str, skip: bool, container: str, link: bool):
-        self.tag, self.path, self.skip, self.container, self.link = tag, path, skip, container, link
+    def __init__(self, tag: str, path: str, skip: bool, container: str, link: bool, marks: tuple[int, ...]):
+        self.tag, self.path, self.skip, self.container, self.link, self.marks = tag, path, skip, container, link, marks
 
 
 def _attributes(rest: str) -> dict[str, str]:
@@ -82,9 +88,24 @@ def _skips(tag: str, attributes: dict[str, str]) -> bool:
         return True
     if not attributes or tag in ("html", "body"):
         return False
-    marks = _WORD.findall(f"{attributes.get('class', '')} {attributes.get('id', '')}".lower())
     hidden = "hidden" in attributes or attributes.get("aria-hidden") == "true" or "display:none" in attributes.get("style", "").replace(" ", "")
-    return hidden or not MARKED.isdisjoint(marks) or attributes.get("role", "").lower() in ROLES
+    return hidden or attributes.get("role", "").lower() in ROLES
+
+
+def _mark(tag: str, attributes: dict[str, str]) -> float:
+    """0, or the share of the page's text up to which an element's class and id say that it is no article.
+
+    A class or id counts by its first and last word, and not at all with a word of STATES. Elements that
+    name the article don't count.
+    """
+    if not attributes or tag in ("html", "body") or tag in ARTICLE_TAGS:
+        return 0.0
+    out = 0.0
+    for name in f"{attributes.get('class', '')} {attributes.get('id', '')}".lower().split():
+        words = _WORD.findall(name)
+        if words and STATES.isdisjoint(words) and (words[0] in MARKED or words[-1] in MARKED):
+            out = max(out, WHOLE_SHARE if len(words) == 1 else PART_SHARE)
+    return out
 
 
 def _step(tag: str, attributes: dict[str, str]) -> str:
@@ -94,13 +115,26 @@ def _step(tag: str, attributes: dict[str, str]) -> str:
 
 def blocks(page: str) -> Iterator[tuple[str, tuple[str, ...], bool]]:
     """The page's good text in blocks, each with the paths of the containers around it, outermost first, and
-    whether most of it is links."""
-    stack = [_Open("", "", False, "", False)]
+    whether most of it is links. A marked name takes no block away if it holds too much of the page's text."""
+    marks: list[float] = []
+    every = list(_marked_blocks(page, marks))
+    held, total = [0] * len(marks), sum(len(text) for text, _, _, _ in every)
+    for text, _, _, within in every:
+        for i in within:
+            held[i] += len(text)
+    for text, trail, links, within in every:
+        if all(held[i] > marks[i] * total for i in within):
+            yield text, trail, links
+
+
+def _marked_blocks(page: str, marks: list[float]) -> Iterator[tuple[str, tuple[str, ...], bool, tuple[int, ...]]]:
+    """The blocks outside skipped elements, with the places in ``marks`` of the marked names around them."""
+    stack = [_Open("", "", False, "", False, ())]
     trail: list[str] = [""]  # of the containers in the stack
     text: list[str] = []
     linked = 0
 
-    def flush() -> Iterator[tuple[str, tuple[str, ...], bool]]:
+    def flush() -> Iterator[tuple[str, tuple[str, ...], bool, tuple[int, ...]]]:
         nonlocal linked
         if text:
             joined = "".join(text)
@@ -109,7 +143,7 @@ def blocks(page: str) -> Iterator[tuple[str, tuple[str, ...], bool]]:
             text.clear()
             linked = 0
             if block:
-                yield block, tuple(trail), most
+                yield block, tuple(trail), most, stack[-1].marks
 
     def pop() -> None:
         if stack.pop().container:
@@ -137,6 +171,8 @@ def blocks(page: str) -> Iterator[tuple[str, tuple[str, ...], bool]]:
             text.append(" ")
         if closing:
             if any(e.tag == tag for e in stack):
+                if stack[-1].tag != tag and stack[-1].marks:  # a marked element may end here
+                    yield from flush()
                 while stack[-1].tag != tag:
                     pop()
                 pop()
@@ -168,7 +204,13 @@ def blocks(page: str) -> Iterator[tuple[str, tuple[str, ...], bool]]:
         top = stack[-1]
         path = top.path if tag in INLINE else f"{top.path}/{_step(tag, attributes)}"
         skip, container = top.skip or _skips(tag, attributes), path if tag in CONTAINERS else ""
-        stack.append(_Open(tag, path, skip, container, top.link or tag == "a"))
+        own, within = 0.0 if skip else _mark(tag, attributes), top.marks
+        if own and tag in INLINE:
+            skip = True
+        elif own:
+            marks.append(own)
+            within = (*within, len(marks) - 1)
+        stack.append(_Open(tag, path, skip, container, top.link or tag == "a", within))
         if container:
             trail.append(container)
     yield from flush()

@@ -80,3 +80,18 @@ def test_headlines_stay_with_short_and_long_bodies(spark, page, text, words):
     body = " ".join(["word"] * words)
     assert main_text(page.format(body), None)[0] == text.format(body)
     assert extract(pages_of(spark, [(1, "http://a.org/1", page.format(body))])).first().text == text.format(body)
+
+
+@pytest.mark.parametrize(
+    "names",
+    ["class='content has-sidebar'", "id='main' class='layout-no-sidebar'", "class='elementor-widget post-text'", "class='post with-comments'", "class='widget'", "class='menu-open'"],
+)
+@pytest.mark.parametrize("tag", ["div", "article"])
+def test_wrappers_with_marked_words_keep_their_text(tag, names):
+    page = f"<body><div class='site-menu'>Home</div><{tag} {names}><p>{'word ' * 40}</p><div class='comment-list'>c</div></{tag}><div id=sidebar>s</div></body>"
+    assert main_text(page, None)[0] == ("word " * 40).strip()
+
+
+def test_long_comments_stay_out():
+    page = f"<body><div class=post><p>{'word ' * 40}</p></div><div id=comments><p>{'reply ' * 100}</p></div></body>"
+    assert main_text(page, None)[0] == ("word " * 40).strip()
