@@ -4,11 +4,12 @@ Every rolling word k-gram of a document is joined with the k-grams of license te
 document word i and template word j votes for the diagonal i - j: words that follow a template vote
 for one diagonal, an inserted or dropped word moves the rest to a neighbouring one. Votes are added up per
 diagonal, neighbouring diagonals are merged into spans, and a span counts when it holds enough of its
-template's k-grams. The base phrases are templates too, of which every k-gram must be hit.
+template's k-grams, each once and in the template's order. The base phrases are templates too, of which every k-gram must be hit.
 """
 
 from __future__ import annotations
 
+from bisect import bisect_left
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -143,27 +144,65 @@ def spans(grams: DataFrame, every: list[Template]) -> DataFrame:
     # the templates are a fixed list of a few hundred k-grams
     joined = hits.join(F.broadcast(template_grams(spark, every)), ["k", "hash"])
     diagonal = joined.groupBy("rid", "template", (F.col("i") - F.col("at")).alias("diagonal")).agg(
-        F.countDistinct("at").alias("votes"), F.min("i").alias("first"), F.max("i").alias("last")
+        F.countDistinct("at").alias("votes"), F.min("i").alias("first"), F.max("i").alias("last"), F.collect_set(F.struct("i", "at")).alias("hits")
     )
     diagonal = diagonal.join(F.broadcast(template_sizes(spark, every)), "template")
     exact = diagonal.where("base and votes = grams").select("rid", "label", "base", "first", (F.col("last") + F.col("k") - 1).alias("last"), F.lit(1.0).alias("coverage"))
     order = Window.partitionBy("rid", "template").orderBy("diagonal")
     far = F.col("diagonal") - F.lag("diagonal").over(order) > DRIFT
-    merged = (
+    run = ["rid", "template", "run"]
+    same = Window.partitionBy(*run)
+    runs = (
         diagonal.where("not base")
         .withColumn("run", F.sum(F.when(far, 1).otherwise(0)).over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
-        .groupBy("rid", "template", "run")
-        .agg(F.sum("votes").alias("votes"), F.min("first").alias("first"), F.max("last").alias("last"), F.first("label").alias("label"), F.first("k").alias("k"), F.first("grams").alias("grams"))
+        .withColumn("wide", F.max("last").over(same) - F.min("first").over(same) >= 2 * (F.col("grams") + DRIFT))
     )
-    coverage = F.least(F.lit(1.0), F.col("votes") / F.col("grams"))
-    # a span much longer than its template is scattered hits, no copy of it
-    close = F.col("last") - F.col("first") < 2 * (F.col("grams") + DRIFT)
-    verified = merged.where((coverage >= COVERAGE) & close)
+    near = runs.where("not wide").groupBy(*run, "label", "k", "grams").agg(F.flatten(F.collect_list("hits")).alias("hits"))
+    # a run much longer than its template may hold many copies: each diagonal with those up to a template's length after it
+    longest = max(len(t.words) for t in every)
+    after = F.flatten(F.collect_list("hits").over(same.orderBy("diagonal").rangeBetween(0, longest - 1)))
+    wide = runs.where("wide").withColumn("hits", after)
+    wide = wide.withColumn("hits", F.expr("filter(hits, h -> h.i - h.at < diagonal + grams + k - 1)"))
+    parts = [x.select(*run, "label", "k", "grams", "hits") for x in (near, wide)]
+    places = F.size(F.array_distinct("hits.at"))
+    likely = parts[0].unionByName(parts[1]).where(places / F.col("grams") >= COVERAGE)
+    schema = "rid long, template int, run long, label string, first long, last long, coverage double"
+    found = likely.mapInArrow(_in_order, schema).where(F.col("coverage") >= COVERAGE)
+    found = found.groupBy(*run, "label").agg(F.max(F.struct("coverage", (-F.col("first")).alias("first"), "last")).alias("best"))
     return exact.unionByName(
-        verified.select("rid", "label", F.lit(False).alias("base"), "first", (F.col("last") + F.col("k") - 1).alias("last"), coverage.alias("coverage"))
+        found.select("rid", "label", F.lit(False).alias("base"), (-F.col("best.first")).alias("first"), "best.last", "best.coverage")
     )
 
 
+def in_order(hits: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """The most hits (document word, template word) in which both words go up, so that no place counts twice."""
+    hits = sorted(hits, key=lambda h: (h[0], -h[1]))
+    ends: list[int] = []  # the lowest template word that ends a chain of each length
+    last: list[int] = []  # the hit that has it
+    earlier: list[int] = []
+    for n, (_, at) in enumerate(hits):
+        place = bisect_left(ends, at)
+        earlier.append(last[place - 1] if place else -1)
+        ends[place : place + 1], last[place : place + 1] = [at], [n]
+    out, n = [], last[-1] if last else -1
+    while n >= 0:
+        out.append(hits[n])
+        n = earlier[n]
+    return out[::-1]
+
+
+def _in_order(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        rid, template, run, label, k, grams, hits = batch.columns
+        chains = [in_order([(h["i"], h["at"]) for h in own]) for own in hits.to_pylist()]
+        first = pa.array([c[0][0] for c in chains], pa.int64())
+        last = pa.array([c[-1][0] + n - 1 for c, n in zip(chains, k.to_pylist(), strict=True)], pa.int64())
+        coverage = pa.array([len(c) / n for c, n in zip(chains, grams.to_pylist(), strict=True)], pa.float64())
+        yield pa.RecordBatch.from_arrays(
+            [rid, template, run, label, first, last, coverage], names=["rid", "template", "run", "label", "first", "last", "coverage"]
+        )
+
+
 def scan(docs: DataFrame, every: list[Template] | None = None) -> DataFrame:
     """doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score for every row of ``docs``.
 

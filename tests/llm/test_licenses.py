@@ -1,6 +1,6 @@
 import re
 
-from ledgerlake.llm.licenses import PHRASES, TEXTS, scan
+from ledgerlake.llm.licenses import PHRASES, TEXTS, in_order, scan
 
 
 def brute(text):
@@ -49,3 +49,30 @@ def test_edited_texts_are_found_and_scattered_words_are_not(docs_of):
     assert (by[5][0].n_words, by[5][0].n_base, by[5][0].labels, by[5][0].first_word) == (0, 0, "", None)
     assert by[None][0].base_labels == "gpl"
     assert scan(docs_of([])).collect() == []
+
+
+def test_copies_in_a_row_are_found_and_one_place_counts_once(docs_of):
+    line, mit = "Licensed under CC BY 4.0\n", TEXTS[1][0].split()
+    edited = " ".join(mit[:12] + ["freely"] + mit[12:25] + mit[27:])
+    rows = [
+        (1, line),
+        (2, line * 4),
+        (3, line * 3000),
+        (4, "released under the mit or released under the mit"),
+        (5, "under the mit license and released under the mit"),
+        (6, "released under the mit license " * 40),
+        (7, f"{edited} " * 5),
+        (8, "Licensed under the CC BY 4.0 " * 9),
+    ]
+    by = {r.doc_id: r for r in scan(docs_of(rows)).collect()}
+    assert [(by[i].labels, by[i].score) for i in (1, 2, 3, 6)] == [("cc-by", 1.0)] * 3 + [("mit", 1.0)]
+    assert [(by[i].labels, by[i].score) for i in (4,)] == [("", 0.0)]
+    assert (by[5].base_labels, by[5].score) == ("mit", 1.0)  # the base phrase is there
+    assert by[7].labels == "mit" and 0.6 <= by[7].score < 1
+    assert (by[8].labels, by[8].score) == ("", 0.0)
+
+
+def test_hits_in_order_count_each_place_once():
+    assert in_order([(0, 0), (5, 0)]) in ([(0, 0)], [(5, 0)])
+    assert in_order([(4, 0), (0, 1)]) in ([(4, 0)], [(0, 1)])
+    assert in_order([(0, 0), (1, 1), (3, 2), (7, 1), (9, 3)]) == [(0, 0), (1, 1), (3, 2), (9, 3)]
