@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Callable, Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -20,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, LongType, StructField, StructType
 
-from ledgerlake.llm.common import table, whole_text
+from ledgerlake.llm.common import cut, table, whole_text
 from ledgerlake.llm.words import words_of
 
 SHINGLE_WORDS = 5
@@ -88,30 +89,34 @@ class Items:
         return out
 
 
-def _blocks(items: DataFrame) -> Iterator[list[tuple[int, str | None]]]:
-    """The items in blocks of about BLOCK_SHINGLES shingles; a block is what the driver holds."""
+def _blocks(items: DataFrame) -> Iterator[tuple[list[tuple[int, str | None]], bool]]:
+    """The items in blocks of about BLOCK_SHINGLES shingles, and whether there is one only; a block is what
+    the driver holds."""
     rows = items.select(F.col("item_id").cast("long").alias("item_id"), "text")
     words = rows.agg(F.sum(F.regexp_count(whole_text("text"), F.lit(r"\S+")))).first()[0] or 0
     parts = max(1, -(-words // BLOCK_SHINGLES))
     for p in range(parts):
         block = rows.where(F.pmod(F.xxhash64("item_id", whole_text("text")), F.lit(parts)) == p)
-        yield [tuple(r) for r in block.distinct().collect()]
+        yield [tuple(r) for r in block.distinct().collect()], parts == 1
 
 
-def _search(rows: list[tuple[int, str | None]], threshold: float, spark) -> Callable[[Column], Column]:
-    sent = spark.sparkContext.broadcast(Items(rows, threshold))
-
+def _search(sent) -> Callable[[Column], Column]:
     @F.pandas_udf(HITS)
     def search(texts: pd.Series) -> pd.Series:
         return pd.Series([sent.value.find(t.encode()) for t in texts], dtype=object)
 
-    return search
+    return lambda text: search(whole_text(text))
 
 
-def leaks(text: Column, items: DataFrame, threshold: float = THRESHOLD) -> Column:
-    """An array of (item, shared, item_shingles): the items that ``text`` contains."""
-    found = [_search(rows, threshold, items.sparkSession)(whole_text(text)) for rows in _blocks(items)]
-    return F.concat(*found) if len(found) > 1 else found[0]
+def _each_block(items: DataFrame, threshold: float, run: Callable[[Callable[[Column], Column], bool], None]) -> None:
+    """``run`` with the search of every block and whether it is the only one; else ``run`` writes what it
+    finds, and the block is released after it."""
+    context = items.sparkSession.sparkContext
+    for rows, only in _blocks(items):
+        sent = context.broadcast(Items(rows, threshold))
+        run(_search(sent), only)
+        if not only:
+            sent.destroy()
 
 
 def contaminated(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
@@ -123,8 +128,14 @@ def contaminated(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD
     rows of their own, repeated items (same id and text) one. Other columns are ignored; an empty table on
     either side gives an empty result.
     """
-    hits = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.explode(leaks(F.col("text"), items, threshold)).alias("hit"))
-    return hits.select(
+    parts: list[DataFrame] = []
+
+    def run(search: Callable[[Column], Column], only: bool) -> None:
+        found = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.explode(search(F.col("text"))).alias("hit"))
+        parts.append(found if only else cut(found))
+
+    _each_block(items, threshold, run)
+    return reduce(DataFrame.unionByName, parts).select(
         "doc_id",
         F.col("hit.item").alias("item_id"),
         "hit.shared",
@@ -134,8 +145,19 @@ def contaminated(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD
 
 
 def clean(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """``docs`` without the rows that contain an item; no row is shuffled."""
-    return docs.where(F.size(leaks(F.col("text"), items, threshold)) == 0)
+    """``docs`` without the rows that contain an item; no row is shuffled.
+
+    With several blocks of items, what each leaves is written for the next.
+    """
+    left = docs
+
+    def run(search: Callable[[Column], Column], only: bool) -> None:
+        nonlocal left
+        left = left.where(F.size(search(F.col("text"))) == 0)
+        left = left if only else cut(left)
+
+    _each_block(items, threshold, run)
+    return left
 
 
 SQL = f"""

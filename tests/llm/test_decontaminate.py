@@ -1,5 +1,8 @@
 import re
 
+from pyspark.core.broadcast import Broadcast
+
+from ledgerlake.llm import decontaminate
 from ledgerlake.llm.decontaminate import Items, clean, contaminated, need
 
 ITEM = "The quick brown fox jumps over the lazy dog, while seven other dogs sleep in the warm sun."
@@ -66,3 +69,18 @@ def test_empty_tables(spark, docs_of):
     assert contaminated(docs_of([]), items_of(spark, [(1, ITEM)])).collect() == []
     assert contaminated(docs_of([(1, ITEM)]), items_of(spark, [])).collect() == []
     assert clean(docs_of([(1, ITEM)]), items_of(spark, [])).count() == 1
+
+
+def test_blocks_of_items_are_searched_one_after_the_other(spark, docs_of, monkeypatch):
+    """However many blocks, a plan holds the search of one at most, and each block is released."""
+    monkeypatch.setattr(decontaminate, "BLOCK_SHINGLES", 20)
+    texts = [" ".join(f"w{i}x{j}" for j in range(12)) for i in range(9)]
+    docs = docs_of([(i, f"a {t} b") for i, t in enumerate(texts)] + [(99, "clean words only")])
+    items = items_of(spark, [(i, t) for i, t in enumerate(texts)])
+    released = []
+    destroy = Broadcast.destroy
+    monkeypatch.setattr(Broadcast, "destroy", lambda self, *a: (released.append(self), destroy(self, *a))[1])
+    got = contaminated(docs, items)
+    assert sorted((r.doc_id, r.item_id, r.shared) for r in got.collect()) == [(i, i, 8) for i in range(9)]
+    assert len(released) > 2 and "search" not in got._jdf.queryExecution().toString()
+    assert [r.doc_id for r in clean(docs, items).collect()] == [99]
