@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from ledgerlake.llm import decontaminate, exact_dedup, html_text, licenses, lm, mixing, pii, quality, sharding, simhash
+from ledgerlake.llm import clustering, decontaminate, exact_dedup, html_text, licenses, lm, mixing, pii, quality, sharding, simhash
 
 QUERIES = {
     "op1_diagonal_licenses": licenses.op1_diagonal_licenses,
@@ -15,6 +15,7 @@ QUERIES = {
     "op8_minhash_containment": decontaminate.op8_minhash_containment,
     "op9_source_schedule": mixing.op9_source_schedule,
     "op10_additive_quality": quality.op10_additive_quality,
+    "op11_ptolemaic_clusters": clustering.op11_ptolemaic_clusters,
 }
 
 SQL = {
@@ -23,4 +24,5 @@ SQL = {
     "op7_hash_tree_shards": sharding.SQL,
     "op8_minhash_containment": decontaminate.SQL,
     "op9_source_schedule": mixing.SQL,
+    "op11_ptolemaic_clusters": clustering.SQL,
 }
