@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from ledgerlake.llm import clustering, decontaminate, exact_dedup, html_text, licenses, lm, mixing, pii, quality, sharding, simhash, token_files
+from ledgerlake.llm import clustering, conversations, decontaminate, exact_dedup, html_text, licenses, lm, mixing, pii, quality, sharding, simhash, token_files
 
 QUERIES = {
     "op1_diagonal_licenses": licenses.op1_diagonal_licenses,
@@ -16,6 +16,7 @@ QUERIES = {
     "op9_source_schedule": mixing.op9_source_schedule,
     "op10_additive_quality": quality.op10_additive_quality,
     "op11_ptolemaic_clusters": clustering.op11_ptolemaic_clusters,
+    "op12_prefix_doubling_repair": conversations.op12_prefix_doubling_repair,
     "op13_flat_token_files": token_files.op13_flat_token_files,
 }
 
