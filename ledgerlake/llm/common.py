@@ -109,3 +109,19 @@ def pick(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     if wanted.where("_rows > 1").isEmpty():
         return found
     return found.where("_rows = 1").unionByName(found.where("_rows > 1").dropDuplicates(ROW_KEY))
+
+
+def _crc_table() -> list[int]:
+    out = []
+    for n in range(256):
+        for _ in range(8):
+            n = (n >> 1) ^ (0xEDB88320 if n & 1 else 0)
+        out.append(n)
+    return out
+
+
+def crc32_sql(text: str) -> str:
+    """DuckDB expression: the unsigned CRC-32 of a text's UTF-8 bytes."""
+    listed = f"list_transform(regexp_extract_all(hex(encode({text})), '..'), lambda h: ('0x' || h)::BIGINT)"
+    step = f"xor(crc >> 8, ({_crc_table()}::BIGINT[])[(xor(crc, b) & 255) + 1])"
+    return f"xor(4294967295, list_reduce({listed}, lambda crc, b: {step}, 4294967295::BIGINT))"

@@ -26,7 +26,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlake.llm.common import cut, numbered, table
+from ledgerlake.llm.common import crc32_sql, cut, numbered, table
 
 SPACE = " \t\n\x0b\x0c\r"
 #: A row's code is 4 * role + fault.
@@ -416,6 +416,90 @@ def repair_report(rows: DataFrame, ids: DataFrame | None = None) -> DataFrame:
     )
 
 
+def _sql() -> str:
+    """The same repairs by a recursion over rows that keeps, for each last role, the least (cost, audit) and its rows."""
+    never = "{'c': 1099511627776, 'a': '', 'o': []::VARCHAR[]}"
+
+    def step(state: str, cost: str, letter: str, row: str | None) -> str:
+        rows = f"list_append({state}.o, {row})" if row else f"{state}.o"
+        return f"{{'c': {state}.c + {cost}, 'a': {state}.a || '{letter}', 'o': {rows}}}"
+
+    def least(*options: str) -> str:
+        return f"list_sort([{', '.join(options)}])[1]"
+
+    def when(condition: str, option: str) -> str:
+        return f"CASE WHEN {condition} THEN {option} ELSE {never} END"
+
+    def keep(state: str, initial: str) -> str:
+        return when(f"NOT gone AND initial = '{initial}'", step(state, "extra", "K", "role || ':' || text"))
+
+    def rerole(state: str, role: str) -> str:
+        return when("NOT gone", step(state, f"{REROLE} + extra", "R", f"'{role}:' || text"))
+
+    def dropped(state: str) -> str:
+        return step(state, str(DELETE), "D", None)
+
+    user = least("s2", *[step(s, str(INSERT), "I", "'user:'") for s in ("s0", "s1", "s3")])
+    assistant = least("s3", step("u", str(INSERT), "I", "'assistant:'"))
+    return f"""
+WITH RECURSIVE struck AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text, row_number() OVER () AS rid,
+    {crc32_sql("coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ')")} % 20 AS how
+  FROM conversations
+),
+hurt AS (
+  SELECT conv_id, turn, rid, time, CASE WHEN how = 4 THEN 'user' ELSE role END AS role,
+    CASE WHEN how = 1 THEN '' WHEN how = 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text
+  FROM struck, (SELECT unnest([0, 1]) AS time) WHERE how <> 0 AND (time = 0 OR how = 3)
+),
+placed AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn ASC NULLS FIRST,
+    md5(coalesce(conv_id::VARCHAR, ' ') || ':' || length(role) || ':' || role || text), rid, time) AS i FROM hurt
+),
+faulty AS (
+  SELECT conv_id, turn, i, role, text, left(role, 1) AS initial,
+    CASE WHEN NOT regexp_matches(text, '[^\x20\x09-\x0D]') THEN 'blank'
+      WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 THEN 'duplicate'
+      WHEN NOT regexp_matches(text, '[.!?][\x20\x09-\x0D]*$') THEN 'truncated' ELSE 'none' END AS fault
+  FROM placed
+),
+rows AS MATERIALIZED (
+  SELECT *, fault IN ('blank', 'duplicate') AS gone, (fault = 'truncated')::INT AS extra,
+    lag(initial) OVER (PARTITION BY conv_id ORDER BY i) || initial AS pair FROM faulty
+),
+counts AS (
+  SELECT conv_id, count(*) AS n, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+    count(*) FILTER (fault = 'blank') AS blank, count(*) FILTER (fault = 'duplicate') AS duplicate, count(*) FILTER (fault = 'truncated') AS truncated,
+    count(*) FILTER (pair NOT IN ('su', 'ua', 'au')) AS illegal FROM rows GROUP BY conv_id
+),
+paths AS (
+  SELECT conv_id, 0::BIGINT AS i, {{'c': 0::BIGINT, 'a': '', 'o': []::VARCHAR[]}} AS s0, {never} AS s1, {never} AS s2, {never} AS s3 FROM counts
+  UNION ALL
+  SELECT conv_id, i, {dropped('s0')} AS s0, {least(dropped('s1'), keep('s0', 's'))} AS s1,
+    {least(dropped('u'), *[f(s, x) for s in ('s0', 's1', 'a') for f, x in ((keep, 'u'), (rerole, 'user'))])} AS s2,
+    {least(dropped('a'), keep('u', 'a'), rerole('u', 'assistant'))} AS s3
+  FROM (
+    SELECT *, {assistant} AS a FROM (
+      SELECT r.conv_id, r.i, role, text, initial, gone, extra, s0, s1, s3, {user} AS u
+      FROM paths p JOIN rows r ON r.conv_id IS NOT DISTINCT FROM p.conv_id AND r.i = p.i + 1
+    )
+  )
+),
+ended AS (
+  SELECT *, {least('s0', assistant)} AS best FROM (
+    SELECT counts.*, s0, s3, {user} AS u FROM paths JOIN counts ON counts.conv_id IS NOT DISTINCT FROM paths.conv_id AND n = paths.i
+  )
+)
+SELECT every.conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0)::BIGINT AS blank, coalesce(duplicate, 0)::BIGINT AS duplicate, coalesce(truncated, 0)::BIGINT AS truncated,
+  coalesce(illegal, 0)::BIGINT AS illegal, coalesce(best.c, 0)::BIGINT AS cost, coalesce(best.a, '') AS audit,
+  sha256(coalesce(array_to_string(best.o, chr(10)), '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) every LEFT JOIN ended ON ended.conv_id IS NOT DISTINCT FROM every.conv_id
+"""
+
+
+SQL = _sql()
+
+
 def damaged_report(rows: DataFrame) -> DataFrame:
     """``repair_report`` of the damaged rows, with every conversation of ``rows``."""
     return repair_report(damaged(rows), rows)

@@ -27,4 +27,5 @@ SQL = {
     "op8_minhash_containment": decontaminate.SQL,
     "op9_source_schedule": mixing.SQL,
     "op11_ptolemaic_clusters": clustering.SQL,
+    "op12_prefix_doubling_repair": conversations.SQL,
 }
