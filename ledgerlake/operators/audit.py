@@ -192,49 +192,54 @@ def priority_audit(result, sources, master: DataFrame, master_customer: str,
     """J5 (+ I4, G10): the priority lookup's audit as ``(metric, value)``
     rows: master and source counters, per-source record and match counts,
     then one row per matched customer with its final source -- the
-    per-customer part stays a distributed DataFrame (never collected)."""
+    per-customer part stays a distributed DataFrame (never collected).
+
+    The frame and the sources' table are written first. The frame is then
+    grouped once, to one row per customer text and outcome; counters and
+    final sources are read off that grouping."""
     from ..functions.keys import text_key
-    from .lookup import DUPLICATE_CONFLICT, MATCHED, NOT_FOUND, conflict_details, one_row
+    from ..plans.session import cut_lineage
+    from .lookup import DUPLICATE_CONFLICT, MATCHED, NOT_FOUND, priority_disagreements, resolve_priority
 
+    ranked = sorted(sources, key=lambda x: x.priority)
+    table = cut_lineage(result.extras["table"])
+    winners = resolve_priority(table)
     frame = result.frame
-    winners = result.extras["winners"]
-    st = F.col(status_col)
-    counts = frame.agg(
-        F.count(F.lit(1)).alias("Total master rows"),
-        F.count(F.lit(1)).alias("Master rows after merge"),
-        F.count_if(st == MATCHED).alias("Matched rows"),
-        F.count_if(st == NOT_FOUND).alias("NOT_FOUND rows"),
-        F.count_if(st == DUPLICATE_CONFLICT).alias("DUPLICATE_CONFLICT rows"),
-        F.count(value_col).alias("Populated rows"),
-        F.count_if(F.col(value_col).isNull()).alias("Blank rows"),
+    outcome = cut_lineage(
+        frame.groupBy(F.col(master_customer).cast("string").alias("c"), F.col(source_col).alias("s"), F.col(value_col).alias("v"), F.col(status_col).alias("st"))
+        .agg(F.count(F.lit(1)).alias("n")))
+    n, st = F.col("n"), F.col("st")
+
+    def rows_where(condition: Column) -> Column:
+        return F.coalesce(F.sum(F.when(condition, n)), F.lit(0))
+
+    total = rows_where(F.lit(True))
+    counts = outcome.agg(
+        total.alias("Total master rows"),
+        total.alias("Master rows after merge"),
+        rows_where(st == MATCHED).alias("Matched rows"),
+        rows_where(st == NOT_FOUND).alias("NOT_FOUND rows"),
+        rows_where(st == DUPLICATE_CONFLICT).alias("DUPLICATE_CONFLICT rows"),
+        rows_where(F.col("v").isNotNull()).alias("Populated rows"),
+        rows_where(F.col("v").isNull()).alias("Blank rows"),
+        *[rows_where((st == MATCHED) & (F.col("s") == s.name)).alias(f"Master rows matched from {s.name}") for s in ranked],
     )
-    uniq_master = master.agg(F.count_distinct(text_key(master_customer)).alias("Unique master customers"))
+    customers = outcome.select(text_key("c").alias("k")).distinct().agg(F.count("k").alias("Unique master customers"))
     uniq_src = winners.agg(F.count(F.lit(1)).alias("Unique consolidated source customers"),
                            F.count_if(F.col("status") == DUPLICATE_CONFLICT).alias("Same-priority conflicting customers"))
-    dis = result.exceptions.agg(F.count_if(F.col("status") == "LOWER_PRIORITY_DISAGREEMENT").alias("Lower-priority disagreements"))
-    parts = [counts, uniq_master, uniq_src, dis]
-    dups = None
-    per_source = []
-    for s in sorted(sources, key=lambda x: x.priority):
-        ok = s.key_col in s.frame.columns and s.value_col in s.frame.columns
-        raw = s.frame.agg(F.count(F.lit(1)).alias(f"Source record count - {s.name} (priority {s.priority})")) if ok else \
-            master.sparkSession.createDataFrame([(0,)], f"`Source record count - {s.name} (priority {s.priority})` bigint")
-        hit = frame.agg(F.count_if((st == MATCHED) & (F.col(source_col) == s.name)).alias(f"Master rows matched from {s.name}"))
-        per_source += [raw, hit]
-        if ok:
-            d = conflict_details(s.frame, text_key(s.key_col), s.value_col, order_by=s.order_by or (s.key_col, s.value_col))
-            dd = d.agg(F.coalesce(F.sum("duplicates_removed"), F.lit(0)).alias("d"))
-            dups = dd if dups is None else dups.unionByName(dd)
-    if dups is not None:
-        parts.append(dups.agg(F.sum("d").cast("bigint").alias("Exact duplicate source rows removed")))
-    long = metrics_long(one_row(*parts, *per_source))
-    finals = (
-        frame.filter(st == MATCHED)
-        .select(F.col(master_customer).cast("string").alias("c"), F.col(source_col).alias("s"), F.col(value_col).alias("v"))
-        .distinct()
-        .select(F.concat(F.lit("Final source for customer '"), F.col("c"), F.lit("'")).alias("metric"),
-                F.concat(F.col("s"), F.lit(" -> "), F.col("v")).alias("value"))
-    )
+    removed = table.agg(F.coalesce(F.sum(F.col("n_rows") - F.col("n_values")), F.lit(0)).alias("Exact duplicate source rows removed"))
+    dis = priority_disagreements(table, winners).agg(F.count(F.lit(1)).alias("Lower-priority disagreements"))
+    parts = [counts, customers, uniq_src, dis, removed]
+    for s in ranked:
+        records = f"Source record count - {s.name} (priority {s.priority})"
+        usable = s.key_col in s.frame.columns and s.value_col in s.frame.columns
+        parts.append(s.frame.agg(F.count(F.lit(1)).alias(records)) if usable else master.sparkSession.range(1).select(F.lit(0).alias(records)))
+    long = metrics_long(parts[0])
+    for part in parts[1:]:
+        long = long.unionByName(metrics_long(part))
+    finals = outcome.filter(st == MATCHED).select(
+        F.concat(F.lit("Final source for customer '"), F.col("c"), F.lit("'")).alias("metric"),
+        F.concat(F.col("s"), F.lit(" -> "), F.col("v")).alias("value"))
     return long.unionByName(finals)
 
 

@@ -375,11 +375,11 @@ def _award_master(spark, sf):
                      F.concat(F.lit("Customer "), F.col("l_suppkey").cast("string")).alias("customer"))
 
 
-def _awards(spark, sf):
+def _awards(spark, sf, write=False):
     return lookup.award_lookup(
         _award_master(spark, sf), _award_source(spark, sf),
         master_lookup="lookup", master_ndc="ndc_code", master_customer="customer",
-        source_lookup="lookup", source_ndc="ndc", value_col="award", order_by=list(I.LINE_ORDER),
+        source_lookup="lookup", source_ndc="ndc", value_col="award", order_by=list(I.LINE_ORDER), write=write,
     )
 
 
@@ -389,11 +389,11 @@ def q_award_lookup(spark, sf):
 
 
 def q_award_exceptions(spark, sf):
-    return _awards(spark, sf).exceptions
+    return _awards(spark, sf, write=True).exceptions
 
 
 def q_award_conflict_rows(spark, sf):
-    rows = _awards(spark, sf).long_exceptions().filter("status = 'DUPLICATE_CONFLICT'")
+    rows = _awards(spark, sf, write=True).long_exceptions().filter("status = 'DUPLICATE_CONFLICT'")
     return rows.select("ndc", "lookup", "value", "match_strategy", "reason")
 
 
@@ -406,17 +406,22 @@ def q_award_counters(spark, sf):
 # --------------------------------------------------------------------------
 
 def _priority_sources(spark, sf):
+    """Three tiers over every customer. Misses come from groups that are blank and from names that no master has."""
     c = I.table(spark, sf, "customer")
-    p1 = c.filter(F.col("c_nationkey") < 10).select(F.col("c_name").alias("customer"), F.col("c_mktsegment").alias("group"), "c_custkey", F.lit(0).alias("r"))
-    p1b = c.filter((F.col("c_nationkey") < 3) & (F.col("c_acctbal") < 0)).select(
-        F.col("c_name").alias("customer"), F.lit("Special").alias("group"), "c_custkey", F.lit(1).alias("r"))
-    p1c = c.filter((F.col("c_nationkey") < 10) & (F.col("c_acctbal") > 5000)).select(
-        F.col("c_name").alias("customer"), F.lower("c_mktsegment").alias("group"), "c_custkey", F.lit(2).alias("r"))
-    groups = p1.unionByName(p1b).unionByName(p1c)
-    trend = c.filter((F.col("c_nationkey") >= 5) & (F.col("c_nationkey") <= 15)).select(
-        F.lower("c_name").alias("name"), F.when(F.col("c_acctbal") > 0, F.col("c_mktsegment")).otherwise(F.lit("Retail")).alias("cust_group"), "c_custkey")
-    opens = c.filter((F.col("c_nationkey") >= 12) & (F.col("c_nationkey") <= 20)).select(
-        F.concat(F.lit(" "), F.col("c_name"), F.lit(" ")).alias("soldto"), F.substring("c_mktsegment", 1, 4).alias("cgroup"), "c_custkey")
+    nation, name = F.col("c_nationkey"), F.col("c_name")
+
+    def listed(group, has, r):
+        return c.select(name.alias("customer"), F.when(has, group).alias("group"), "c_custkey", F.lit(r).alias("r"))
+
+    groups = listed(F.col("c_mktsegment"), nation < 10, 0)
+    groups = groups.unionByName(listed(F.lit("Special"), (nation < 3) & (F.col("c_acctbal") < 0), 1))
+    groups = groups.unionByName(listed(F.lower("c_mktsegment"), (nation < 10) & (F.col("c_acctbal") > 5000), 2))
+    trend = c.select(
+        F.concat(F.lower(name), F.when(nation.between(5, 15), F.lit("")).otherwise(F.lit(" closed"))).alias("name"),
+        F.when(F.col("c_acctbal") > 0, F.col("c_mktsegment")).otherwise(F.lit("Retail")).alias("cust_group"), "c_custkey")
+    opens = c.select(
+        F.concat(F.lit(" "), name, F.lit(" ")).alias("soldto"),
+        F.when(nation.between(12, 20), F.substring("c_mktsegment", 1, 4)).otherwise(F.lit("  ")).alias("cgroup"), "c_custkey")
     return [
         lookup.PrioritySource(groups, "customer", "group", 1, "Buying Groups", ("r", "c_custkey")),
         lookup.PrioritySource(trend, "name", "cust_group", 2, "Sales Trend", ("c_custkey",)),
@@ -424,11 +429,14 @@ def _priority_sources(spark, sf):
     ]
 
 
-def _priority(spark, sf):
+def _priority_master(spark, sf):
     o = I.table(spark, sf, "orders").select("o_orderkey", "o_custkey")
     c = I.table(spark, sf, "customer").select("c_custkey", "c_name", "c_mktsegment")
-    m = o.join(c, o.o_custkey == c.c_custkey).select("o_orderkey", I.dirty_customer_name().alias("sold_to"))
-    return lookup.priority_lookup(m, "sold_to", _priority_sources(spark, sf))
+    return o.join(c, o.o_custkey == c.c_custkey).select("o_orderkey", I.dirty_customer_name().alias("sold_to"))
+
+
+def _priority(spark, sf, write=False):
+    return lookup.priority_lookup(_priority_master(spark, sf), "sold_to", _priority_sources(spark, sf), write=write)
 
 
 def q_priority_lookup(spark, sf):
@@ -436,7 +444,7 @@ def q_priority_lookup(spark, sf):
 
 
 def q_priority_exceptions(spark, sf):
-    return _priority(spark, sf).exceptions
+    return _priority(spark, sf, write=True).exceptions
 
 
 def q_matches_by_source(spark, sf):
@@ -451,13 +459,13 @@ def q_matches_by_source(spark, sf):
 # Latest-wins / conflict lookup: E8, I2, J6
 # --------------------------------------------------------------------------
 
-def _latest(spark, sf, dated: bool):
+def _latest(spark, sf, dated: bool, write=False):
     ev = I.table(spark, sf, "events")
     src = ev.select("event_id", "ts", F.col("user_id").cast("string").alias("ndc"), F.col("event_type").alias("comment"))
     master = I.table(spark, sf, "customer").select("c_custkey", "c_name", F.col("c_custkey").cast("string").alias("ndc_code"))
     return lookup.latest_lookup(
         master, src, master_ndc="ndc_code", master_customer="c_name", source_ndc="ndc", value_col="comment",
-        order_by=["event_id"], date=F.col("ts") if dated else None,
+        order_by=["event_id"], date=F.col("ts") if dated else None, write=write,
     )
 
 
@@ -466,11 +474,11 @@ def q_latest_lookup(spark, sf):
 
 
 def q_latest_exceptions(spark, sf):
-    return _latest(spark, sf, True).exceptions
+    return _latest(spark, sf, True, write=True).exceptions
 
 
 def q_comment_conflict_rows(spark, sf):
-    rows = _latest(spark, sf, False).long_exceptions().filter("status <> 'NOT_FOUND'")
+    rows = _latest(spark, sf, False, write=True).long_exceptions().filter("status <> 'NOT_FOUND'")
     return rows.select("normalized_ndc", "comments", "status")
 
 
@@ -479,7 +487,7 @@ def q_conflict_lookup(spark, sf):
 
 
 def q_conflict_exceptions(spark, sf):
-    return _latest(spark, sf, False).exceptions
+    return _latest(spark, sf, False, write=True).exceptions
 
 
 # --------------------------------------------------------------------------
@@ -813,11 +821,8 @@ def q_moq_validation(spark, sf):
 def q_priority_audit(spark, sf):
     from ..operators import audit
 
-    o = I.table(spark, sf, "orders").select("o_orderkey", "o_custkey")
-    c = I.table(spark, sf, "customer").select("c_custkey", "c_name", "c_mktsegment")
-    m = o.join(c, o.o_custkey == c.c_custkey).select("o_orderkey", I.dirty_customer_name().alias("sold_to"))
-    srcs = _priority_sources(spark, sf)
-    r = lookup.priority_lookup(m, "sold_to", srcs)
+    m, srcs = _priority_master(spark, sf), _priority_sources(spark, sf)
+    r = lookup.priority_lookup(m, "sold_to", srcs, write=True)
     return audit.priority_audit(r, srcs, m, "sold_to")
 
 

@@ -347,26 +347,28 @@ r AS (
   FROM m LEFT JOIN pt p ON upper({clean('m.lookup')}) = p.k LEFT JOIN ft f ON {digits('m.ndc_code')} = f.k)"""
 
 
+#: Values of one chunk of joined text.
+_CHUNK = 1000
+
+
 def _observed(src: str, key: str, val: str, order: str) -> str:
-    """per key with >1 distinct normalised value: sorted distinct first-original values."""
-    return f"""(SELECT k, string_agg(v, '; ' ORDER BY v) AS observed FROM (
-      SELECT DISTINCT k, v FROM (
-        SELECT {key} AS k, n, first({val} ORDER BY {order}) AS v FROM {src}
-        WHERE {key} IS NOT NULL AND n IS NOT NULL GROUP BY {key}, n)) GROUP BY k
-      HAVING k IN (SELECT {key} FROM {src} WHERE {key} IS NOT NULL AND n IS NOT NULL
-                   GROUP BY {key} HAVING count(DISTINCT n) > 1))"""
+    """per key with >1 distinct normalised value: its first-original values, sorted and joined in chunks."""
+    return f"""(SELECT k, chunk, string_agg(v, '; ' ORDER BY v) AS observed FROM (
+      SELECT k, v, (row_number() OVER (PARTITION BY k ORDER BY v) - 1) // {_CHUNK} AS chunk FROM (
+        SELECT {key} AS k, n, first({val} ORDER BY {order}) AS v, count(*) OVER (PARTITION BY {key}) AS n_values FROM {src}
+        WHERE {key} IS NOT NULL AND n IS NOT NULL GROUP BY {key}, n) WHERE n_values > 1) GROUP BY k, chunk)"""
 
 
 PRIO_CTES = f"""g AS (
-  SELECT c_name AS ko, c_mktsegment AS v, c_custkey AS o1, 0 AS o0 FROM customer WHERE c_nationkey < 10
-  UNION ALL SELECT c_name, 'Special', c_custkey, 1 FROM customer WHERE c_nationkey < 3 AND c_acctbal < 0
-  UNION ALL SELECT c_name, lower(c_mktsegment), c_custkey, 2 FROM customer WHERE c_nationkey < 10 AND c_acctbal > 5000),
+  SELECT c_name AS ko, CASE WHEN c_nationkey < 10 THEN c_mktsegment END AS v, c_custkey AS o1, 0 AS o0 FROM customer
+  UNION ALL SELECT c_name, CASE WHEN c_nationkey < 3 AND c_acctbal < 0 THEN 'Special' END, c_custkey, 1 FROM customer
+  UNION ALL SELECT c_name, CASE WHEN c_nationkey < 10 AND c_acctbal > 5000 THEN lower(c_mktsegment) END, c_custkey, 2 FROM customer),
 t AS (
-  SELECT lower(c_name) AS ko, CASE WHEN c_acctbal > 0 THEN c_mktsegment ELSE 'Retail' END AS v, c_custkey AS o1, 0 AS o0
-  FROM customer WHERE c_nationkey BETWEEN 5 AND 15),
+  SELECT lower(c_name) || CASE WHEN c_nationkey BETWEEN 5 AND 15 THEN '' ELSE ' closed' END AS ko,
+         CASE WHEN c_acctbal > 0 THEN c_mktsegment ELSE 'Retail' END AS v, c_custkey AS o1, 0 AS o0 FROM customer),
 op AS (
-  SELECT ' ' || c_name || ' ' AS ko, substr(c_mktsegment, 1, 4) AS v, c_custkey AS o1, 0 AS o0
-  FROM customer WHERE c_nationkey BETWEEN 12 AND 20),
+  SELECT ' ' || c_name || ' ' AS ko, CASE WHEN c_nationkey BETWEEN 12 AND 20 THEN substr(c_mktsegment, 1, 4) ELSE '  ' END AS v,
+         c_custkey AS o1, 0 AS o0 FROM customer),
 allsrc AS (
   SELECT 'Buying Groups' AS source, 1 AS priority, 0 AS rnk, * FROM g
   UNION ALL SELECT 'Sales Trend', 2, 1, * FROM t
@@ -380,9 +382,12 @@ tbl AS (
   SELECT source, priority, rnk, k,
          CASE WHEN count(DISTINCT n) = 1 THEN min(v) END AS value,
          CASE WHEN count(DISTINCT n) = 1 THEN 'MATCHED' ELSE 'DUPLICATE_CONFLICT' END AS status,
-         min(ko) AS min_ko, count(*) AS n_values,
-         string_agg(DISTINCT v, '; ' ORDER BY v) AS observed, string_agg(DISTINCT ko, '; ' ORDER BY ko) AS observed_keys
+         min(ko) AS min_ko, count(*) AS n_values
   FROM firsts GROUP BY source, priority, rnk, k),
+chunks AS (
+  SELECT source, priority, k, chunk, string_agg(v, '; ' ORDER BY v) AS observed, string_agg(DISTINCT ko, '; ' ORDER BY ko) AS observed_keys FROM (
+    SELECT *, (row_number() OVER (PARTITION BY source, k ORDER BY v) - 1) // 1000 AS chunk, count(*) OVER (PARTITION BY source, k) AS n_values FROM firsts)
+  WHERE n_values > 1 GROUP BY source, priority, k, chunk),
 win AS (
   SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY k ORDER BY priority, rnk) AS rn FROM tbl) WHERE rn = 1),
 mst AS (
@@ -408,8 +413,9 @@ tbl AS (
          first(ndc ORDER BY event_id) AS first_ndc
   FROM nn GROUP BY k),
 obs AS (
-  SELECT k, string_agg(v, '; ' ORDER BY v) AS observed FROM (
-    SELECT DISTINCT k, first(comment ORDER BY event_id) AS v FROM nn GROUP BY k, n) GROUP BY k),
+  SELECT k, chunk, string_agg(v, '; ' ORDER BY v) AS observed FROM (
+    SELECT k, v, (row_number() OVER (PARTITION BY k ORDER BY v) - 1) // 1000 AS chunk FROM (
+      SELECT k, first(comment ORDER BY event_id) AS v FROM nn GROUP BY k, n)) GROUP BY k, chunk),
 mst AS (SELECT c_custkey, c_name, CAST(c_custkey AS VARCHAR) AS ndc_code FROM customer)"""
 
 
@@ -429,12 +435,12 @@ res AS (
 
 def _ev_exceptions(dated: bool) -> str:
     return f"""WITH {_ev(dated)}
-SELECT t2.first_ndc AS ndc, t2.k AS normalized_ndc, '' AS customer, o.observed AS comments, t2.status,
+SELECT t2.first_ndc AS ndc, t2.k AS normalized_ndc, '' AS customer, o.observed AS comments, CAST(o.chunk AS INTEGER) AS chunk, t2.status,
        CASE WHEN t2.status = 'MATCHED' THEN 'Multiple comments; resolved by the most recent date'
             ELSE 'Multiple different comments and no date to resolve them' END AS reason
 FROM t2 JOIN obs o ON t2.k = o.k WHERE t2.nd > 1
 UNION ALL
-SELECT DISTINCT ndc_code AS ndc, {digits('ndc_code')} AS normalized_ndc, c_name AS customer, '' AS comments,
+SELECT DISTINCT ndc_code AS ndc, {digits('ndc_code')} AS normalized_ndc, c_name AS customer, '' AS comments, 0 AS chunk,
        'NOT_FOUND' AS status, 'NDC not present in the source' AS reason
 FROM res WHERE sc_comments_status = 'NOT_FOUND'"""
 
@@ -495,13 +501,13 @@ SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, award_type, award_status,
     "J3_award_exceptions": f"""WITH {AWARD_CTES},
 pobs AS {_observed('s2', 'lk', 'award', _LI_ORDER)},
 fobs AS {_observed('s2', 'nk', 'award', _LI_ORDER)}
-SELECT '' AS customer, '' AS ndc, k AS lookup, observed AS value, 'Lookup (Customer+NDC)' AS match_strategy,
+SELECT '' AS customer, '' AS ndc, k AS lookup, observed AS value, CAST(chunk AS INTEGER) AS chunk, 'Lookup (Customer+NDC)' AS match_strategy,
        'DUPLICATE_CONFLICT' AS status, 'Same Lookup maps to multiple distinct values in the source' AS reason FROM pobs
 UNION ALL
-SELECT '', k, '', observed, 'NDC (product-level fallback)', 'DUPLICATE_CONFLICT',
+SELECT '', k, '', observed, CAST(chunk AS INTEGER), 'NDC (product-level fallback)', 'DUPLICATE_CONFLICT',
        'NDC maps to multiple distinct values across customers; ambiguous at product level' FROM fobs
 UNION ALL
-SELECT DISTINCT customer, ndc_code, lookup, '', '', 'NOT_FOUND', 'No record found by Lookup or by NDC in the source'
+SELECT DISTINCT customer, ndc_code, lookup, '', 0, '', 'NOT_FOUND', 'No record found by Lookup or by NDC in the source'
 FROM r WHERE award_status = 'NOT_FOUND'""",
     "J3_award_conflict_rows": f"""WITH {AWARD_CTES},
 pv AS (SELECT lk AS k, n, first(award ORDER BY {_LI_ORDER}) AS v, count(*) OVER (PARTITION BY lk) AS nv FROM s2
@@ -529,18 +535,18 @@ FROM r""",
 SELECT o_orderkey, buying_group, buying_group_source, buying_group_status FROM res""",
     "J4_priority_exceptions": f"""WITH {PRIO_CTES}
 SELECT observed_keys AS customer, k AS normalized_customer, '' AS selected_value, observed AS rejected_value,
-       '' AS selected_source, source AS rejected_source, 'DUPLICATE_CONFLICT' AS status,
+       CAST(chunk AS INTEGER) AS chunk, '' AS selected_source, source AS rejected_source, 'DUPLICATE_CONFLICT' AS status,
        'Multiple different values within one priority tier (' || source || ', priority ' || CAST(priority AS VARCHAR) || ')' AS reason
-FROM tbl WHERE n_values > 1
+FROM chunks
 UNION ALL
-SELECT w.min_ko, o.k, coalesce(w.value, ''), coalesce(o.value, ''), w.source, o.source, 'LOWER_PRIORITY_DISAGREEMENT',
+SELECT w.min_ko, o.k, coalesce(w.value, ''), coalesce(o.value, ''), 0, w.source, o.source, 'LOWER_PRIORITY_DISAGREEMENT',
        'Resolved by source priority: ' || w.source || ' (priority ' || CAST(w.priority AS VARCHAR) || ') outranks ' ||
        o.source || ' (priority ' || CAST(o.priority AS VARCHAR) || ')'
 FROM tbl o JOIN win w ON o.k = w.k
 WHERE (o.priority <> w.priority OR o.rnk <> w.rnk) AND upper({clean('o.value')}) IS NOT NULL
   AND upper({clean('w.value')}) IS NOT NULL AND upper({clean('o.value')}) <> upper({clean('w.value')})
 UNION ALL
-SELECT DISTINCT sold_to, upper({clean('sold_to')}), '', '', '', '', 'NOT_FOUND', 'Customer not present in any configured source'
+SELECT DISTINCT sold_to, upper({clean('sold_to')}), '', '', 0, '', '', 'NOT_FOUND', 'Customer not present in any configured source'
 FROM res WHERE buying_group_status = 'NOT_FOUND' AND sold_to IS NOT NULL""",
     "G10_matches_by_source": f"""WITH {PRIO_CTES}
 SELECT buying_group_source AS source, count(*) AS matched_rows FROM res WHERE buying_group_status = 'MATCHED'

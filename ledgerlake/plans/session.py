@@ -11,6 +11,7 @@ recomputing a long join chain.
 from __future__ import annotations
 
 import os
+import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -56,13 +57,16 @@ def get_session(
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """The cluster's ``spark.checkpoint.dir`` or the folder given to
-    ``get_session``. There is no default: a machine-local folder would not
-    survive the loss of an executor."""
+    ``get_session``. Only a local session (one process) that names none gets a
+    temporary one: on a cluster a machine-local folder would not survive the
+    loss of an executor."""
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
+    if not configured and (sc.master == "local" or sc.master.startswith("local[")):
+        configured = tempfile.mkdtemp(prefix="ledgerlake-checkpoint-")
     if not configured:
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     sc.setCheckpointDir(configured)
