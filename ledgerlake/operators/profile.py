@@ -1,8 +1,7 @@
 """Profiling and metadata discovery.
 
 Per-table profiles are single aggregates over all columns (one scan). The
-per-column views unpivot the aggregate's one row (not the data), so the work
-is one pass regardless of width. Distinct counts are exact by default;
+column profile reads (column, value) pairs, combined per task, in one pass. Distinct counts are exact by default;
 ``approx=True`` switches to HyperLogLog for 100 TB tables.
 """
 
@@ -72,28 +71,39 @@ def table_profile(df: DataFrame, name: str) -> DataFrame:
 
 def column_profile(df: DataFrame, name: str, order_by: Sequence[str] = (), approx: bool = False) -> DataFrame:
     """Per column -- type, null count, distinct count, nullable flag
-    and the first non-blank sample (first by ``order_by``)."""
+    and the first non-blank sample (first by ``order_by``, else the smallest).
+
+    The cells become (column, value) pairs that each task combines before
+    they shuffle; nulls, distinct values and samples are read off the pairs.
+    ``approx=True`` keeps one HyperLogLog sketch per column instead."""
     cols = df.columns
-    o = F.struct(*[_q(c) for c in order_by]) if order_by else None
-    aggs = []
-    for i, c in enumerate(cols):
-        aggs.append(F.count_if(_q(c).isNull()).alias(f"n{i}"))
-        aggs.append((F.approx_count_distinct(_q(c), 0.01) if approx else F.count_distinct(_q(c))).alias(f"d{i}"))
-        sample = F.when(~_blank(c), _q(c).cast("string"))
-        aggs.append((F.min_by(sample, F.when(sample.isNotNull(), o)) if o is not None else F.min(sample)).alias(f"s{i}"))
-    one = df.agg(*aggs)
     dtypes = dict(df.dtypes)
-    entries = [
-        F.struct(
-            F.lit(i).alias("position"), F.lit(c).alias("column"), F.lit(dtypes[c]).alias("dtype"),
-            F.col(f"n{i}").alias("null_count"), F.col(f"d{i}").alias("distinct_count"),
-            F.coalesce(F.col(f"s{i}"), F.lit("")).alias("sample"),
-        )
-        for i, c in enumerate(cols)
-    ]
-    return one.select(F.explode(F.array(*entries)).alias("e")).select(
-        F.lit(name).alias("table"), "e.position", "e.column", "e.dtype", "e.null_count",
-        (F.col("e.null_count") > 0).alias("nullable"), "e.distinct_count", "e.sample",
+
+    def text(c: str) -> Column:
+        x = _q(c)
+        # zeros of either sign are one value
+        return F.when(x == 0, x * 0 + F.lit(0.0)).otherwise(x).cast("string") if dtypes[c] in ("double", "float") else x.cast("string")
+
+    order = F.struct(*[_q(c) for c in order_by]) if order_by else F.lit(0)
+    cells = F.array(*[F.struct(F.lit(i).alias("position"), text(c).alias("v")) for i, c in enumerate(cols)])
+    pairs = df.select(F.explode(cells).alias("p"), order.alias("o")).select("p.position", "p.v", "o")
+    shown = F.when(~_blank("v"), F.col("v"))
+    if approx:
+        sample = F.min_by(shown, F.when(shown.isNotNull(), F.col("o"))) if order_by else F.min(shown)
+        per = pairs.groupBy("position").agg(
+            F.count_if(F.col("v").isNull()).alias("null_count"), F.approx_count_distinct("v", 0.01).alias("distinct_count"), sample.alias("sample"))
+    else:
+        values = pairs.groupBy("position", "v").agg(F.count(F.lit(1)).alias("n"), F.min("o").alias("o"))
+        sample = F.min_by(shown, F.when(shown.isNotNull(), F.col("o"))) if order_by else F.min(shown)
+        per = values.groupBy("position").agg(
+            F.coalesce(F.sum(F.when(F.col("v").isNull(), F.col("n"))), F.lit(0)).alias("null_count"),
+            F.count("v").alias("distinct_count"), sample.alias("sample"))
+    known = df.sparkSession.createDataFrame([(i, c, dtypes[c]) for i, c in enumerate(cols)], "position int, column string, dtype string")
+    out = known.join(per, "position", "left")
+    nulls = F.coalesce(F.col("null_count"), F.lit(0)).cast("bigint")
+    return out.select(
+        F.lit(name).alias("table"), "position", "column", "dtype", nulls.alias("null_count"), (nulls > 0).alias("nullable"),
+        F.coalesce(F.col("distinct_count"), F.lit(0)).cast("bigint").alias("distinct_count"), F.coalesce(F.col("sample"), F.lit("")).alias("sample"),
     )
 
 

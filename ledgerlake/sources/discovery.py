@@ -124,10 +124,27 @@ def exclude_generated(paths: Sequence[str], generated: Sequence[str] = GENERATED
 HEAD_ROWS = 25
 
 
+def plain_path(c: Column) -> Column:
+    """A path as file listings spell it, from the URL-encoded form of scans' metadata."""
+    decoded = F.url_decode(F.replace(c, F.lit("+"), F.lit("%2B")))
+    return F.regexp_replace(decoded, "^file:/+", "file:/")
+
+
 def list_files(spark: SparkSession, paths: str | Sequence[str]) -> list[str]:
     """Every file under ``paths``, as plain (not URL-encoded) paths, in order. Only the listing is read."""
     given = [paths] if isinstance(paths, str) else list(paths)
-    return sorted(r["path"] for r in spark.read.format("binaryFile").load(given).select("path").collect())  # one row per file
+    found = spark.read.format("binaryFile").load(given)
+    return sorted(r["path"] for r in found.select(F.regexp_replace("path", "^file:/+", "file:/").alias("path")).collect())  # one row per file
+
+
+def file_lines(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
+    """The text lines of all files as one scan: ``path, start, length, size, value``; ``start`` and ``length``
+    are those of the split that a line is read with, ``size`` that of the file."""
+    given = [paths] if isinstance(paths, str) else list(paths)
+    meta = lambda c: F.col(f"_metadata.{c}")
+    return spark.read.text(given).select(
+        meta("file_path").alias("path"), meta("file_block_start").alias("start"), meta("file_block_length").alias("length"),
+        meta("file_size").alias("size"), "value")
 
 
 def parse_record(record: str, sep: str = ",") -> list[str]:
@@ -139,46 +156,92 @@ def parse_record(record: str, sep: str = ",") -> list[str]:
     return next(csv.reader([record], delimiter=sep), [])
 
 
-def _head_records(max_rows: int, sep: str):
-    """The first records of a file. A record goes on while a quote is open, so one may hold line breaks;
-    blank lines are records. Stops reading as soon as it has them; later splits are not read at all."""
+def blank_line(sep: str) -> str:
+    """Pattern of a line without anything but separators, quotes and white space."""
+    return f'^[\\s"{re.escape(sep)}]*$'
+
+
+class _Head:
+    """The first records of one file, fed with its lines. A record goes on while a quote is open, so one may hold
+    line breaks; blank lines are records."""
+
+    def __init__(self, path: str, max_rows: int, sep: str):
+        self.path, self.max_rows, self.sep = path, max_rows, sep
+        self.rows: list[tuple] = []
+        self.held, self.quotes, self.lines, self.filled = [], 0, 0, 0
+        self.blank = re.compile(blank_line(sep), re.ASCII)
+
+    @property
+    def full(self) -> bool:
+        return len(self.rows) == self.max_rows
+
+    def feed(self, lines: Iterable[str]) -> None:
+        for line in lines:
+            if self.full:
+                return
+            self.lines += 1
+            self.filled += not self.blank.match(line)
+            self.held.append(line)
+            self.quotes += line.count('"')
+            if self.quotes % 2 == 0:
+                self.end_record()
+
+    def end_record(self) -> None:
+        cells = parse_record("\n".join(self.held), self.sep)
+        self.rows.append((self.path, len(self.rows), self.lines, self.filled, cells))
+        self.held, self.quotes = [], 0
+
+    def done(self) -> list[tuple]:
+        if self.held and not self.full:
+            self.end_record()
+        return self.rows
+
+
+def _heads(max_rows: int, sep: str):
+    """The head of every file whose first split a task reads. A split that doesn't end its file fills a task of
+    its own (Spark packs only what is left of a split's size), so the task stops as soon as it has the
+    head, or at once where the split isn't the file's first."""
     def fn(batches):
         import pandas as pd
 
-        rows, held, lines = [], [], 0
+        head: _Head | None = None
+        found: list[tuple] = []
         for pdf in batches:
-            if len(pdf) and pdf["block_start"].iloc[0] != 0:
-                return
-            for line in pdf["value"]:
-                lines += 1
-                held.append(line)
-                if sum(x.count('"') for x in held) % 2 == 0:
-                    rows.append((len(rows), lines, parse_record("\n".join(held), sep)))
-                    held = []
-                    if len(rows) == max_rows:
-                        break
-            if len(rows) == max_rows:
-                break
-        if held and len(rows) < max_rows:
-            rows.append((len(rows), lines, parse_record("\n".join(held), sep)))
-        yield pd.DataFrame(rows, columns=["row_idx", "line_end", "cells"])
+            for path, part in pdf.groupby("path", sort=False):
+                first = part.iloc[0]
+                alone = first["start"] + first["length"] < first["size"]
+                if first["start"] != 0:
+                    if alone:
+                        return
+                    continue
+                if head is None or head.path != path:
+                    found += head.done() if head else []
+                    head = _Head(path, max_rows, sep)
+                head.feed(part["value"])
+                if head.full and alone:
+                    break
+            else:
+                continue
+            break
+        found += head.done() if head else []
+        yield pd.DataFrame(found, columns=["path", "row_idx", "line_end", "filled_end", "cells"])
     return fn
 
 
 def raw_head_rows(spark: SparkSession, paths: str | Sequence[str], max_rows: int = HEAD_ROWS, sep: str = ",") -> DataFrame:
     """The first ``max_rows`` records of every file as ``(workbook, sheet,
-    row_idx, line_end, cells)``; ``line_end`` counts the file's text lines up
-    to the end of the record. A task stops once it has its file's head."""
-    out = None
-    for path in list_files(spark, paths):
-        lines = spark.read.text(path).select(F.col("_metadata.file_block_start").alias("block_start"), "value")
-        head = lines.mapInPandas(_head_records(max_rows, sep), "row_idx long, line_end long, cells array<string>")
-        name = os.path.splitext(os.path.basename(path))[0]
-        one = head.select(F.lit(path).alias("workbook"), F.lit(name).alias("sheet"), "row_idx", "line_end", "cells")
-        out = one if out is None else out.unionByName(one)
-    if out is None:
-        raise FileNotFoundError(f"no file under {paths}")
-    return out
+    row_idx, line_end, filled_end, cells)``; ``line_end`` counts the file's
+    text lines up to the end of the record, ``filled_end`` those of them that
+    aren't blank. One scan whatever the number of files; of a file
+    of several splits, only the first lines of the first one are read, and
+    the remainder behind the last whole split is passed over."""
+    lines = file_lines(spark, paths)
+    # a file's last split is of use only where it is its first, too
+    lines = lines.filter("start = 0 or start + length < size")
+    heads = lines.mapInPandas(_heads(max_rows, sep), "path string, row_idx long, line_end long, filled_end long, cells array<string>")
+    heads = heads.withColumn("workbook", plain_path(F.col("path")))
+    name = F.regexp_extract("workbook", r"([^/]+?)(\.[^./]*)?$", 1)
+    return heads.select("workbook", name.alias("sheet"), "row_idx", "line_end", "filled_end", "cells")
 
 
 _NUMERIC = "^\\s*[+-]?(\\d+(\\.\\d*)?|\\.\\d+)([eE][+-]?\\d+)?\\s*$"
@@ -241,17 +304,14 @@ def file_header_rows(spark: SparkSession, paths: str | Sequence[str], sep: str =
     raw = raw_head_rows(spark, paths, window, sep)
     rows = detect_header_rows(raw, window)
     at_header = raw.join(rows, ["workbook", "sheet"]).filter("row_idx = header_idx and not has_data")
-    open_files = {r["workbook"]: r["line_end"] for r in at_header.select("workbook", "line_end").collect()}  # one row per file
+    open_files = [r["workbook"] for r in at_header.select("workbook").collect()]  # one row per file
     if not open_files:
         return rows
-    blank = f'^[\\s"{re.escape(sep)}]*$'
-    late = None
-    for path, line_end in open_files.items():
-        # the head is a few lines of the first split; lines under it are counted over all splits
-        count = spark.read.text(path).filter(~F.col("value").rlike(blank)).agg(F.count(F.lit(1)).alias("lines"))
-        head = sum(bool(r["value"].strip(f' \t"{sep}')) for r in spark.read.text(path).limit(line_end).collect())
-        one = count.select(F.lit(path).alias("workbook"), (F.col("lines") > head).alias("late"))
-        late = one if late is None else late.unionByName(one)
+    # filled lines over all splits of these files, against those that the head accounts for
+    filled = ~F.col("value").rlike(blank_line(sep))
+    counts = file_lines(spark, open_files).groupBy("path").agg(F.count_if(filled).alias("lines"))
+    counts = counts.select(plain_path(F.col("path")).alias("workbook"), "lines")
+    late = counts.join(at_header.select("workbook", "filled_end"), "workbook").select("workbook", (F.col("lines") > F.col("filled_end")).alias("late"))
     joined = rows.join(late, "workbook", "left")
     return joined.select("workbook", "sheet", "header_idx", "score", (F.col("has_data") | F.coalesce("late", F.lit(False))).alias("has_data"))
 

@@ -2,48 +2,71 @@
 
 Operational exports are read as text (every column ``string``) and typed by
 rule afterwards, because their headers and cell formats are not a contract.
-Parquet is read as is. The lines above a header that is not on the first line
-are counted and dropped in each file's first split (the only one that can hold
-them), before anything is parsed -- no shuffle, no numbering of whole files.
+Parquet is read as is. Files are grouped by their header record, and each
+group is one scan, whatever the number of its files. The lines above a header
+that is not on the first line are counted and dropped in each file's first
+split (the only one that can hold them), before anything is parsed -- no
+shuffle, no numbering of whole files.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .discovery import raw_head_rows, repair_headers
+from .discovery import file_lines, raw_head_rows, repair_headers
 
+OPEN_QUOTE = "a quote is left open at the end of a line: read the file with multiline=True"
 
-def _drop_rows(count: int):
-    """Drops the first ``count`` rows of a file that a single partition holds from its start."""
+
+def _drop_first(count: int, path: str):
+    """Drops the first ``count`` rows of every file whose rows begin in a task, told apart by column ``path``."""
     def fn(batches):
-        left = count
+        current, left = None, 0
         for pdf in batches:
-            if left:
-                cut = min(left, len(pdf)) if pdf["_block"].iloc[0] == 0 else 0
-                left, pdf = (left - cut if cut else 0), pdf.iloc[cut:]
-            if not pdf.empty:
-                yield pdf
+            kept = []
+            for p, part in pdf.groupby(path, sort=False):
+                if p != current:
+                    current, left = p, count
+                cut = min(left, len(part))
+                left -= cut
+                kept.append(part.iloc[cut:])
+            for part in kept:
+                if not part.empty:
+                    yield part
     return fn
 
 
-def _below(spark: SparkSession, path: str, schema: str, sep: str, line_end: int, records: int, multiline: bool) -> DataFrame:
-    """The rows under the header of one file, as text columns."""
-    reader = spark.read.schema(schema).option("sep", sep).option("multiLine", multiline).option("escape", '"')
-    if line_end == 1:
-        return reader.option("header", True).csv(path)
-    block = F.col("_metadata.file_block_start").alias("_block")
+def _even_quotes(text: Column) -> Column:
+    """True, or an error where the text holds an odd number of quotes. A filter, so that no query prunes it."""
+    odd = F.length(F.regexp_replace(text, '[^"]', "")) % 2 == 1
+    return F.when(odd, F.raise_error(F.lit(OPEN_QUOTE)).cast("boolean")).otherwise(F.lit(True))
+
+
+def _below(spark: SparkSession, paths: Sequence[str], width: int, sep: str, line_end: int, records: int, multiline: bool) -> DataFrame:
+    """The rows under the header of files with one kind of head, as text columns ``_c0``, ``_c1``, ..."""
+    names = [f"_c{i}" for i in range(width)]
+    schema = ", ".join(f"{n} string" for n in names)
+    reader = spark.read.option("sep", sep).option("multiLine", multiline).option("escape", '"')
+    paths = list(paths)
+    if multiline and line_end == 1:
+        return reader.schema(schema).option("header", True).csv(paths)
     if multiline:
-        # one partition per file, blank lines gone: drop the records that are left of the head
-        rows = reader.option("header", False).csv(path).select("*", block)
-        return rows.mapInPandas(_drop_rows(records), rows.schema).drop("_block")
+        # one task per file, blank lines gone: drop the records that are left of the head
+        rows = reader.schema(schema).option("header", False).csv(paths).select("*", F.col("_metadata.file_path").alias("_path"))
+        return rows.mapInPandas(_drop_first(records, "_path"), rows.schema).drop("_path")
+    if line_end == 1:
+        # a cut record has fewer cells than its file, so its text is kept and tested; with one column, the cell is
+        # (without column pruning in the parser, which would not see that cells are missing)
+        marked = reader.schema(f"{schema}, _cut string").option("columnNameOfCorruptRecord", "_cut").option("columnPruning", False)
+        rows = marked.option("header", True).csv(paths)
+        return rows.filter(_even_quotes(F.coalesce("_cut", F.lit("")) if width > 1 else F.coalesce("_cut", "_c0", F.lit("")))).drop("_cut")
     # the head is counted in text lines and dropped in the first split before anything is parsed
-    lines = spark.read.text(path).select("value", block)
-    head = lines.filter("_block = 0").mapInPandas(_drop_rows(line_end), lines.schema)
-    body = head.unionByName(lines.filter("_block > 0")).filter(F.trim("value") != "")
+    lines = file_lines(spark, paths).select("path", "start", "value")
+    head = lines.filter("start = 0").mapInPandas(_drop_first(line_end, "path"), lines.schema)
+    body = head.unionByName(lines.filter("start > 0")).filter(F.trim("value") != "").filter(_even_quotes(F.col("value")))
     return body.select(F.from_csv("value", schema, {"sep": sep, "escape": '"'}).alias("r")).select("r.*")
 
 
@@ -59,23 +82,25 @@ def read_csv_table(
     blank names become ``Column n``, a repeated name keeps its first column).
 
     ``header_idx`` counts records from the top, blank lines included. Every
-    file's own header is read: files with another column order are matched by
-    name, and a column that a file lacks is null there. ``headers`` replaces
-    the header texts by position. ``multiline`` allows line breaks inside
-    quoted cells of the data, at the price of one task per file."""
-    heads = raw_head_rows(spark, path, header_idx + 1, sep).collect()  # header_idx + 1 records per file
-    files: dict[str, list] = {}
-    for r in sorted(heads, key=lambda r: (r["workbook"], r["row_idx"])):
-        files.setdefault(r["workbook"], []).append(r)
+    file's own header is read; files with the same one are read by one scan,
+    files with another column order are matched by name, and a column that a
+    file lacks is null there. ``headers`` replaces the header texts by
+    position. ``multiline`` allows line breaks inside quoted cells of the
+    data, at the price of one task per file; without it, a line that leaves
+    a quote open raises when it is read, as it would give wrong rows."""
+    rows = raw_head_rows(spark, path, header_idx + 1, sep)
+    # one row per file: its header's cells and where the header ends
+    per_file = rows.groupBy("workbook").agg(
+        F.max(F.when(F.col("row_idx") == header_idx, F.struct("cells", "line_end"))).alias("head"),
+        F.count_if(F.size("cells") > 0).cast("int").alias("records"))
+    groups: dict[tuple, list[str]] = {}
+    for r in per_file.filter("head is not null").collect():
+        groups.setdefault((tuple(r["head"]["cells"]), r["head"]["line_end"], r["records"]), []).append(r["workbook"])
     out = None
-    for file, rows in files.items():
-        if len(rows) <= header_idx:
-            continue  # ends above its header
-        cells = rows[header_idx]["cells"]
+    for (cells, line_end, records), files in sorted(groups.items(), key=lambda g: min(g[1])):
         names, keep = repair_headers(headers if headers is not None else cells)
-        schema = ", ".join(f"_c{i} string" for i in range(max(len(cells), len(names), 1)))
-        records = sum(bool(r["cells"]) for r in rows)
-        body = _below(spark, file, schema, sep, rows[header_idx]["line_end"], records, multiline)
+        width = max(len(cells), len(names), 1)
+        body = _below(spark, sorted(files), width, sep, line_end, records, multiline)
         one = body.select(*[F.col(f"_c{i}").alias(names[i]) for i in keep])
         out = one if out is None else out.unionByName(one, allowMissingColumns=True)
     if out is None:

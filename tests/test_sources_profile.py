@@ -246,3 +246,116 @@ def test_null_positions_tell_rows_apart(spark):
     assert P.table_profile(a, "t").collect()[0]["duplicate_rows"] == 1
     one, two = P.fingerprint(a, "t").collect()[0], P.fingerprint(b, "t").collect()[0]
     assert one["value_hash"] != two["value_hash"] and one["fill_hash"] != two["fill_hash"]
+
+
+def test_plan_of_many_files_is_as_large_as_of_few(spark, scratch):
+    """Files with one header are one scan; other heads are groups of their own."""
+    folder = os.path.join(scratch, "many files+1")
+    os.makedirs(folder)
+    for i in range(40):
+        write(os.path.join(folder, f"part {i}.csv"), f"A,B\n{i},x\n")
+    few = RD.read_csv_table(spark, [os.path.join(folder, f"part {i}.csv") for i in range(3)])
+    many = RD.read_csv_table(spark, folder)
+    size = lambda df: len(df._jdf.queryExecution().executedPlan().toString().splitlines())
+    assert size(few) == size(many) and sorted(int(r["A"]) for r in many.collect()) == list(range(40))
+    heads = D.raw_head_rows(spark, folder, 2)
+    assert heads._jdf.queryExecution().executedPlan().toString().count("FileScan") == 1
+    got = {r["workbook"].rsplit("/", 1)[-1]: list(r["cells"]) for r in heads.filter("row_idx = 1").collect()}
+    assert got == {f"part {i}.csv": [str(i), "x"] for i in range(40)}
+    write(os.path.join(folder, "report.csv"), "Report\n\nB,A,C\ny,100,z\n")
+    write(os.path.join(folder, "short.csv"), "B\n")
+    with pytest.raises(ValueError):
+        RD.read_csv_table(spark, os.path.join(folder, "short.csv"), 5)
+    report = RD.read_csv_table(spark, [os.path.join(folder, "report.csv")] * 1, 2).collect()
+    assert [r.asDict() for r in report] == [{"B": "y", "A": "100", "C": "z"}]
+
+
+def test_heads_of_files_of_many_splits(spark, scratch):
+    """Large files are read at their start only; what follows their last whole split may hold other files."""
+    prev = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "2000")
+    try:
+        folder = os.path.join(scratch, "splits")
+        os.makedirs(folder)
+        for i in range(5):
+            rows = "".join(f"{i}-{j},value {j}\n" for j in range(400 + 37 * i))
+            write(os.path.join(folder, f"big{i}.csv"), f"title {i}\n\nKey,Value\n" + rows)
+            write(os.path.join(folder, f"small{i}.csv"), f"title {i}\n\nKey,Value\nonly{i},1\n")
+        heads = D.raw_head_rows(spark, folder, 4).collect()
+        per = {}
+        for r in heads:
+            per.setdefault(r["sheet"], []).append((r["row_idx"], list(r["cells"])))
+        assert len(per) == 10
+        for i in range(5):
+            assert sorted(per[f"big{i}"]) == [(0, [f"title {i}"]), (1, []), (2, ["Key", "Value"]), (3, [f"{i}-0", "value 0"])]
+            assert sorted(per[f"small{i}"])[3] == (3, [f"only{i}", "1"])
+        table = RD.read_csv_table(spark, folder, 2)
+        assert table.count() == sum(400 + 37 * i for i in range(5)) + 5
+        assert table.filter("Key = '3-300'").collect()[0]["Value"] == "value 300"
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", prev)
+
+
+@pytest.mark.parametrize("head", ["", "title\n"])
+@pytest.mark.parametrize("body", ['1,2\n"3\nz",4\n5,6\n', '1,2\n3,"4\nz"\n5,6\n'])
+def test_open_quotes_raise_unless_multiline(spark, scratch, head, body):
+    path = write(os.path.join(scratch, f"open{abs(hash((head, body)))}.csv"), head + "A,B\n" + body)
+    idx = head.count("\n")
+    with pytest.raises(Exception, match="quote is left open"):
+        RD.read_csv_table(spark, path, idx).select("A").collect()
+    got = [tuple(r) for r in RD.read_csv_table(spark, path, idx, multiline=True).collect()]
+    assert len(got) == 3 and ("3\nz", "4") in got or ("3", "4\nz") in got
+
+
+def test_open_quote_in_a_table_of_one_column(spark, scratch):
+    path = write(os.path.join(scratch, "onecol.csv"), 'A\n1\n"2\nz"\n')
+    with pytest.raises(Exception, match="quote is left open"):
+        RD.read_csv_table(spark, path).collect()
+
+
+def test_the_newest_complete_run_is_read_whatever_crashes(spark, scratch):
+    base = os.path.join(scratch, "runs")
+    frame = lambda v: spark.createDataFrame([(v,)], "x string")
+    with pytest.raises(FileNotFoundError):
+        SK.read_run(spark, base)
+    SK.write_run({"detail": frame("one")}, base)
+    SK.write_run({"detail": frame("two")}, base)
+    assert SK.manifests(spark, base) == [1, 2] and SK.read_run(spark, base)["detail"].first()["x"] == "two"
+    assert SK.read_run(spark, base, 1)["detail"].first()["x"] == "one"
+    # a crash while tables are written, while the manifest is staged, and a number taken without a complete manifest
+    frame("three").write.parquet(os.path.join(base, "run-broken", "detail"))
+    os.makedirs(os.path.join(base, SK.MANIFESTS, "_staged-broken"))
+    os.makedirs(os.path.join(base, SK.MANIFESTS, "000000003"))
+    assert SK.read_run(spark, base)["detail"].first()["x"] == "two"
+    SK.write_run({"detail": frame("four")}, base)
+    assert SK.manifests(spark, base) == [1, 2, 4] and SK.read_run(spark, base)["detail"].first()["x"] == "four"
+
+
+def test_distinct_counts_and_profiles_without_expand(spark):
+    from ledgerlake.operators import audit
+
+    df = spark.createDataFrame([("a", 1.0, 1), ("a", 0.0, None), (None, -0.0, 2), ("b", None, 2)], "s string, d double, i int")
+    counts = audit.distinct_counts(df, {"s": "s", "d": "d", "i": "i"})
+    assert counts.first().asDict() == {"s": 2, "s_nulls": 1, "d": 2, "d_nulls": 1, "i": 2, "i_nulls": 1}
+    profile = P.column_profile(df, "t", order_by=["i"])
+    for plan in (counts, profile):
+        assert "Expand" not in plan._jdf.queryExecution().toString()
+    got = {r["column"]: (r["null_count"], r["distinct_count"], r["sample"]) for r in profile.collect()}
+    assert got == {"s": (1, 2, "a"), "d": (1, 2, "0.0"), "i": (1, 2, "1")}
+    approx = {r["column"]: r["distinct_count"] for r in P.column_profile(df, "t", order_by=["i"], approx=True).collect()}
+    assert approx == {"s": 2, "d": 2, "i": 2}
+    assert audit.distinct_counts(df.where("i > 9"), {"s": "s"}).first().asDict() == {"s": 0, "s_nulls": 0}
+
+
+def test_grain_check_joins_only_when_keys_differ(spark):
+    from ledgerlake.operators import audit
+
+    before = spark.createDataFrame([(1, None), (None, 1), (2, 2), (2, 2)], "a int, b int")
+    counts, dropped = audit.grain_check(before, before.orderBy(F.desc("a")), ["a", "b"])
+    assert counts.first().asDict() == {"rows_before": 4, "rows_after": 4, "dropped_keys": 0} and dropped.collect() == []
+    for df in (counts, dropped):
+        assert "Join" not in df._jdf.queryExecution().toString()
+    counts, dropped = audit.grain_check(before, before.where("a = 2"), ["a", "b"])
+    assert counts.first()["dropped_keys"] == 2 and {tuple(r) for r in dropped.collect()} == {(1, None), (None, 1)}
+    swapped = spark.createDataFrame([(None, 1), (None, 1), (2, 2), (2, 2)], "a int, b int")
+    assert audit.grain_check(before, swapped, ["a", "b"])[0].first()["dropped_keys"] == 1
