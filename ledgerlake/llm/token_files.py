@@ -20,6 +20,7 @@ import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import cache
+from itertools import compress
 
 import numpy as np
 import pyarrow as pa
@@ -31,12 +32,12 @@ from pyspark.sql import functions as F
 from ledgerlake.llm.common import cut, numbered, shared_dir, table, whole_text
 
 TOKENIZER, END = "word_bpe_49k.json", 1
-#: Tokens of a part on average, where the session's shuffle partitions don't ask for smaller ones.
-PART_TOKENS = 1 << 24
-#: Characters that are encoded together; a longer text is cut at ASCII white space, which this tokenizer drops.
-GROUP_CHARS = 1 << 20
-#: Words that a task remembers with their ids, and the longest of them.
-HELD_WORDS, HELD_CHARS = 300_000, 64
+#: Bytes of text of a part on average, where the session's shuffle partitions don't ask for smaller ones.
+PART_BYTES = 1 << 26
+#: Bytes that are encoded together; a longer text is cut at ASCII white space, which this tokenizer drops.
+GROUP_BYTES = 1 << 20
+#: Words that a task remembers with their ids, and the longest of them in bytes.
+HELD_WORDS, HELD_BYTES = 500_000, 64
 #: Tokens that are written or returned at once; a longer document goes alone.
 BATCH_TOKENS = 1 << 20
 
@@ -44,7 +45,9 @@ MAGIC, INDEX = b"TOKFILE1", "index.bin"
 HEAD = struct.Struct("<8sII")
 PART = np.dtype([("name", "S32"), ("first_doc", "<i8"), ("first_token", "<i8"), ("docs", "<i8"), ("tokens", "<i8"), ("null_ids", "<i8")])
 
-_SPACE = re.compile(r"[ \t\n\r]+")
+_SPACE = re.compile(rb"[ \t\n\r\x0b\x0c]")
+#: ASCII signs that end a word as one run; the apostrophe may begin a contraction and is none of them.
+_SIGNS = b"!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
 
 
 def tokenizer_path(name: str = TOKENIZER) -> str:
@@ -67,47 +70,102 @@ def id_type(path: str, end_id: int) -> np.dtype:
 
 
 class Encoder:
-    """Bytes of a text's token ids. Words between white space are encoded on their own, and remembered:
-    the tokenizer drops white space before its merges, so a text's ids are those of its words in turn."""
+    """Bytes of the ids of texts in UTF-8.
 
-    def __init__(self, path: str, kind: np.dtype):
-        self.tokenizer, self.kind, self.held = _tokenizer(path), kind, {}
+    The tokenizer drops white space before its merges, so a text's ids are those of its words in turn;
+    words are remembered. Letters and the signs after them are merged apart, so a word of letters and signs is
+    the two in turn; new ones are encoded many at once, told apart by the tokens that end a run. All
+    other words are encoded on their own.
+    """
 
-    def words(self, texts: list[str]) -> list[bytes]:
-        split = [_SPACE.split(t) for t in texts]
-        new = [w for w in {w for words in split for w in words} if w not in self.held]
-        encoded = self.tokenizer.encode_batch_fast(new, add_special_tokens=False)
-        self.held.update((w, np.array(e.ids, self.kind).tobytes()) for w, e in zip(new, encoded))
+    def __init__(self, path: str, kind: np.dtype):
+        self.tokenizer, self.kind = _tokenizer(path), kind
+        #: Words and runs with their ids: what was met lately, and what was met before that.
+        self.held, self.older, self.runs, self.older_runs = {}, {}, {}, {}
+        suffix = self.tokenizer.model.end_of_word_suffix
+        self.ends = np.zeros(self.tokenizer.get_vocab_size(with_added_tokens=True), bool)
+        for token, i in self.tokenizer.get_vocab().items():
+            self.ends[i] = bool(suffix) and token.endswith(suffix)
+
+    def _alone(self, words: list[str]) -> Iterator[bytes]:
+        for e in self.tokenizer.encode_batch_fast(words, add_special_tokens=False):
+            yield np.array(e.ids, self.kind).tobytes()
+
+    def _learn_runs(self, runs: list[str]) -> None:
+        """Ids of runs of letters or of signs, each of which ends in one token that ends a run."""
+        for i in range(0, len(runs), 2000):
+            some = runs[i : i + 2000]
+            [encoded] = self.tokenizer.encode_batch_fast([" ".join(some)], add_special_tokens=False)
+            ids = np.array(encoded.ids, np.int64)
+            ends = np.flatnonzero(self.ends[ids]) + 1
+            if len(ends) != len(some):
+                self.runs.update(zip(some, self._alone(some)))
+                continue
+            raw, at = ids.astype(self.kind).tobytes(), (ends * self.kind.itemsize).tolist()
+            self.runs.update(zip(some, [raw[a:b] for a, b in zip([0, *at], at)]))
+
+    def _learn(self, words: list[bytes]) -> None:
+        letters = [w.rstrip(_SIGNS) for w in words]
+        bodies = [b.lower().decode() for b in letters]  # bytes: A-Z only
+        # letters that every version of Unicode tables agrees on
+        plain = [b.isalpha() and (b.isascii() or max(b) < "\u0370") for b in bodies]
+        signs = [w[len(b) :].decode() if len(b) < len(w) else "" for w, b in zip(words, letters)]
+        wanted = {*compress(bodies, plain), *compress(signs, plain)} - {""}
+        self._learn_runs(_recall(list(wanted.difference(self.runs)), self.older_runs, self.runs))
+        runs = self.runs
+        self.held.update([(w, runs[b] + runs[s] if s else runs[b]) for w, b, s, p in zip(words, bodies, signs, plain) if p])
+        others = [w for w, p in zip(words, plain) if not p]
+        self.held.update(zip(others, self._alone([w.decode() for w in others])))
+
+    def words(self, texts: list[bytes]) -> list[bytes]:
+        split = [t.split() for t in texts]
+        new = list(set().union(*split).difference(self.held))
+        self._learn(_recall(new, self.older, self.held))
         out = [b"".join(map(self.held.__getitem__, words)) for words in split]
         for w in new:
-            if len(w) > HELD_CHARS:
+            if len(w) > HELD_BYTES:
                 del self.held[w]
         if len(self.held) > HELD_WORDS:
-            self.held.clear()
+            self.held, self.older = {}, self.held
+        if len(self.runs) > HELD_WORDS:
+            self.runs, self.older_runs = {}, self.runs
         return out
 
-    def groups(self, texts: list[str]) -> Iterator[list[bytes]]:
+    def groups(self, texts: list[bytes]) -> Iterator[list[bytes]]:
         """The texts' ids in order, a few texts at a time."""
-        group, chars = [], 0
+        group, size = [], 0
         for text in texts:
-            if len(text) > GROUP_CHARS:
+            if len(text) > GROUP_BYTES:
                 if group:
                     yield self.words(group)
-                    group, chars = [], 0
+                    group, size = [], 0
                 yield [b"".join(self.words([piece])[0] for piece in pieces(text))]
                 continue
             group.append(text)
-            chars += len(text)
-            if chars >= GROUP_CHARS:
+            size += len(text)
+            if size >= GROUP_BYTES:
                 yield self.words(group)
-                group, chars = [], 0
+                group, size = [], 0
         if group:
             yield self.words(group)
 
 
-def pieces(text: str, size: int = GROUP_CHARS) -> Iterator[str]:
-    """The text in pieces of about ``size`` characters that end before white space; a run without any stays whole."""
-    start = 0
+def _recall(wanted: list, older: dict, held: dict) -> list:
+    """Takes what ``older`` knows of ``wanted`` over into ``held``; returns the rest."""
+    known = [w for w in wanted if w in older]
+    held.update((w, older[w]) for w in known)
+    return [w for w in wanted if w not in older] if known else wanted
+
+
+@cache
+def _encoder(path: str, kind: np.dtype) -> Encoder:
+    """One per Python worker, so that the tasks it runs share what was learnt."""
+    return Encoder(path, kind)
+
+
+def pieces(text: bytes, size: int | None = None) -> Iterator[bytes]:
+    """The text in pieces of about ``size`` bytes that end before white space; a run without any stays whole."""
+    start, size = 0, size or GROUP_BYTES
     while start < len(text):
         gap = _SPACE.search(text, start + size)
         end = gap.start() if gap else len(text)
@@ -115,25 +173,14 @@ def pieces(text: str, size: int = GROUP_CHARS) -> Iterator[str]:
         start = end
 
 
-def encoded(docs: DataFrame, path: str, end_id: int = END) -> DataFrame:
-    """doc_id, ids (their bytes in the file type, with the end id), n_tokens for every row."""
-    kind = id_type(path, end_id)
-    end = np.array([end_id], kind).tobytes()
-
-    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(path, kind)
-        for batch in batches:
-            at = 0
-            for group in encoder.groups(batch["text"].to_pylist()):
-                ids = [g + end for g in group]
-                yield pa.RecordBatch.from_arrays(
-                    [batch["doc_id"].slice(at, len(ids)), pa.array(ids, pa.binary()), pa.array([len(b) // kind.itemsize for b in ids], pa.int64())],
-                    ["doc_id", "ids", "n_tokens"],
-                )
-                at += len(ids)
-
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), whole_text("text").alias("text"))
-    return rows.mapInArrow(encode, "doc_id long, ids binary, n_tokens long")
+def _encoded(batches: Iterator[pa.RecordBatch], path: str, kind: np.dtype, end_id: int) -> Iterator[tuple[pa.Array, list[bytes]]]:
+    """(doc ids, their ids' bytes with the end id) for the rows of the batches, in order."""
+    encoder, end = _encoder(path, kind), np.array([end_id], kind).tobytes()
+    for batch in batches:
+        at = 0
+        for group in encoder.groups(batch["text"].cast(pa.binary()).to_pylist()):
+            yield batch["doc_id"].slice(at, len(group)), [g + end for g in group]
+            at += len(group)
 
 
 def _place(folder: str) -> tuple[pyarrow.fs.FileSystem, str]:
@@ -141,22 +188,19 @@ def _place(folder: str) -> tuple[pyarrow.fs.FileSystem, str]:
     return files, path.rstrip("/")
 
 
-def _write_part(folder: str, part: int, kind: np.dtype, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _write_part(folder: str, part: int, kind: np.dtype, encoded: Iterator[tuple[pa.Array, list[bytes]]]) -> Iterator[pa.RecordBatch]:
     files, path = _place(folder)
     name, docs, tokens, nulls = uuid.uuid4().hex, 0, 0, 0
     streams: dict[str, pa.NativeFile] = {}
-    for batch in batches:
-        if not streams and len(batch):
+    for doc_ids, ids in encoded:
+        if not streams:
             streams = {suffix: files.open_output_stream(f"{path}/{name}.{suffix}") for suffix in ("ids", "ends", "docs")}
-        ids = batch["doc_id"]
-        lengths = batch["n_tokens"].to_numpy(zero_copy_only=False)
-        ends = tokens + np.cumsum(lengths)
-        for one in batch["ids"]:
-            streams["ids"].write(one.as_buffer())
-        if len(batch):
-            streams["ends"].write(ends.astype("<i8").tobytes())
-            streams["docs"].write(ids.fill_null(0).to_numpy(zero_copy_only=False).astype("<i8").tobytes())
-            docs, tokens, nulls = docs + len(batch), int(ends[-1]), nulls + ids.null_count
+        ends = tokens + np.cumsum([len(b) // kind.itemsize for b in ids], dtype=np.int64)
+        for one in ids:
+            streams["ids"].write(one)
+        streams["ends"].write(ends.astype("<i8").tobytes())
+        streams["docs"].write(doc_ids.fill_null(0).to_numpy(zero_copy_only=False).astype("<i8").tobytes())
+        docs, tokens, nulls = docs + len(ids), int(ends[-1]), nulls + doc_ids.null_count
     for stream in streams.values():
         stream.close()
     if docs:
@@ -234,11 +278,11 @@ class MappedPart:
         return doc_id, int(self.part["first_token"]) + start, np.array(self.ids[start : int(self.ends[i])])
 
 
-def write_token_files(docs: DataFrame, tokenizer: str | None = None, end_id: int = END, part_tokens: int = PART_TOKENS, folder: str | None = None) -> TokenFiles:
+def write_token_files(docs: DataFrame, tokenizer: str | None = None, end_id: int = END, part_bytes: int = PART_BYTES, folder: str | None = None) -> TokenFiles:
     """Writes every row of ``docs`` (doc_id, text), in ascending order of the id, and returns the index.
 
     A null text is empty and has the end id alone; null ids come first. Rows with one id are ordered by
-    their ids' hash, and repeated rows stay. Very long texts are encoded in pieces and written whole, and
+    their text's hash, and repeated rows stay. Very long texts are encoded in pieces and written whole, and
     other columns are ignored. An empty table gives an index without parts. ``folder`` (by default a new one in
     the session's shared folder) must be reachable by the driver and all executors. ``tokenizer``: path of
     a tokenizer file that drops white space, the same on every executor.
@@ -248,21 +292,20 @@ def write_token_files(docs: DataFrame, tokenizer: str | None = None, end_id: int
     folder = folder if "://" in folder or folder.startswith("file:") else f"file://{os.path.abspath(folder)}"
     files, place = _place(folder)
     files.create_dir(place, recursive=True)
-    rows = cut(numbered(encoded(docs, path, end_id)))
-    kind, total = id_type(path, end_id), rows.agg(F.sum("n_tokens")).first()[0] or 0
-    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // part_tokens))
-    # ties end in the row number, so that one id can't fill a part
+    kind = id_type(path, end_id)
+    rows = numbered(docs.select(F.col("doc_id").cast("long").alias("doc_id"), whole_text("text").alias("text")))
+    total = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // part_bytes))
+    # ties end in the row number, so that one id can't fill a part; it parts rows of one id and text only
     order = [F.col("doc_id").asc_nulls_first(), F.col("at"), F.col("rid")]
-    dealt = rows.withColumn("at", F.xxhash64("ids")).repartitionByRange(parts, *order).sortWithinPartitions(*order)
-    write = lambda batches: _write_part(folder, TaskContext.get().partitionId(), kind, batches)
-    written = cut(dealt.select("doc_id", "ids", "n_tokens").mapInArrow(write, "part long, name string, docs long, tokens long, null_ids long"))
+    dealt = rows.withColumn("at", F.xxhash64("text")).repartitionByRange(parts, *order).sortWithinPartitions(*order)
+    write = lambda batches: _write_part(folder, TaskContext.get().partitionId(), kind, _encoded(batches, path, kind, end_id))
+    written = cut(dealt.select("doc_id", "text").mapInArrow(write, "part long, name string, docs long, tokens long, null_ids long"))
     made = written.orderBy("part").collect()  # one row per part
-    table_of = np.zeros(len(made), PART)
-    for i, r in enumerate(made):
-        table_of[i] = (r.name.encode(), 0, 0, r.docs, r.tokens, r.null_ids)
-    table_of["first_doc"] = np.cumsum(table_of["docs"]) - table_of["docs"]
-    table_of["first_token"] = np.cumsum(table_of["tokens"]) - table_of["tokens"]
-    out = TokenFiles(folder, kind, table_of)
+    index = np.array([(r.name.encode(), 0, 0, r.docs, r.tokens, r.null_ids) for r in made], PART)
+    index["first_doc"] = np.cumsum(index["docs"]) - index["docs"]
+    index["first_token"] = np.cumsum(index["tokens"]) - index["tokens"]
+    out = TokenFiles(folder, kind, index)
     out.save()
     return out
 

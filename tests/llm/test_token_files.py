@@ -33,7 +33,7 @@ def test_query_matches_the_library_on_the_whole_corpus(spark, texts):
 
 def test_files_round_trip_and_are_as_described(spark, docs_of, tmp_path):
     rows = [(i, f"some words {i} über alles\tnaïve Σας <|endoftext|>don't 12345") for i in range(60)]
-    files = T.write_token_files(docs_of(rows), part_tokens=100, folder=str(tmp_path))
+    files = T.write_token_files(docs_of(rows), part_bytes=300, folder=str(tmp_path))
     expected = want(rows)
     assert len(files.parts) > 4 and files.kind == np.dtype("<u2") and (files.docs, files.tokens) == (60, sum(len(x[2]) for x in expected))
     again = T.TokenFiles.open(files.folder)
@@ -63,7 +63,7 @@ def test_files_of_lost_attempts_are_not_read_and_broken_ones_raise(spark, docs_o
 
 def test_nulls_empty_repeats_and_one_hot_id(spark, docs_of, tmp_path):
     rows = [(None, "null id"), (None, None), (3, None), (2, ""), (2, "   \n"), *[(1, f"copy {i % 3}") for i in range(90)]]
-    files = T.write_token_files(docs_of(rows).repartition(3), part_tokens=40, folder=str(tmp_path))
+    files = T.write_token_files(docs_of(rows).repartition(3), part_bytes=200, folder=str(tmp_path))
     got = T.read_token_files(spark, files.folder).collect()
     assert sorted((r.doc_id is not None, r.doc_id or 0, np.frombuffer(bytes(r.ids), "<u4").tolist()) for r in got) == sorted((d is not None, d or 0, plain(t)) for d, t in rows)
     ordered = sorted(got, key=lambda r: r.start)
@@ -74,14 +74,16 @@ def test_nulls_empty_repeats_and_one_hot_id(spark, docs_of, tmp_path):
     assert (empty.docs, empty.tokens) == (0, 0) and T.read_token_files(spark, empty.folder).collect() == []
 
 
-def test_long_texts_are_encoded_in_pieces_as_if_whole(monkeypatch):
-    text = "It's  the naïve word-break, CAFÉ́ \r\n 12345 don't " * 40 + "x" * 300
-    encode = lambda: np.frombuffer(b"".join(b for g in T.Encoder(T.tokenizer_path(), np.dtype("<u4")).groups([text, "b", text]) for b in g), "<u4").tolist()
-    whole = [*plain(text)[:-1], *plain("b")[:-1], *plain(text)[:-1]]
+def test_words_are_encoded_as_in_the_whole_text(monkeypatch):
+    odd = "It's they'll DON'T 'tis abc$$$ x... Straße, ΣΑΣ Σας. ﬁne ŉ e\u0301 a\x0bb\x0cc\x1cd\x1fe\x85f\u2028g\u3000h ! ?! ''s <|endoftext|>, a<|endoftext|> İI ij12 ½ x'S. 中文字 नमस्ते 👍🏽ok Ꟛ"
+    text = "It's  the naïve word-break, CAFÉ\u0301 \r\n 12345 don't " * 40 + "x" * 300
+    texts = [odd, text, "b", "", text, odd.upper(), odd.replace(" ", "")]
+    encode = lambda: [np.frombuffer(b, "<u4").tolist() for g in T.Encoder(T.tokenizer_path(), np.dtype("<u4")).groups([t.encode() for t in texts]) for b in g]
+    whole = [plain(t)[:-1] for t in texts]
     assert encode() == whole
-    monkeypatch.setattr(T, "GROUP_CHARS", 50)
+    monkeypatch.setattr(T, "GROUP_BYTES", 50)
     monkeypatch.setattr(T, "HELD_WORDS", 3)
-    assert "".join(T.pieces(text, 50)) == text and len(list(T.pieces(text, 50))) > 20
+    assert b"".join(T.pieces(text.encode(), 50)) == text.encode() and len(list(T.pieces(text.encode()))) > 20
     assert encode() == whole
 
 
