@@ -24,6 +24,7 @@ from itertools import compress
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import pyarrow.fs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
@@ -35,7 +36,7 @@ TOKENIZER, END = "word_bpe_49k.json", 1
 #: Bytes of text of a part on average, where the session's shuffle partitions don't ask for smaller ones.
 PART_BYTES = 1 << 26
 #: Bytes that are encoded together; a longer text is cut at ASCII white space, which this tokenizer drops.
-GROUP_BYTES = 1 << 20
+GROUP_BYTES = 1 << 22
 #: Words that a task remembers with their ids, and the longest of them in bytes.
 HELD_WORDS, HELD_BYTES = 500_000, 64
 #: Tokens that are written or returned at once; a longer document goes alone.
@@ -45,7 +46,7 @@ MAGIC, INDEX = b"TOKFILE1", "index.bin"
 HEAD = struct.Struct("<8sII")
 PART = np.dtype([("name", "S32"), ("first_doc", "<i8"), ("first_token", "<i8"), ("docs", "<i8"), ("tokens", "<i8"), ("null_ids", "<i8")])
 
-_SPACE = re.compile(rb"[ \t\n\r\x0b\x0c]")
+_SPACE = re.compile(r"[ \t\n\r\x0b\x0c]")
 #: ASCII signs that end a word as one run; the apostrophe may begin a contraction and is none of them.
 _SIGNS = b"!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
 
@@ -117,11 +118,16 @@ class Encoder:
         others = [w for w, p in zip(words, plain) if not p]
         self.held.update(zip(others, self._alone([w.decode() for w in others])))
 
-    def words(self, texts: list[bytes]) -> list[bytes]:
-        split = [t.split() for t in texts]
-        new = list(set().union(*split).difference(self.held))
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts in a row, and how many each text has. Only distinct words are looked up one by one."""
+        words = pc.ascii_split_whitespace(texts)
+        coded = words.flatten().dictionary_encode()
+        distinct = coded.dictionary.cast(pa.binary()).to_pylist()
+        new = [w for w in distinct if w not in self.held]
         self._learn(_recall(new, self.older, self.held))
-        out = [b"".join(map(self.held.__getitem__, words)) for words in split]
+        ids = pa.array([self.held[w] for w in distinct], pa.binary()).take(coded.indices)
+        ends = np.frombuffer(ids.buffers()[1], np.int32, len(ids) + 1)
+        flat = np.frombuffer(ids.buffers()[2] or b"", self.kind, int(ends[-1]) // self.kind.itemsize)
         for w in new:
             if len(w) > HELD_BYTES:
                 del self.held[w]
@@ -129,25 +135,26 @@ class Encoder:
             self.held, self.older = {}, self.held
         if len(self.runs) > HELD_WORDS:
             self.runs, self.older_runs = {}, self.runs
-        return out
-
-    def groups(self, texts: list[bytes]) -> Iterator[list[bytes]]:
-        """The texts' ids in order, a few texts at a time."""
-        group, size = [], 0
-        for text in texts:
-            if len(text) > GROUP_BYTES:
-                if group:
-                    yield self.words(group)
-                    group, size = [], 0
-                yield [b"".join(self.words([piece])[0] for piece in pieces(text))]
+        at = np.asarray(words.offsets) - words.offsets[0].as_py()
+        return flat, np.diff(ends[at]) // self.kind.itemsize
+
+    def groups(self, texts: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """The same for a few texts at a time, in order; a long text goes alone, in pieces."""
+        sizes = pc.binary_length(texts).to_numpy(zero_copy_only=False)
+        first = 0
+        while first < len(texts):
+            if sizes[first] > GROUP_BYTES:
+                parts = [self.encode(pa.array([p], pa.string()))[0] for p in pieces(texts[first].as_py())]
+                flat = np.concatenate(parts)
+                yield flat, np.array([len(flat)])
+                first += 1
                 continue
-            group.append(text)
-            size += len(text)
-            if size >= GROUP_BYTES:
-                yield self.words(group)
-                group, size = [], 0
-        if group:
-            yield self.words(group)
+            last, size = first, 0
+            while last < len(texts) and sizes[last] <= GROUP_BYTES and (last == first or size + sizes[last] <= GROUP_BYTES):
+                size += sizes[last]
+                last += 1
+            yield self.encode(texts.slice(first, last - first))
+            first = last
 
 
 def _recall(wanted: list, older: dict, held: dict) -> list:
@@ -163,8 +170,8 @@ def _encoder(path: str, kind: np.dtype) -> Encoder:
     return Encoder(path, kind)
 
 
-def pieces(text: bytes, size: int | None = None) -> Iterator[bytes]:
-    """The text in pieces of about ``size`` bytes that end before white space; a run without any stays whole."""
+def pieces(text: str, size: int | None = None) -> Iterator[str]:
+    """The text in pieces of about ``size`` characters that end before white space; a run without any stays whole."""
     start, size = 0, size or GROUP_BYTES
     while start < len(text):
         gap = _SPACE.search(text, start + size)
@@ -173,14 +180,15 @@ def pieces(text: bytes, size: int | None = None) -> Iterator[bytes]:
         start = end
 
 
-def _encoded(batches: Iterator[pa.RecordBatch], path: str, kind: np.dtype, end_id: int) -> Iterator[tuple[pa.Array, list[bytes]]]:
-    """(doc ids, their ids' bytes with the end id) for the rows of the batches, in order."""
-    encoder, end = _encoder(path, kind), np.array([end_id], kind).tobytes()
+def _encoded(batches: Iterator[pa.RecordBatch], path: str, kind: np.dtype, end_id: int) -> Iterator[tuple[pa.Array, np.ndarray, np.ndarray]]:
+    """(doc ids, their ids in a row with the end ids, how many each has) for the rows of the batches, in order."""
+    encoder = _encoder(path, kind)
     for batch in batches:
         at = 0
-        for group in encoder.groups(batch["text"].cast(pa.binary()).to_pylist()):
-            yield batch["doc_id"].slice(at, len(group)), [g + end for g in group]
-            at += len(group)
+        for flat, lengths in encoder.groups(batch["text"]):
+            ids = np.insert(flat, np.cumsum(lengths), end_id)
+            yield batch["doc_id"].slice(at, len(lengths)), ids, lengths + 1
+            at += len(lengths)
 
 
 def _place(folder: str) -> tuple[pyarrow.fs.FileSystem, str]:
@@ -188,19 +196,18 @@ def _place(folder: str) -> tuple[pyarrow.fs.FileSystem, str]:
     return files, path.rstrip("/")
 
 
-def _write_part(folder: str, part: int, kind: np.dtype, encoded: Iterator[tuple[pa.Array, list[bytes]]]) -> Iterator[pa.RecordBatch]:
+def _write_part(folder: str, part: int, kind: np.dtype, encoded: Iterator[tuple[pa.Array, np.ndarray, np.ndarray]]) -> Iterator[pa.RecordBatch]:
     files, path = _place(folder)
     name, docs, tokens, nulls = uuid.uuid4().hex, 0, 0, 0
     streams: dict[str, pa.NativeFile] = {}
-    for doc_ids, ids in encoded:
+    for doc_ids, ids, lengths in encoded:
         if not streams:
             streams = {suffix: files.open_output_stream(f"{path}/{name}.{suffix}") for suffix in ("ids", "ends", "docs")}
-        ends = tokens + np.cumsum([len(b) // kind.itemsize for b in ids], dtype=np.int64)
-        for one in ids:
-            streams["ids"].write(one)
+        ends = tokens + np.cumsum(lengths, dtype=np.int64)
+        streams["ids"].write(ids.astype(kind, copy=False).tobytes())
         streams["ends"].write(ends.astype("<i8").tobytes())
         streams["docs"].write(doc_ids.fill_null(0).to_numpy(zero_copy_only=False).astype("<i8").tobytes())
-        docs, tokens, nulls = docs + len(ids), int(ends[-1]), nulls + doc_ids.null_count
+        docs, tokens, nulls = docs + len(lengths), int(ends[-1]), nulls + doc_ids.null_count
     for stream in streams.values():
         stream.close()
     if docs:
