@@ -118,30 +118,37 @@ def master_statistics(
         *[f"missing_{i}" for i in range(len(completion_cols))], "completion_pct")
 
 
-def key_fingerprint(df: DataFrame, keys: Sequence[str]) -> tuple:
+def fingerprint_aggs(keys: Sequence[str]) -> dict[str, Column]:
     """Row count and order-insensitive sums of two 64-bit hashes of the key
-    tuples, nulls told from values: one pass, no shuffle. Equal fingerprints
-    mean equal bags of keys."""
+    tuples, nulls told from values, as plain aggregates that can be observed
+    while a frame is written. Equal fingerprints mean equal bags of keys."""
     cols = [_q(k) for k in keys]
     marks = [c.isNull() for c in cols]
-    total = lambda h: F.coalesce(F.sum(h.cast("decimal(20,0)")), F.lit(0))
-    return tuple(df.agg(F.count(F.lit(1)), total(F.xxhash64(*marks, *cols)), total(F.xxhash64(F.lit(1), *cols, *marks))).first())
+    total = lambda h: F.coalesce(F.sum(h.cast("decimal(20,0)")), F.lit(0).cast("decimal(30,0)"))
+    return {
+        "_rows": F.count(F.lit(1)), "_hash_a": total(F.xxhash64(*marks, *cols)), "_hash_b": total(F.xxhash64(F.lit(1), *cols, *marks)),
+    }
 
 
 def grain_check(before: DataFrame, after: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, DataFrame]:
     """Compare the row grain before and after a step: counts, and the
     ``keys`` tuples present before but missing after (null-safe equality, so
-    a null key part still matches itself).
+    a null key part still matches itself)."""
+    aggs = [c.alias(n) for n, c in fingerprint_aggs(keys).items()]
+    return grain_between(before, after, keys, before.agg(*aggs).first().asDict(), after.agg(*aggs).first().asDict())
 
-    Fingerprints of both sides are compared first. When they agree, as they
+
+def grain_between(before: DataFrame, after: DataFrame, keys: Sequence[str], seen_before: Mapping, seen_after: Mapping) -> tuple[DataFrame, DataFrame]:
+    """E11 from fingerprints that are known already. When they agree, as they
     do after steps that keep every row, no key is missing and no join is
     planned; only when they differ are the keys joined."""
-    counted_before, counted_after = key_fingerprint(before, keys), key_fingerprint(after, keys)
+    marks = list(fingerprint_aggs(keys))
     b = before.select(*[_q(k) for k in keys])
-    counts = before.sparkSession.range(1).select(
-        F.lit(counted_before[0]).cast("bigint").alias("rows_before"), F.lit(counted_after[0]).cast("bigint").alias("rows_after"))
-    if counted_before == counted_after:
-        return counts.withColumn("dropped_keys", F.lit(0).cast("bigint")), before.sparkSession.createDataFrame([], b.schema)
+    spark = before.sparkSession
+    counts = spark.range(1).select(
+        F.lit(seen_before["_rows"]).cast("bigint").alias("rows_before"), F.lit(seen_after["_rows"]).cast("bigint").alias("rows_after"))
+    if all(seen_before[m] == seen_after[m] for m in marks):
+        return counts.withColumn("dropped_keys", F.lit(0).cast("bigint")), spark.createDataFrame([], b.schema)
     a = after.select(*[_q(k).alias(f"_a{i}") for i, k in enumerate(keys)]).distinct()
     cond = None
     for i, k in enumerate(keys):

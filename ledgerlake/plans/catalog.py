@@ -8,6 +8,7 @@ fixed scale so an independent engine summing in another order still matches.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -560,7 +561,7 @@ def q_key_health(spark, sf):
 def q_summary_enriched(spark, sf):
     # the aggregate and the first row per Lookup in one pass over the detail
     e = summary.sales_summary_with_firsts(
-        _summary_rows(spark, sf), "Lookup", ["Buying Group", "Award Type", "SC Comments"], list(I.LINE_ORDER))
+        _summary_rows(spark, sf), "Lookup", ["Buying Group", "Award Type", "SC Comments"], list(I.LINE_ORDER), write=True)
     return e.select(
         F.col("Lookup").alias("lookup"), F.col("Material Description").alias("material_description"),
         F.col("Sold-to party Name").alias("sold_to_party_name"), F.col("NDC Code").alias("ndc_code"),
@@ -750,20 +751,26 @@ def q_column_dictionary(spark, sf):
 def _flow(spark, sf):
     from . import flow
 
-    return flow.build_outputs(flow.tpch_inputs(spark, sf))
+    tables, order = I.flow_tables(spark, sf)
+    return flow.run_phases(flow.FlowInputs(tables, order, flow.FlowConfig(keywords=KEYWORDS, low_stock_threshold=2000.0)))
+
+
+def _named(c: str) -> str:
+    """A header as a plain column name."""
+    return re.sub(r"[^a-z0-9]+", "_", c.lower()).strip("_")
 
 
 def q_flow_detail(spark, sf):
     d = _flow(spark, sf).detail
-    return d.select(*[(_r(c, 4).alias(c) if c in ("ups_inventory", "unit_price", "reference_price", "m1", "m2", "m3", "average") else F.col(c))
-                      for c in d.columns])
+    return d.select(*[(F.round(F.col(f"`{c}`"), 4) if t == "double" else F.col(f"`{c}`")).alias(_named(c)) for c, t in d.dtypes])
 
 
 def q_flow_summary(spark, sf):
-    s = _flow(spark, sf).summary
-    dbl = {"Max of UPS Inventory", "Sum of Sales Order Qty", "M1", "M2", "M3", "Avg"}
-    return s.select(*[(_r(F.col(f"`{c}`"), 4) if c in dbl else F.col(f"`{c}`")).alias(c.lower().replace(" ", "_").replace("-", "_"))
-                      for c in s.columns])
+    r = _flow(spark, sf)
+    months = {m: f"m{i + 1}" for i, m in enumerate(r.month_labels)}
+    named = r.summary.select(*[
+        (F.round(F.col(f"`{c}`"), 4) if t == "double" else F.col(f"`{c}`")).alias(months.get(c) or _named(c)) for c, t in r.summary.dtypes])
+    return named.withColumn("months", F.lit(",".join(r.month_labels)))
 
 
 def q_flow_statistics(spark, sf):
@@ -771,8 +778,12 @@ def q_flow_statistics(spark, sf):
 
 
 def q_flow_audit_counts(spark, sf):
-    return _flow(spark, sf).audit_counts
+    r = _flow(spark, sf)
+    return r.audits()
+
 
+def q_flow_merge_audit(spark, sf):
+    return _flow(spark, sf).merge_audit
 
 
 # --------------------------------------------------------------------------
@@ -897,6 +908,7 @@ QUERIES: dict[str, Query] = {
     "FLOW_summary": q_flow_summary,
     "FLOW_statistics": q_flow_statistics,
     "FLOW_audit_counts": q_flow_audit_counts,
+    "FLOW_merge_audit": q_flow_merge_audit,
     "C1_clean_columns": q_clean_columns,
     "B13_lookup_key_table": q_lookup_key_table,
     "B14_key_change_counters": q_key_change_counters,

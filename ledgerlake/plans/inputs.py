@@ -15,6 +15,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .session import cut_lineage
+
 TABLES = (
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem",
     "events", "documents", "embeddings", "pages", "benchmark", "labels", "conversations",
@@ -104,3 +106,99 @@ def master_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 LINE_ORDER = ("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_shipdate", "l_extendedprice")
+
+
+# --------------------------------------------------------------------------
+# The sources of the whole flow, under their role names
+# --------------------------------------------------------------------------
+
+def trend_headers(months: list) -> dict:
+    """The trend's month headers, written in the ways that exports write them: first day of the month -> header."""
+    styles = (" {:%b-%y} ", "{:%B %Y}", " {:%b %Y}")
+    return {m: styles[(m.month - 1) % 3].format(m) for m in months}
+
+
+def sales_trend(spark: SparkSession, m: DataFrame) -> DataFrame:
+    """Per lookup and line status a row with a text column for every month that has orders. Every January is there
+    twice, the second time with other numbers under another header: the first header counts."""
+    month = F.trunc(F.col("o_orderdate").cast("date"), "MM")
+    months = sorted(r["m"] for r in m.select(month.alias("m")).distinct().collect())  # one row per month
+    sums, again = [], []
+    for first, header in trend_headers(months).items():
+        total = F.sum(F.when(month == F.lit(first), F.floor("l_extendedprice")))
+        sums.append(F.coalesce(F.format_number(total, 0), F.lit(" - ")).alias(header))
+        if first.month == 1:
+            again.append(F.lit("1").alias(f"January {first.year}"))
+    facts = [
+        F.when(F.min("c_mktsegment") == "HOUSEHOLD", F.concat(F.min("c_name"), F.lit(" closed"))).otherwise(F.lower(F.min("c_name"))).alias("customer"),
+        F.when(F.max("p_size") > 40, F.lit("Retail")).otherwise(F.min("c_mktsegment")).alias("customer_group"),
+        F.concat(F.lit("C"), F.min("l_suppkey").cast("string")).alias("contract_id"), F.concat(F.lit("T: "), F.min("p_name")).alias("material_description"),
+    ]
+    rows = m.withColumn("lookup", _lookup()).where("lookup is not null").groupBy("lookup", F.col("l_linestatus").alias("status")).agg(*facts, *sums)
+    return rows.select("*", *again)
+
+
+def _lookup():
+    from ..functions.keys import lookup_key
+
+    return lookup_key("ndc_code", "sold_to")
+
+
+def flow_tables(spark: SparkSession, sf_dir: str) -> tuple[dict[str, DataFrame], dict[str, tuple[str, ...]]]:
+    """The logical sources of the flow from the driver's tables, with each one's row order. The order lines that
+    several of them come from, and the trend with its column per month, are written as tables."""
+    m = cut_lineage(master_orders(spark, sf_dir))
+    li, customer = table(spark, sf_dir, "lineitem"), table(spark, sf_dir, "customer")
+    flag, status = F.col("l_returnflag"), F.col("l_linestatus")
+    ndc = F.concat(lpad_num("l_partkey", 5), F.lit("-"), lpad_num("l_suppkey", 4), F.lit("-01"))
+    qty = F.col("l_quantity")
+    orderbook = m.select(
+        *LINE_ORDER, F.col("l_orderkey").alias("order_number"), F.col("l_linenumber").alias("item_number"),
+        F.when(flag != "A", F.col("l_partkey").cast("string")).alias("material_code"), F.col("ndc_code").alias("ndc"), F.col("sold_to").alias("customer"),
+        F.when(F.col("p_type") != "SMALL", F.col("p_name")).alias("material_description"), (F.col("p_size") * 10).alias("total_stock"),
+        F.when(F.col("p_type") != "PROMO", F.col("p_size")).alias("pack_size"), qty.alias("quantity"),
+        F.when(status == "O", qty * 2).alias("quantity_mtd"), F.when(flag == "N", qty * 3).alias("forecast"),
+        F.col("o_custkey").alias("sold_to_party"), F.col("c_mktsegment").alias("order_type"), F.col("l_extendedprice").alias("unit_price"),
+        F.round(F.col("l_extendedprice") * qty, 2).alias("sales_value"),
+        F.when(status == "O", F.col("l_extendedprice")).otherwise(F.round("l_extendedprice", 0)).alias("reference_price"),
+        F.concat(F.lit("PO"), F.col("l_orderkey").cast("string")).alias("po_number"), F.col("o_orderdate").alias("po_date"),
+        F.col("o_custkey").alias("ship_to_party"), F.col("c_name").alias("ship_to_name"), F.col("p_type").alias("street"),
+        F.col("c_mktsegment").alias("city"), lpad_num("o_custkey", 5).alias("postal_code"), flag.alias("reject_code"),
+        F.col("l_shipdate").alias("delivery_date"),
+        F.when(flag == "R", F.lit(" Cancel")).when((flag == "A") & (status == "O"), F.lit("HOLD ")).otherwise(F.lit("")).alias("action"),
+    )
+    moq = table(spark, sf_dir, "part").select(
+        F.col("p_partkey").alias("material_code"), F.concat(F.lit("M: "), F.col("p_name")).alias("material_description"),
+        F.when(F.col("p_type") != "LARGE", F.col("p_size") + 1).alias("moq"))
+    inventory = li.select(
+        *LINE_ORDER, F.when(status == "O", ndc).otherwise(F.replace(ndc, F.lit("-"), F.lit(""))).alias("ndc"), qty.alias("actual_quantity"),
+        (qty * 40).alias("inventory"), F.col("l_linenumber").alias("allocated_quantity"), flag.alias("description"),
+        F.when(flag != "N", flag).alias("hold_codes"))
+    open_orders = m.select(
+        *LINE_ORDER, F.concat(lpad_num("l_partkey", 5), F.lit("-"), lpad_num("l_suppkey", 3), F.lit("-01")).alias("sku"), qty.alias("total"),
+        F.when(flag != "A", F.lit("Pick Completed")).when(status == "F", F.lit("Loaded")).otherwise(F.lit("Open")).alias("status"),
+        F.concat(F.lit(" "), F.col("c_name"), F.lit(" ")).alias("customer"),
+        F.when(F.col("p_type") != "PROMO", F.substring("c_mktsegment", 1, 4)).otherwise(F.lit("  ")).alias("customer_group"))
+    groups = customer.select(
+        F.col("c_name").alias("customer"), F.when(F.col("c_nationkey") < 10, F.col("c_mktsegment")).alias("buying_group"), "c_custkey", F.lit(0).alias("r"))
+    groups = groups.unionByName(customer.select(
+        F.col("c_name").alias("customer"), F.when((F.col("c_nationkey") < 3) & (F.col("c_acctbal") < 0), F.lit("Special")).alias("buying_group"), "c_custkey", F.lit(1).alias("r")))
+    late = F.col("l_shipdate") >= F.lit("1997-01-01").cast("timestamp_ntz")  # awards of an NDC that no line has
+    awarded = m.withColumn("ndc_code", F.when(late, F.lit("99999-9999-99")).otherwise(F.col("ndc_code")))
+    awards = awarded.select(*LINE_ORDER, _lookup().alias("lookup"), F.col("ndc_code").alias("ndc"), F.when(flag == "R", F.lit("Secondary")).otherwise(F.lit("Primary")).alias("award_type"))
+    tracker = li.select(
+        *LINE_ORDER, ndc.alias("ndc"), F.when(status == "O", F.lit("Backorder")).otherwise(F.lit("Shipped")).alias("comments"),
+        F.col("l_shipdate").alias("tracker_date"), status.alias("customer_eta"))
+    sold = m.select(
+        *LINE_ORDER, F.col("l_orderkey").alias("order_number"), F.col("ndc_code").alias("ndc"), _lookup().alias("lookup"),
+        F.when(F.col("p_size") > 25, F.col("p_size") + 2).alias("summary_pack_size"), qty.alias("quantity"), (qty * 5).alias("quantity_mtd"),
+        (qty * 7).alias("forecast"), F.concat(F.lit("S: "), F.col("p_name")).alias("material_description"))
+    uploads = li.select(
+        ndc.alias("ndc"), F.col("l_linenumber").cast("string").alias("reason"),
+        F.when((flag == "R") & (F.col("l_tax") < 0.04), F.lit("Yes")).otherwise(F.lit("no")).alias("action"), qty.alias("quantity"))
+    tables = {
+        "orderbook": orderbook, "moq": moq, "inventory": inventory, "open_order_summary": open_orders, "buying_groups": groups, "awards": awards,
+        "critical_inventory_tracker": tracker, "sales_summary": sold, "sales_trend": cut_lineage(sales_trend(spark, m)), "upload_sheet": uploads,
+    }
+    order = {name: LINE_ORDER for name in ("orderbook", "inventory", "open_order_summary", "awards", "critical_inventory_tracker", "sales_summary")}
+    return tables, order | {"moq": ("material_code",), "buying_groups": ("r", "c_custkey"), "sales_trend": ("lookup", "status")}

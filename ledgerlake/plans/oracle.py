@@ -926,23 +926,59 @@ SELECT (SELECT count(*) FROM m) AS total_master_rows, (SELECT count(*) FROM summ
 
 _PAD_NDC = f"{pad('l_partkey', 5)} || '-' || {pad('l_suppkey', 4)} || '-01'"
 
+_LOOKUP_KEY = f"upper({clean('lookup')})"
+
+
+def _firsts(name: str, src: str, key: str, order: str) -> str:
+    """E1's build side: the first row per normalised key."""
+    return f"""{name} AS (SELECT * FROM (SELECT *, {key} AS k, row_number() OVER (PARTITION BY {key} ORDER BY {order}) AS rn FROM {src}) WHERE rn = 1 AND k IS NOT NULL)"""
+
+
 FLOW_CTES = f"""{MASTER},
-{PRIO_CTES},
 fm AS (
-  SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, l_shipdate, l_extendedprice, o_orderdate, ndc_code, sold_to,
-         p_name, l_quantity, l_extendedprice AS unit_price,
+  SELECT {_LI_ORDER}, o_orderdate, l_orderkey AS order_number, l_linenumber AS item_number,
+         CASE WHEN l_returnflag <> 'A' THEN CAST(l_partkey AS VARCHAR) END AS material_code0, ndc_code AS ndc, sold_to AS customer,
+         CASE WHEN p_type <> 'SMALL' THEN p_name END AS description0, p_size * 10 AS total_stock,
+         CASE WHEN p_type <> 'PROMO' THEN p_size END AS pack_size0, l_quantity AS quantity,
+         CASE WHEN l_linestatus = 'O' THEN l_quantity * 2 END AS mtd0, CASE WHEN l_returnflag = 'N' THEN l_quantity * 3 END AS forecast0,
+         o_custkey, c_mktsegment, l_extendedprice AS unit_price, round(l_extendedprice * l_quantity, 2) AS sales_value,
+         CASE WHEN l_linestatus = 'O' THEN l_extendedprice ELSE round(l_extendedprice, 0) END AS reference_price, c_name, p_type, l_returnflag,
          CASE WHEN l_returnflag = 'R' THEN ' Cancel' WHEN l_returnflag = 'A' AND l_linestatus = 'O' THEN 'HOLD ' ELSE '' END AS action,
-         CASE WHEN p_type = 'PROMO' THEN NULL ELSE p_size END AS pack_size0,
          {LOOKUP_EXPR} AS lookup, {digits('ndc_code')} AS nk
   FROM m),
-fe AS (
-  SELECT fm.*, coalesce(fm.pack_size0, p.p_size) AS pack_size, p.p_retailprice AS reference_price
-  FROM fm LEFT JOIN part p ON CAST(fm.l_partkey AS VARCHAR) = CAST(p.p_partkey AS VARCHAR)),
+fpart AS (
+  SELECT CAST(p_partkey AS VARCHAR) AS k, 'M: ' || p_name AS description, CASE WHEN p_type <> 'LARGE' THEN p_size + 1 END AS moq FROM part),
 fli AS (SELECT *, {_PAD_NDC} AS ndcx FROM lineitem),
 finv AS (
-  SELECT CASE WHEN l_linestatus = 'O' THEN ndcx ELSE replace(ndcx, '-', '') END AS ndc, l_quantity * 40 AS inventory,
-         CASE WHEN l_returnflag = 'N' THEN NULL ELSE l_returnflag END AS hold
+  SELECT {_LI_ORDER}, CASE WHEN l_linestatus = 'O' THEN ndcx ELSE replace(ndcx, '-', '') END AS ndc, l_quantity AS actual_quantity,
+         l_quantity * 40 AS inventory, l_linenumber AS allocated_quantity, l_returnflag AS description, CASE WHEN l_returnflag <> 'N' THEN l_returnflag END AS hold
   FROM fli),
+foo AS (
+  SELECT {_LI_ORDER}, {pad('l_partkey', 5)} || '-' || {pad('l_suppkey', 3)} || '-01' AS sku, l_quantity AS total,
+         CASE WHEN l_returnflag <> 'A' THEN 'Pick Completed' WHEN l_linestatus = 'F' THEN 'Loaded' ELSE 'Open' END AS status,
+         ' ' || c_name || ' ' AS customer, CASE WHEN p_type <> 'PROMO' THEN substr(c_mktsegment, 1, 4) ELSE '  ' END AS customer_group
+  FROM m),
+fgr AS (
+  SELECT c_name AS customer, CASE WHEN c_nationkey < 10 THEN c_mktsegment END AS buying_group, c_custkey, 0 AS r FROM customer
+  UNION ALL SELECT c_name, CASE WHEN c_nationkey < 3 AND c_acctbal < 0 THEN 'Special' END, c_custkey, 1 FROM customer),
+ftrk AS (
+  SELECT {_LI_ORDER}, ndcx AS ndc, CASE WHEN l_linestatus = 'O' THEN 'Backorder' ELSE 'Shipped' END AS comments, l_linestatus AS customer_eta FROM fli),
+fsold AS (
+  SELECT {_LI_ORDER}, ndc_code AS ndc, {LOOKUP_EXPR} AS lookup, CASE WHEN p_size > 25 THEN p_size + 2 END AS summary_pack_size, l_quantity AS quantity,
+         l_quantity * 5 AS quantity_mtd, l_quantity * 7 AS forecast, 'S: ' || p_name AS material_description
+  FROM m),
+fper AS (
+  SELECT mm AS p FROM (SELECT date_trunc('month', o_orderdate) AS mm, count(*) AS c FROM fm GROUP BY 1)
+  ORDER BY c DESC, mm LIMIT 1),
+ftrend AS (
+  SELECT lookup, l_linestatus AS status,
+         CASE WHEN min(c_mktsegment) = 'HOUSEHOLD' THEN min(c_name) || ' closed' ELSE lower(min(c_name)) END AS customer,
+         CASE WHEN max(p_size) > 40 THEN 'Retail' ELSE min(c_mktsegment) END AS customer_group,
+         'C' || CAST(min(l_suppkey) AS VARCHAR) AS contract_id, 'T: ' || min(p_name) AS material_description,
+         sum(CASE WHEN date_trunc('month', o_orderdate) = p - INTERVAL 3 MONTH THEN floor(l_extendedprice) END) AS m1,
+         sum(CASE WHEN date_trunc('month', o_orderdate) = p - INTERVAL 2 MONTH THEN floor(l_extendedprice) END) AS m2,
+         sum(CASE WHEN date_trunc('month', o_orderdate) = p - INTERVAL 1 MONTH THEN floor(l_extendedprice) END) AS m3
+  FROM (SELECT *, {LOOKUP_EXPR} AS lookup FROM m), fper WHERE lookup IS NOT NULL GROUP BY lookup, l_linestatus),
 fstock AS (
   SELECT k AS ndc, coalesce(sum(inventory), 0) AS inventory
   FROM (SELECT {digits('ndc')} AS k, inventory FROM finv WHERE trim(coalesce(hold, '')) = '') WHERE k IS NOT NULL GROUP BY k),
@@ -950,32 +986,24 @@ falloc AS (
   SELECT ndc, sum(total) AS total FROM (
     SELECT CASE WHEN len(s) = 3 AND regexp_full_match(s[1], '[0-9]{{5}}') AND regexp_full_match(s[2], '[0-9]{{3}}')
                      AND regexp_full_match(s[3], '[0-9]{{2}}') THEN s[1] || lpad(s[2], 4, '0') || s[3] END AS ndc, total
-    FROM (SELECT string_split({pad('l_partkey', 5)} || '-' || {pad('l_suppkey', 3)} || '-01', '-') AS s, l_quantity AS total,
-                 CASE WHEN l_linestatus = 'F' THEN 'Loaded' ELSE 'Open' END AS status
-          FROM lineitem WHERE l_returnflag = 'A')
-    WHERE upper(trim(status)) NOT IN ('PICK COMPLETED', 'LOADED'))
+    FROM (SELECT string_split(sku, '-') AS s, total FROM foo WHERE upper(trim(status)) NOT IN ('PICK COMPLETED', 'LOADED')))
   WHERE ndc IS NOT NULL GROUP BY ndc),
 fup AS (
   SELECT {digits('ndcx')} AS ndc, sum(l_quantity) AS upload_qty FROM fli
   WHERE l_returnflag = 'R' AND CAST(l_linenumber AS VARCHAR) IN ('1', '4') AND l_tax < 0.04
   GROUP BY 1),
 fnet AS (
-  SELECT coalesce(s.ndc, a.ndc) AS ndc,
+  SELECT coalesce(s.ndc, a.ndc) AS ndc, s.ndc IS NOT NULL AS stocked, a.ndc IS NOT NULL AS allocated, coalesce(a.total, 0) AS total,
          greatest(coalesce(s.inventory, 0) - coalesce(a.total, 0) - coalesce(u.upload_qty, 0), 0) AS ups_inventory
   FROM fstock s FULL OUTER JOIN falloc a ON s.ndc = a.ndc LEFT JOIN fup u ON u.ndc = coalesce(s.ndc, a.ndc)),
-ftr AS (
-  SELECT {_LI_ORDER}, {digits(_PAD_NDC)} AS k,
-         CASE WHEN l_linestatus = 'O' THEN 'Backorder' ELSE 'Shipped' END AS comment, l_shipdate AS td
-  FROM lineitem),
 fsc AS (
-  SELECT k, CASE WHEN count(DISTINCT upper(comment)) = 1 THEN first(comment ORDER BY {_LI_ORDER})
-                 WHEN max(td) IS NOT NULL THEN first(comment ORDER BY td DESC NULLS LAST, {_LI_ORDER}) END AS value,
-         CASE WHEN count(DISTINCT upper(comment)) = 1 OR max(td) IS NOT NULL THEN 'MATCHED' ELSE 'DUPLICATE_CONFLICT' END AS status
-  FROM ftr WHERE k IS NOT NULL GROUP BY k),
-faw AS (
-  SELECT {_LI_ORDER}, upper({clean(LOOKUP_EXPR)}) AS lk, {digits('ndc_code')} AS nk,
-         CASE WHEN l_returnflag = 'R' THEN 'Secondary' ELSE 'Primary' END AS award
-  FROM m WHERE l_shipdate < TIMESTAMP '1997-01-01'),
+  SELECT k, CASE WHEN count(DISTINCT upper(comments)) = 1 THEN first(comments ORDER BY {_LI_ORDER})
+                 ELSE first(comments ORDER BY l_shipdate DESC NULLS LAST, {_LI_ORDER}) END AS value
+  FROM (SELECT *, {digits('ndc')} AS k FROM ftrk) WHERE k IS NOT NULL GROUP BY k),
+faw0 AS (
+  SELECT m.* REPLACE (CASE WHEN l_shipdate >= TIMESTAMP '1997-01-01' THEN '99999-9999-99' ELSE ndc_code END AS ndc_code),
+         CASE WHEN l_returnflag = 'R' THEN 'Secondary' ELSE 'Primary' END AS award FROM m),
+faw AS (SELECT {_LI_ORDER}, award, {LOOKUP_EXPR} AS lk, {digits('ndc_code')} AS nk FROM faw0),
 fpt AS (
   SELECT lk AS k, CASE WHEN count(DISTINCT award) = 1 THEN first(award ORDER BY {_LI_ORDER}) END AS value,
          CASE WHEN count(DISTINCT award) = 1 THEN 'MATCHED' ELSE 'DUPLICATE_CONFLICT' END AS status
@@ -984,96 +1012,173 @@ fft AS (
   SELECT nk AS k, CASE WHEN count(DISTINCT award) = 1 THEN first(award ORDER BY {_LI_ORDER}) END AS value,
          CASE WHEN count(DISTINCT award) = 1 THEN 'MATCHED' ELSE 'DUPLICATE_CONFLICT' END AS status
   FROM faw WHERE nk IS NOT NULL GROUP BY nk),
-fper AS (
-  SELECT mm AS p FROM (SELECT date_trunc('month', o_orderdate) AS mm, count(*) AS c FROM fm GROUP BY 1)
-  ORDER BY c DESC, mm LIMIT 1),
-fh AS (
-  SELECT lookup AS k,
-         sum(CASE WHEN date_trunc('month', o_orderdate) = p - INTERVAL 3 MONTH THEN l_quantity END) AS m1,
-         sum(CASE WHEN date_trunc('month', o_orderdate) = p - INTERVAL 2 MONTH THEN l_quantity END) AS m2,
-         sum(CASE WHEN date_trunc('month', o_orderdate) = p - INTERVAL 1 MONTH THEN l_quantity END) AS m3
-  FROM fm, fper
-  WHERE date_trunc('month', o_orderdate) >= p - INTERVAL 3 MONTH AND date_trunc('month', o_orderdate) < p
-  GROUP BY lookup),
+ftier AS (
+  SELECT 'Buying Groups' AS source, 1 AS priority, upper({clean('customer')}) AS k, upper({clean('buying_group')}) AS n, buying_group AS v, CAST(r AS VARCHAR) AS o0, lpad(CAST(c_custkey AS VARCHAR), 12, '0') AS o1 FROM fgr
+  UNION ALL SELECT 'Sales Trend', 2, upper({clean('customer')}), upper({clean('customer_group')}), customer_group, lookup, status FROM ftrend
+  UNION ALL SELECT 'Open Orders', 3, upper({clean('customer')}), upper({clean('customer_group')}), customer_group, '', '' FROM foo),
+ftbl AS (
+  SELECT source, priority, k, count(*) AS n_rows, count(DISTINCT n) AS n_values, min(n) AS n,
+         CASE WHEN count(DISTINCT n) = 1 THEN first(v ORDER BY o0, o1) END AS value,
+         CASE WHEN count(DISTINCT n) = 1 THEN 'MATCHED' ELSE 'DUPLICATE_CONFLICT' END AS status
+  FROM ftier WHERE k IS NOT NULL AND n IS NOT NULL GROUP BY source, priority, k),
+fwin AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY k ORDER BY priority) AS rn FROM ftbl) WHERE rn = 1),
+{_firsts('x2', 'finv', digits('ndc'), _LI_ORDER)},
+{_firsts('x3', 'foo', f"upper({clean('customer')})", _LI_ORDER)},
+{_firsts('x4', 'fsold', _LOOKUP_KEY, _LI_ORDER)},
+{_firsts('x5', 'ftrend', _LOOKUP_KEY, 'lookup, status')},
+{_firsts('x6', 'ftrk', digits('ndc'), _LI_ORDER)},
 fd AS (
-  SELECT fe.*, fn.ups_inventory, sc.value AS sc_comments,
-         CASE WHEN pa.status IS NOT NULL THEN pa.value WHEN fa.status IS NOT NULL THEN fa.value END AS award_type,
-         w.value AS buying_group, fh.m1, fh.m2, fh.m3,
-         (coalesce(fh.m1, 0) + coalesce(fh.m2, 0) + coalesce(fh.m3, 0)) /
-           nullif(CAST(fh.m1 IS NOT NULL AS INTEGER) + CAST(fh.m2 IS NOT NULL AS INTEGER) + CAST(fh.m3 IS NOT NULL AS INTEGER), 0) AS average
-  FROM fe LEFT JOIN fnet fn ON fe.nk = fn.ndc
-  LEFT JOIN fsc sc ON fe.nk = sc.k
-  LEFT JOIN fpt pa ON upper({clean('fe.lookup')}) = pa.k
-  LEFT JOIN fft fa ON fe.nk = fa.k
-  LEFT JOIN win w ON upper({clean('fe.sold_to')}) = w.k
-  LEFT JOIN fh ON fe.lookup = fh.k),
+  SELECT fm.*, material_code0 AS material_code, coalesce(description0, x1.description, x4.material_description, x5.material_description) AS description,
+         coalesce(mtd0, x4.quantity_mtd) AS mtd, coalesce(forecast0, x4.forecast) AS forecast,
+         coalesce(x4.summary_pack_size, x1.moq, pack_size0) AS pack_size, x1.moq, x2.actual_quantity, x6.comments, fn.ups_inventory,
+         x1.k IS NOT NULL AS h1, x2.k IS NOT NULL AS h2, x3.k IS NOT NULL AS h3, x4.k IS NOT NULL AS h4, x5.k IS NOT NULL AS h5, x6.k IS NOT NULL AS h6,
+         sc.value AS sc_comments, CASE WHEN pa.status IS NOT NULL THEN pa.value WHEN fa.status IS NOT NULL THEN fa.value END AS award_type,
+         coalesce(pa.status, fa.status, 'NOT_FOUND') AS award_status, pa.status IS NOT NULL AS by_lookup,
+         w.value AS buying_group, x5.m1, x5.m2, x5.m3,
+         (coalesce(x5.m1, 0) + coalesce(x5.m2, 0) + coalesce(x5.m3, 0)) /
+           nullif(CAST(x5.m1 IS NOT NULL AS INTEGER) + CAST(x5.m2 IS NOT NULL AS INTEGER) + CAST(x5.m3 IS NOT NULL AS INTEGER), 0) AS average
+  FROM fm LEFT JOIN fpart x1 ON material_code0 = x1.k
+  LEFT JOIN x2 ON fm.nk = x2.k LEFT JOIN x3 ON upper({clean('fm.customer')}) = x3.k LEFT JOIN x4 ON fm.lookup = x4.k
+  LEFT JOIN x5 ON fm.lookup = x5.k LEFT JOIN x6 ON fm.nk = x6.k
+  LEFT JOIN fnet fn ON fm.nk = fn.ndc LEFT JOIN fsc sc ON fm.nk = sc.k
+  LEFT JOIN fpt pa ON fm.lookup = pa.k LEFT JOIN fft fa ON fm.nk = fa.k
+  LEFT JOIN fwin w ON upper({clean('fm.customer')}) = w.k),
 fr AS (
   SELECT fd.*,
-         regexp_matches(p_name, '{KW}') AS controlled,
-         (coalesce(unit_price, 0) = 0) OR (coalesce(unit_price - reference_price, 0) <> 0 AND unit_price IS NOT NULL
-                                           AND reference_price IS NOT NULL) AS price_issue,
+         coalesce(regexp_matches(description, '{KW}'), false) AS controlled,
+         (coalesce(unit_price, 0) = 0) OR (unit_price - reference_price <> 0) AS price_issue,
          CASE WHEN pack_size IS NOT NULL AND pack_size <> 0 THEN
-              ((l_quantity / pack_size - floor(l_quantity / pack_size)) > 1e-6
-               AND (1 - (l_quantity / pack_size - floor(l_quantity / pack_size))) > 1e-6) ELSE false END AS moq_issue,
+              ((quantity / pack_size - floor(quantity / pack_size)) > 1e-6
+               AND (1 - (quantity / pack_size - floor(quantity / pack_size))) > 1e-6) ELSE false END AS moq_issue,
          coalesce(ups_inventory < 10000, false) AS low_stock,
          CASE lower(trim(action)) WHEN 'cancel' THEN 'FF0000' WHEN 'hold' THEN 'ADD8E6' END AS act,
          CASE WHEN pack_size IS NOT NULL AND pack_size <> 0 THEN
-              NOT ((l_quantity - pack_size * floor(l_quantity / pack_size)) <= 1e-9
-                   OR (pack_size - (l_quantity - pack_size * floor(l_quantity / pack_size))) <= 1e-9) ELSE false END AS moq_rem
+              NOT ((quantity - pack_size * floor(quantity / pack_size)) <= 1e-9
+                   OR (pack_size - (quantity - pack_size * floor(quantity / pack_size))) <= 1e-9) ELSE false END AS moq_rem
   FROM fd),
 ff AS (
   SELECT fr.*, coalesce(act, CASE WHEN controlled THEN 'FFC0CB' END) AS row_fill,
          coalesce(act, CASE WHEN price_issue THEN 'FFA500' END, CASE WHEN controlled THEN 'FFC0CB' END) AS price_fill,
          coalesce(act, CASE WHEN moq_rem THEN 'FFFF00' END, CASE WHEN controlled THEN 'FFC0CB' END) AS qty_fill
-  FROM fr)"""
+  FROM fr),
+fsum AS (
+  SELECT description, customer, lookup, ndc, max(ups_inventory) AS max_ups, coalesce(sum(quantity), 0) AS sum_qty, max(mtd) AS max_mtd, max(forecast) AS max_forecast
+  FROM ff GROUP BY description, customer, lookup, ndc),
+fcount AS (
+  SELECT count(*) AS n, count_if(controlled) AS controlled, count_if(price_issue) AS price, count_if(moq_issue) AS moq, count_if(low_stock) AS low,
+         count_if(h5) AS hist, count_if(sc_comments IS NULL) AS no_comment, count_if(buying_group IS NULL) AS no_group, count_if(award_type IS NULL) AS no_award,
+         (SELECT count(DISTINCT ndc) FROM ff) AS ndcs, (SELECT count(DISTINCT lookup) FROM ff) AS lookups,
+         (SELECT count(*) - count(DISTINCT upper({clean('lookup')})) FROM ftrend) AS repeated
+  FROM ff)"""
+
+
+def _merge_row(name: str, src: str, own: str, payload: tuple[str, ...], added: str, join_key: str, label: str, skey: str, mkey: str, hit: str) -> str:
+    """J1's row of one enriching source."""
+    more = [f"count(DISTINCT CAST({c} AS VARCHAR)) > 1 AS x{i}" for i, c in enumerate(payload)]
+    conflicts = " + ".join(f"CAST(x{i} AS INTEGER)" for i in range(len(payload)))
+    return f"""SELECT '{name}' AS source, '{added}' AS columns_added, '{join_key}' AS join_key, (SELECT count_if({hit}) FROM fd) AS rows_updated,
+       (SELECT count(*) FROM (SELECT DISTINCT {skey} AS k FROM {src}) WHERE k IS NOT NULL AND k NOT IN (SELECT {mkey} FROM fm WHERE {mkey} IS NOT NULL)) AS rows_missing,
+       CAST(coalesce(sum(n - 1), 0) AS BIGINT) AS duplicate_keys_found,
+       '{label}; conflicting values=' || CAST(CAST(coalesce(sum(CASE WHEN n >= 2 THEN {conflicts} ELSE 0 END), 0) AS BIGINT) AS VARCHAR) AS comments
+FROM (SELECT {own}, count(*) AS n, {', '.join(more)} FROM {src} GROUP BY {own})"""
+
+
+_MERGE_ROWS = [
+    _merge_row("moq", "(SELECT *, k AS material_code FROM fpart)", "material_code", ("description", "moq"), "moq", "material_code", "Material Number", "material_code", "material_code0", "h1"),
+    _merge_row("inventory", "finv", "ndc", ("actual_quantity", "inventory", "allocated_quantity", "description"),
+               "actual_quantity, inventory, allocated_quantity, description", "ndc", "NDC Code", digits("ndc"), "nk", "h2"),
+    _merge_row("open_order_summary", "foo", "customer", ("total", "sku"), "total, sku", "customer", "Sold To Party Name",
+               f"upper({clean('customer')})", f"upper({clean('customer')})", "h3"),
+    _merge_row("sales_summary", "fsold", "lookup", ("quantity", "quantity_mtd", "forecast", "material_description", "summary_pack_size"),
+               "summary_pack_size", "lookup", "Lookup", _LOOKUP_KEY, "lookup", "h4"),
+    _merge_row("sales_trend", "ftrend", "lookup", ("material_description", "customer_group", "contract_id"), "customer_group, contract_id", "lookup", "Lookup", _LOOKUP_KEY, "lookup", "h5"),
+    _merge_row("critical_inventory_tracker", "(SELECT *, NULL AS description FROM ftrk)", "ndc", ("comments", "customer_eta"), "comments, customer_eta", "ndc", "NDC Code", digits("ndc"), "nk", "h6"),
+]
+
+
+def _metric_rows(table: str, values: dict[str, str], only_positive: bool = False) -> str:
+    rows = ", ".join(f"('{table}', '{k}', CAST(({v}) AS BIGINT))" for k, v in values.items())
+    return f"SELECT t AS \"table\", metric, CAST(v AS VARCHAR) AS value FROM (VALUES {rows}) x(t, metric, v){' WHERE v > 0' if only_positive else ''}"
+
+
+def _c(what: str) -> str:
+    return f"SELECT {what} FROM fcount"
+
+
+_RUN_COUNTS = {
+    "Total Master Rows": _c("n"), "Unique NDCs": _c("ndcs"), "Unique Lookup Values": _c("lookups"), "Controlled Products": _c("controlled"),
+    "Price Issues": _c("price"), "MOQ Issues": _c("moq"), "Low UPS Inventory Rows": _c("low"), "Historical Sales Matches": _c("hist"),
+    "Historical Sales Misses": _c("n - hist"), "Missing SC Comments": _c("no_comment"), "Missing Buying Groups": _c("no_group"), "Missing Awards": _c("no_award"),
+}
+_RUN_EXCEPTIONS = {
+    "MISSING_HISTORICAL_SALES": _c("n - hist"), "DUPLICATE_HISTORICAL_KEY": _c("repeated"), "MISSING_SC_COMMENTS": _c("no_comment"),
+    "MISSING_BUYING_GROUP": _c("no_group"), "MISSING_AWARD": _c("no_award"), "PRICE_ISSUE": _c("price"), "MOQ_ISSUE": _c("moq"), "LOW_UPS_INVENTORY": _c("low"),
+}
+_SUMMARY_COUNTS = {
+    "Total Master Rows": _c("n"), "Aggregated Rows": "SELECT count(*) FROM fsum", "Unique Lookup Values": _c("lookups"),
+    "Duplicate Lookup Values": "SELECT count(lookup) - count(DISTINCT lookup) FROM fsum", "Reporting Year": "SELECT year(p) FROM fper",
+    "Reporting Month": "SELECT month(p) FROM fper", "Historical Matches": _c("hist"), "Historical Misses": _c("n - hist"), "Duplicate Historical Keys": _c("repeated"),
+}
+_DERIVED_COUNTS = {
+    "Inventory Rows": "SELECT count_if(stocked) FROM fnet", "Allocated Rows": "SELECT count_if(allocated) FROM fnet",
+    "Unique NDCs": "SELECT count(ndc) FROM fnet", "Missing Inventory": "SELECT count_if(allocated AND NOT stocked) FROM fnet",
+    "Missing Allocations": "SELECT count_if(total = 0) FROM fnet",
+    "MOQ Failures": """SELECT count_if(CASE WHEN summary_pack_size IS NOT NULL AND summary_pack_size <> 0
+      THEN quantity / summary_pack_size <> floor(quantity / summary_pack_size) ELSE true END) FROM fsold""",
+}
 
 SQL.update({
     "FLOW_detail": f"""WITH {FLOW_CTES}
-SELECT l_orderkey AS order_key, l_linenumber AS line_no, lookup, ndc_code, p_name AS material_description,
-       round(ups_inventory, 4) AS ups_inventory, pack_size, l_quantity AS sales_order_qty, sold_to AS sold_to_party_name,
-       action, round(unit_price, 4) AS unit_price, round(reference_price, 4) AS reference_price, buying_group, award_type,
-       sc_comments, round(m1, 4) AS m1, round(m2, 4) AS m2, round(m3, 4) AS m3, round(average, 4) AS average,
-       row_fill, price_fill, qty_fill
+SELECT order_number AS sales_order_no, item_number AS item_no, lookup, material_code AS matl_code, ndc AS ndc_code, description AS material_description,
+       total_stock AS total_stock_in_hand, round(ups_inventory, 4) AS ups_inventory, CAST(pack_size AS VARCHAR) AS pack_size_moq, round(quantity, 4) AS sales_order_qty,
+       round(mtd, 4) AS sales_qty_mtd, round(forecast, 4) AS forecast_qty, o_custkey AS sold_to_party, customer AS sold_to_party_name, action,
+       c_mktsegment AS s_o_type, round(unit_price, 4) AS unit_price, round(sales_value, 4) AS sales_value_fc, round(reference_price, 4) AS wac_bg_price_in_edi,
+       'PO' || CAST(order_number AS VARCHAR) AS po_number, o_orderdate AS po_date, o_custkey AS ship_to_party, c_name AS ship_to_party_name, p_type AS street,
+       c_mktsegment AS city, CAST(NULL AS VARCHAR) AS region, {pad('o_custkey', 5)} AS postal_code, CAST(NULL AS VARCHAR) AS country, l_returnflag AS reas_rej,
+       CAST(NULL AS VARCHAR) AS reason_for_rejection, CAST(NULL AS VARCHAR) AS material_blk, CAST(NULL AS VARCHAR) AS floor_limit_blk,
+       CAST(NULL AS VARCHAR) AS multiple_of_moq_blk, CAST(NULL AS VARCHAR) AS expected_price_blk, CAST(NULL AS VARCHAR) AS dea_number_customer_master,
+       l_shipdate AS req_delivery_date, CAST(NULL AS VARCHAR) AS som_indc, row_fill, price_fill, qty_fill
 FROM ff""",
     "FLOW_summary": f"""WITH {FLOW_CTES},
-fsum AS (
-  SELECT p_name, sold_to, lookup, ndc_code, max(ups_inventory) AS max_ups, coalesce(sum(l_quantity), 0) AS sum_qty
-  FROM ff GROUP BY p_name, sold_to, lookup, ndc_code),
 ffirst AS (
   SELECT lookup, buying_group, award_type, sc_comments, m1, m2, m3, average,
          row_number() OVER (PARTITION BY lookup ORDER BY {_LI_ORDER}) AS rn
   FROM ff WHERE lookup IS NOT NULL)
-SELECT s.p_name AS material_description, s.sold_to AS sold_to_party_name, s.lookup, s.ndc_code,
-       round(s.max_ups, 4) AS max_of_ups_inventory, round(s.sum_qty, 4) AS sum_of_sales_order_qty,
-       CAST(NULL AS DOUBLE) AS max_of_sales_qty_mtd, CAST(NULL AS DOUBLE) AS max_of_forecast_qty,
-       CAST(NULL AS VARCHAR) AS manual_comments, round(f.m1, 4) AS m1, round(f.m2, 4) AS m2, round(f.m3, 4) AS m3,
-       round(f.average, 4) AS avg, f.buying_group, f.award_type, f.sc_comments,
-       CASE WHEN s.max_ups < 2000 THEN 'FFFF00' END AS low_stock_fill
+SELECT s.description AS material_description, s.customer AS sold_to_party_name, s.lookup, s.ndc AS ndc_code,
+       round(s.max_ups, 4) AS max_of_ups_inventory, round(s.sum_qty, 4) AS sum_of_sales_order_qty, round(s.max_mtd, 4) AS max_of_sales_qty_mtd,
+       round(s.max_forecast, 4) AS max_of_forecast_qty, CAST(NULL AS VARCHAR) AS manual_comments, round(f.m1, 4) AS m1, round(f.m2, 4) AS m2,
+       round(f.m3, 4) AS m3, round(f.average, 4) AS avg, f.buying_group, f.award_type, f.sc_comments,
+       CASE WHEN s.max_ups < 2000 THEN 'FFFF00' END AS low_stock_fill,
+       (SELECT strftime(p - INTERVAL 3 MONTH, '%b') || ',' || strftime(p - INTERVAL 2 MONTH, '%b') || ',' || strftime(p - INTERVAL 1 MONTH, '%b') FROM fper) AS months
 FROM fsum s LEFT JOIN ffirst f ON s.lookup = f.lookup AND f.rn = 1""",
     "FLOW_statistics": f"""WITH {FLOW_CTES}
 SELECT (SELECT count(*) FROM fm) AS original_rows, count(*) AS rows_after_merge,
-       count(DISTINCT l_orderkey) AS unique_sales_orders, count(DISTINCT sold_to) AS unique_customers,
-       count(DISTINCT ndc_code) AS unique_ndcs,
-       count(*) - count(DISTINCT ndc_code) - CASE WHEN count_if(ndc_code IS NULL) > 0 THEN 1 ELSE 0 END AS duplicate_ndcs,
+       count(DISTINCT order_number) AS unique_sales_orders, count(DISTINCT customer) AS unique_customers,
+       count(DISTINCT ndc) AS unique_ndcs,
+       count(*) - count(DISTINCT ndc) - CASE WHEN count_if(ndc IS NULL) > 0 THEN 1 ELSE 0 END AS duplicate_ndcs,
        count(*) - count(DISTINCT lookup) - CASE WHEN count_if(lookup IS NULL) > 0 THEN 1 ELSE 0 END AS duplicate_lookups,
-       count_if(p_name IS NULL) AS missing_0, count_if(pack_size IS NULL) AS missing_1,
-       count_if(ups_inventory IS NULL) AS missing_2, count_if(buying_group IS NULL) AS missing_3,
-       count_if(award_type IS NULL) AS missing_4, count_if(sc_comments IS NULL) AS missing_5,
-       round(avg(CASE WHEN p_name IS NOT NULL AND pack_size IS NOT NULL AND ups_inventory IS NOT NULL
-                       AND buying_group IS NOT NULL AND award_type IS NOT NULL AND sc_comments IS NOT NULL
+       count_if(description IS NULL) AS missing_0, count_if(pack_size IS NULL) AS missing_1,
+       count_if(actual_quantity IS NULL) AS missing_2, count_if(buying_group IS NULL) AS missing_3,
+       count_if(award_type IS NULL) AS missing_4, count_if(comments IS NULL) AS missing_5,
+       round(avg(CASE WHEN description IS NOT NULL AND pack_size IS NOT NULL AND actual_quantity IS NOT NULL
+                       AND buying_group IS NOT NULL AND award_type IS NOT NULL AND comments IS NOT NULL
                       THEN 1.0 ELSE 0.0 END) * 100, 2) AS completion_pct
 FROM fd""",
-    "FLOW_audit_counts": f"""WITH {FLOW_CTES},
-c AS (
-  SELECT count_if(lookup IS NULL) AS a, count_if(buying_group IS NULL) AS b, count_if(award_type IS NULL) AS c2,
-         count_if(price_issue) AS d, count_if(moq_issue) AS e, count_if(low_stock) AS f,
-         count(*) - count(DISTINCT lookup) - CASE WHEN count_if(lookup IS NULL) > 0 THEN 1 ELSE 0 END AS g
-  FROM fr)
-SELECT * FROM (VALUES
-  ('MISSING_LOOKUP', (SELECT CAST(a AS VARCHAR) FROM c)), ('MISSING_BUYING_GROUP', (SELECT CAST(b AS VARCHAR) FROM c)),
-  ('MISSING_AWARD', (SELECT CAST(c2 AS VARCHAR) FROM c)), ('PRICE_ISSUE', (SELECT CAST(d AS VARCHAR) FROM c)),
-  ('MOQ_ISSUE', (SELECT CAST(e AS VARCHAR) FROM c)), ('LOW_UPS_INVENTORY', (SELECT CAST(f AS VARCHAR) FROM c)),
-  ('DUPLICATE_LOOKUP', (SELECT CAST(g AS VARCHAR) FROM c))) v(metric, value)""",
+    "FLOW_audit_counts": f"WITH {FLOW_CTES} " + " UNION ALL ".join([
+        _metric_rows("audit", _RUN_COUNTS), _metric_rows("exceptions", _RUN_EXCEPTIONS, True), _metric_rows("summary", _SUMMARY_COUNTS), _metric_rows("derived", _DERIVED_COUNTS),
+        _metric_rows("grain", {"rows_before": "SELECT count(*) FROM fm", "rows_after": _c("n"), "dropped_keys": "SELECT 0"})]),
+    "FLOW_merge_audit": f"WITH {FLOW_CTES} " + " UNION ALL ".join(_MERGE_ROWS) + f"""
+UNION ALL
+SELECT 'Buying Groups, Sales Trend, Open Orders', 'buying_group', 'customer', (SELECT count(buying_group) FROM fd), (SELECT count_if(buying_group IS NULL) FROM fd),
+       (SELECT count_if(status = 'DUPLICATE_CONFLICT') FROM fwin),
+       'exact_duplicate_source_rows_removed=' || (SELECT CAST(sum(n_rows - n_values) AS BIGINT) FROM ftbl) || '; same_priority_conflicts=' ||
+       (SELECT count_if(status = 'DUPLICATE_CONFLICT') FROM fwin) || '; lower_priority_disagreements=' ||
+       (SELECT count(*) FROM ftbl o JOIN fwin w ON o.k = w.k WHERE o.priority <> w.priority AND o.n_values = 1 AND w.n_values = 1 AND o.n <> w.n)
+UNION ALL
+SELECT 'awards', 'award_type', 'lookup, ndc', count(award_type), count_if(award_type IS NULL), count_if(award_status = 'DUPLICATE_CONFLICT'),
+       'matched_by_lookup=' || count_if(award_status = 'MATCHED' AND by_lookup) || '; matched_by_ndc=' || count_if(award_status = 'MATCHED' AND NOT by_lookup) ||
+       '; not_found=' || count_if(award_status = 'NOT_FOUND') || '; duplicate_conflict=' || count_if(award_status = 'DUPLICATE_CONFLICT')
+FROM fd""",
 })
 
 

@@ -100,7 +100,7 @@ def signature_collisions(defs: Sequence[SourceDefinition], normalized: bool = Fa
 # The result tables ``plans.flow.run`` writes (and the run manifest); never
 # read back as inputs.
 GENERATED_OUTPUTS: tuple[str, ...] = (
-    "detail", "summary", "merge_audit", "statistics", "grain", "audit_counts",
+    "detail", "summary", "merge_audit", "statistics", "audit_counts",
     "exceptions_buying_group", "exceptions_award", "exceptions_sc_comments", "_manifest",
 )
 

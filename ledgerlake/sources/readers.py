@@ -45,29 +45,38 @@ def _even_quotes(text: Column) -> Column:
     return F.when(odd, F.raise_error(F.lit(OPEN_QUOTE)).cast("boolean")).otherwise(F.lit(True))
 
 
+#: Where a row stands: its file, the split that it is read with, and a number that grows within the split.
+PLACE = "struct<path:string,start:bigint,seq:bigint>"
+
+
+def _place(path: Column | str, start: Column | str) -> Column:
+    return F.struct(F.col(path).alias("path"), F.col(start).alias("start"), F.monotonically_increasing_id().alias("seq")).cast(PLACE).alias("_place")
+
+
 def _below(spark: SparkSession, paths: Sequence[str], width: int, sep: str, line_end: int, records: int, multiline: bool) -> DataFrame:
-    """The rows under the header of files with one kind of head, as text columns ``_c0``, ``_c1``, ..."""
+    """The rows under the header of files with one kind of head, as text columns ``_c0``, ``_c1``, ... and ``_place``."""
     names = [f"_c{i}" for i in range(width)]
     schema = ", ".join(f"{n} string" for n in names)
     reader = spark.read.option("sep", sep).option("multiLine", multiline).option("escape", '"')
-    paths = list(paths)
+    paths, place = list(paths), _place("_metadata.file_path", "_metadata.file_block_start")
     if multiline and line_end == 1:
-        return reader.schema(schema).option("header", True).csv(paths)
+        return reader.schema(schema).option("header", True).csv(paths).select("*", place)
     if multiline:
         # one task per file, blank lines gone: drop the records that are left of the head
-        rows = reader.schema(schema).option("header", False).csv(paths).select("*", F.col("_metadata.file_path").alias("_path"))
+        rows = reader.schema(schema).option("header", False).csv(paths).select("*", place, F.col("_metadata.file_path").alias("_path"))
         return rows.mapInPandas(_drop_first(records, "_path"), rows.schema).drop("_path")
     if line_end == 1:
         # a cut record has fewer cells than its file, so its text is kept and tested; with one column, the cell is
         # (without column pruning in the parser, which would not see that cells are missing)
         marked = reader.schema(f"{schema}, _cut string").option("columnNameOfCorruptRecord", "_cut").option("columnPruning", False)
-        rows = marked.option("header", True).csv(paths)
+        rows = marked.option("header", True).csv(paths).select("*", place)
         return rows.filter(_even_quotes(F.coalesce("_cut", F.lit("")) if width > 1 else F.coalesce("_cut", "_c0", F.lit("")))).drop("_cut")
     # the head is counted in text lines and dropped in the first split before anything is parsed
-    lines = file_lines(spark, paths).select("path", "start", "value")
+    lines = file_lines(spark, paths).select("path", "start", "value", F.monotonically_increasing_id().alias("seq"))
     head = lines.filter("start = 0").mapInPandas(_drop_first(line_end, "path"), lines.schema)
     body = head.unionByName(lines.filter("start > 0")).filter(F.trim("value") != "").filter(_even_quotes(F.col("value")))
-    return body.select(F.from_csv("value", schema, {"sep": sep, "escape": '"'}).alias("r")).select("r.*")
+    parsed = body.select(F.from_csv("value", schema, {"sep": sep, "escape": '"'}).alias("r"), F.struct("path", "start", "seq").cast(PLACE).alias("_place"))
+    return parsed.select("r.*", "_place")
 
 
 def read_csv_table(
@@ -77,6 +86,7 @@ def read_csv_table(
     headers: Sequence[str] | None = None,
     sep: str = ",",
     multiline: bool = False,
+    order: str | None = None,
 ) -> DataFrame:
     """A1 for CSV: all-string columns named by the header record (C15 repair:
     blank names become ``Column n``, a repeated name keeps its first column).
@@ -87,7 +97,9 @@ def read_csv_table(
     file lacks is null there. ``headers`` replaces the header texts by
     position. ``multiline`` allows line breaks inside quoted cells of the
     data, at the price of one task per file; without it, a line that leaves
-    a quote open raises when it is read, as it would give wrong rows."""
+    a quote open raises when it is read, as it would give wrong rows.
+    ``order`` adds a column of that name by which rows sort as they stand in
+    their files (for "first row" rules, S1)."""
     rows = raw_head_rows(spark, path, header_idx + 1, sep)
     # one row per file: its header's cells and where the header ends
     per_file = rows.groupBy("workbook").agg(
@@ -101,7 +113,8 @@ def read_csv_table(
         names, keep = repair_headers(headers if headers is not None else cells)
         width = max(len(cells), len(names), 1)
         body = _below(spark, sorted(files), width, sep, line_end, records, multiline)
-        one = body.select(*[F.col(f"_c{i}").alias(names[i]) for i in keep])
+        placed = [F.col("_place").alias(order)] if order else []
+        one = body.select(*[F.col(f"_c{i}").alias(names[i]) for i in keep], *placed)
         out = one if out is None else out.unionByName(one, allowMissingColumns=True)
     if out is None:
         raise ValueError(f"no file under {path} has a record {header_idx}")

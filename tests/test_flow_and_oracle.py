@@ -10,31 +10,136 @@ SF = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="driver test data not present")
 
 
-def test_flow_preserves_grain(spark):
-    from ledgerlake.plans import flow
-
-    fi = flow.tpch_inputs(spark, SF)
-    r = flow.build_outputs(fi)
-    n_master = fi.master.count()
-    assert r.detail.count() == n_master
-    g = r.grain.collect()[0]
-    assert g["rows_before"] == g["rows_after"] and g["dropped_keys"] == 0
-    assert r.summary.columns[:4] == ["Material Description", "Sold-to party Name", "Lookup", "NDC Code"]
-    assert r.summary.count() > 0
+@pytest.fixture(scope="module")
+def flow_run(spark):
+    from ledgerlake.plans import flow, inputs
 
+    tables, order = inputs.flow_tables(spark, SF)
+    return flow.run_phases(flow.FlowInputs(tables, order)), tables
 
-def test_written_master_serves_exceptions_and_audit(spark):
-    """What a run writes beside the master reads it, and not the joins before it."""
-    from ledgerlake.plans import flow
 
-    r = flow.build_outputs(flow.tpch_inputs(spark, SF), materialize=True)
-    for df in (r.exceptions["sc_comments"], r.exceptions["buying_group"], r.merge_audit, r.statistics, r.grain):
+def test_flow_preserves_grain_and_lays_out_every_column(flow_run):
+    r, tables = flow_run
+    n_master = tables["orderbook"].count()
+    assert r.detail.count() == n_master
+    g = r.grain.collect()[0]
+    assert g["rows_before"] == g["rows_after"] == n_master and g["dropped_keys"] == 0
+    assert len(r.detail.columns) == 37 + 3 and r.detail.columns[:4] == ["Sales Order No.", "Item No.", "Lookup", "Matl.\nCode"]
+    assert r.summary.columns[:4] == [" Material Description", "Sold-to party Name", "Lookup", "NDC Code"]
+    assert r.summary.columns[9:13] == [*r.month_labels, "Avg"]
+    filled = r.summary.selectExpr("count(`Max of Sales Qty MTD`) a", "count(`Max of Forecast Qty`) b", "count(Avg) c").first()
+    assert min(filled) > 0
+
+
+def test_flow_results_read_what_was_written(flow_run):
+    """The result tables read the written lines, and not the joins or sources before them."""
+    r, _ = flow_run
+    for df in (r.detail, r.summary, r.statistics, r.grain, r.audit_counts, r.exception_counts, r.summary_audit, r.exceptions["sc_comments"]):
         plan = df._jdf.queryExecution().optimizedPlan().toString()
         assert "o_orderpriority" not in plan and "o_totalprice" not in plan and plan.count("Join") <= 8
-    lazy = flow.build_outputs(flow.tpch_inputs(spark, SF))
-    rows = lambda df: sorted(map(tuple, df.collect()), key=repr)
-    assert rows(r.exceptions["sc_comments"]) == rows(lazy.exceptions["sc_comments"])
-    assert rows(r.exceptions["award"]) == rows(lazy.exceptions["award"])
+    assert "Join" not in r.grain._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_observed_counters_agree_with_the_written_lines(flow_run):
+    r, _ = flow_run
+    got = {(x["table"], x["metric"]): int(x["value"]) for x in r.audits().collect()}
+    lines = r.lines
+    assert got["audit", "Missing Awards"] == lines.filter("award_type is null").count()
+    assert got["audit", "Price Issues"] == lines.filter("price_issue").count()
+    assert got["audit", "Unique NDCs"] == lines.select("ndc").distinct().filter("ndc is not null").count()
+    assert got["summary", "Aggregated Rows"] == r.summary.count()
+    assert got["exceptions", "MISSING_HISTORICAL_SALES"] == lines.filter("not _hit_history").count()
+
+
+CSVS = {
+    "export 1.csv": """Orderbook of the day
+
+Sales Order No.,Item No.,Matl.Code,NDC Code,Material Description,Sales Order Qty,Sales Qty MTD,Forecast Qty,Sold-to party Name,PackSize(MOQ),Unit Price,WAC/BG price in EDI,PO date,Action
+1,10,M1,64380-0161-01,,24,,"1,000",Acme Corp,12,5.00,5.00,2026-08-03,
+1,20,M1,64380-0161-01,Old text,7,3,,acme  corp,12,0.00,5.00,2026-08-04,Hold
+2,10,M2,11111-0222-33,Gear,10,,,Beta,,2.50,2.00,2026-08-05,Cancel
+2,10,M2,11111-0222-33,Gear,10,,,Beta,,2.50,2.00,2026-08-05,Cancel
+3,10,M9,99999-999-99,"Plate, red",5,,,Nobody,0,1.00,1.00,2026-07-30,
+""",
+    "items.csv": """HANA Material,NDC code,Material Description,MOQ 
+M1,64380016101,Paracetamol,6
+M2,11111022233,Gear text,4
+""",
+    "stock.csv": """NDC,SKU,Description,Actual Quantity,Allocated Quantity,Inventory,Hold Codes
+64380016101,s1,d1,50,1,12000,
+64380016101,s1,d1,9,1,500,Q
+11111022233,s2,d2,5,0,30,
+""",
+    "open.csv": """SKU, Total ,Pickticket Status,PH_SOLDTO_NAME,Customer Group
+64380-161-01,100,Open,Acme Corp,OPEN GROUP
+64380-161-01,900,Loaded,Acme Corp,
+11111-222-33,50,Open,Beta,Beta Open
+""",
+    "groups.csv": """Customer,Customer buying group
+ACME CORP,Group A
+Acme Corp,group a
+""",
+    "awards.csv": """NDC,Customer,Award Type,Lookup
+64380016101,Acme Corp,Primary,64380016101ACME CORP
+11111022233,Other,Secondary,11111022233OTHER
+""",
+    "tracker.csv": """NDC,Comments,Tracker Date,Customer ETA
+64380016101,Short supply,2026-08-01,Sept
+64380016101,Back in stock,2026-08-02,Oct
+""",
+    "trend.csv": """Material Description,Cust Group,NDC Code,Sold-to party Name,x, May-26 ,June 2026, Jul-26 ,July 2026
+p,Trend Group,64380016101,Acme Corp,64380016101acme corp,10, - ,"1,040",7
+""",
+    "adjustments.csv": """NDC Code,Reason Code,Action,Sales Order Qty
+64380016101,1.0,Yes,200
+64380016101,9,Yes,999
+""",
+    "detail.csv": """NDC,Comments
+our own,output
+""",
+}
+
+
+def test_from_csv_files_to_written_tables(spark, tmp_path):
+    from ledgerlake.plans import flow
+    from ledgerlake.sources import sinks
+
+    (tmp_path / "in").mkdir()
+    for name, text in CSVS.items():
+        (tmp_path / "in" / name).write_text(text)
+    flow.run_files(spark, str(tmp_path / "in"), str(tmp_path / "out"), flow.FlowConfig(keywords=("PARACETAMOL",)))
+    got = sinks.read_run(spark, str(tmp_path / "out"))
+    detail = {(r["Sales Order No."], r["Item No."]): r for r in got["detail"].collect()}
+    assert sorted(detail) == [("1", "10"), ("1", "20"), ("2", "10"), ("3", "10")]  # the repeated line is gone
+    a, b, c, d = (detail[k] for k in sorted(detail))
+    assert (a["Lookup"], a["Material Description"], b["Material Description"]) == ("64380016101ACME CORP", "Paracetamol", "Old text")
+    assert (float(a["UPS Inventory"]), float(c["UPS Inventory"]), d["UPS Inventory"]) == (11700.0, 0.0, None)  # 12000 - 100 - 200; 30 - 50
+    assert (a["Pack Size (MOQ)"], c["Pack Size (MOQ)"], d["Pack Size (MOQ)"]) == ("6", "4", "0")
+    assert (b["row_fill"], c["row_fill"], a["row_fill"], d["row_fill"]) == ("ADD8E6", "FF0000", "FFC0CB", None)
+    assert b["price_fill"] == "ADD8E6" and a["Forecast Qty"] == "1,000" and d["SOM Indc."] is None
+    summary = {r["Lookup"]: r for r in got["summary"].collect()}
+    assert got["summary"].columns[9:13] == ["May", "Jun", "Jul", "Avg"]
+    assert summary["64380016101ACME CORP"]["Buying Group"] == "Group A" and summary["11111022233BETA"]["Buying Group"] == "Beta Open"
+    acme = summary["64380016101ACME CORP"]
+    assert (acme["May"], acme["Jun"], acme["Jul"], acme["Avg"], acme["SC Comments"], acme["Award Type"]) == (10.0, None, 1040.0, 525.0, "Back in stock", "Primary")
+    audits = {(r["table"], r["metric"]): r["value"] for r in got["audit_counts"].collect()}
+    assert audits["audit", "Total Master Rows"] == "4" and audits["summary", "Reporting Month"] == "8"
+    assert audits["derived", "Inventory Rows"] == "2" and audits["grain", "dropped_keys"] == "0"
+    merge = {r["source"]: r for r in got["merge_audit"].collect()}
+    assert merge["moq"]["rows_updated"] == 3 and merge["sales_trend"]["join_key"] == "lookup" and "sales_summary" not in merge
+
+
+def test_registry_views_and_lint(spark):
+    from ledgerlake.sources import discovery as D
+    from ledgerlake.sources import registry as R
+
+    definitions = [s.definition() for s in R.SOURCES]
+    assert ("critical_inventory_tracker", "orderbook") not in D.signature_collisions(definitions)
+    assert len({d.name for d in definitions}) == 10 and sum(not d.mandatory for d in definitions) == 2
+    upload = next(s for s in R.SOURCES if s.name == "upload_sheet")
+    df = spark.createDataFrame([("1", "2", "y", 3, "z")], "` NDC ` string, reason_code string, ACTION string, `Sales order qty` int, other string")
+    assert upload.view(df).columns == ["ndc", "reason", "action", "quantity", "other"]
+    assert upload.header("reason") == "Reason Code"
 
 
 def test_counters_do_not_expand_rows(spark):
