@@ -114,8 +114,9 @@ LINE_ORDER = ("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_shipdat
 
 def trend_headers(months: list) -> dict:
     """The trend's month headers, written in the ways that exports write them: first day of the month -> header."""
-    styles = (" {:%b-%y} ", "{:%B %Y}", " {:%b %Y}")
-    return {m: styles[(m.month - 1) % 3].format(m) for m in months}
+    styles = (" {:%b-%Y} ", "{:%B %Y}", " {:%b %Y}")
+    short = " {:%b-%y} "  # two digits are a year of this century
+    return {m: (short if m.year >= 2000 and m.month % 3 == 1 else styles[(m.month - 1) % 3]).format(m) for m in months}
 
 
 def sales_trend(spark: SparkSession, m: DataFrame) -> DataFrame:

@@ -24,7 +24,7 @@ def test_no_cross_joins_or_python_in_registered_queries(spark):
     bad = []
     for name, fn in QUERIES.items():
         p = _plan(fn(spark, SF))
-        for marker in ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython", "PythonUDF"):
+        for marker in ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython", "PythonUDF", "collect_set"):
             if marker in p:
                 bad.append((name, marker))
     assert not bad, bad
@@ -46,3 +46,73 @@ def test_hot_and_null_keys(spark):
     # the build side is partially aggregated before its shuffle
     t = L.conflict_table(src, K.text_key("customer"), "grp", order_by=["o"])
     assert "partial_" in _plan(t)
+
+
+def test_heavy_keys_are_found_and_dealt(spark):
+    """Half of the rows have one key: over three joins that share its column, no task holds them all."""
+    from pyspark.sql import functions as F
+
+    from ledgerlake.operators import skew
+
+    n = 40_000
+    master = spark.range(n).selectExpr("id", "case when id % 2 = 0 then 'HOT' when id % 8 = 1 then null else concat('K', id % 500) end as k")
+    keep = {c: spark.conf.get(c) for c in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.shuffle.partitions", "spark.sql.adaptive.enabled")}
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.shuffle.partitions", "16")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        heavy = skew.heavy_keys(master, {"k": "k", "none": F.concat(F.lit("x"), F.col("id").cast("string"))})
+        assert list(heavy["k"]) == ["HOT"] and heavy["k"]["HOT"] == 8 and heavy["none"] == {}
+        plain, key = L.with_join_key(master, "_key", F.col("k"), heavy["k"], F.col("id"))
+        for name, mark in (("a", "A"), ("b", "B"), ("c", "C")):
+            keys = spark.createDataFrame([("HOT",), *[(f"K{i}",) for i in range(0, 500, 3)]], "_k string")
+            plain = L.attach(plain, key, keys.select("_k", F.concat(F.lit(mark), "_k").alias(name)), f"hit_{name}")
+        rows = plain.withColumn("task", F.spark_partition_id())
+        plan = rows._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("SortMergeJoin") == 3
+        per_task = [r["count"] for r in rows.groupBy("task").count().collect()]
+        assert sum(per_task) == n and max(per_task) < n / 4  # the hot key alone has n / 2 rows
+        wrong = rows.filter("not (hit_a = hit_b and hit_b = hit_c)").count()
+        got = rows.groupBy("k").agg(F.count("*").alias("n"), F.min("a").alias("a"), F.count("c").alias("c")).collect()
+        expected = {r["k"]: r["count"] for r in master.groupBy("k").count().collect()}
+        known = {"HOT", *[f"K{i}" for i in range(0, 500, 3)]}
+        assert wrong == 0 and {r["k"]: r["n"] for r in got} == expected
+        assert all((r["a"] == f"A{r['k']}" and r["c"] == r["n"]) if r["k"] in known else (r["a"] is None and r["c"] == 0) for r in got)
+    finally:
+        for c, v in keep.items():
+            spark.conf.set(c, v)
+
+
+@pytest.mark.skipif(not os.path.isdir(SF), reason="driver test data not present")
+def test_plans_of_registered_queries_stay_lean(spark):
+    """What the plans must not hold, and how many exchanges they may have."""
+    from ledgerlake.plans.catalog import QUERIES
+
+    most = {"J5_priority_audit": 15, "F1_net_counters": 9, "J3_award_exceptions": 12, "J4_priority_exceptions": 20, "G8_master_statistics": 12, "D2_column_profile": 4, "E13_summary_enriched": 4}
+    for name, n in most.items():
+        p = _plan(QUERIES[name](spark, SF))
+        assert p.count("Exchange") <= n, (name, p.count("Exchange"))
+        for marker in ("Expand", "collect_set"):
+            assert marker not in p, (name, marker)
+
+
+@pytest.mark.skipif(not os.path.isdir(SF), reason="driver test data not present")
+def test_stored_layouts_join_without_an_exchange_and_prune_by_month(spark, tmp_path):
+    from ledgerlake.plans.extra import q_stored_history, q_stored_join
+    from ledgerlake.sources import layout
+
+    prev = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = _plan(q_stored_join(spark, SF))
+        assert "SortMergeJoin" in plan and "Exchange" not in plan
+        rows = spark.createDataFrame([("a", 1), (None, 2), ("b", 3)], "k string, v int")
+        layout.write_bucketed(rows, str(tmp_path / "t"), "k", 4)
+        again, other = layout.open_bucketed(spark, str(tmp_path / "t")), layout.open_bucketed(spark, str(tmp_path / "t"))
+        assert sorted(map(tuple, again.collect()), key=repr) == sorted([("a", 1), (None, 2), ("b", 3)], key=repr)
+        assert "Exchange" not in _plan(again.join(other.withColumnRenamed("v", "w"), "k"))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", prev)
+    plan = _plan(q_stored_history(spark, SF))
+    [scan] = [line for line in plan.split("\n") if "FileScan" in line and "month#" in line and "PartitionFilters: []" not in line][:1]
+    assert "month#" in scan.split("PartitionFilters: [")[1].split("]")[0] and "ubquery" in scan.split("PartitionFilters: [")[1]
