@@ -11,7 +11,8 @@ from __future__ import annotations
 
 import html
 import re
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterator
+from hashlib import md5
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -45,23 +46,26 @@ CLOSES = {
     "option": (("option",), ("select",)),
 }
 ARTICLE_TAGS = frozenset(("article", "main"))
-#: First or last words of a class or id that mark what is no article.
+#: Words of a class or id that mark what is no article.
 MARKED = frozenset(
     "ad ads advert adverts advertisement advertising adsense banner promo promotion sponsor sponsored sidebar menu nav navbar "
     "navigation breadcrumb breadcrumbs footer header masthead cookie cookies consent notice gdpr popup modal overlay newsletter "
     "subscribe subscription social share sharing related recommended comment comments disqus respond reply replies login signup "
     "widget pagination pager toolbar".split()
 )
+#: Marked words of what readers write.
+READERS = frozenset("comment comments disqus respond reply replies".split())
 #: Words that turn a marked word into a statement about the element: it has a sidebar, or none.
-STATES = frozenset("has have with without no not hide hides show shows layout elementor free".split())
-#: A block under a marked name is kept where that name holds more than this share of the page's text: for
-#: one marked word as a whole class or id, and for one in a longer name.
-WHOLE_SHARE, PART_SHARE = 0.9, 0.5
+STATES = frozenset("has have with without no not hide hides show shows layout elementor free open closed".split())
+#: A path longer than this is named by a hash of its beginning, so that deep pages take linear time.
+PATH_CHARS = 512
 ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar toolbar".split())
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*+>?"
-    r"|<(?P<close>/?)(?P<tag>[a-zA-Z][^\s/>]*+)(?P<rest>(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)(?:>|\Z)|<(?P<odd>/?[a-zA-Z][^>]*+)>",
+    # a quoted value ends before the next tag begins, or soon after; a tag with a quote that isn't closed so far ends
+    # at the next angle bracket: whatever begins as a tag is one, and is read once
+    r"|<(?P<close>/?)(?P<tag>[a-zA-Z][^\s/>]*+)(?P<rest>(?:[^>\"'<]++|\"[^\"<]*+\"|'[^'<]*+'|\"[^\"]{0,512}+\"|'[^']{0,512}+')*+)(?:>|\Z|[\"'][^<>]*+>?|(?=<))",
     re.DOTALL,
 )
 _RAW_END = {tag: re.compile(rf"</{tag}[\s/>]", re.IGNORECASE) for tag in RAW}
@@ -70,13 +74,13 @@ _WORD = re.compile(r"[a-z]+")
 
 
 class _Open:
-    """An open element: its tag, generalised path, whether its text is skipped, its container, whether it is in
-    a link, and the marked names around its text."""
+    """An open element: its tag, whether its text is skipped, its container's node, whether it is in a link, and the
+    mark around its text (-1: none)."""
 
-    __slots__ = ("container", "link", "marks", "path", "skip", "tag")
+    __slots__ = ("link", "mark", "node", "path", "skip", "tag")
 
-    def __init__(self, tag: str, path: str, skip: bool, container: str, link: bool, marks: tuple[int, ...]):
-        self.tag, self.path, self.skip, self.container, self.link, self.marks = tag, path, skip, container, link, marks
+    def __init__(self, tag: str, path: str, skip: bool, node: int, link: bool, mark: int):
+        self.tag, self.path, self.skip, self.node, self.link, self.mark = tag, path, skip, node, link, mark
 
 
 def _attributes(rest: str) -> dict[str, str]:
@@ -92,19 +96,20 @@ def _skips(tag: str, attributes: dict[str, str]) -> bool:
     return hidden or attributes.get("role", "").lower() in ROLES
 
 
-def _mark(tag: str, attributes: dict[str, str]) -> float:
-    """0, or the share of the page's text up to which an element's class and id say that it is no article.
+def _mark(tag: str, attributes: dict[str, str]) -> str:
+    """The marked word by which an element's class or id says that it is no article, or "".
 
-    A class or id counts by its first and last word, and not at all with a word of STATES. Elements that
-    name the article don't count.
+    Any whole word of a name counts, but none in a name with a word of STATES, and none on elements that name the article.
     """
     if not attributes or tag in ("html", "body") or tag in ARTICLE_TAGS:
-        return 0.0
-    out = 0.0
+        return ""
+    out = ""
     for name in f"{attributes.get('class', '')} {attributes.get('id', '')}".lower().split():
         words = _WORD.findall(name)
-        if words and STATES.isdisjoint(words) and (words[0] in MARKED or words[-1] in MARKED):
-            out = max(out, WHOLE_SHARE if len(words) == 1 else PART_SHARE)
+        if STATES.isdisjoint(words):
+            for word in words:
+                if word in MARKED and (not out or word in READERS):
+                    out = word
     return out
 
 
@@ -113,177 +118,248 @@ def _step(tag: str, attributes: dict[str, str]) -> str:
     return tag + "".join(f".{c}" for c in names)
 
 
-def blocks(page: str) -> Iterator[tuple[str, tuple[str, ...], bool]]:
-    """The page's good text in blocks, each with the paths of the containers around it, outermost first, and
-    whether most of it is links. A marked name takes no block away if it holds too much of the page's text."""
-    marks: list[float] = []
-    every = list(_marked_blocks(page, marks))
-    held, total = [0] * len(marks), sum(len(text) for text, _, _, _ in every)
-    for text, _, _, within in every:
-        for i in within:
-            held[i] += len(text)
-    for text, trail, links, within in every:
-        if all(held[i] > marks[i] * total for i in within):
-            yield text, trail, links
-
-
-def _marked_blocks(page: str, marks: list[float]) -> Iterator[tuple[str, tuple[str, ...], bool, tuple[int, ...]]]:
-    """The blocks outside skipped elements, with the places in ``marks`` of the marked names around them."""
-    stack = [_Open("", "", False, "", False, ())]
-    trail: list[str] = [""]  # of the containers in the stack
-    text: list[str] = []
-    linked = 0
-
-    def flush() -> Iterator[tuple[str, tuple[str, ...], bool, tuple[int, ...]]]:
-        nonlocal linked
-        if text:
-            joined = "".join(text)
-            block = " ".join(html.unescape(joined).split())
-            most = 2 * linked > len(joined)
-            text.clear()
-            linked = 0
-            if block:
-                yield block, tuple(trail), most, stack[-1].marks
-
-    def pop() -> None:
-        if stack.pop().container:
-            trail.pop()
-
-    at = 0
-    while at < len(page):
-        m = _TOKEN.search(page, at)
-        stop = m.start() if m else len(page)
-        if stop > at and not stack[-1].skip:
-            text.append(page[at:stop])
-            linked += stop - at if stack[-1].link else 0
-        if not m:
-            break
-        at = m.end()
-        name = m["tag"] or (m["odd"] or "").split(None, 1)[0].lstrip("/") if m["tag"] or m["odd"] else ""
-        if not name:
-            if m[0].startswith("<![CDATA[") and not stack[-1].skip:
-                text.append(html.escape(m[0][9:].removesuffix("]]>")))
-            continue
-        tag, closing = name.lower(), bool(m["close"]) or (m["odd"] or "").startswith("/")
-        if tag not in INLINE:
-            yield from flush()
-        elif tag == "br" and not stack[-1].skip:
-            text.append(" ")
-        if closing:
-            if any(e.tag == tag for e in stack):
-                if stack[-1].tag != tag and stack[-1].marks:  # a marked element may end here
-                    yield from flush()
-                while stack[-1].tag != tag:
+class Page:
+    """A page's good text in blocks, over the tree of its containers. All work is linear in the page."""
+
+    def __init__(self, page: str):
+        #: Per container node: its parent, path, depth and tag. Node 0 is the page.
+        self.parent, self.path, self.depth = [0], [""], [0]
+        #: Per block: text, container node, whether most of it is links, mark.
+        self.blocks: list[tuple[str, int, bool, int]] = []
+        #: Per mark: its word and the mark around it.
+        self.marks: list[tuple[str, int]] = []
+        #: The marks (-1: none) around the tags that name an article, and around headlines.
+        self.articles: list[int] = []
+        self.headlines: list[int] = []
+        self._read(page)
+        self.kept = self._kept()
+        self._sums()
+
+    def _path(self, above: str, tag: str, attributes: dict[str, str]) -> str:
+        step = _step(tag, attributes)
+        if len(above) + len(step) > PATH_CHARS:
+            above = "#" + md5(above.encode()).hexdigest()
+        return f"{above}/{step}"
+
+    def _read(self, page: str) -> None:
+        stack = [_Open("", "", False, 0, False, -1)]
+        count: dict[str, int] = {}
+        text: list[str] = []
+        linked = 0
+
+        def flush() -> None:
+            nonlocal linked
+            if text:
+                joined = "".join(text)
+                block = " ".join(html.unescape(joined).split())
+                if block:
+                    self.blocks.append((block, stack[-1].node, 2 * linked > len(joined), stack[-1].mark))
+                text.clear()
+                linked = 0
+
+        def pop() -> None:
+            count[stack.pop().tag] -= 1
+
+        at = 0
+        while at < len(page):
+            m = _TOKEN.search(page, at)
+            stop = m.start() if m else len(page)
+            if stop > at and not stack[-1].skip:
+                text.append(page[at:stop])
+                linked += stop - at if stack[-1].link else 0
+            if not m:
+                break
+            at = m.end()
+            if not m["tag"]:
+                if m[0].startswith("<![CDATA[") and not stack[-1].skip:
+                    text.append(html.escape(m[0][9:].removesuffix("]]>")))
+                continue
+            tag, closing = m["tag"].lower(), bool(m["close"])
+            if tag not in INLINE:
+                flush()
+            elif tag == "br" and not stack[-1].skip:
+                text.append(" ")
+            if closing:
+                if count.get(tag):
+                    if stack[-1].tag != tag and stack[-1].mark >= 0:  # a marked element may end here
+                        flush()
+                    while stack[-1].tag != tag:
+                        pop()
                     pop()
+                continue
+            rest = m["rest"] or ""
+            attributes = _attributes(rest)
+            if tag not in INLINE and stack[-1].tag != tag:
+                if count.get("p"):
+                    opened = next((i for i in range(len(stack) - 1, 0, -1) if stack[i].tag == "p" or stack[i].tag not in INLINE), 0)
+                    if opened and stack[opened].tag == "p":  # a paragraph ends where a block begins
+                        while len(stack) > opened:
+                            pop()
+            elif tag == "p":
                 pop()
-            continue
-        rest = m["rest"] or ""
-        attributes = _attributes(rest)
-        if tag not in INLINE and stack[-1].tag != tag:
-            opened = next((i for i in range(len(stack) - 1, 0, -1) if stack[i].tag == "p" or stack[i].tag not in INLINE), 0)
-            if opened and stack[opened].tag == "p":  # a paragraph ends where a block begins
-                while len(stack) > opened:
-                    pop()
-        elif tag == "p":
-            pop()
-        if tag in CLOSES:
-            ends, within = CLOSES[tag]
-            for i in range(len(stack) - 1, 0, -1):
-                if stack[i].tag in within:
-                    break
-                if stack[i].tag in ends:
-                    while len(stack) > i:
-                        pop()
-                    break
-        if tag in VOID or rest.endswith("/") and tag not in CONTAINERS and tag not in RAW:
-            continue
-        if tag in _RAW_END:
-            end = _RAW_END[tag].search(page, at)
-            at = page.find(">", end.start()) + 1 or len(page) if end else len(page)
-            continue
+            if tag in CLOSES:
+                ends, within = CLOSES[tag]
+                if any(count.get(t) for t in ends):
+                    for i in range(len(stack) - 1, 0, -1):
+                        if stack[i].tag in within:
+                            break
+                        if stack[i].tag in ends:
+                            while len(stack) > i:
+                                pop()
+                            break
+            if tag in VOID or rest.endswith("/") and tag not in CONTAINERS and tag not in RAW:
+                continue
+            if tag in _RAW_END:
+                end = _RAW_END[tag].search(page, at)
+                at = page.find(">", end.start()) + 1 or len(page) if end else len(page)
+                continue
+            self._open(stack, tag, attributes)
+            count[tag] = count.get(tag, 0) + 1
+        flush()
+
+    def _open(self, stack: list[_Open], tag: str, attributes: dict[str, str]) -> None:
         top = stack[-1]
-        path = top.path if tag in INLINE else f"{top.path}/{_step(tag, attributes)}"
-        skip, container = top.skip or _skips(tag, attributes), path if tag in CONTAINERS else ""
-        own, within = 0.0 if skip else _mark(tag, attributes), top.marks
-        if own and tag in INLINE:
+        path = top.path if tag in INLINE else self._path(top.path, tag, attributes)
+        skip, node, mark = top.skip or _skips(tag, attributes), top.node, top.mark
+        word = "" if skip else _mark(tag, attributes)
+        if word and tag in INLINE:
             skip = True
-        elif own:
-            marks.append(own)
-            within = (*within, len(marks) - 1)
-        stack.append(_Open(tag, path, skip, container, top.link or tag == "a", within))
-        if container:
-            trail.append(container)
-    yield from flush()
+        elif word:
+            self.marks.append((word, mark))
+            mark = len(self.marks) - 1
+        if tag in CONTAINERS:
+            self.parent.append(node)
+            self.path.append(path)
+            self.depth.append(self.depth[node] + 1)
+            node = len(self.parent) - 1
+        if not skip and (tag in ARTICLE_TAGS or tag == "h1"):
+            (self.headlines if tag == "h1" else self.articles).append(mark)
+        stack.append(_Open(tag, path, skip, node, top.link or tag == "a", mark))
+
+    def _kept(self) -> list[tuple[str, int, bool]]:
+        """The blocks without those that a mark takes away. A marked element stays where it holds the page's article: where
+        none is named outside marks, the headline or the tag that names one, or the container with most text of its own.
+        What readers write is the article only where it holds the headline."""
+        if not self.marks:
+            return [b[:3] for b in self.blocks]
+        staying: set[int] = set()
+
+        def stays(mark: int, tagged: bool) -> None:
+            while mark >= 0 and mark not in staying:
+                if tagged or self.marks[mark][0] not in READERS:
+                    staying.add(mark)
+                mark = self.marks[mark][1]
+
+        if -1 not in self.articles:
+            if self.headlines and -1 not in self.headlines:
+                stays(self.headlines[0], True)
+            elif self.articles and -1 not in self.headlines:
+                stays(self.articles[0], False)
+            own: dict[int, list[int]] = {}
+            for text, node, links, mark in self.blocks:
+                if not links and not self._of_readers(mark):
+                    sums = own.setdefault(node, [0, mark])
+                    sums[0] += len(text)
+            if own:
+                stays(max(own.values(), key=lambda x: x[0])[1], False)
+        dropped = [False] * len(self.marks)
+        for i, (_, outer) in enumerate(self.marks):
+            dropped[i] = i not in staying or (outer >= 0 and dropped[outer])
+        return [(text, node, links) for text, node, links, mark in self.blocks if mark < 0 or not dropped[mark]]
+
+    def _of_readers(self, mark: int) -> bool:
+        if not hasattr(self, "_readers"):
+            self._readers: list[bool] = []
+            for word, outer in self.marks:
+                self._readers.append(word in READERS or (outer >= 0 and self._readers[outer]))
+        return mark >= 0 and self._readers[mark]
+
+    def _sums(self) -> None:
+        """Per path: characters of text and of links in it, and of text of its own; its parent path and depth."""
+        n = len(self.parent)
+        good, links, own = [0] * n, [0] * n, [0] * n
+        for text, node, linked in self.kept:
+            (links if linked else good)[node] += len(text)
+        own = list(good)
+        for i in range(n - 1, 0, -1):
+            good[self.parent[i]] += good[i]
+            links[self.parent[i]] += links[i]
+        self.good: dict[str, int] = {}
+        self.links: dict[str, int] = {}
+        self.own: dict[str, int] = {}
+        self.above: dict[str, tuple[str, int]] = {}
+        for i in range(n):
+            if good[i] or links[i]:
+                p = self.path[i]
+                self.good[p] = self.good.get(p, 0) + good[i]
+                self.links[p] = self.links.get(p, 0) + links[i]
+                self.own[p] = self.own.get(p, 0) + own[i]
+                self.above.setdefault(p, (self.path[self.parent[i]], self.depth[i]))
+
+    def scores(self) -> dict[str, float]:
+        """Container path -> score; links count only on a page of links."""
+        held = self.good if self.good.get("") else self.links
+        total = held.get("", 0)
+
+        def score(path: str, size: int) -> float:
+            return size / total * (1 + DEPTH_BONUS * self.above[path][1]) + (ARTICLE_BONUS if _tag(path) in ARTICLE_TAGS else 0.0)
+
+        return {path: score(path, size) for path, size in held.items() if size}
+
+    def whole(self, path: str) -> str:
+        """``path``, or the outermost container around it up to which each adds as much good text as other text.
+
+        Other text is links, and what lies in a container of its own in the page's body or beside an article.
+        """
+        alone, outer = _tag(path) in ARTICLE_TAGS, path
+        while outer:
+            outer = self.above[outer][0]
+            good, other = self.good[outer] - self.good[path], self.links[outer] - self.links[path]
+            if alone or _tag(outer) in ("", "body"):
+                other += good - self.own[outer]
+                good = self.own[outer]
+            if other > good:
+                break
+            if good:
+                path = outer
+        return path
+
+    def best(self) -> str:
+        """The page's own choice."""
+        scores = self.scores()
+        return self.whole(max(scores, key=lambda p: (scores[p], p))) if scores else ""
+
+    def text(self, path: str) -> str:
+        inside = [False] * len(self.parent)
+        for i, p in enumerate(self.path):
+            inside[i] = p == path or (i > 0 and inside[self.parent[i]])
+        return "\n\n".join(text for text, node, _ in self.kept if inside[node])
 
 
 def container_scores(page: str) -> dict[str, float]:
     """Container path -> score, for a page with any good text."""
-    return _scores(blocks(page))
-
-
-def _scores(found: Iterable[tuple[str, tuple[str, ...], bool]]) -> dict[str, float]:
-    found = list(found)
-    found = [block for block in found if not block[2]] or found  # links count only on a page of links
-    held: dict[str, int] = {}
-    total = 0
-    for text, trail, _ in found:
-        total += len(text)
-        for path in dict.fromkeys(trail):
-            held[path] = held.get(path, 0) + len(text)
-
-    def score(path: str, size: int) -> float:
-        return size / total * (1 + DEPTH_BONUS * path.count("/")) + (ARTICLE_BONUS if _tag(path) in ARTICLE_TAGS else 0.0)
-
-    return {path: score(path, size) for path, size in held.items()}
+    return Page(page).scores()
 
 
 def main_text(page: str, path: str | None) -> tuple[str, str]:
     """The text under ``path``, or under the page's own best container if it has none; and that path."""
-    found = list(blocks(page))
-    if path is None or not any(path in trail for _, trail, _ in found):
-        path = whole(found, best(_scores(found)))
-    return "\n\n".join(text for text, trail, _ in found if path in trail), path
-
-
-def whole(found: list[tuple[str, tuple[str, ...], bool]], path: str) -> str:
-    """``path``, or the outermost container around it up to which each adds as much good text as other text.
-
-    Other text is links, and what lies in a container of its own in the page's body or beside an article.
-    """
-    around = next((trail[: trail.index(path)] for _, trail, _ in found if path in trail), ())
-    alone = _tag(path) in ARTICLE_TAGS
-    for outer in reversed(around):
-        good = other = 0
-        for text, trail, links in found:
-            if outer in trail and path not in trail:
-                apart = trail[-1] != outer and (alone or _tag(outer) in ("", "body"))
-                if links or apart:
-                    other += len(text)
-                else:
-                    good += len(text)
-        if other > good:
-            break
-        if good:
-            path = outer
-    return path
+    read = Page(page)
+    if path is None or path not in read.above:
+        path = read.best()
+    return read.text(path), path
 
 
 def _tag(path: str) -> str:
     return path.rpartition("/")[2].partition(".")[0]
 
 
-def best(scores: dict[str, float]) -> str:
-    return max(scores, key=lambda p: (scores[p], p), default="")
-
-
 def _vote(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         sums: dict[tuple[str, str], tuple[int, float]] = {}
         for host, page in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-            found = list(blocks(page))
-            scores = _scores(found)
-            first = whole(found, best(scores))
-            for path, score in scores.items():
+            read = Page(page)
+            first = read.best()
+            for path, score in read.scores().items():
                 votes, total = sums.get((host, path), (0, 0.0))
                 sums[host, path] = (votes + (path == first), total + score)
         hosts, paths = pa.array([h for h, _ in sums], pa.string()), pa.array([p for _, p in sums], pa.string())
@@ -314,7 +390,8 @@ def winning_paths(pages: DataFrame) -> DataFrame:
 def extract(pages: DataFrame) -> DataFrame:
     """page_id, url, text, n_chars, host, path for every row of ``pages``.
 
-    A null or empty html, and one without good text, gives an empty text. Pages without a host in their
+    A null or empty html, and one without good text, gives an empty text. Very long, deep and broken pages take
+    time in proportion to their length. Pages without a host in their
     url vote together under an empty one. Repeated pages are rows of their own. Other columns are
     ignored; an empty table gives an empty result.
     """

@@ -1,9 +1,10 @@
 import html
 import re
+import time
 
 import pytest
 
-from ledgerlake.llm.html_text import container_scores, extract, main_text, winning_paths
+from ledgerlake.llm.html_text import Page, container_scores, extract, main_text, winning_paths
 
 PAGES = "page_id long, url string, html string, host string, path string"
 
@@ -95,3 +96,41 @@ def test_wrappers_with_marked_words_keep_their_text(tag, names):
 def test_long_comments_stay_out():
     page = f"<body><div class=post><p>{'word ' * 40}</p></div><div id=comments><p>{'reply ' * 100}</p></div></body>"
     assert main_text(page, None)[0] == ("word " * 40).strip()
+
+
+ARTICLE = "<h1>Head line</h1><p>First words of the article, and some more.</p><p>Second part of it.</p>"
+
+
+@pytest.mark.parametrize("n", [4, 400])
+@pytest.mark.parametrize("name", ["comment-list", "post-comments", "disqus_thread", "user-comments-area"])
+@pytest.mark.parametrize("layout", ["<article>{a}</article>{c}", "<article>{a}{c}</article>", "<div class='post'>{a}{c}</div>", "<main>{a}{c}</main>", "<div class='post'>{a}</div>{c}"])
+def test_comments_are_no_article_however_many(n, name, layout):
+    comments = f"<div class='{name}'>" + "".join(f"<div><p>Reader {i} says that this is quite a long remark on it.</p></div>" for i in range(n)) + "</div>"
+    page = f"<html><body><div class='menu'><a href='/'>Home</a></div>{layout.format(a=ARTICLE, c=comments)}</body></html>"
+    assert main_text(page, None)[0] == "Head line\n\nFirst words of the article, and some more.\n\nSecond part of it."
+
+
+@pytest.mark.parametrize("name", ["user-comments-area", "site-sidebar-left", "js-ad-slot", "main-cookie-bar", "legal-notice-box"])
+def test_any_whole_marked_word_of_a_name_counts(name):
+    page = f"<body><article>{ARTICLE}<div class='{name}'><p>Nothing of the article here.</p></div></article></body>"
+    assert "Nothing" not in main_text(page, None)[0] and "Second part" in main_text(page, None)[0]
+
+
+@pytest.mark.parametrize("wrapper", ["<div class='content has-sidebar'>", "<article class='post with-comments'>", "<div id='main' class='layout-no-sidebar'>",
+                                     "<div class='elementor-widget post-text'>", "<div class='widget post-text'>", "<div class='post comments-open'>"])
+def test_marked_wrappers_of_the_article_stay(wrapper):
+    page = f"<body><div class='sidebar'><p>Aside.</p></div>{wrapper}{ARTICLE}</{wrapper[1:].split()[0]}></body>"
+    assert main_text(page, None)[0].startswith("Head line") and "Aside" not in main_text(page, None)[0]
+
+
+@pytest.mark.parametrize("page", ["<div class='a1'>" * 20000 + "deep text", "<div><p>x</p>" * 20000, "<p>it's <b <i ' " * 350000, "<a title=\"x <b \" " * 200000, "<b>" * 100000 + "<div>t" * 1000])
+def test_deep_and_broken_pages_take_linear_time(page):
+    began = time.process_time()
+    Page(page).best()
+    main_text(page, None)
+    assert time.process_time() - began < 20
+
+
+def test_quoted_signs_in_attributes():
+    page = "<body><article><p title=\"a < b > c\" data-x='<i>'>Plain words.</p></article></body>"
+    assert main_text(page, None)[0] == "Plain words."
