@@ -5,6 +5,7 @@ from __future__ import annotations
 import string
 import tempfile
 import uuid
+from collections.abc import Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -93,22 +94,38 @@ def before(df: DataFrame, group: list[str], bucket: str, order: list[str], value
 ROW_KEY = ["_key_a", "_key_b"]
 
 
-def with_row_key(docs: DataFrame) -> DataFrame:
-    """128 bits that tell a row by its id, source and text; rows equal in these share them."""
+def unused(columns: Iterable[str], name: str) -> str:
+    """``name``, or a longer form of it that no column has."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
+def with_row_key(docs: DataFrame, names: Sequence[str] = ROW_KEY) -> DataFrame:
+    """128 bits that tell a row by its id, source and text, nulls told from values; rows equal in these share them."""
     parts = [F.col("doc_id"), F.col("source"), F.col("text")]
-    return docs.withColumn(ROW_KEY[0], F.xxhash64(*parts)).withColumn(ROW_KEY[1], F.xxhash64(F.lit(1), *reversed(parts)))
+    marks = [p.isNull() for p in parts]
+    keys = F.xxhash64(*marks, *parts), F.xxhash64(F.lit(1), *reversed(parts), *marks)
+    return docs.select("*", *[k.alias(n) for k, n in zip(keys, names, strict=True)])
 
 
-def pick(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """The rows of ``docs`` whose key is in ``wanted``, each key once, with ``wanted``'s columns.
+def pick(docs: DataFrame, wanted: DataFrame, times: str | None = None) -> DataFrame:
+    """The rows of ``docs`` whose key is in ``wanted``, each key once, or as often as column ``times`` says.
 
     ``wanted``: one row per key, cut, with ``_rows``, the rows that share it. Only keys of several rows are
-    grouped, so usually the texts move once, for the join.
+    grouped, so usually the texts move once, for the join. Columns of ``docs`` may have any names.
     """
-    found = with_row_key(docs).join(wanted, ROW_KEY)
-    if wanted.where("_rows > 1").isEmpty():
-        return found
-    return found.where("_rows = 1").unionByName(found.where("_rows > 1").dropDuplicates(ROW_KEY))
+    own = docs.columns
+    names = {c: unused(own, c) for c in wanted.columns}
+    key = [names[k] for k in ROW_KEY]
+    found = with_row_key(docs, key).join(wanted.select(*[F.col(c).alias(n) for c, n in names.items()]), key)
+    rows = F.col(names["_rows"])
+    if not wanted.where("_rows > 1").isEmpty():
+        found = found.where(rows == 1).unionByName(found.where(rows > 1).dropDuplicates(key))
+    if times:
+        found = found.withColumn(unused(found.columns, "_time"), F.explode(F.sequence(F.lit(1), F.col(names[times]))))
+    return found.select(*[F.col(f"`{c}`") for c in own])
 
 
 def _crc_table() -> list[int]:

@@ -147,7 +147,9 @@ def contaminated(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD
 def clean(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """``docs`` without the rows that contain an item; no row is shuffled.
 
-    With several blocks of items, what each leaves is written for the next.
+    With several blocks of items, what each leaves is written for the next. Columns stay as they are, whatever
+    their names. A null or empty text holds no item and stays, as does every row when there are no items; repeated
+    rows go or stay together; very long texts are searched whole. An empty table gives an empty one.
     """
     left = docs
 

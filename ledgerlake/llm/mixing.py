@@ -27,7 +27,7 @@ CELLS = 4096
 
 def sizes(docs: DataFrame) -> DataFrame:
     """rid, row key, doc_id, source, size: the number of words that white space parts."""
-    docs = with_row_key(docs)
+    docs = with_row_key(docs.select("doc_id", "source", "text"))
     words = F.regexp_count(F.coalesce(F.col("text"), F.lit("")), F.lit(r"[^\x20\x09-\x0D]+")).cast("long")
     source = F.col("source").cast("string")
     return numbered(docs.select(F.col("doc_id").cast("long").alias("doc_id"), source.alias("source"), words.alias("size"), *ROW_KEY))
@@ -128,11 +128,15 @@ def mix(docs: DataFrame, seed: int = SEED, max_epochs: int = MAX_EPOCHS) -> Data
 
 
 def mixed(docs: DataFrame) -> DataFrame:
-    """``docs`` as the mix takes them: a row as often as it is read, to the nearest whole number."""
+    """``docs`` as the mix takes them: a row as often as it is read, to the nearest whole number.
+
+    Columns stay as they are, whatever their names. A null or empty text has no words and is not taken; a null
+    source is a source, and a null id sorts like any other. Rows equal in id, source and text are read together: as
+    often as their reads add up to. An empty table gives an empty one.
+    """
     reads = mix(docs).where("taken > 0").withColumn("times", F.round(F.col("taken") / F.col("size")).cast("int"))
     wanted = reads.groupBy(*ROW_KEY).agg(F.count(F.lit(1)).alias("_rows"), F.sum("times").cast("int").alias("_times"))
-    taken = pick(docs, cut(wanted.where("_times > 0")))
-    return taken.withColumn("_time", F.explode(F.sequence(F.lit(1), F.col("_times")))).select(*docs.columns)
+    return pick(docs, cut(wanted.where("_times > 0")), "_times")
 
 
 SQL = f"""
@@ -176,7 +180,7 @@ plan AS (
 ),
 streams AS (
   SELECT sized.doc_id, sized.size, per.k, source_size, target, quota, row_number() OVER () AS rid,
-    coalesce(sum(sized.size) OVER (PARTITION BY per.k ORDER BY substr(md5(concat('{SEED}:', doc_id)), 1, 8), doc_id
+    coalesce(sum(sized.size) OVER (PARTITION BY per.k ORDER BY substr(md5(concat('{SEED}:', coalesce(doc_id::VARCHAR, 'null'))), 1, 8), doc_id
       ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS start
   FROM sized JOIN per ON sized.source IS NOT DISTINCT FROM per.source
 ),

@@ -245,7 +245,12 @@ def scored(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def good(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """``docs`` without the rows that the classifier rejects."""
+    """``docs`` without the rows that the classifier rejects.
+
+    Columns stay as they are, whatever their names; ids, sources and repeats play no part. A null text is scored
+    as an empty one, very long texts whole. Without usable labels the model gives every text the same score.
+    An empty table gives an empty one.
+    """
     return docs.where(quality_score(F.col("text"), train(docs, labels), docs.sparkSession) >= CUT)
 
 

@@ -110,7 +110,7 @@ def shard_documents(docs: DataFrame, tree: Tree | None = None, seed: str = SEED)
 
 def _sql_child(path: str, weights: list[float]) -> str:
     """The winning child of ``path`` for the id in column doc_id."""
-    draws = [f"ln((('0x' || substr(md5(concat('{SEED}:', doc_id, ':{path}/{i}')), 1, 13))::BIGINT + 0.5) / {float(1 << 52)}) / -{w}" for i, w in enumerate(weights)]
+    draws = [f"ln((('0x' || substr(md5(concat('{SEED}:', coalesce(doc_id::VARCHAR, 'null'), ':{path}/{i}')), 1, 13))::BIGINT + 0.5) / {float(1 << 52)}) / -{w}" for i, w in enumerate(weights)]
     return f"(list_position([{', '.join(draws)}], list_min([{', '.join(draws)}])) - 1)" if len(draws) > 1 else "0"
 
 
@@ -146,7 +146,7 @@ placed AS (
   SELECT doc_id, size,
     xor(4294967295, list_reduce(bytes, lambda crc, b: xor(crc >> 8, ({_crc_table()}::BIGINT[])[(xor(crc, b) & 255) + 1]), 4294967295::BIGINT)) AS text_crc32,
     ({_sql_shard(even_tree())})::INT AS shard, ({_sql_shard(grown(even_tree()))})::INT AS grown_shard,
-    substr(md5(concat('slot:', doc_id)), 1, 8) AS spot
+    substr(md5(concat('slot:', coalesce(doc_id::VARCHAR, 'null'))), 1, 8) AS spot
   FROM bytes
 )
 SELECT doc_id, size, text_crc32, 'key' AS law, shard, row_number() OVER (PARTITION BY shard ORDER BY spot, doc_id) - 1 AS slot, grown_shard

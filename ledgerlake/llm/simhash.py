@@ -212,7 +212,7 @@ def near_duplicates(docs: DataFrame, hot: int = HOT_BUCKET) -> DataFrame:
     """
     with_source = docs if "source" in docs.columns else docs.withColumn("source", F.lit(None).cast("string"))
     marked = cut(
-        with_row_key(with_source).select(F.col("doc_id").cast("long").alias("doc_id"), *ROW_KEY, fingerprints(whole_text("text")).alias("fp"))
+        with_row_key(with_source.select("doc_id", "source", "text")).select(F.col("doc_id").cast("long").alias("doc_id"), *ROW_KEY, fingerprints(whole_text("text")).alias("fp"))
     )
     row = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", *ROW_KEY)
     prints = cut(marked.groupBy("fp").agg(F.min(row).alias("first")))
@@ -228,9 +228,16 @@ def near_duplicates(docs: DataFrame, hot: int = HOT_BUCKET) -> DataFrame:
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
-    """``docs`` with one row of each near-duplicate group."""
-    stays = near_duplicates(docs).where("stays").groupBy(*ROW_KEY).agg(F.count(F.lit(1)).alias("_rows"))
-    return pick(docs, cut(stays)).select(*docs.columns)
+    """``docs`` with one row of each near-duplicate group: the one with the smallest doc_id, null ids last, then
+    the smallest row key.
+
+    Columns stay as they are, whatever their names. Texts that are null, empty or without words form one
+    group, as their fingerprints are zero; of rows equal in id, source and text one stays. Very long texts count
+    whole. An empty table gives an empty one.
+    """
+    keyed = docs if "source" in docs.columns else docs.withColumn("source", F.lit(None).cast("string"))
+    stays = near_duplicates(keyed).where("stays").groupBy(*ROW_KEY).agg(F.count(F.lit(1)).alias("_rows"))
+    return pick(keyed, cut(stays)).select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def op4_pigeonring_simhash(spark, sf_dir: str) -> DataFrame:
