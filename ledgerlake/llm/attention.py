@@ -1,7 +1,9 @@
 """A small causal self-attention language model in numpy.
 
-One layer, one head, a learned bias per distance. The output is a softmax over classes of subwords,
-times the subword's corpus-wide share of its class; frequent subwords have a class of their own.
+One layer, one head, a learned bias per distance. The output is the chance of a subword's class, times
+the subword's corpus-wide share of its class; frequent subwords have a class of their own. A class's
+chance is a softmax over groups of classes times one over the classes of its group: exact and summing to
+1, and each token needs the logits of one group only.
 
 A token sees its own block of BLOCK tokens, up to itself, and the block before: context windows of two
 blocks overlap by one and score each token once. Keys and values do not depend on the place in the
@@ -16,14 +18,15 @@ import numpy as np
 
 BLOCK = 16
 WIDTH = 16
-CLASSES = 256
+CLASSES, GROUPS = 256, 16
+MEMBERS = CLASSES // GROUPS
 #: Classes that hold one frequent subword each.
 SINGLE = 224
 STEPS, BATCH, RATE = 250, 64, 0.01
 #: Rate of the steps over the whole corpus, and the blocks whose gradients are held at once.
-WHOLE_RATE, GRADIENT_BLOCKS = 0.02, 64
+WHOLE_RATE, GRADIENT_BLOCKS = 0.02, 1024
 #: Blocks that are scored at once.
-CHUNK_BLOCKS = 128
+CHUNK_BLOCKS = 1024
 LOG10 = float(np.log(10.0))
 
 
@@ -41,6 +44,86 @@ def classes(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return of, np.log10(mass / total[of])
 
 
+#: Scores within this range need no shift before exp in 32 bits.
+SAFE = 60.0
+
+
+def _exp(a: np.ndarray) -> tuple[np.ndarray | None, np.ndarray]:
+    """exp of every row in place, less the row's maximum (returned) where some score lies out of range, and the rows' sums."""
+    most = None
+    if a.size and not (a.max() < SAFE and a.min() > -SAFE):
+        most = a.max(-1, keepdims=True)
+        a -= most
+    np.exp(a, out=a)
+    return most, a @ np.ones(a.shape[-1], a.dtype)
+
+
+def _weights(w: np.ndarray, bias: np.ndarray, open_: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """Unscaled attention weights of (blocks, BLOCK, 2 * BLOCK) scores, in place, and their sums. A token sees itself,
+    so a row's maximum is finite."""
+    w += bias
+    if not (w.max() < SAFE and w[:, np.arange(BLOCK), BLOCK + np.arange(BLOCK)].min() > -SAFE):
+        seen = np.where(open_, w, -np.inf)
+        seen[first, :, :BLOCK] = -np.inf
+        w -= seen.max(-1, keepdims=True)
+        np.minimum(w, SAFE, out=w)
+    np.exp(w, out=w)
+    w *= open_
+    w[first, :, :BLOCK] = 0
+    return w @ np.ones(2 * BLOCK, w.dtype)
+
+
+def log_chances(p: dict[str, np.ndarray], h: np.ndarray, want: np.ndarray, grads: dict[str, np.ndarray] | None = None) -> tuple[np.ndarray, np.ndarray | None]:
+    """Natural logs of the chances of classes ``want`` after states ``h``. With ``grads``, the gradients of minus their
+    sum are added there, and those by ``h`` are returned, too. Rows go group by group, so that one group's
+    logits are one product."""
+    group, member = np.divmod(want, MEMBERS)
+    order = np.argsort(group.astype(np.int8), kind="stable")
+    edges = np.searchsorted(group[order], np.arange(GROUPS + 1)).tolist()
+    rows = np.arange(len(h))
+    h, group, member = h[order], group[order], member[order]
+    a = h @ p["g"]
+    a += p["gb"]
+    got = a[rows, group]
+    most, total = _exp(a)
+    got -= np.log(total)
+    if most is not None:
+        got -= most[:, 0]
+    dh = None
+    if grads is not None:
+        a /= total[:, None]
+        a[rows, group] -= 1
+        dh = a @ p["g"].T
+        grads["g"] += h.T @ a
+        grads["gb"] += a.sum(0)
+    for n in range(GROUPS):
+        lo, hi = edges[n], edges[n + 1]
+        if lo == hi:
+            continue
+        its = slice(n * MEMBERS, (n + 1) * MEMBERS)
+        c, mine, at = p["c"][:, its], h[lo:hi], (rows[: hi - lo], member[lo:hi])
+        z = mine @ c
+        z += p["b"][its]
+        got[lo:hi] += z[at]
+        most, total = _exp(z)
+        got[lo:hi] -= np.log(total)
+        if most is not None:
+            got[lo:hi] -= most[:, 0]
+        if grads is not None:
+            z /= total[:, None]
+            z[at] -= 1
+            dh[lo:hi] += z @ c.T
+            grads["c"][:, its] += mine.T @ z
+            grads["b"][its] += z.sum(0)
+    logs = np.empty_like(got)
+    logs[order] = got
+    if dh is None:
+        return logs, None
+    back = np.empty_like(dh)
+    back[order] = dh
+    return logs, back
+
+
 class Attention:
     """Parameters, training by hand-written gradients, and scoring.
 
@@ -52,6 +135,7 @@ class Attention:
         self.of, self.share = classes(counts)
         mass = np.bincount(self.of, counts + 0.5, CLASSES)
         near = lambda *shape: rng.normal(0, 0.2, shape)
+        groups = mass.reshape(GROUPS, MEMBERS).sum(1)
         # a subword that no training text has adds nothing as context
         self.p = {
             "e": near(len(counts), WIDTH) * (counts > 0)[:, None],
@@ -60,7 +144,9 @@ class Attention:
             "v": near(WIDTH, WIDTH),
             "c": near(WIDTH, CLASSES) * 0.1,
             "d": np.zeros(2 * BLOCK),
-            "b": np.log(np.maximum(mass, 1e-9) / mass.sum()),
+            "b": np.log(np.maximum(mass, 1e-9) / np.repeat(np.maximum(groups, 1e-9), MEMBERS)),
+            "g": near(WIDTH, GROUPS) * 0.1,
+            "gb": np.log(np.maximum(groups, 1e-9) / groups.sum()),
         }
 
     def loss(self, ids: np.ndarray, target: np.ndarray) -> tuple[float, dict[str, np.ndarray]]:
@@ -77,35 +163,27 @@ class Attention:
         w = np.exp(a - a.max(-1, keepdims=True))
         w /= w.sum(-1, keepdims=True)
         h = x + w @ v
-        logits = h @ p["c"] + p["b"]
-        logits -= logits.max(-1, keepdims=True)
-        out = np.exp(logits)
-        out /= out.sum(-1, keepdims=True)
         real = target >= 0
-        want = self.of[np.where(real, target, 0)]
-        chance = np.take_along_axis(out, want[..., None], -1)[..., 0]
         count = max(1, real.sum())
-        dl = out * real[..., None]
-        np.put_along_axis(dl, want[..., None], (np.take_along_axis(dl, want[..., None], -1)[..., 0] - real)[..., None], -1)
-        dl /= count
-        dh = dl @ p["c"].T
+        grads = {name: np.zeros_like(value) for name, value in p.items()}
+        logs, back = log_chances(p, h[real], self.of[target[real]], grads)
+        for name in ("c", "b", "g", "gb"):
+            grads[name] /= count
+        dh = np.zeros_like(h)
+        dh[real] = back / count
         dw = dh @ v.transpose(0, 2, 1)
         da = w * (dw - (dw * w).sum(-1, keepdims=True))
         dq, dk, dv = da @ k / np.sqrt(WIDTH), da.transpose(0, 2, 1) @ q / np.sqrt(WIDTH), w.transpose(0, 2, 1) @ dh
         dx = dh + dq @ p["q"].T + dk @ p["k"].T + dv @ p["v"].T
-        de = np.zeros_like(p["e"])
-        np.add.at(de, ids, dx)
+        np.add.at(grads["e"], ids, dx)
         flat = lambda t: t.reshape(-1, t.shape[-1])
-        grads = {
-            "e": de,
+        grads |= {
             "q": flat(x).T @ flat(dq),
             "k": flat(x).T @ flat(dk),
             "v": flat(x).T @ flat(dv),
-            "c": flat(h).T @ flat(dl),
             "d": np.bincount(np.abs(far).ravel(), np.where(far >= 0, da.sum(0), 0).ravel(), 2 * BLOCK),
-            "b": flat(dl).sum(0),
         }
-        return float(-np.log(np.maximum(chance[real], 1e-12)).sum() / count), grads
+        return float(-logs.sum() / count), grads
 
     def train(self, ids: np.ndarray, target: np.ndarray, steps: int = STEPS, seed: int = 2) -> list[float]:
         """Adam over random batches of the windows; the losses on the way."""
@@ -172,48 +250,48 @@ def block_sums(p: dict[str, np.ndarray], of: np.ndarray, ids: np.ndarray, target
     parameters; one more row holds the sum of the cross-entropies and the number of targets."""
     far = BLOCK + np.arange(BLOCK)[:, None] - np.arange(2 * BLOCK)[None, :]
     away = np.clip(far, 0, 2 * BLOCK - 1)
-    bias = np.where(far >= 0, p["d"][away], -1e9).astype(p["e"].dtype)
-    scale = p["e"].dtype.type(1 / np.sqrt(WIDTH))
+    kind = p["e"].dtype
+    open_ = (far >= 0).astype(kind)
+    bias = np.where(far >= 0, p["d"][away], 0).astype(kind)
+    scale = kind.type(1 / np.sqrt(WIDTH))
     flat = lambda t: t.reshape(-1, t.shape[-1])
+    pairs = lambda t: np.concatenate([t[:-1], t[1:]], axis=1)  # noqa: E731  (every block after the one before it)
     grads = {name: np.zeros(v.shape) for name, v in p.items()}
-    dx = np.zeros((*ids.shape, WIDTH), p["e"].dtype)
+    dx = np.zeros((*ids.shape, WIDTH), kind)
     loss, count = 0.0, 0
     for at in range(0, len(ids), GRADIENT_BLOCKS):
         upto = min(len(ids), at + GRADIENT_BLOCKS)
-        own, before = ids[at:upto], np.maximum(np.arange(at, upto) - 1, 0)
-        x = p["e"][np.hstack([ids[before], own])]
-        q, k, v = x[:, BLOCK:] @ p["q"], x @ p["k"], x @ p["v"]
-        w = np.matmul(q, k.transpose(0, 2, 1)) * scale + bias
-        w[first[at:upto], :, :BLOCK] = -1e9
-        w -= w.max(-1, keepdims=True)
-        np.exp(w, out=w)
-        w /= w.sum(-1, keepdims=True)
-        h = flat(x[:, BLOCK:] + np.matmul(w, v))
+        starts = first[at:upto]
+        # the blocks and the one before them; before the very first there is none, and a text begins with it
+        x = p["e"][np.concatenate([ids[max(0, at - 1)][None], ids[at:upto]])]
+        own = x[1:]
+        q, k, v = own @ p["q"], pairs(x @ p["k"]), pairs(x @ p["v"])
+        w = np.matmul(q, k.transpose(0, 2, 1))
+        w *= scale
+        total = _weights(w, bias, open_, starts)
+        w /= total[..., None]
+        h = flat(own + np.matmul(w, v))
         goal = target[at:upto].ravel()
         real = np.flatnonzero(goal >= 0)
-        out = h @ p["c"] + p["b"]
-        out -= out.max(1, keepdims=True)
-        np.exp(out, out=out)
-        out /= out.sum(1, keepdims=True)
-        want = of[goal[real]]
-        loss -= float(np.log(np.maximum(out[real, want], 1e-12)).sum(dtype=float))
+        logs, back = log_chances(p, h[real], of[goal[real]], grads)
+        loss -= float(logs.sum(dtype=float))
         count += len(real)
-        out[real, want] -= 1
-        out[goal < 0] = 0
-        dh = (out @ p["c"].T).reshape(*own.shape, WIDTH)
+        dh = np.zeros_like(h)
+        dh[real] = back
+        dh = dh.reshape(own.shape)
         dw = np.matmul(dh, v.transpose(0, 2, 1))
-        da = w * (dw - (dw * w).sum(-1, keepdims=True))
-        dq, dk, dv = np.matmul(da, k) * scale, np.matmul(da.transpose(0, 2, 1), q) * scale, np.matmul(w.transpose(0, 2, 1), dh)
+        dw -= np.einsum("bij,bij->bi", dw, w)[..., None]
+        dw *= w  # now the gradients of the scores
+        dq, dk, dv = np.matmul(dw, k) * scale, np.matmul(dw.transpose(0, 2, 1), q) * scale, np.matmul(w.transpose(0, 2, 1), dh)
         around = dk @ p["k"].T + dv @ p["v"].T
         dx[at:upto] += dh + dq @ p["q"].T + around[:, BLOCK:]
-        inner = ~first[at:upto]
-        dx[before[inner]] += around[inner, :BLOCK]  # a block comes before one other at most
-        grads["q"] += flat(x[:, BLOCK:]).T @ flat(dq)
-        grads["k"] += flat(x).T @ flat(dk)
-        grads["v"] += flat(x).T @ flat(dv)
-        grads["c"] += h.T @ out
-        grads["d"] += np.bincount(away.ravel(), np.where(far >= 0, da.sum(0), 0).ravel(), 2 * BLOCK)
-        grads["b"] += out.sum(0)
+        inner = np.flatnonzero(~starts)
+        dx[at + inner - 1] += around[inner, :BLOCK]  # a block comes before one other at most
+        grads["q"] += flat(own).T @ flat(dq)
+        # a block's keys and values have gradients from itself and from the next one
+        grads["k"] += flat(own).T @ flat(dk[:, BLOCK:]) + flat(x[:-1]).T @ flat(dk[:, :BLOCK])
+        grads["v"] += flat(own).T @ flat(dv[:, BLOCK:]) + flat(x[:-1]).T @ flat(dv[:, :BLOCK])
+        grads["d"] += np.bincount(away.ravel(), dw.sum(0).ravel(), 2 * BLOCK)
     seen, place = np.unique(ids.ravel(), return_inverse=True)
     for column in range(WIDTH):
         grads["e"][seen, column] = np.bincount(place.ravel(), dx[..., column].ravel(), len(seen))
@@ -232,14 +310,11 @@ class Tables:
         self.x = p["e"].astype(one)
         self.q = (p["e"] @ p["q"] / np.sqrt(WIDTH)).astype(one)
         self.k = (p["e"] @ p["k"]).astype(one)
-        # the values' last column counts the weights
-        self.v = np.hstack([p["e"] @ p["v"], np.ones((len(p["e"]), 1))]).astype(one)
-        self.c, self.b = p["c"].astype(one), p["b"].astype(one)
+        self.v = (p["e"] @ p["v"]).astype(one)
+        self.p = {name: p[name].astype(one) for name in ("c", "b", "g", "gb")}
         far = BLOCK + np.arange(BLOCK)[:, None] - np.arange(2 * BLOCK)[None, :]
-        # a constant off every score changes no softmax; it keeps exp in range
-        most = np.sqrt((self.q**2).sum(1).max() * (self.k**2).sum(1).max()) + p["d"].max()
-        shift = max(0.0, float(most) - 60.0)
-        self.bias = np.where(far >= 0, p["d"][np.clip(far, 0, 2 * BLOCK - 1)] - shift, -np.inf).astype(one)
+        self.open = (far >= 0).astype(one)
+        self.bias = np.where(far >= 0, p["d"][np.clip(far, 0, 2 * BLOCK - 1)], 0).astype(one)
 
     def log10(self, ids: np.ndarray, target: np.ndarray, first: np.ndarray) -> np.ndarray:
         """log10 chance of every target (0 where it is -1), for rows of BLOCK tokens.
@@ -249,22 +324,17 @@ class Tables:
         out = np.zeros(ids.shape)
         for at in range(0, len(ids), CHUNK_BLOCKS):
             upto = min(len(ids), at + CHUNK_BLOCKS)
-            own = ids[at:upto]
-            around = np.hstack([ids[np.maximum(np.arange(at, upto) - 1, 0)], own])
-            w = np.matmul(self.q[own], self.k[around].transpose(0, 2, 1))
-            w += self.bias
-            np.exp(w, out=w)
-            w[first[at:upto], :, :BLOCK] = 0
-            mixed = np.matmul(w, self.v[around])
-            h = self.x[own] + mixed[..., :WIDTH] / mixed[..., WIDTH:]
-            logits = h.reshape(-1, WIDTH) @ self.c + self.b
-            logits -= logits.max(1, keepdims=True)
+            blocks = np.concatenate([ids[max(0, at - 1)][None], ids[at:upto]])
+            own = blocks[1:]
+            pairs = lambda t: np.concatenate([t[blocks[:-1]], t[own]], axis=1)  # noqa: E731, B023
+            w = np.matmul(self.q[own], pairs(self.k).transpose(0, 2, 1))
+            total = _weights(w, self.bias, self.open, first[at:upto])
+            h = (self.x[own] + np.matmul(w, pairs(self.v)) / total[..., None]).reshape(-1, WIDTH)
             goal = target[at:upto].ravel()
-            real = goal >= 0
-            safe = np.where(real, goal, 0)
-            got = logits[np.arange(len(logits)), self.of[safe]]
-            chance = (got - np.log(np.exp(logits, out=logits).sum(1))) / LOG10 + self.share[safe]
-            out[at:upto] = np.where(real, chance, 0.0).reshape(own.shape)
+            real = np.flatnonzero(goal >= 0)
+            wanted = goal[real]
+            logs, _ = log_chances(self.p, h[real], self.of[wanted])
+            out[at:upto].reshape(-1)[real] = logs / LOG10 + self.share[wanted]
         return out
 
 

@@ -6,7 +6,7 @@ from collections import Counter
 import numpy as np
 
 from ledgerlake.llm import lm
-from ledgerlake.llm.attention import BLOCK, Attention, block_sums, rows_of, unpack
+from ledgerlake.llm.attention import BLOCK, GROUPS, MEMBERS, Attention, block_sums, rows_of, unpack
 
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
@@ -69,9 +69,11 @@ def test_windows_score_each_token_once_from_the_right_context():
         e = p["e"][around]
         a = (e @ p["k"]) @ (e[-1] @ p["q"]) / 4 + p["d"][np.arange(len(around))[::-1]]
         w = np.exp(a - a.max())
-        logits = (e[-1] + w / w.sum() @ (e @ p["v"])) @ p["c"] + p["b"]
-        chance = np.exp(logits - logits.max())
-        assert math.isclose(got[j], math.log10(chance[model.of[y[j]]] / chance.sum()) + model.share[y[j]], abs_tol=1e-4)
+        h = e[-1] + w / w.sum() @ (e @ p["v"])
+        soft = lambda z: np.exp(z - z.max()) / np.exp(z - z.max()).sum()
+        within = np.concatenate([soft(z) for z in np.split(h @ p["c"] + p["b"], GROUPS)])
+        chance = np.repeat(soft(h @ p["g"] + p["gb"]), MEMBERS) * within
+        assert math.isclose(got[j], math.log10(chance[model.of[y[j]]]) + model.share[y[j]], abs_tol=1e-4)
 
 
 def test_chances_add_up_to_one():
@@ -80,6 +82,21 @@ def test_chances_add_up_to_one():
     assert math.isclose((10 ** model.tables().log10(rows, target, first)[:, 0]).sum(), 1, rel_tol=1e-4)
 
 
+def test_large_weights_give_finite_scores():
+    """Scores far beyond the range of exp: each row's maximum is taken off."""
+    rng = np.random.default_rng(8)
+    model = Attention(rng.integers(0, 50, 300).astype(float))
+    for name, scale in (("e", 30), ("q", 10), ("k", 10), ("c", 20), ("g", 50), ("d", 0)):
+        model.p[name] = model.p[name] * scale
+    model.p["d"] = rng.normal(0, 300, 2 * BLOCK)
+    ids, target, first = rng.integers(0, 300, (40, BLOCK)), rng.integers(0, 300, (40, BLOCK)), rng.random(40) < 0.2
+    first[0] = True
+    got = model.tables().log10(ids, target, first)
+    assert np.isfinite(got).all() and (got <= 1e-6).all() and got.min() < -10
+    sums = block_sums({k: v.astype(np.float32) for k, v in model.p.items()}, model.of, ids, target, first)
+    assert np.isfinite(sums).all() and math.isclose(sums[-1, 0], -(got - model.share[target]).sum() * math.log(10), rel_tol=1e-3)
+
+
 def test_pieces_of_a_long_text_count_the_same(monkeypatch):
     proto = open(lm.TOKENIZER, "rb").read()
     tables = Attention(np.ones(32000)).tables()
