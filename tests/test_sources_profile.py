@@ -314,7 +314,7 @@ def test_open_quote_in_a_table_of_one_column(spark, scratch):
 
 
 def test_the_newest_complete_run_is_read_whatever_crashes(spark, scratch):
-    base = os.path.join(scratch, "runs")
+    base = os.path.join(scratch, "crashed runs")
     frame = lambda v: spark.createDataFrame([(v,)], "x string")
     with pytest.raises(FileNotFoundError):
         SK.read_run(spark, base)
