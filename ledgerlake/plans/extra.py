@@ -11,7 +11,7 @@ from ..functions import keys as K
 from ..operators import audit, clean, history, lookup, summary
 from ..sources import discovery, layout, readers, registry, sinks, validate
 from . import inputs as I
-from .session import ensure_checkpoint_dir
+from .session import cut_lineage, ensure_checkpoint_dir
 
 
 def _text_dates(spark, sf):
@@ -180,7 +180,7 @@ def q_resolved_sources(spark, sf):
     """How each source of a registry ends -- found, skipped, or the error that a run would stop with."""
     from .catalog import _registry, _word_sheets
 
-    decided = discovery.discover(_word_sheets(spark, sf), _registry())
+    decided = cut_lineage(discovery.discover(_word_sheets(spark, sf), _registry()))  # a row per source, read once for each
     rows = []
     for d in _registry():
         try:

@@ -359,3 +359,17 @@ def test_grain_check_joins_only_when_keys_differ(spark):
     assert counts.first()["dropped_keys"] == 2 and {tuple(r) for r in dropped.collect()} == {(1, None), (None, 1)}
     swapped = spark.createDataFrame([(None, 1), (None, 1), (2, 2), (2, 2)], "a int, b int")
     assert audit.grain_check(before, swapped, ["a", "b"])[0].first()["dropped_keys"] == 1
+
+
+def test_sources_are_decided_once(spark, tmp_path, monkeypatch):
+    """The outcomes of all sources read one written decision; the sheets are not searched again for each of them."""
+    from ledgerlake.plans import extra
+    from ledgerlake.sources import discovery
+
+    spark.createDataFrame([("the and that", "en", "src19"), ("der die", "de", "src7"), (None, "en", "src1")], "text string, lang string, source string").write.parquet(
+        str(tmp_path / "documents.parquet"))
+    resolve, plans = discovery.resolve, []
+    monkeypatch.setattr(discovery, "resolve", lambda d, defs: plans.append(d._jdf.queryExecution().optimizedPlan().toString()) or resolve(d, defs))
+    got = {r.logical: r.outcome for r in extra.q_resolved_sources(spark, str(tmp_path)).collect()}
+    assert got["english"] == got["german"] == "resolved" and got["missing_src"] == "skipped" and len(plans) == len(got)
+    assert not any("Aggregate" in p or "Join" in p for p in plans)
