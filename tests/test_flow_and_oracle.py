@@ -190,3 +190,62 @@ def test_entry_smoke(spark):
     df = E.entry(spark)
     assert df.columns == ["ndc", "inventory", "total", "upload_qty", "ups_inventory"]
     assert df.count() >= 0
+
+
+def test_lines_are_dealt_once_per_kind_of_key(spark):
+    """Joins on one key follow each other whatever the sources' order, and columns still fill in that order."""
+    import datetime as dt
+
+    from ledgerlake.plans import flow
+
+    make = spark.createDataFrame
+    day = dt.date(2026, 4, 2)
+    tables = {
+        "orderbook": make([(1, 1, "1", "11", "Ann", None, day, 1), (2, 1, "2", "22", "Bob", "own", day, 2), (3, 1, None, None, None, None, day, 3)],
+                          "order_number int, item_number int, material_code string, ndc string, customer string, material_description string, po_date date, _row long"),
+        "moq": make([("1", "by moq", 5, 0)], "material_code string, material_description string, moq int, _row long"),
+        "inventory": make([("11", 7, 9, None, 0)], "ndc string, actual_quantity int, inventory int, hold_codes string, _row long"),
+        "open_order_summary": make([("00011-000-00", 1, "open", " ann ", "G", 0)], "sku string, total int, status string, customer string, customer_group string, _row long"),
+        "sales_summary": make([("11ANN", "11", 4, "by sales", 0), ("22BOB", "22", 6, "by sales", 1)], "lookup string, ndc string, quantity int, material_description string, _row long"),
+        "sales_trend": make([("22BOB", "bob", "T", "by trend", "3", 0)], "lookup string, customer string, customer_group string, material_description string, `Mar 2026` string, _row long"),
+        "awards": make([("11ANN", "11", "Primary", 0)], "lookup string, ndc string, award_type string, _row long"),
+        "critical_inventory_tracker": make([("22", "soon", 0)], "ndc string, comments string, _row long"),
+    }
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false"}
+    keep = {k: spark.conf.get(k) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        fi = flow.FlowInputs(tables)
+        r = flow.run_phases(fi)
+        lines, _ = flow.order_lines(fi)
+        hist, period = flow.prior_months(fi, lines)
+        m = flow.build_master(fi, lines, flow.net_stock(fi), hist, r.month_labels)
+        plan = m.frame._jdf.queryExecution().executedPlan().toString()
+        assert [plan.count(f"hashpartitioning({k}#") for k in ("_ndc_k", "_lk_k", "_cust_k")] == [1, 1, 1]
+    finally:
+        for k, v in keep.items():
+            spark.conf.set(k, v)
+    got = {x.order_number: x for x in r.lines.collect()}
+    assert [got[i].material_description for i in (1, 2, 3)] == ["by moq", "own", None]
+    assert (got[1].inventory, got[1].award_type, got[1].buying_group, got[1].quantity, got[2].Mar, got[2].sc_comments, got[2].buying_group) == (9, "Primary", "G", 4, 3.0, "soon", "T")
+    assert [x.rows_updated for x in r.merge_audit.collect()] == [1, 1, 1, 2, 1, 1, 2, 1]
+
+
+def test_trend_sums_one_value_per_month(spark):
+    """The trend's months are one sum each and no aggregate column each; a month without a price is blank."""
+    import datetime as dt
+
+    from ledgerlake.plans import inputs
+
+    at = lambda m: dt.datetime(1995, m, 3)
+    rows = [("1-1", "Ann", "O", at(2), 1000.7, "HOUSEHOLD", "Ann", 50, 4, "nut"), ("11", "ann", "O", at(2), 500.2, "HOUSEHOLD", "Ann", 3, 3, "gear"),
+            ("11", "Ann", "O", at(3), None, "HOUSEHOLD", "Ann", 3, 9, "nut"), (None, " ", "O", at(1), 5.0, "BUILDING", "Bob", 3, 9, "nut")]
+    m = spark.createDataFrame(rows, "ndc_code string, sold_to string, l_linestatus string, o_orderdate timestamp, l_extendedprice double, c_mktsegment string, "
+                                    "c_name string, p_size int, l_suppkey long, p_name string")
+    trend = inputs.sales_trend(spark, m)
+    assert trend._jdf.queryExecution().optimizedPlan().toString().count("sum(") == 1
+    (got,) = trend.collect()
+    feb, mar, jan = [next(c for c in trend.columns if c.strip().startswith(n) and "1995" in c or c.strip() == f"{n}-95") for n in ("Feb", "Mar", "Jan")]
+    assert (got["lookup"], got["status"], got["customer"], got["customer_group"], got["contract_id"], got["material_description"]) == ("11ANN", "O", "Ann closed", "Retail", "C3", "T: gear")
+    assert (got[feb], got[mar], got[jan], got["January 1995"]) == ("1,500", " - ", " - ", "1")
