@@ -249,3 +249,57 @@ def test_trend_sums_one_value_per_month(spark):
     feb, mar, jan = [next(c for c in trend.columns if c.strip().startswith(n) and "1995" in c or c.strip() == f"{n}-95") for n in ("Feb", "Mar", "Jan")]
     assert (got["lookup"], got["status"], got["customer"], got["customer_group"], got["contract_id"], got["material_description"]) == ("11ANN", "O", "Ann closed", "Retail", "C3", "T: gear")
     assert (got[feb], got[mar], got[jan], got["January 1995"]) == ("1,500", " - ", " - ", "1")
+
+
+def _below(plan, exchange):
+    """The operator that feeds each exchange of this kind."""
+    lines = plan.splitlines()
+    return [lines[i + 1] for i, x in enumerate(lines) if f"hashpartitioning({exchange}#" in x]
+
+
+def test_lookups_deal_keys_and_not_whole_lines(spark):
+    """The lines' own columns are dealt once, by the lines' number, and the customers before they meet the lines."""
+    import datetime as dt
+
+    from ledgerlake.plans import flow, inputs
+
+    make = spark.createDataFrame
+    orders = make([(1, 1, "7", "11", "Ann", "note", dt.date(2026, 4, 2), 0), (2, 1, None, None, None, None, dt.date(2026, 4, 2), 1)],
+                  "order_number int, item_number int, material_code string, ndc string, customer string, po_number string, po_date date, _row long")
+    stock = make([("11", 7, 9, None, 0)], "ndc string, actual_quantity int, inventory int, hold_codes string, _row long")
+    sold = make([("11", 1, "open", "Ann", "G", 0)], "sku string, total int, status string, customer string, customer_group string, _row long")
+    moq = make([("7", "nut", 5, 0)], "material_code string, material_description string, moq int, _row long")
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false"}
+    keep = {k: spark.conf.get(k) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        fi = flow.FlowInputs({"orderbook": orders, "inventory": stock, "open_order_summary": sold, "moq": moq})
+        lines, _ = flow.order_lines(fi)
+        m = flow.build_master(fi, lines, flow.net_stock(fi), None, ("Mar 2026",)).frame
+        plan = m._jdf.queryExecution().executedPlan().toString()
+        master = inputs.master_orders(spark, SF)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in keep.items():
+            spark.conf.set(k, v)
+    for key in ("_ndc_k", "_cust_k", "_mk_moq"):
+        (fed,) = _below(plan, key)
+        assert "po_number" not in fed, key
+    (fed,) = _below(master, "o_custkey")
+    assert "l_orderkey" not in fed
+    got = {x.order_number: x for x in m.collect()}
+    assert (got[1].po_number, got[1].moq, got[1].actual_quantity, got[1].buying_group) == ("note", 5, 7, "G")
+    assert (got[2].moq, got[2].actual_quantity, got[2].buying_group, len(got)) == (None, None, None, 2)
+
+
+def test_a_written_table_leaves_no_shuffle_files(spark):
+    """What was shuffled for one written step does not lie on the disks beside the next step's."""
+    from ledgerlake.plans.session import cut_lineage
+
+    def files():
+        held = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+        return {held.apply(i).getName() for i in range(held.size()) if held.apply(i).getName().startswith("shuffle_")}
+
+    before = files()
+    table = cut_lineage(spark.range(1000).repartition(3, "id"))
+    assert not files() - before and table.count() == 1000
