@@ -303,3 +303,19 @@ def test_a_written_table_leaves_no_shuffle_files(spark):
     before = files()
     table = cut_lineage(spark.range(1000).repartition(3, "id"))
     assert not files() - before and table.count() == 1000
+
+
+def test_audits_make_each_key_once(spark):
+    """Counting the keys that no line has makes a row's key once, and the sources among the lines read their Lookup."""
+    from ledgerlake.operators import lookup
+    from ledgerlake.plans import inputs
+
+    source = spark.createDataFrame([(" a ",), ("A",), ("b",), (None,), ("  ",)], "name string")
+    lines = spark.createDataFrame([("b ",), (None,)], "customer string")
+    missing = lookup.missing_keys(source, lines, lookup.JoinStrategy.on("Name", ("customer", "name", "text")))
+    assert missing._jdf.queryExecution().optimizedPlan().toString().count("translate(") == 2
+    assert [r.rows_missing for r in missing.collect()] == [1]
+    tables, _ = inputs.flow_tables(spark, SF)
+    assert "translate(" not in tables["sales_summary"]._jdf.queryExecution().optimizedPlan().toString()
+    sold = tables["sales_summary"].select("ndc", "lookup").distinct()
+    assert sold.where("ndc is null and lookup like '1%'").count() == 0 and sold.where("lookup is not null").count() > 0
