@@ -23,10 +23,10 @@ MEMBERS = CLASSES // GROUPS
 #: Classes that hold one frequent subword each.
 SINGLE = 224
 STEPS, BATCH, RATE = 250, 64, 0.01
-#: Rate of the steps over the whole corpus, and the blocks whose gradients are held at once.
-WHOLE_RATE, GRADIENT_BLOCKS = 0.02, 1024
+#: Rate of the steps over the whole corpus, and the blocks whose gradients are held at once: few, so that they stay in a core's cache.
+WHOLE_RATE, GRADIENT_BLOCKS = 0.02, 256
 #: Blocks that are scored at once.
-CHUNK_BLOCKS = 1024
+CHUNK_BLOCKS = 256
 LOG10 = float(np.log(10.0))
 
 
@@ -74,56 +74,60 @@ def _weights(w: np.ndarray, bias: np.ndarray, open_: np.ndarray, first: np.ndarr
 
 
 def log_chances(p: dict[str, np.ndarray], h: np.ndarray, want: np.ndarray, grads: dict[str, np.ndarray] | None = None) -> tuple[np.ndarray, np.ndarray | None]:
-    """Natural logs of the chances of classes ``want`` after states ``h``. With ``grads``, the gradients of minus their
-    sum are added there, and those by ``h`` are returned, too. Rows go group by group, so that one group's
-    logits are one product."""
-    group, member = np.divmod(want, MEMBERS)
-    order = np.argsort(group.astype(np.int8), kind="stable")
-    edges = np.searchsorted(group[order], np.arange(GROUPS + 1)).tolist()
-    rows = np.arange(len(h))
-    h, group, member = h[order], group[order], member[order]
-    a = h @ p["g"]
-    a += p["gb"]
-    got = a[rows, group]
-    most, total = _exp(a)
-    got -= np.log(total)
+    """Natural logs of the chances of classes ``want`` after states ``h``, 0 where the class is -1. With ``grads``, the
+    gradients of minus their sum are added there, and those by ``h`` are returned, too. Rows go group by group, so
+    that the logits of the groups and of one group's classes are one product."""
+    group = (want // MEMBERS).astype(np.int8)
+    order = np.argsort(group, kind="stable")
+    edges = np.searchsorted(group.take(order), np.arange(GROUPS + 1))
+    order, edges = order[edges[0] :], (edges - edges[0]).tolist()
+    states, wanted = h.take(order, 0), want.take(order)
+    of_groups, of_classes = np.broadcast_to(p["g"], (GROUPS, WIDTH, GROUPS)), p["c"].reshape(WIDTH, GROUPS, MEMBERS).transpose(1, 0, 2)
+    both = np.concatenate([of_groups, of_classes], axis=2)
+    bias = np.concatenate([np.broadcast_to(p["gb"], (GROUPS, GROUPS)), p["b"].reshape(GROUPS, MEMBERS)], axis=1)
+    spans = [(n, slice(lo, hi)) for n, (lo, hi) in enumerate(zip(edges[:-1], edges[1:], strict=True)) if lo < hi]
+    a = np.empty((len(order), GROUPS + MEMBERS), both.dtype)
+    for n, its in spans:
+        np.matmul(states[its], both[n], out=a[its])
+        a[its] += bias[n]
+    # the groups' logits and the classes' are rows of their own, of one length
+    rows, flat = a.reshape(-1, MEMBERS), a.reshape(-1)
+    start = np.arange(len(order)) * (GROUPS + MEMBERS)
+    at_group, at_class = start + wanted // MEMBERS, start + (GROUPS + wanted % MEMBERS)
+    got = flat.take(at_group) + flat.take(at_class)
+    most, total = _exp(rows)
+    logs_of = np.log(total)
     if most is not None:
-        got -= most[:, 0]
-    dh = None
-    if grads is not None:
-        a /= total[:, None]
-        a[rows, group] -= 1
-        dh = a @ p["g"].T
-        grads["g"] += h.T @ a
-        grads["gb"] += a.sum(0)
-    for n in range(GROUPS):
-        lo, hi = edges[n], edges[n + 1]
-        if lo == hi:
-            continue
-        its = slice(n * MEMBERS, (n + 1) * MEMBERS)
-        c, mine, at = p["c"][:, its], h[lo:hi], (rows[: hi - lo], member[lo:hi])
-        z = mine @ c
-        z += p["b"][its]
-        got[lo:hi] += z[at]
-        most, total = _exp(z)
-        got[lo:hi] -= np.log(total)
-        if most is not None:
-            got[lo:hi] -= most[:, 0]
-        if grads is not None:
-            z /= total[:, None]
-            z[at] -= 1
-            dh[lo:hi] += z @ c.T
-            grads["c"][:, its] += mine.T @ z
-            grads["b"][its] += z.sum(0)
-    logs = np.empty_like(got)
+        logs_of += most[:, 0]
+    got -= logs_of[::2]
+    got -= logs_of[1::2]
+    logs = np.zeros(len(h), got.dtype)
     logs[order] = got
-    if dh is None:
+    if grads is None:
         return logs, None
-    back = np.empty_like(dh)
+    rows *= (1 / total)[:, None]
+    flat[at_group] -= 1
+    flat[at_class] -= 1
+    dh = np.empty_like(states)
+    for n, its in spans:
+        np.matmul(a[its], both[n].T, out=dh[its])
+        grad, sums = states[its].T @ a[its], np.ones(its.stop - its.start, a.dtype) @ a[its]
+        classes_ = slice(n * MEMBERS, (n + 1) * MEMBERS)
+        grads["g"] += grad[:, :GROUPS]
+        grads["c"][:, classes_] += grad[:, GROUPS:]
+        grads["gb"] += sums[:GROUPS]
+        grads["b"][classes_] += sums[GROUPS:]
+    back = np.zeros_like(h)
     back[order] = dh
     return logs, back
 
 
+def _windows(t: np.ndarray) -> np.ndarray:
+    """Every block of the rows ``t`` after the first with the one before it, as a view: (blocks, 2 * BLOCK, columns)."""
+    row, item = t.strides
+    return np.lib.stride_tricks.as_strided(t, (len(t) // BLOCK - 1, 2 * BLOCK, t.shape[1]), (BLOCK * row, row, item), writeable=False)
+
+
 class Attention:
     """Parameters, training by hand-written gradients, and scoring.
 
@@ -163,14 +167,12 @@ class Attention:
         w = np.exp(a - a.max(-1, keepdims=True))
         w /= w.sum(-1, keepdims=True)
         h = x + w @ v
-        real = target >= 0
-        count = max(1, real.sum())
+        count = max(1, (target >= 0).sum())
         grads = {name: np.zeros_like(value) for name, value in p.items()}
-        logs, back = log_chances(p, h[real], self.of[target[real]], grads)
+        logs, back = log_chances(p, h.reshape(-1, WIDTH), np.append(self.of, -1)[target.ravel()], grads)
         for name in ("c", "b", "g", "gb"):
             grads[name] /= count
-        dh = np.zeros_like(h)
-        dh[real] = back / count
+        dh = back.reshape(h.shape) / count
         dw = dh @ v.transpose(0, 2, 1)
         da = w * (dw - (dw * w).sum(-1, keepdims=True))
         dq, dk, dv = da @ k / np.sqrt(WIDTH), da.transpose(0, 2, 1) @ q / np.sqrt(WIDTH), w.transpose(0, 2, 1) @ dh
@@ -246,58 +248,86 @@ def unpack(rows: np.ndarray, like: dict[str, np.ndarray]) -> dict[str, np.ndarra
 
 
 def block_sums(p: dict[str, np.ndarray], of: np.ndarray, ids: np.ndarray, target: np.ndarray, first: np.ndarray) -> np.ndarray:
-    """Sums of the gradients over rows of BLOCK tokens with the contexts of ``Tables.log10``, packed like the
-    parameters; one more row holds the sum of the cross-entropies and the number of targets."""
-    far = BLOCK + np.arange(BLOCK)[:, None] - np.arange(2 * BLOCK)[None, :]
-    away = np.clip(far, 0, 2 * BLOCK - 1)
-    kind = p["e"].dtype
-    open_ = (far >= 0).astype(kind)
-    bias = np.where(far >= 0, p["d"][away], 0).astype(kind)
-    scale = kind.type(1 / np.sqrt(WIDTH))
-    flat = lambda t: t.reshape(-1, t.shape[-1])
-    pairs = lambda t: np.concatenate([t[:-1], t[1:]], axis=1)  # noqa: E731  (every block after the one before it)
-    grads = {name: np.zeros(v.shape) for name, v in p.items()}
-    dx = np.zeros((*ids.shape, WIDTH), kind)
-    loss, count = 0.0, 0
-    for at in range(0, len(ids), GRADIENT_BLOCKS):
-        upto = min(len(ids), at + GRADIENT_BLOCKS)
-        starts = first[at:upto]
-        # the blocks and the one before them; before the very first there is none, and a text begins with it
-        x = p["e"][np.concatenate([ids[max(0, at - 1)][None], ids[at:upto]])]
-        own = x[1:]
-        q, k, v = own @ p["q"], pairs(x @ p["k"]), pairs(x @ p["v"])
-        w = np.matmul(q, k.transpose(0, 2, 1))
-        w *= scale
-        total = _weights(w, bias, open_, starts)
-        w /= total[..., None]
-        h = flat(own + np.matmul(w, v))
-        goal = target[at:upto].ravel()
-        real = np.flatnonzero(goal >= 0)
-        logs, back = log_chances(p, h[real], of[goal[real]], grads)
-        loss -= float(logs.sum(dtype=float))
-        count += len(real)
-        dh = np.zeros_like(h)
-        dh[real] = back
-        dh = dh.reshape(own.shape)
-        dw = np.matmul(dh, v.transpose(0, 2, 1))
-        dw -= np.einsum("bij,bij->bi", dw, w)[..., None]
-        dw *= w  # now the gradients of the scores
-        dq, dk, dv = np.matmul(dw, k) * scale, np.matmul(dw.transpose(0, 2, 1), q) * scale, np.matmul(w.transpose(0, 2, 1), dh)
-        around = dk @ p["k"].T + dv @ p["v"].T
-        dx[at:upto] += dh + dq @ p["q"].T + around[:, BLOCK:]
-        inner = np.flatnonzero(~starts)
-        dx[at + inner - 1] += around[inner, :BLOCK]  # a block comes before one other at most
-        grads["q"] += flat(own).T @ flat(dq)
-        # a block's keys and values have gradients from itself and from the next one
-        grads["k"] += flat(own).T @ flat(dk[:, BLOCK:]) + flat(x[:-1]).T @ flat(dk[:, :BLOCK])
-        grads["v"] += flat(own).T @ flat(dv[:, BLOCK:]) + flat(x[:-1]).T @ flat(dv[:, :BLOCK])
-        grads["d"] += np.bincount(away.ravel(), dw.sum(0).ravel(), 2 * BLOCK)
-    seen, place = np.unique(ids.ravel(), return_inverse=True)
-    for column in range(WIDTH):
-        grads["e"][seen, column] = np.bincount(place.ravel(), dx[..., column].ravel(), len(seen))
-    end = np.zeros((1, WIDTH))
-    end[0, :2] = loss, count
-    return np.concatenate([pack(grads), end])
+    """``Sums`` of the rows of one call."""
+    sums = Sums(p, of)
+    sums.add(ids, target, first)
+    return sums.packed()
+
+
+class Sums:
+    """Sums of the gradients over rows of BLOCK tokens with the contexts of ``Tables.log10``."""
+
+    def __init__(self, p: dict[str, np.ndarray], of: np.ndarray):
+        kind = p["e"].dtype
+        far = BLOCK + np.arange(BLOCK)[:, None] - np.arange(2 * BLOCK)[None, :]
+        self.away = np.clip(far, 0, 2 * BLOCK - 1)
+        self.open = (far >= 0).astype(kind)
+        self.bias = np.where(far >= 0, p["d"][self.away], 0).astype(kind)
+        self.scale = kind.type(1 / np.sqrt(WIDTH))
+        self.p, self.of = p, np.append(of, -1)  # a target of -1 has class -1
+        self.ways = {"q": p["q"] * self.scale, "k": p["k"], "v": p["v"]}
+        self.grads = {name: np.zeros(v.shape) for name, v in p.items()}
+        self.loss, self.count = 0.0, 0
+
+    def add(self, ids: np.ndarray, target: np.ndarray, first: np.ndarray) -> None:
+        p, ways, grads, kind = self.p, self.ways, self.grads, self.bias.dtype
+        turn, ones = np.concatenate(list(ways.values()), axis=1), np.ones(max(WIDTH, GRADIENT_BLOCKS), kind)
+        dy = np.empty((GRADIENT_BLOCKS + 1, BLOCK, WIDTH), kind)
+        dx = np.zeros((len(ids) + 1, BLOCK, WIDTH), kind)  # the first block stands for the one before the very first
+        self.count += int((target >= 0).sum())
+        for at in range(0, len(ids), GRADIENT_BLOCKS):
+            upto = min(len(ids), at + GRADIENT_BLOCKS)
+            n = upto - at
+            # the blocks and the one before them; before the very first there is none, and a text begins with it
+            x = p["e"].take(np.concatenate([ids[max(0, at - 1)][None], ids[at:upto]]).ravel(), 0)
+            y = x @ turn
+            q, k, v = y[BLOCK:, :WIDTH].reshape(n, BLOCK, WIDTH), _windows(y[:, WIDTH : 2 * WIDTH]), _windows(y[:, 2 * WIDTH :])
+            w = np.matmul(q, k.transpose(0, 2, 1))
+            part = 1 / _weights(w, self.bias, self.open, first[at:upto])[..., None]
+            seen = np.matmul(w, v)
+            seen *= part
+            h = (x[BLOCK:].reshape(seen.shape) + seen).reshape(-1, WIDTH)
+            logs, dh = log_chances(p, h, self.of.take(target[at:upto].ravel(), mode="wrap"), grads)
+            self.loss -= float(logs.sum(dtype=float))
+            dh = dh.reshape(seen.shape)
+            ds = dh * part  # w is left without its division by the sums
+            dw = np.matmul(ds, v.transpose(0, 2, 1))
+            seen *= ds
+            dw -= (seen @ ones[:WIDTH])[..., None]
+            dw *= w  # now the gradients of the scores
+            got = dx[at : upto + 1].reshape(-1, WIDTH)
+            got[BLOCK:] += dh.reshape(-1, WIDTH)
+            own = x[BLOCK:]
+            dq = np.matmul(dw, k).reshape(-1, WIDTH)
+            grads["q"] += own.T @ dq
+            got[BLOCK:] += dq @ ways["q"].T
+            # a block's keys and values have gradients from itself and from the next one
+            for name, left, right in (("k", dw, q), ("v", w, ds)):
+                both = np.matmul(left.transpose(0, 2, 1), right)
+                dy[0] = 0
+                dy[1 : n + 1] = both[:, BLOCK:]
+                dy[:n] += both[:, :BLOCK]
+                rows = dy[: n + 1].reshape(-1, WIDTH)
+                grads[name] += x.T @ rows
+                got += rows @ ways[name].T
+            grads["d"] += np.bincount(self.away.ravel(), ones[:n] @ dw.reshape(n, -1), 2 * BLOCK)
+        _add_rows(grads["e"], ids.ravel(), dx[1:].reshape(-1, WIDTH))
+
+    def packed(self) -> np.ndarray:
+        """The sums, packed like the parameters; one more row holds the sum of the cross-entropies and the number of targets."""
+        end = np.zeros((1, WIDTH))
+        end[0, :2] = self.loss, self.count
+        return np.concatenate([pack(self.grads | {"q": self.grads["q"] * self.scale}), end])
+
+
+def _add_rows(to: np.ndarray, at: np.ndarray, rows: np.ndarray) -> None:
+    """Adds every row to row ``at`` of ``to``."""
+    place = at.astype(np.uint16) if len(to) <= 1 << 16 else at  # 16 bits are sorted by their digits
+    order = np.argsort(place, kind="stable")
+    place = place.take(order)
+    starts = np.flatnonzero(np.append(True, place[1:] != place[:-1])[: len(place)])
+    if len(starts):
+        to[place[starts]] += np.add.reduceat(rows.take(order, 0), starts, axis=0, dtype=to.dtype)
 
 
 class Tables:
@@ -305,12 +335,11 @@ class Tables:
 
     def __init__(self, model: Attention):
         p = model.p
-        self.of, self.share = model.of, model.share
+        # a target of -1 has class -1 and share 0
+        self.of, self.share = np.append(model.of, -1), np.append(model.share, 0.0)
         one = np.float32
-        self.x = p["e"].astype(one)
-        self.q = (p["e"] @ p["q"] / np.sqrt(WIDTH)).astype(one)
-        self.k = (p["e"] @ p["k"]).astype(one)
-        self.v = (p["e"] @ p["v"]).astype(one)
+        #: Query, key, value and embedding of every subword, in one row.
+        self.rows = np.concatenate([p["e"] @ p["q"] / np.sqrt(WIDTH), p["e"] @ p["k"], p["e"] @ p["v"], p["e"]], axis=1).astype(one)
         self.p = {name: p[name].astype(one) for name in ("c", "b", "g", "gb")}
         far = BLOCK + np.arange(BLOCK)[:, None] - np.arange(2 * BLOCK)[None, :]
         self.open = (far >= 0).astype(one)
@@ -324,17 +353,16 @@ class Tables:
         out = np.zeros(ids.shape)
         for at in range(0, len(ids), CHUNK_BLOCKS):
             upto = min(len(ids), at + CHUNK_BLOCKS)
-            blocks = np.concatenate([ids[max(0, at - 1)][None], ids[at:upto]])
-            own = blocks[1:]
-            pairs = lambda t: np.concatenate([t[blocks[:-1]], t[own]], axis=1)  # noqa: E731, B023
-            w = np.matmul(self.q[own], pairs(self.k).transpose(0, 2, 1))
+            y = self.rows.take(np.concatenate([ids[max(0, at - 1)][None], ids[at:upto]]).ravel(), 0)
+            q, k, v, x = (y[:, n * WIDTH : (n + 1) * WIDTH] for n in range(4))
+            w = np.matmul(q[BLOCK:].reshape(-1, BLOCK, WIDTH), _windows(k).transpose(0, 2, 1))
             total = _weights(w, self.bias, self.open, first[at:upto])
-            h = (self.x[own] + np.matmul(w, pairs(self.v)) / total[..., None]).reshape(-1, WIDTH)
+            h = np.matmul(w, _windows(v))
+            h /= total[..., None]
+            h += x[BLOCK:].reshape(h.shape)
             goal = target[at:upto].ravel()
-            real = np.flatnonzero(goal >= 0)
-            wanted = goal[real]
-            logs, _ = log_chances(self.p, h[real], self.of[wanted])
-            out[at:upto].reshape(-1)[real] = logs / LOG10 + self.share[wanted]
+            logs, _ = log_chances(self.p, h.reshape(-1, WIDTH), self.of.take(goal, mode="wrap"))
+            out[at:upto] = (logs / LOG10 + self.share.take(goal, mode="wrap")).reshape(-1, BLOCK)
         return out
 
 

@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType
 
-from ledgerlake.llm.attention import BLOCK, WIDTH, Attention, Tables, block_sums, rows_of
+from ledgerlake.llm.attention import BLOCK, WIDTH, Attention, Sums, Tables, rows_of
 from ledgerlake.llm.common import cut, numbered, shared_dir, smallest_hashes, table, whole_text
 
 TOKENIZER = "/opt/tokenizers/piece_bpe_32k.model"
@@ -38,6 +38,8 @@ TRAIN_WINDOWS = 4000
 WHOLE_STEPS, STEP_WORDS = 32, 4096
 #: Targets of a stored piece (a multiple of BLOCK), words of a step that a task gets, pieces that a task holds at once.
 PIECE, TASK_WORDS, HELD_PIECES = 64 * BLOCK, 1 << 20, 100
+#: Texts whose other words a task holds while it scores them.
+HELD_TEXTS = 1000
 #: Distinct words that a task holds before it passes on its counts or forgets its lookups.
 HELD_WORDS = 400_000
 #: Words of texts that are scored together; longer texts are scored in pieces of this many.
@@ -220,8 +222,7 @@ def _gradients(sent) -> Callable:
     """(row, g0, g1, ...): a task's sums of gradients, for the parameter rows that it met."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        p, of = sent.value
-        total = None
+        sums = None
         for batch in batches:
             for at in range(0, batch.num_rows, HELD_PIECES):
                 some = batch.slice(at, HELD_PIECES)
@@ -231,9 +232,10 @@ def _gradients(sent) -> Callable:
                     goal = ids[1:].copy()
                     goal[:context] = -1
                     sequences.append((ids[:-1], goal))
-                sums = block_sums(p, of, *rows_of(sequences)[:3])
-                total = sums if total is None else total + sums
-        if total is not None:
+                sums = sums or Sums(*sent.value)
+                sums.add(*rows_of(sequences)[:3])
+        if sums is not None:
+            total = sums.packed()
             met = np.flatnonzero(total.any(axis=1))
             columns = [pa.array(total[met, i]) for i in range(WIDTH)]
             yield pa.RecordBatch.from_arrays([pa.array(met, pa.int64()), *columns], names=["row", *(f"g{i}" for i in range(WIDTH))])
@@ -380,18 +382,26 @@ def _score(lexicon: Lexicon, tables: Tables, texts: list[bytes]) -> list[tuple[i
     return [tuple(x) for x in out]
 
 
+def _listed(counts: list[Counter]) -> pa.Array:
+    """Every counter as a list of (word, n)."""
+    words = pa.array(list(chain.from_iterable(counts)), pa.binary())
+    ns = pa.array(list(chain.from_iterable(c.values() for c in counts)), pa.int64())
+    offsets = pa.array(np.cumsum([0, *map(len, counts)]), pa.int32())
+    return pa.ListArray.from_arrays(offsets, pa.StructArray.from_arrays([words, ns], names=["word", "n"]))
+
+
 def _scores(sent) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lexicon, tables = sent.value
         for batch in batches:
-            got = _score(lexicon, tables, batch.column(3).cast(pa.binary()).to_pylist())
-            cols = [pa.array([g[i] for g in got], kind) for i, kind in enumerate((pa.int64(), pa.int64(), pa.float64(), pa.float64()))]
-            pair = pa.struct([("word", pa.binary()), ("n", pa.int64())])
-            others = pa.array([[{"word": w, "n": n} for w, n in g[4].items()] for g in got], pa.list_(pair))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), batch.column(2), *cols, others],
-                names=["rid", "doc_id", "held_out", "n_tokens", "known", "base", "score", "others"],
-            )
+            for at in range(0, batch.num_rows, HELD_TEXTS):
+                some = batch.slice(at, HELD_TEXTS)
+                got = _score(lexicon, tables, some.column(3).cast(pa.binary()).to_pylist())
+                cols = [pa.array([g[i] for g in got], kind) for i, kind in enumerate((pa.int64(), pa.int64(), pa.float64(), pa.float64()))]
+                yield pa.RecordBatch.from_arrays(
+                    [*some.columns[:3], *cols, _listed([g[4] for g in got])],
+                    names=["rid", "doc_id", "held_out", "n_tokens", "known", "base", "score", "others"],
+                )
 
     return run
 

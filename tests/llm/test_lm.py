@@ -6,7 +6,7 @@ from collections import Counter
 import numpy as np
 
 from ledgerlake.llm import lm
-from ledgerlake.llm.attention import BLOCK, GROUPS, MEMBERS, Attention, block_sums, rows_of, unpack
+from ledgerlake.llm.attention import BLOCK, GROUPS, MEMBERS, Attention, Sums, _add_rows, block_sums, log_chances, rows_of, unpack
 
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
@@ -162,3 +162,45 @@ def test_words_outside_the_sampled_windows_are_learned(spark, docs_of, monkeypat
     docs = docs_of([(i, pairs[n % 4] * 300) for n, i in enumerate(train[:80])])
     got = lm.score(docs).selectExpr("score / n_tokens AS each").collect()
     assert sum(r.each for r in got) / len(got) > -0.6
+
+
+def test_sums_of_several_calls_add_up_whatever_the_chunks(monkeypatch):
+    rng = np.random.default_rng(5)
+    model = Attention(rng.integers(1, 50, 300).astype(float))
+    texts = [(rng.integers(0, 300, n), rng.integers(-1, 300, n)) for n in (1, 7 * BLOCK + 3, BLOCK, 40, 5 * BLOCK)]
+    whole = block_sums(model.p, model.of, *rows_of(texts)[:3])
+    monkeypatch.setattr("ledgerlake.llm.attention.GRADIENT_BLOCKS", 3)
+    sums = Sums(model.p, model.of)
+    for text in texts:
+        sums.add(*rows_of([text])[:3])
+    assert np.allclose(sums.packed(), whole, rtol=1e-9, atol=1e-9) and whole[-1, 1] == sum((y >= 0).sum() for _, y in texts)
+
+
+def test_rows_without_a_class_have_no_chance_and_no_gradient():
+    rng = np.random.default_rng(6)
+    model = Attention(rng.integers(1, 50, 300).astype(float))
+    h, want = rng.normal(size=(50, 16)), rng.integers(-1, GROUPS * MEMBERS, 50)
+    grads, fewer = ({name: np.zeros(v.shape) for name, v in model.p.items()} for _ in range(2))
+    logs, back = log_chances(model.p, h, want, grads)
+    own = want >= 0
+    logs_, back_ = log_chances(model.p, h[own], want[own], fewer)
+    assert np.allclose(logs[own], logs_) and np.allclose(back[own], back_) and not logs[~own].any() and not back[~own].any()
+    assert all(np.allclose(grads[name], fewer[name]) for name in grads)
+
+
+def test_rows_are_added_by_number():
+    rng = np.random.default_rng(7)
+    for size in (50, 70_000):  # numbers of 16 bits and more
+        at, rows = rng.integers(0, size, 400), rng.normal(size=(400, 3))
+        got, expected = np.ones((size, 3)), np.ones((size, 3))
+        _add_rows(got, at, rows)
+        np.add.at(expected, at, rows)
+        assert np.allclose(got, expected)
+    _add_rows(got, at[:0], rows[:0])
+    assert np.allclose(got, expected)
+
+
+def test_other_words_are_listed_per_text():
+    counts = [Counter({b"a": 2, b"b": 1}), Counter(), Counter({b"a": 3})]
+    pairs = [[(p["word"], p["n"]) for p in own] for own in lm._listed(counts).to_pylist()]
+    assert pairs == [[(b"a", 2), (b"b", 1)], [], [(b"a", 3)]] and lm._listed([]).to_pylist() == []
