@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 # Characters Python's str.isprintable() rejects: categories C* and Z*, except
 # the ASCII space. Tabs / CR / LF are turned into spaces before this runs.
 _NON_PRINTABLE = "[\\p{C}\\p{Z}&&[^ ]]"
-_NUMBER_GUARD = "^\\s*[+-]?(\\d+(\\.\\d*)?|\\.\\d+)([eE][+-]?\\d+)?\\s*$"
+_NUMBER = "^\\s*([+-]?(?:\\d+(?:\\.\\d*)?|\\.\\d+)(?:[eE][+-]?\\d+)?)\\s*$"
 
 FLOAT_TYPES = ("double", "float")
 INTEGRAL_TYPES = ("bigint", "int", "smallint", "tinyint")
@@ -117,28 +117,23 @@ def digits_key(c: str | Column, dtype: str = "string") -> Column:
 
 
 def strip_trailing_zero(c: str | Column) -> Column:
-    """``+123.00`` -> ``+123``; anything else is just cleaned."""
-    cleaned = clean_text(c)
-    return F.when(
-        cleaned.rlike("^[+-]?\\p{Nd}+\\.0+$"), F.substring_index(cleaned, ".", 1)
-    ).otherwise(cleaned)
+    """``+123.00`` -> ``+123``; anything else is just cleaned. The cleaned
+    text is an input of one expression only: a branch on it would evaluate the
+    regex chain again in each of its places."""
+    return F.nullif(F.regexp_replace(clean_raw(c), "^([+-]?\\p{Nd}+)\\.0+$", "$1"), F.lit(""))
 
 
 def to_number(c: str | Column, dtype: str = "string") -> Column:
     """Numeric value or null (pandas ``to_numeric(errors='coerce')``).
 
     Text must look like a decimal number; ``try_cast`` alone would accept
-    ``'1d'`` and ``'NaN'``. NaN becomes null.
+    ``'1d'`` and ``'NaN'``. NaN becomes null. The input is evaluated once.
     """
     x = col_of(c)
-    if dtype in FLOAT_TYPES or dtype in INTEGRAL_TYPES or dtype.startswith("decimal"):
-        d = x.cast("double")
-    elif dtype == "boolean":
-        d = x.cast("double")
-    else:
-        s = x.cast("string")
-        d = F.when(s.rlike(_NUMBER_GUARD), F.trim(s).try_cast("double"))
-    return F.when(~F.isnan(d), d)
+    if dtype in FLOAT_TYPES or dtype in INTEGRAL_TYPES or dtype.startswith("decimal") or dtype == "boolean":
+        return F.nanvl(x.cast("double"), F.lit(None).cast("double"))
+    # no match gives '', which is no number
+    return F.regexp_extract(x.cast("string"), _NUMBER, 1).try_cast("double")
 
 
 def to_text(c: str | Column) -> Column:
