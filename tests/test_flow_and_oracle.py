@@ -316,3 +316,89 @@ def test_audits_make_each_key_once(spark):
     assert "translate(" not in tables["sales_summary"]._jdf.queryExecution().optimizedPlan().toString()
     sold = tables["sales_summary"].select("ndc", "lookup").distinct()
     assert sold.where("ndc is null and lookup like '1%'").count() == 0 and sold.where("lookup is not null").count() > 0
+
+
+def _small_flow(spark, lines=40):
+    import datetime as dt
+
+    from ledgerlake.plans import flow
+
+    make, day = spark.createDataFrame, dt.date(2026, 4, 2)
+    orders = make([(i, 1, str(i % 5), None if i % 7 == 0 else str(i % 9), None if i % 3 == 0 else f"C{i % 4}", "note", 2.0, day, i) for i in range(lines)],
+                  "order_number int, item_number int, material_code string, ndc string, customer string, po_number string, quantity double, po_date date, _row long")
+    return flow.FlowInputs({
+        "orderbook": orders,
+        "inventory": make([("1", 7, 9, None, 0), ("2", 1, 5, None, 1)], "ndc string, actual_quantity int, inventory int, hold_codes string, _row long"),
+        "open_order_summary": make([("11", 1, "open", "C1", "G", 0)], "sku string, total int, status string, customer string, customer_group string, _row long"),
+        "moq": make([("2", "nut", 5, 0)], "material_code string, material_description string, moq int, _row long"),
+        "awards": make([("1C1", "1", "Primary", 0), ("x", "4", "Second", 1)], "lookup string, ndc string, award_type string, _row long"),
+        "critical_inventory_tracker": make([("2", "soon", 0), ("2", "late", 1)], "ndc string, comments string, _row long"),
+        "sales_trend": make([("1C1", "C1", "T", "3", 0)], "lookup string, customer string, customer_group string, `Mar 2026` string, _row long"),
+    })
+
+
+def test_each_kind_of_key_is_written_before_the_next(spark):
+    """What each kind of key finds lies in a table of its own, without the lines' columns; the last plan deals by the lines' number only."""
+    from ledgerlake.plans import flow
+    from ledgerlake.plans.session import cut_lineage
+
+    fi = _small_flow(spark)
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false"}
+    keep = {k: spark.conf.get(k) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    given = []
+
+    def write(df):
+        given.append(df._jdf.queryExecution().executedPlan().toString())
+        assert "po_number" not in df.columns
+        return cut_lineage(df)
+
+    try:
+        lines, _ = flow.order_lines(fi)
+        hist, _ = flow.prior_months(fi, lines)
+        net = flow.net_stock(fi)
+        apart, whole = flow.build_master(fi, lines, net, hist, ("Mar",), write), flow.build_master(fi, lines, net, hist, ("Mar",))
+        kinds = [{k for k in ("_ndc_k", "_lk_k", "_cust_k") if f"hashpartitioning({k}#" in plan} for plan in (*given, apart.frame._jdf.queryExecution().executedPlan().toString())]
+        assert all(len(k) <= 1 for k in kinds) and set().union(*kinds) == {"_ndc_k", "_lk_k", "_cust_k"} and not kinds[-1]
+        assert apart.frame.columns == whole.frame.columns
+        got = sorted(map(str, apart.frame.collect()))
+        assert len(got) == 40 and got == sorted(map(str, whole.frame.collect()))
+    finally:
+        for k, v in keep.items():
+            spark.conf.set(k, v)
+
+
+def test_lines_meet_what_was_found_in_passes(spark, monkeypatch):
+    """Several passes hold every line once, count the same and deal a part of the lines each; tables read by nothing more are deleted."""
+    import re
+
+    from ledgerlake.plans import flow, session
+
+    fi = _small_flow(spark)
+    one = flow.run_phases(fi)
+    monkeypatch.setattr(flow, "PASS_LINES", 9)
+    lines, before = flow.order_lines(fi)
+    parts = flow._passes(lines, lines, before["_rows"])
+    sizes = [p.count() for p in parts]
+    assert len(sizes) == 5 and sum(sizes) == 40 and max(sizes) < 20
+    deleted, forget = [], session.forget
+    monkeypatch.setattr(flow, "forget", lambda t: (deleted.append(re.search("table-[0-9a-f]+", t.inputFiles()[0])[0]), forget(t)))
+    several = flow.run_phases(fi)
+    shown = lambda df: sorted(str(r.asDict()) for r in df.drop("_rid").collect())
+    for a, b in ((one.lines, several.lines), (one.summary, several.summary), (one.merge_audit, several.merge_audit), (one.audits(), several.audits()),
+                 (one.statistics, several.statistics), (one.exceptions["award"], several.exceptions["award"])):
+        assert shown(a) == shown(b)
+    assert len(deleted) >= 6 and not set(os.listdir(session.ensure_checkpoint_dir(spark).removeprefix("file:"))) & set(deleted)
+
+
+def test_a_first_row_leaves_no_shuffle_files(spark):
+    from ledgerlake.plans.session import first_row
+
+    def files():
+        held = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+        return {held.apply(i).getName() for i in range(held.size()) if held.apply(i).getName().startswith("shuffle_")}
+
+    before = files()
+    assert first_row(spark.range(1000).repartition(3, "id").selectExpr("count(distinct id) n"))["n"] == 1000
+    assert not files() - before
