@@ -262,9 +262,9 @@ def q_highlights(spark, sf):
     return x.select(*I.LINE_ORDER[:4], *[v.alias(k) for k, v in fills.items()])
 
 
-def _summary_rows(spark, sf):
+def _summary_rows(spark, sf, bought=None):
     """The detail that the summary is built from, with its order and the columns that E13 carries over."""
-    m = I.master_orders(spark, sf)
+    m = I.master_orders(spark, sf, bought)
     return m.select(
         *I.LINE_ORDER, F.col("c_mktsegment").alias("Buying Group"), F.col("l_returnflag").alias("Award Type"),
         F.col("p_name").alias("Material Description"),
@@ -561,7 +561,7 @@ def q_key_health(spark, sf):
 def q_summary_enriched(spark, sf):
     # the aggregate and the first row per Lookup in one pass over the detail
     e = summary.sales_summary_with_firsts(
-        _summary_rows(spark, sf), "Lookup", ["Buying Group", "Award Type", "SC Comments"], list(I.LINE_ORDER))
+        _summary_rows(spark, sf, I.buyers(spark, sf)), "Lookup", ["Buying Group", "Award Type", "SC Comments"], list(I.LINE_ORDER))
     return e.select(
         F.col("Lookup").alias("lookup"), F.col("Material Description").alias("material_description"),
         F.col("Sold-to party Name").alias("sold_to_party_name"), F.col("NDC Code").alias("ndc_code"),

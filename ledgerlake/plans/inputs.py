@@ -88,15 +88,26 @@ def dirty_customer_name(c: str = "c_name", seg: str = "c_mktsegment"):
     )
 
 
-def master_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+def buyers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders with their customers, written as a table: fewer and narrower rows than the lines that they meet."""
+    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
+    c = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_mktsegment")
+    return cut_lineage(o.join(c, o.o_custkey == c.c_custkey).drop("c_custkey"))
+
+
+def master_orders(spark: SparkSession, sf_dir: str, bought: DataFrame | None = None) -> DataFrame:
     """Order lines as the master table: line item x order x customer x part
-    with an NDC code (dashed text) and a sold-to name (dirty)."""
+    with an NDC code (dashed text) and a sold-to name (dirty). ``bought``:
+    the orders with their customers, where ``buyers`` has written them."""
     li = table(spark, sf_dir, "lineitem")
-    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate", "o_totalprice", "o_orderpriority")
-    c = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_mktsegment")
     p = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_size", "p_type")
-    j = li.join(o, li.l_orderkey == o.o_orderkey).join(c, F.col("o_custkey") == c.c_custkey).join(p, F.col("l_partkey") == p.p_partkey)
-    return j.select(
+    if bought is not None:
+        j = li.join(bought, li.l_orderkey == bought.o_orderkey)
+    else:
+        o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate", "o_totalprice", "o_orderpriority")
+        c = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_mktsegment")
+        j = li.join(o, li.l_orderkey == o.o_orderkey).join(c, F.col("o_custkey") == c.c_custkey)
+    return j.join(p, F.col("l_partkey") == p.p_partkey).select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_returnflag",
         "l_linestatus", "l_shipdate", "o_custkey", "o_orderdate", "c_name", "c_mktsegment", "p_name", "p_size", "p_type",
         F.when(F.col("l_returnflag") == "R", F.lit(None).cast("string"))
